@@ -1,0 +1,7 @@
+"""Streaming.
+
+The warehouse tool this library mirrors has no streams, watermarks or state,
+so nothing stream-specific is built. The codec functions are plain
+projections and run unchanged on a streaming DataFrame, e.g. inside
+``writeStream.foreachBatch(lambda batch, _: write_table(batch, name, mode="append"))``.
+"""
