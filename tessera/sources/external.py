@@ -158,7 +158,11 @@ def read_external(spark: SparkSession, ext: ExternalData) -> DataFrame:
     if BAD in df.columns:
         if ext.max_bad_records is not None:
             # one aggregate over the scan; partial counts are combined map-side
-            n_bad = df.agg(F.count_if(F.col(BAD)).alias("n")).first()["n"]
+            # Spark refuses a query that reads the corrupt-record column alone,
+            # so a data column rides along in the same aggregate.
+            other = next(c for c in df.columns if c != BAD)
+            n_bad = df.agg(F.count_if(F.col(BAD)).alias("n"),
+                           F.count(F.col(quote_ident(other))).alias("rows")).first()["n"]
             if n_bad > ext.max_bad_records:
                 raise TooManyBadRecords(
                     f"{n_bad} bad records, more than {ext.max_bad_records} allowed")
