@@ -121,17 +121,17 @@ def _aligned(df: DataFrame, table_schema: T.StructType, skip: set[str]) -> list[
     return out
 
 
-class _StaticOverwrite:
-    """Pin ``partitionOverwriteMode`` to static for one write, then put it back."""
+class _OverwriteMode:
+    """Pin ``partitionOverwriteMode`` for one write, then put it back."""
 
     KEY = "spark.sql.sources.partitionOverwriteMode"
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, mode: str):
+        self.spark, self.mode = spark, mode
 
     def __enter__(self):
         self.old = self.spark.conf.get(self.KEY, None)
-        self.spark.conf.set(self.KEY, "static")
+        self.spark.conf.set(self.KEY, self.mode)
 
     def __exit__(self, *exc):
         if self.old is None:
@@ -219,28 +219,38 @@ def write_table(df: DataFrame, table: str, *,
     cluster_cols = cluster_prop.split(",") if cluster_prop else list(clustering or ())
 
     if spec is not None and value is not None:
+        # Every row must belong to the partition: checked inside the write job,
+        # so a stray row fails the job before anything is committed.
         guard = spec.derive(df[quote_ident(spec.column)]).eqNullSafe(spec.value_literal(value))
         fail = F.raise_error(F.lit(f"row outside partition {spec.partition_column}={value}"))
         first = df.schema.fields[0]
         df = df.select(F.when(guard, df[quote_ident(first.name)]).otherwise(fail)
                        .alias(first.name, metadata=first.metadata),
-                       *[df[quote_ident(c)] for c in df.columns[1:]])
+                       *[df[quote_ident(c)] for c in df.columns[1:]],
+                       spec.value_literal(value).alias(spec.partition_column))
     elif spec is not None:
         df = spec.with_partition_column(df)
     if cluster_cols:
         df = clustered(df, cluster_cols)
-    elif spec is not None and rebalance:
-        df = df.hint("rebalance", spec.partition_column if value is None else spec.column)
-
-    if spec is not None and value is not None:
-        cols = _aligned(df, table_schema, {spec.partition_column})
-        verb = "OVERWRITE TABLE" if mode == "overwrite" else "INTO"
-        spark.sql(f"INSERT {verb} {quote_table(table)} PARTITION "
-                  f"({quote_ident(spec.partition_column)} = {_typed_literal(spec.partition_type, value)}) "
-                  f"SELECT * FROM {{src}}", src=df.select(*cols))
+    elif spec is not None and rebalance and value is None:
+        df = df.hint("rebalance", spec.partition_column)
+
+    out = df.select(*_aligned(df, table_schema, set()))
+    if spec is not None and value is not None and mode == "overwrite":
+        if out.isEmpty():
+            # Nothing to write: the static form empties exactly that partition.
+            spark.sql(f"INSERT OVERWRITE TABLE {quote_table(table)} PARTITION "
+                      f"({quote_ident(spec.partition_column)} = "
+                      f"{_typed_literal(spec.partition_type, value)}) "
+                      f"SELECT * FROM {{src}}",
+                      src=out.drop(spec.partition_column))
+        else:
+            # Dynamic overwrite stages the files and swaps the one partition at
+            # commit: a failed job leaves the old partition in place.
+            with _OverwriteMode(spark, "dynamic"):
+                out.write.insertInto(table, overwrite=True)
     else:
-        out = df.select(*_aligned(df, table_schema, set()))
-        with _StaticOverwrite(spark):
+        with _OverwriteMode(spark, "static"):
             out.write.insertInto(table, overwrite=(mode == "overwrite" and exists))
 
     if exists and encode_decimals:
