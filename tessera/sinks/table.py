@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.conform import conform_types
 from ..functions.decimals import comment_of, encode_wide_decimals, has_tag, tag_comment
 from ..operators.partitioning import PartitionSpec
 from ..operators.tables import (PROP_CLUSTERING, create_table, is_external, partition_spec_of,
@@ -156,6 +157,8 @@ def write_table(df: DataFrame, table: str, *,
                 format: str = "parquet",
                 path: str | None = None,
                 rebalance: bool = False,
+                conform: bool = False,
+                widen_float: bool = False,
                 **table_settings) -> WriteResult:
     """Write ``df`` into catalog table ``table``.
 
@@ -165,6 +168,7 @@ def write_table(df: DataFrame, table: str, *,
     belong to it, checked inside the write job. ``options`` are format
     options recorded on the table when it is created (e.g. compression).
     ``table_settings`` go to ``create_table`` (description, labels, …).
+    ``conform`` rewrites every column to a warehouse type first (V3).
     """
     spark = df.sparkSession
     mode = _normalise_mode(mode)
@@ -181,6 +185,8 @@ def write_table(df: DataFrame, table: str, *,
 
     if encode_decimals:
         df = encode_wide_decimals(df, decimal_columns)
+    if conform:
+        df = conform_types(df, widen_float=widen_float)
 
     spec = partition_spec_of(spark, table) if exists else partitioning
     if exists and partitioning is not None and partitioning != spec:

@@ -246,3 +246,66 @@ def test_plan_stays_in_catalyst(spark, scratch, table_name):
     whole = read_table(spark, table_name)
     assert python_or_rdd_nodes(whole) == []
     assert whole.where("id = 7").first()["w"] == Decimal(1)
+
+
+# ------------------------------------------------------------ round trip property
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_dec = st.decimals(min_value=Decimal("-99999999999999999999"),
+                   max_value=Decimal("99999999999999999999"), places=18,
+                   allow_nan=False, allow_infinity=False)
+_shapes = st.sampled_from(["flat", "array", "struct", "array_struct", "map"])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(shape=_shapes, values=st.lists(st.one_of(st.none(), _dec), min_size=1, max_size=6))
+def test_round_trip_property(spark, shape, values):
+    """restore(encode(df)) == df for random values in random nested shapes."""
+    w = "decimal(38,18)"
+    if shape == "flat":
+        rows, ddl = [(i, v) for i, v in enumerate(values)], f"id int, x {w}"
+    elif shape == "array":
+        rows, ddl = [(0, values), (1, None), (2, [])], f"id int, x array<{w}>"
+    elif shape == "struct":
+        rows = [(i, None if v is None else (v, str(i))) for i, v in enumerate(values)]
+        ddl = f"id int, x struct<d: {w}, s: string>"
+    elif shape == "array_struct":
+        rows = [(0, [(v, "k") for v in values]), (1, None)]
+        ddl = f"id int, x array<struct<d: {w}, s: string>>"
+    else:
+        rows = [(0, {f"k{i}": v for i, v in enumerate(values)}), (1, None)]
+        ddl = f"id int, x map<string, {w}>"
+    df = spark.createDataFrame(rows, ddl)
+    enc = encode_wide_decimals(df)
+    assert "decimal" not in enc.schema["x"].dataType.simpleString()
+    back = restore_decimals(enc)
+    assert back.schema["x"].dataType.simpleString() == df.schema["x"].dataType.simpleString()
+    assert back.orderBy("id").collect() == df.orderBy("id").collect()
+
+
+def test_tag_listing_after_write_and_read(spark, table_name, scratch):
+    """Comments of the encoded table and of the restored DataFrame, as rows."""
+    from tessera import read_raw, read_table, write_table
+    df = spark.createDataFrame([(1, Decimal("1.5"), [Decimal("2")])],
+                               "id bigint, p decimal(38,18), a array<decimal(38,18)>")
+    df = df.select("id", F.col("p").alias("p", metadata={"comment": "price"}), "a")
+    write_table(df, table_name, encode_decimals=True, path=scratch())
+    listing = lambda d: [(f.name, f.dataType.simpleString(), comment(d.schema, f.name))
+                         for f in d.schema.fields]
+    assert listing(read_raw(spark, table_name)) == [
+        ("id", "bigint", ""), ("p", "string", f"{TAG}|price"), ("a", "array<string>", TAG)]
+    assert listing(read_table(spark, table_name)) == [
+        ("id", "bigint", ""), ("p", "decimal(38,18)", f"{TAG}|price"),
+        ("a", "array<decimal(38,18)>", TAG)]
+
+
+def test_conform_on_write_with_varchar_table(spark, table_name, scratch):
+    from tessera import create_table, write_table
+    spark.sql(f"CREATE TABLE {table_name}_src (v VARCHAR(5), f FLOAT) USING parquet "
+              f"LOCATION '{scratch()}'")
+    spark.sql(f"INSERT INTO {table_name}_src VALUES ('abc', 1.5)")
+    src = spark.table(f"{table_name}_src")
+    write_table(src, table_name, conform=True, widen_float=True, path=scratch())
+    assert dict(spark.table(table_name).dtypes) == {"v": "string", "f": "double"}
