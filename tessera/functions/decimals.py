@@ -100,8 +100,7 @@ def _tagged(dt: T.DataType, comment: str) -> bool:
     if isinstance(dt, T.StringType):
         return has_tag(comment)
     if isinstance(dt, T.ArrayType):
-        if isinstance(dt.elementType, T.StructType):
-            return _tagged(dt.elementType, comment)
+        # arrays of strings use the array's comment; structs their fields' own
         return _tagged(dt.elementType, comment)
     if isinstance(dt, T.MapType):
         return isinstance(dt.valueType, T.StringType) and has_tag(comment)

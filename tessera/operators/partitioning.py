@@ -17,6 +17,19 @@ from pyspark.sql import types as T
 TIME_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
 
 
+def typed_literal(value, dtype: T.DataType) -> Column:
+    """Literal of ``dtype`` built from text, so no time zone enters the value."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)) and isinstance(value, (dt.date, str)):
+        text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
+        if isinstance(dtype, T.TimestampNTZType) and not isinstance(value, dt.datetime) \
+                and isinstance(value, dt.date):
+            text = f"{value.isoformat()} 00:00:00"
+        return F.lit(text).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 @dataclass(frozen=True)
 class RangePartitioning:
     """Integer ranges: ``[start, end)`` cut every ``interval``; other keys → null partition."""
@@ -79,22 +92,34 @@ class PartitionSpec:
 
     # ------------------------------------------------------------ values
 
-    def derive(self, c: Column) -> Column:
-        """Partition value of a source value, as a column expression."""
+    def derive(self, c: Column, source_type: T.DataType | None = None) -> Column:
+        """Partition value of a source value, as a column expression.
+
+        ``timestamp_ntz`` and ``date`` sources are truncated with date
+        arithmetic only, so the result does not depend on the session time
+        zone; ``timestamp`` sources are truncated in the session time zone.
+        """
         m = self.metadata
         if isinstance(m, RangePartitioning):
             x = c.cast("bigint")
             bucket = F.lit(m.start) + F.floor((x - F.lit(m.start)) / F.lit(m.interval)) * F.lit(m.interval)
             return F.when((x >= m.start) & (x < m.end), bucket.cast("bigint"))
+        if isinstance(source_type, (T.TimestampNTZType, T.DateType)):
+            if m.unit == "HOUR":
+                return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
+                                            F.lit(0), F.lit(0))
+            d = c.cast("date")
+            return {"DAY": d, "MONTH": F.trunc(d, "MM"), "YEAR": F.trunc(d, "YEAR")}[m.unit]
         if m.unit == "HOUR":
-            return F.date_trunc("HOUR", c.cast("timestamp_ntz")).cast("timestamp_ntz")
+            return F.date_trunc("HOUR", c).cast("timestamp_ntz")
         return F.date_trunc(m.unit, c).cast("date")
 
     def with_partition_column(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.partition_column, self.derive(df[f"`{self.column}`"]))
+        src = df.schema[self.column].dataType
+        return df.withColumn(self.partition_column, self.derive(df[f"`{self.column}`"], src))
 
     def value_literal(self, value) -> Column:
-        return F.lit(value).cast(self.partition_type)
+        return typed_literal(value, self.partition_type)
 
     def derive_python(self, value):
         """Partition value of one driver-side source value (for bounds)."""
@@ -135,6 +160,10 @@ class PartitionSpec:
             return conds
         return p.between(self.value_literal(plo), self.value_literal(phi))
 
+    def source_between(self, c: Column, source_type: T.DataType, lo, hi) -> Column:
+        """``lo <= source <= hi`` with literals typed like the source column."""
+        return c.between(typed_literal(lo, source_type), typed_literal(hi, source_type))
+
     # ----------------------------------------------------------- lifetime
 
     def partition_start(self, value) -> dt.datetime | None:

@@ -316,9 +316,13 @@ def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.St
     db = name.rsplit(".", 1)[0] + "." if "." in name else ""
     tmp = db + unique_name(name.rsplit(".", 1)[-1] + "__rewrite")
     clustering = props.get(PROP_CLUSTERING)
+    # an external table keeps its data beside the old location
+    path = None
+    if info.get("Type") == "EXTERNAL" and info.get("Location"):
+        path = f"{info['Location'].rstrip('/')}__{tmp.rsplit('.', 1)[-1]}"
     create_table(spark, tmp, target, partitioning=spec,
                  clustering=clustering.split(",") if clustering else None,
-                 description=info.get("Comment") or None, format=fmt,
+                 description=info.get("Comment") or None, format=fmt, path=path,
                  properties={k: v for k, v in props.items()
                              if not k.startswith("tessera.partition.")
                              and k != PROP_CLUSTERING})

@@ -156,7 +156,7 @@ def write_table(df: DataFrame, table: str, *,
                 options: Mapping[str, str] | None = None,
                 format: str = "parquet",
                 path: str | None = None,
-                rebalance: bool = False,
+                rebalance: bool | None = None,
                 conform: bool = False,
                 widen_float: bool = False,
                 **table_settings) -> WriteResult:
@@ -169,6 +169,8 @@ def write_table(df: DataFrame, table: str, *,
     options recorded on the table when it is created (e.g. compression).
     ``table_settings`` go to ``create_table`` (description, labels, …).
     ``conform`` rewrites every column to a warehouse type first (V3).
+    ``rebalance`` (default on for partitioned writes) adds AQE's REBALANCE on
+    the partition column; pass False to write without a shuffle.
     """
     spark = df.sparkSession
     mode = _normalise_mode(mode)
@@ -227,7 +229,8 @@ def write_table(df: DataFrame, table: str, *,
     if spec is not None and value is not None:
         # Every row must belong to the partition: checked inside the write job,
         # so a stray row fails the job before anything is committed.
-        guard = spec.derive(df[quote_ident(spec.column)]).eqNullSafe(spec.value_literal(value))
+        guard = spec.derive(df[quote_ident(spec.column)], df.schema[spec.column].dataType) \
+            .eqNullSafe(spec.value_literal(value))
         fail = F.raise_error(F.lit(f"row outside partition {spec.partition_column}={value}"))
         first = df.schema.fields[0]
         df = df.select(F.when(guard, df[quote_ident(first.name)]).otherwise(fail)
@@ -237,8 +240,12 @@ def write_table(df: DataFrame, table: str, *,
     elif spec is not None:
         df = spec.with_partition_column(df)
     if cluster_cols:
-        df = clustered(df, cluster_cols)
-    elif spec is not None and rebalance and value is None:
+        lead = [spec.partition_column] if spec is not None and value is None else []
+        df = clustered(df, lead + cluster_cols)
+    elif spec is not None and value is None and rebalance is not False:
+        # One shuffle on the partition column: AQE sizes the output files and
+        # splits a hot partition over several tasks; without it every task
+        # would write one small file per partition it happens to hold.
         df = df.hint("rebalance", spec.partition_column)
 
     out = df.select(*_aligned(df, table_schema, set()))

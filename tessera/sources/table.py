@@ -58,7 +58,9 @@ def read_table(spark: SparkSession, table: str | None = None, *,
             raise ValueError("between= needs a partitioned table")
         lo, hi = between
         src = df[quote_ident(spec.column)]
-        df = df.where(spec.between_predicate(lo, hi) & src.between(F.lit(lo), F.lit(hi)))
+        src_type = df.schema[spec.column].dataType
+        df = df.where(spec.between_predicate(lo, hi)
+                      & spec.source_between(src, src_type, lo, hi))
     if partition_value is not None:
         if spec is None:
             raise ValueError("partition_value needs a partitioned table")

@@ -30,3 +30,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry(spark):
     rows = E.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"l_returnflag", "sum_price", "n_lines"}
+
+
+@pytest.mark.parametrize("name", ["month_partition_counts", "hour_partition_counts",
+                                  "filtered_partition_read", "replace_partition",
+                                  "partition_expiry"])
+def test_time_partitions_ignore_session_zone(spark, con, name):
+    """timestamp_ntz partitions give the same rows in any session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[name](spark, SF)
+        assert compare(df, con, ORACLES[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
