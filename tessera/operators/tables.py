@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -350,13 +351,14 @@ def expire_partitions(spark: SparkSession, name: str, as_of: dt.datetime) -> lis
         raise ValueError(f"table {name} is not partitioned")
     pcol = spec.partition_column
     dropped = []
+    kind = "TIMESTAMP_NTZ" if isinstance(spec.partition_type, T.TimestampNTZType) else "DATE"
     for r in spark.sql(f"SHOW PARTITIONS {quote_table(name)}").collect():
-        text = r[0].split("=", 1)[1]
+        text = unquote(r[0].split("=", 1)[1])   # folder names escape ':' and friends
         if text == "__HIVE_DEFAULT_PARTITION__":
             continue
         if spec.expired(text, as_of):
             spark.sql(f"ALTER TABLE {quote_table(name)} DROP IF EXISTS PARTITION "
-                      f"({quote_ident(pcol)} = {sql_string(text)})")
+                      f"({quote_ident(pcol)} = {kind} {sql_string(text)})")
             dropped.append(text)
     return dropped
 

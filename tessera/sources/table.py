@@ -66,12 +66,14 @@ def read_table(spark: SparkSession, table: str | None = None, *,
             raise ValueError("partition_value needs a partitioned table")
         value = spec.derive_python(partition_value)
         df = df.where(F.col(quote_ident(spec.partition_column)) == spec.value_literal(value))
+    if restore:
+        df = restore_decimals(df, columns, lenient=lenient, target=target)
     if where is not None:
+        # after restoring, so a predicate on a tagged column compares decimals;
+        # predicates on other columns still reach the scan through the projection
         df = df.where(where)
     if spec is not None and not keep_partition_column:
         df = df.drop(spec.partition_column)
-    if restore:
-        df = restore_decimals(df, columns, lenient=lenient, target=target)
     return df
 
 

@@ -235,3 +235,21 @@ def test_clustered_layout(spark, table_name, scratch):
     ts.write_table(df, table_name, clustering=["g"], path=scratch())
     assert spark.table(table_name).count() == 10000
     assert table_properties(spark, table_name)["tessera.clustering"] == "g"
+
+
+def test_hour_partition_expiry_escaped_names(spark, table_name, scratch):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 5), 1),
+                                (dt.datetime(2024, 1, 3, 11, 5), 2)], "ts timestamp_ntz, x int")
+    spec = ts.PartitionSpec("ts", "timestamp", ts.TimePartitioning("HOUR", 24 * 3600 * 1000))
+    ts.write_table(df, table_name, partitioning=spec, path=scratch())
+    assert ts.expire_partitions(spark, table_name, dt.datetime(2024, 1, 3)) == ["2024-01-01 10:00:00"]
+    assert [r["x"] for r in spark.table(table_name).collect()] == [2]
+
+
+def test_where_on_tagged_column_compares_decimals(spark, table_name, scratch):
+    df = spark.createDataFrame([(1, Decimal("9.5")), (2, Decimal("10.25"))],
+                               "k bigint, p decimal(38,18)")
+    ts.write_table(df, table_name, encode_decimals=True, path=scratch())
+    # as text "9.5..." > "10..." — as decimals only 10.25 passes
+    got = ts.read_table(spark, table_name, where=F.col("p") > 10).collect()
+    assert [r["k"] for r in got] == [2]
