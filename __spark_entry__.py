@@ -234,7 +234,9 @@ def q_read_restored(spark, sf_dir):
 
 def q_preview_rows(spark, sf_dir):
     name = _encoded_table(spark, sf_dir, "preview", _lineitem_wide(spark, sf_dir))
-    p = ts.preview(ts.read_table(spark, name), 20, order_by=["l_orderkey", "l_linenumber"])
+    # (l_orderkey, l_linenumber) repeats in this data: order by every output column
+    p = ts.preview(ts.read_table(spark, name), 20,
+                   order_by=["l_orderkey", "l_linenumber", "price"])
     return p.select("l_orderkey", "l_linenumber", _text("price").alias("price"))
 
 
@@ -696,7 +698,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem GROUP BY l_returnflag""",
         "preview_rows": f"""
             SELECT l_orderkey, l_linenumber, {_dtext('l_extendedprice')} AS price
-            FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 20""",
+            FROM lineitem ORDER BY l_orderkey, l_linenumber, l_extendedprice LIMIT 20""",
         "write_append": f"""
             SELECT {_ORDERS} FROM orders UNION ALL SELECT {_ORDERS} FROM orders""",
         "write_overwrite": """
@@ -750,7 +752,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderstatus, count(*) AS n_orders, {_DUCK_MONEY} AS total
             FROM orders GROUP BY o_orderstatus""",
         "view_replaced": """
-            SELECT year(o_orderdate) AS yr, count(*) AS n_orders FROM orders
+            SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n_orders FROM orders
             GROUP BY year(o_orderdate)""",
         "matview_refresh": """
             SELECT o_orderstatus, 2 * count(*) AS n_orders,

@@ -5,6 +5,7 @@ runs on ``lineitem`` at ``$BENCH_SF_DIR``:
 
   encode_write       wide decimals encoded and written to a new table (V1, W1)
   read_restore       table read back, decimals restored, summed per flag (R1, V2)
+  partitioned_write  encoded and written month-partitioned, rebalanced by month (W6, D3)
   filtered_read      month-partitioned table, one quarter read via partition pruning (R1, D6)
   replace_partition  one month of a partitioned table replaced (W2)
   archive_write      write with a dated ORC archive copy (W3)
@@ -99,6 +100,11 @@ def main() -> None:
             F.sum("price"), F.sum("tax"), F.sum("discount"), F.count("*")).collect()
     results["read_restore"] = median_of(read_restore)
 
+    def partitioned_write():
+        name, path = new_table("parted_w")
+        ts.write_table(src, name, encode_decimals=True, partitioning=month, path=path)
+    results["partitioned_write"] = median_of(partitioned_write)
+
     parted, ppath = new_table("parted")
     ts.write_table(src, parted, encode_decimals=True, partitioning=month, path=ppath)
 
