@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ from ..functions.decimals import comment_of, encode_wide_decimals, has_tag, tag_
 from ..operators.partitioning import PartitionSpec
 from ..operators.tables import (PROP_CLUSTERING, create_table, is_external, partition_spec_of,
                                 table_exists, table_properties)
-from ..session import quote_ident, quote_table, sql_string
+from ..session import quote_ident, quote_table, shared_root, sql_string
 
 log = logging.getLogger(__name__)
 
@@ -252,11 +253,11 @@ def write_table(df: DataFrame, table: str, *,
     if spec is not None and value is not None and mode == "overwrite":
         if out.isEmpty():
             # Nothing to write: the static form empties exactly that partition.
-            spark.sql(f"INSERT OVERWRITE TABLE {quote_table(table)} PARTITION "
-                      f"({quote_ident(spec.partition_column)} = "
-                      f"{_typed_literal(spec.partition_type, value)}) "
-                      f"SELECT * FROM {{src}}",
-                      src=out.drop(spec.partition_column))
+            _reading_safe(lambda src: spark.sql(
+                f"INSERT OVERWRITE TABLE {quote_table(table)} PARTITION "
+                f"({quote_ident(spec.partition_column)} = "
+                f"{_typed_literal(spec.partition_type, value)}) SELECT * FROM {{src}}",
+                src=src.drop(spec.partition_column)), out)
         else:
             # Dynamic overwrite stages the files and swaps the one partition at
             # commit: a failed job leaves the old partition in place.
@@ -264,13 +265,27 @@ def write_table(df: DataFrame, table: str, *,
                 out.write.insertInto(table, overwrite=True)
     else:
         with _OverwriteMode(spark, "static"):
-            out.write.insertInto(table, overwrite=(mode == "overwrite" and exists))
+            _reading_safe(lambda src: src.write.insertInto(
+                table, overwrite=(mode == "overwrite" and exists)), out)
 
     if exists and encode_decimals:
         _retag(spark, table, df.schema)
     return WriteResult("written", table, archived, created)
 
 
+def _reading_safe(write, df: DataFrame) -> None:
+    """Run ``write(df)``; if Spark refuses to overwrite a table the plan reads,
+    cut the lineage with a reliable checkpoint in the shared checkpoint folder
+    (it survives lost executors) and write from that."""
+    try:
+        write(df)
+    except AnalysisException as e:
+        if "UNSUPPORTED_OVERWRITE" not in (e.getCondition() or ""):
+            raise
+        shared_root(df.sparkSession)
+        write(df.checkpoint(eager=True))
+
+
 def _retag(spark: SparkSession, table: str, written: T.StructType) -> None:
     """Add the tag to top-level comments of an existing table that lack it."""
     current = {f.name: f for f in spark.table(table).schema.fields}

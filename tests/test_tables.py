@@ -253,3 +253,16 @@ def test_where_on_tagged_column_compares_decimals(spark, table_name, scratch):
     # as text "9.5..." > "10..." — as decimals only 10.25 passes
     got = ts.read_table(spark, table_name, where=F.col("p") > 10).collect()
     assert [r["k"] for r in got] == [2]
+
+
+def test_overwrite_from_the_same_table(spark, table_name, scratch):
+    df = spark.createDataFrame([(dt.date(2024, 1, 5), 1), (dt.date(2024, 2, 5), 2)],
+                               "d date, x int")
+    spec = ts.PartitionSpec("d", "date", ts.TimePartitioning("MONTH"))
+    ts.write_table(df, table_name, partitioning=spec, path=scratch())
+    jan = ts.read_table(spark, table_name, partition_value=dt.date(2024, 1, 1))
+    ts.replace_partition(jan.withColumn("x", F.col("x") + 100), table_name, dt.date(2024, 1, 1))
+    assert sorted(r["x"] for r in spark.table(table_name).collect()) == [2, 101]
+    whole = ts.read_table(spark, table_name).withColumn("x", F.col("x") + 1)
+    ts.write_table(whole, table_name, mode="overwrite")
+    assert sorted(r["x"] for r in spark.table(table_name).collect()) == [3, 102]
