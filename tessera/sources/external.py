@@ -207,8 +207,9 @@ def _json(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataF
         text.schema
     text = text.where(F.trim("value") != "")
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    parsed = F.from_json("value", with_corrupt,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parse_opts = {**{k: str(v) for k, v in ext.options.items()},
+                  "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", with_corrupt, parse_opts)
     bad = parsed.getField(CORRUPT).isNotNull()
     if not ext.ignore_unknown_values:
         known = F.array(*[F.lit(n) for n in schema.fieldNames()])

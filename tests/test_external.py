@@ -106,3 +106,11 @@ def test_external_table_refuses_writes(spark, scratch):
     assert res.status == "skipped_external"
     assert [tuple(r) for r in ts.read_table(spark, name).collect()] == [(1, "a")]
     assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
+
+
+def test_json_parse_options_apply(spark, scratch):
+    path = lines(spark, scratch("jsonopt"), ['{"a": 1, "t": "05/01/2024 10:30"}'])
+    ext = ts.ExternalData([path], "JSON", schema="a int, t timestamp_ntz",
+                          options={"timestampNTZFormat": "dd/MM/yyyy HH:mm"})
+    import datetime as dt
+    assert ts.read_external(spark, ext).first()["t"] == dt.datetime(2024, 1, 5, 10, 30)
