@@ -30,6 +30,7 @@ PROP_CLUSTERING = "tessera.clustering"
 PROP_REQUIRE_FILTER = "tessera.require_partition_filter"
 PROP_EXPIRES_AT = "tessera.expires_at_ms"
 PROP_EXTERNAL = "tessera.external"
+DROP_CHUNK = 500
 
 # Warehouse column type names accepted in column overrides, and their Spark types.
 _OVERRIDE_TYPES = {
@@ -354,12 +355,13 @@ def expire_partitions(spark: SparkSession, name: str, as_of: dt.datetime) -> lis
     kind = "TIMESTAMP_NTZ" if isinstance(spec.partition_type, T.TimestampNTZType) else "DATE"
     for r in spark.sql(f"SHOW PARTITIONS {quote_table(name)}").collect():
         text = unquote(r[0].split("=", 1)[1])   # folder names escape ':' and friends
-        if text == "__HIVE_DEFAULT_PARTITION__":
-            continue
-        if spec.expired(text, as_of):
-            spark.sql(f"ALTER TABLE {quote_table(name)} DROP IF EXISTS PARTITION "
-                      f"({quote_ident(pcol)} = {kind} {sql_string(text)})")
+        if text != "__HIVE_DEFAULT_PARTITION__" and spec.expired(text, as_of):
             dropped.append(text)
+    # many partition specs per statement: one catalog call per chunk, not per partition
+    for i in range(0, len(dropped), DROP_CHUNK):
+        specs = ", ".join(f"PARTITION ({quote_ident(pcol)} = {kind} {sql_string(v)})"
+                          for v in dropped[i:i + DROP_CHUNK])
+        spark.sql(f"ALTER TABLE {quote_table(name)} DROP IF EXISTS {specs}")
     return dropped
 
 
