@@ -365,6 +365,63 @@ def q_filtered_partition_read(spark, sf_dir):
     return ts.read_table(spark, name, between=(FILTER_LO, FILTER_HI))
 
 
+RANGE_LO, RANGE_HI = 250, 1200   # the upper bound lies past the range end
+
+
+def q_filtered_range_read(spark, sf_dir):
+    spec = ts.PartitionSpec("o_custkey", "int64", RANGE)
+    name = _written(spark, sf_dir, "range_filtered", _orders_cols(spark, sf_dir),
+                    partitioning=spec, require_partition_filter=True)
+    return ts.read_table(spark, name, between=(RANGE_LO, RANGE_HI))
+
+
+def q_day_partition_counts(spark, sf_dir):
+    spec = ts.PartitionSpec("ts", "timestamp", ts.TimePartitioning("DAY"))
+    name = _written(spark, sf_dir, "day_part", _read(spark, sf_dir, "events"), partitioning=spec)
+    back = ts.read_table(spark, name, keep_partition_column=True)
+    return back.groupBy(F.col(spec.partition_column).alias("day")).agg(
+        F.count("*").alias("n_events"), F.countDistinct("user_id").alias("n_users"))
+
+
+def q_year_partition_counts(spark, sf_dir):
+    spec = ts.PartitionSpec("l_shipdate", "timestamp", ts.TimePartitioning("YEAR"))
+    name = _written(spark, sf_dir, "year_part", _lineitem_wide(spark, sf_dir),
+                    partitioning=spec, encode_decimals=True)
+    back = ts.read_table(spark, name, keep_partition_column=True)
+    return back.groupBy(F.col(spec.partition_column).alias("year")).agg(
+        F.count("*").alias("n_lines"), _text(F.sum("price")).alias("sum_price"))
+
+
+REPLACED_BUCKET = 150
+
+
+def q_replace_range_partition(spark, sf_dir):
+    spec = ts.PartitionSpec("o_custkey", "int64", RANGE)
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "replace_range", o, partitioning=spec)
+    bucket = spec.derive(F.col("o_custkey"))
+    part = o.where(bucket == REPLACED_BUCKET).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    ts.replace_partition(part, name, REPLACED_BUCKET)
+    return ts.read_table(spark, name)
+
+
+def q_partition_append(spark, sf_dir):
+    spec = _month_spec()
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "partition_append", o, partitioning=spec)
+    month = F.date_trunc("MONTH", "o_orderdate").cast("date")
+    ts.write_table(o.where(month == F.lit(REPLACED_MONTH)), name, mode="append",
+                   partition_value=REPLACED_MONTH)
+    return ts.read_table(spark, name)
+
+
+def q_clustered_partitioned_write(spark, sf_dir):
+    spec = _month_spec()
+    name = _written(spark, sf_dir, "clustered_part", _orders_cols(spark, sf_dir),
+                    partitioning=spec, clustering=["o_custkey"])
+    return ts.read_table(spark, name)
+
+
 # ------------------------------------------------------ D: definition
 
 def q_create_if_absent(spark, sf_dir):
@@ -582,6 +639,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_partition_counts": q_hour_partition_counts,
     "partition_expiry": q_partition_expiry,
     "filtered_partition_read": q_filtered_partition_read,
+    "filtered_range_read": q_filtered_range_read,
+    "day_partition_counts": q_day_partition_counts,
+    "year_partition_counts": q_year_partition_counts,
+    "replace_range_partition": q_replace_range_partition,
+    "partition_append": q_partition_append,
+    "clustered_partitioned_write": q_clustered_partitioned_write,
     "create_if_absent": q_create_if_absent,
     "table_properties": q_table_properties,
     "schema_update": q_schema_update,
@@ -735,6 +798,27 @@ def oracle_sql() -> dict[str, str]:
         "filtered_partition_read": f"""
             SELECT {_ORDERS} FROM orders
             WHERE o_orderdate BETWEEN TIMESTAMP '{FILTER_LO}' AND TIMESTAMP '{FILTER_HI}'""",
+        "filtered_range_read": f"""
+            SELECT {_ORDERS} FROM orders WHERE o_custkey BETWEEN {RANGE_LO} AND {RANGE_HI}""",
+        "day_partition_counts": """
+            SELECT CAST(ts AS DATE) AS day, count(*) AS n_events,
+                   count(DISTINCT user_id) AS n_users FROM events GROUP BY 1""",
+        "year_partition_counts": f"""
+            SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS year, count(*) AS n_lines,
+                   CAST(sum({_dec('l_extendedprice')}) AS VARCHAR) AS sum_price
+            FROM lineitem GROUP BY 1""",
+        "replace_range_partition": f"""
+            SELECT o_orderkey, o_custkey, o_orderstatus,
+                   CASE WHEN o_custkey >= {REPLACED_BUCKET}
+                             AND o_custkey < {REPLACED_BUCKET + RANGE.interval}
+                        THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+                   o_orderdate
+            FROM orders""",
+        "partition_append": f"""
+            SELECT {_ORDERS} FROM orders
+            UNION ALL
+            SELECT {_ORDERS} FROM orders WHERE {_MONTH} = DATE '{REPLACED_MONTH}'""",
+        "clustered_partitioned_write": f"SELECT {_ORDERS} FROM orders",
         "create_if_absent": f"SELECT {_ORDERS}, 'True/False' AS created FROM orders",
         "table_properties": """
             SELECT o_orderkey, 'Orders' AS friendly_name, 'sales' AS label_team,
