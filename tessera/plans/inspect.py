@@ -6,6 +6,8 @@ pushdown, column pruning and codegen: no Python evaluation, no RDD detour.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import DataFrame
@@ -15,8 +17,11 @@ _ROW_DETOUR = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonUDF",
 
 
 def executed_plan(df: DataFrame) -> str:
-    """Text of the physical plan Spark would run."""
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Text of the physical plan Spark would run (``explain()`` output)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def python_or_rdd_nodes(df: DataFrame) -> list[str]:

@@ -164,7 +164,8 @@ def test_require_partition_filter_and_expiry(spark, table_name, scratch):
         ts.read_table(spark, table_name)
     q = ts.read_table(spark, table_name, between=(dt.date(2023, 1, 1), dt.date(2023, 12, 31)))
     assert [r["x"] for r in q.collect()] == [2]
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    from tessera.plans import executed_plan
+    plan = executed_plan(q)
     assert "PartitionFilters" in plan and "d__month" in plan
     assert ts.expire_partitions(spark, table_name, dt.datetime(2024, 1, 1)) == ["2020-01-01"]
     assert [r["x"] for r in ts.read_table(spark, table_name, partition_value="2023-06-01")
