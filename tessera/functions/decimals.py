@@ -262,7 +262,7 @@ def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None,
             t = target.get(f.name) if isinstance(target, Mapping) else target
             t = t or RESTORED_TYPE
             if isinstance(t, str):
-                t = T._parse_datatype_string(t)
+                t = T.DataType.fromDDL(t)
             restored, _ = _restore_expr(c, f.dataType, comment_of(f), t, lenient)
             exprs.append(restored.alias(f.name, metadata=dict(f.metadata or {})))
         else:

@@ -98,7 +98,7 @@ def apply_column_overrides(schema: T.StructType,
                 if not isinstance(dtp, T.StructType):
                     raise TypeError(f"column {f.name!r}: RECORD needs a struct column")
             elif key in _OVERRIDE_TYPES:
-                dtp = T._parse_datatype_string(_OVERRIDE_TYPES[key])
+                dtp = T.DataType.fromDDL(_OVERRIDE_TYPES[key])
             else:
                 raise ValueError(f"column {f.name!r}: unknown type {o['c-type']!r}")
         if o.get("max-length"):

@@ -78,7 +78,7 @@ class ExternalData:
         s = self.schema.strip()
         if s.startswith("{"):
             return T.StructType.fromJson(json.loads(s))
-        return T._parse_datatype_string(s)
+        return T.DataType.fromDDL(s)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -239,7 +239,7 @@ def choose_decimal_types(df: DataFrame, columns: Sequence[str],
 
     One aggregate job answers every (column, candidate) pair at once.
     """
-    types = [T._parse_datatype_string(DECIMAL_TARGETS.get(t.upper(), t)) for t in targets]
+    types = [T.DataType.fromDDL(DECIMAL_TARGETS.get(t.upper(), t)) for t in targets]
     checks = [F.bool_and(_fits(df[quote_ident(c)], t)).alias(f"{i}_{j}")
               for i, c in enumerate(columns) for j, t in enumerate(types)]
     verdict = df.agg(*checks).first()
