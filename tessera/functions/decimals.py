@@ -209,33 +209,33 @@ def _cast(c: Column, target: T.DataType, lenient: bool) -> Column:
     return c.try_cast(target) if lenient else c.cast(target)
 
 
-def _restore_expr(c: Column, dt: T.DataType, comment: str, target: T.DataType,
-                  lenient: bool) -> tuple[Column, T.DataType]:
+def _restored_type(dt: T.DataType, comment: str, target: T.DataType) -> T.DataType:
+    """Type after restoring: tagged strings become ``target``; comments stay."""
     if isinstance(dt, T.StringType):
-        if has_tag(comment):
-            return _cast(c, target, lenient), target
-        return c, dt
+        return target if has_tag(comment) else dt
     if isinstance(dt, T.StructType):
-        if not _tagged(dt, comment):
-            return c, dt
-        parts = []
-        for f in dt.fields:
-            inner, _ = _restore_expr(c.getField(f.name), f.dataType, comment_of(f), target, lenient)
-            parts.append(inner.alias(f.name, metadata=dict(f.metadata or {})))
-        new = F.struct(*parts)
-        return F.when(c.isNotNull(), new), None  # type: ignore[return-value]
+        return T.StructType([T.StructField(f.name, _restored_type(f.dataType, comment_of(f), target),
+                                           f.nullable, f.metadata) for f in dt.fields])
     if isinstance(dt, T.ArrayType):
-        et = dt.elementType
-        if isinstance(et, T.StringType) and has_tag(comment):
-            return _cast(c, T.ArrayType(target, dt.containsNull), lenient), None  # type: ignore
-        if isinstance(et, T.StructType) and _tagged(et, ""):
-            return F.transform(c, lambda e: _restore_expr(e, et, "", target, lenient)[0]), None  # type: ignore
-        return c, dt
+        return T.ArrayType(_restored_type(dt.elementType, comment, target), dt.containsNull)
     if isinstance(dt, T.MapType):
-        if isinstance(dt.valueType, T.StringType) and has_tag(comment):
-            return _cast(c, T.MapType(dt.keyType, target, dt.valueContainsNull), lenient), None  # type: ignore
-        return c, dt
-    return c, dt
+        return T.MapType(dt.keyType, _restored_type(dt.valueType, comment, target),
+                         dt.valueContainsNull)
+    return dt
+
+
+def _restore_expr(c: Column, dt: T.DataType, comment: str, target: T.DataType,
+                  lenient: bool) -> Column:
+    if isinstance(dt, T.StructType):
+        # rebuilt field by field, as in encoding, so subfield pruning still applies
+        parts = [_restore_expr(c.getField(f.name), f.dataType, comment_of(f), target, lenient)
+                 .alias(f.name, metadata=dict(f.metadata or {})) for f in dt.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    new = _restored_type(dt, comment, target)
+    if new == dt:
+        return c
+    # strings, arrays and maps: one (codegen'd) cast to the restored type
+    return _cast(c, new, lenient)
 
 
 def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None, *,
@@ -263,7 +263,7 @@ def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None,
             t = t or RESTORED_TYPE
             if isinstance(t, str):
                 t = T.DataType.fromDDL(t)
-            restored, _ = _restore_expr(c, f.dataType, comment_of(f), t, lenient)
+            restored = _restore_expr(c, f.dataType, comment_of(f), t, lenient)
             exprs.append(restored.alias(f.name, metadata=dict(f.metadata or {})))
         else:
             exprs.append(c)

@@ -309,3 +309,20 @@ def test_conform_on_write_with_varchar_table(spark, table_name, scratch):
     src = spark.table(f"{table_name}_src")
     write_table(src, table_name, conform=True, widen_float=True, path=scratch())
     assert dict(spark.table(table_name).dtypes) == {"v": "string", "f": "double"}
+
+
+def test_lenient_inside_array_of_struct(spark):
+    schema = T.StructType([
+        T.StructField("id", T.LongType()),
+        T.StructField("items", T.ArrayType(T.StructType([
+            T.StructField("sku", T.StringType()),
+            T.StructField("price", T.StringType(), True, {"comment": TAG})])), True,
+            {"comment": TAG})])
+    df = spark.createDataFrame([(1, [("a", "1.5"), ("b", "oops"), None])], schema)
+    got = restore_decimals(df, lenient=True).first()["items"]
+    assert got[0]["price"] == Decimal("1.5") and got[1]["price"] is None and got[2] is None
+    assert got[1]["sku"] == "b"
+    with pytest.raises(PySparkException):
+        restore_decimals(df).collect()
+    from tessera.plans import executed_plan
+    assert "lambdafunction" not in executed_plan(restore_decimals(df, lenient=True)).lower()
