@@ -28,6 +28,18 @@ _PASS = (T.BooleanType, T.DoubleType, T.TimestampType, T.TimestampNTZType, T.Dat
          T.BinaryType)
 
 
+def _holds_byte(dt: T.DataType) -> bool:
+    if isinstance(dt, T.ByteType):
+        return True
+    if isinstance(dt, T.StructType):
+        return any(_holds_byte(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _holds_byte(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _holds_byte(dt.keyType) or _holds_byte(dt.valueType)
+    return False
+
+
 def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: bool,
              in_array: bool = False) -> tuple[Column, T.DataType, bool]:
     """Return (expression, new type, wide?) for one value of type ``dt``."""
@@ -73,7 +85,11 @@ def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: boo
             probe["t"], probe["wide"] = t, wide
             return ex
         ex = F.transform(c, fn)
-        return ex, T.ArrayType(probe["t"], True), probe["wide"]
+        target = T.ArrayType(probe["t"], True)
+        if not _holds_byte(et):
+            # every element rule is a cast: one codegen'd cast, no lambda
+            return c.cast(target), target, probe["wide"]
+        return ex, target, probe["wide"]
     if isinstance(dt, T.MapType):
         if in_array:
             raise UnsupportedTypeError(f"column {name!r}: array of map is not supported")

@@ -326,3 +326,17 @@ def test_lenient_inside_array_of_struct(spark):
         restore_decimals(df).collect()
     from tessera.plans import executed_plan
     assert "lambdafunction" not in executed_plan(restore_decimals(df, lenient=True)).lower()
+
+
+def test_conform_arrays(spark):
+    df = spark.createDataFrame([([1, None], [(1, Decimal("1.5"))], [5])],
+                               "a array<int>, s array<struct<i: smallint, w: decimal(38,18)>>, "
+                               "b array<tinyint>")
+    c = conform_types(df)
+    assert c.schema["a"].dataType == T.ArrayType(T.LongType(), True)
+    st = c.schema["s"].dataType.elementType
+    assert st["i"].dataType == T.LongType() and st["w"].dataType == T.StringType()
+    assert st["w"].metadata["comment"] == TAG
+    assert c.schema["b"].dataType == T.ArrayType(T.BinaryType(), True)
+    r = c.first()
+    assert r["a"] == [1, None] and r["s"][0]["w"] == "1.500000000000000000" and r["b"] == [bytes([5])]
