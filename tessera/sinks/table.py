@@ -76,15 +76,23 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------- layout
 
-def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, columns: Sequence[str],
+              num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by ``columns`` so files cover narrow key ranges.
 
     A hash of the row breaks ties: a key that holds a third of the rows is
-    then spread over several range partitions instead of one task.
+    then spread over several range partitions instead of one task. AQE can
+    merge small range partitions but not split big ones, so at scale give
+    ``num_partitions`` (or a large ``spark.sql.shuffle.partitions``) such that
+    input size / partitions is a comfortable file size.
     """
     cols = [F.col(quote_ident(c)) for c in columns]
     tiebreak = F.xxhash64(*[F.col(quote_ident(c)) for c in df.columns])
-    return df.repartitionByRange(*cols, tiebreak).sortWithinPartitions(*cols)
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *cols, tiebreak)
+    else:
+        ranged = df.repartitionByRange(*cols, tiebreak)
+    return ranged.sortWithinPartitions(*cols)
 
 
 # -------------------------------------------------------------------- write
@@ -158,6 +166,7 @@ def write_table(df: DataFrame, table: str, *,
                 format: str = "parquet",
                 path: str | None = None,
                 rebalance: bool | None = None,
+                cluster_partitions: int | None = None,
                 conform: bool = False,
                 widen_float: bool = False,
                 **table_settings) -> WriteResult:
@@ -242,7 +251,7 @@ def write_table(df: DataFrame, table: str, *,
         df = spec.with_partition_column(df)
     if cluster_cols:
         lead = [spec.partition_column] if spec is not None and value is None else []
-        df = clustered(df, lead + cluster_cols)
+        df = clustered(df, lead + cluster_cols, cluster_partitions)
     elif spec is not None and value is None and rebalance is not False:
         # One shuffle on the partition column: AQE sizes the output files and
         # splits a hot partition over several tasks; without it every task

@@ -267,3 +267,19 @@ def test_overwrite_from_the_same_table(spark, table_name, scratch):
     whole = ts.read_table(spark, table_name).withColumn("x", F.col("x") + 1)
     ts.write_table(whole, table_name, mode="overwrite")
     assert sorted(r["x"] for r in spark.table(table_name).collect()) == [3, 102]
+
+
+def test_clustered_splits_a_hot_key(spark):
+    from tessera.sinks import clustered
+    # one key holds 90% of the rows
+    df = spark.range(20000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7)
+                                   .otherwise(F.lit(3)).alias("g"), F.col("id"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = (clustered(df, ["g"], num_partitions=8)
+                 .where(F.col("g") == 3).select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert parts >= 4
