@@ -340,3 +340,13 @@ def test_conform_arrays(spark):
     assert c.schema["b"].dataType == T.ArrayType(T.BinaryType(), True)
     r = c.first()
     assert r["a"] == [1, None] and r["s"][0]["w"] == "1.500000000000000000" and r["b"] == [bytes([5])]
+
+
+def test_path_read_restores_from_footer_schema(spark, scratch):
+    from tessera import read_table
+    path = scratch("path_read")
+    df = spark.createDataFrame([(1, Decimal("7.125"))], "k bigint, p decimal(38,18)")
+    encode_wide_decimals(df).write.parquet(path)
+    back = read_table(spark, path=path)
+    assert back.schema["p"].dataType == T.DecimalType(38, 18)
+    assert back.first()["p"] == Decimal("7.125")
