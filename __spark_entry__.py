@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tessera as ts
-from tessera.functions.decimals import TAG
+from tessera.functions.decimals import TAG, decimal_text
 from tessera.session import scratch_path, unique_name
 
 W = "decimal(38,18)"
@@ -44,6 +44,12 @@ def _text(c) -> F.Column:
     return c.cast("string")
 
 
+def _dec_text(c, scale: int = 18) -> F.Column:
+    """Plain text of a decimal, the same with or without ANSI mode."""
+    c = F.col(c) if isinstance(c, str) else c
+    return decimal_text(c, scale)
+
+
 def _money_sum(c: str) -> F.Column:
     """Exact sum of a two-decimal amount, as text."""
     return _text(F.sum(F.col(c).cast("decimal(18,2)")))
@@ -75,7 +81,7 @@ def entry(spark: SparkSession) -> DataFrame:
                     encode_decimals=True)
     back = ts.read_table(spark, name)
     return (back.groupBy("l_returnflag")
-            .agg(_text(F.sum("price")).alias("sum_price"), F.count("*").alias("n_lines")))
+            .agg(_dec_text(F.sum("price")).alias("sum_price"), F.count("*").alias("n_lines")))
 
 
 # -------------------------------------------------------------- V: codec
@@ -124,7 +130,7 @@ def q_encode_map(spark, sf_dir):
 def q_encode_selected(spark, sf_dir):
     df = _lineitem_wide(spark, sf_dir).select("l_orderkey", "l_linenumber", "price", "tax")
     enc = ts.encode_wide_decimals(df, columns=["price"])
-    return enc.select("l_orderkey", "l_linenumber", "price", _text("tax").alias("tax"),
+    return enc.select("l_orderkey", "l_linenumber", "price", _dec_text("tax").alias("tax"),
                       F.typeof("price").alias("price_type"), F.typeof("tax").alias("tax_type"))
 
 
@@ -141,8 +147,8 @@ def _encoded_table(spark, sf_dir, label, df) -> str:
 def q_restore_flat(spark, sf_dir):
     name = _encoded_table(spark, sf_dir, "restore_flat", _lineitem_wide(spark, sf_dir))
     back = ts.read_table(spark, name)
-    return back.select("l_orderkey", "l_linenumber", _text("price").alias("price"),
-                       _text("tax").alias("tax"), F.typeof("price").alias("price_type"))
+    return back.select("l_orderkey", "l_linenumber", _dec_text("price").alias("price"),
+                       _dec_text("tax").alias("tax"), F.typeof("price").alias("price_type"))
 
 
 def q_restore_struct(spark, sf_dir):
@@ -150,7 +156,7 @@ def q_restore_struct(spark, sf_dir):
         "l_orderkey", "l_linenumber",
         F.struct(F.col("tax"), F.col("l_shipdate").alias("ship")).alias("s"))
     back = ts.read_table(spark, _encoded_table(spark, sf_dir, "restore_struct", df))
-    return back.select("l_orderkey", "l_linenumber", _text("s.tax").alias("tax"),
+    return back.select("l_orderkey", "l_linenumber", _dec_text("s.tax").alias("tax"),
                        F.col("s.ship").alias("ship"), F.typeof("s.tax").alias("tax_type"))
 
 
@@ -159,7 +165,7 @@ def q_restore_array(spark, sf_dir):
         "l_orderkey", "l_linenumber", F.array("price", "tax").alias("amounts"))
     back = ts.read_table(spark, _encoded_table(spark, sf_dir, "restore_array", df))
     return back.select("l_orderkey", "l_linenumber", F.posexplode("amounts").alias("pos", "amount")) \
-        .select("l_orderkey", "l_linenumber", "pos", _text("amount").alias("amount"),
+        .select("l_orderkey", "l_linenumber", "pos", _dec_text("amount").alias("amount"),
                 F.typeof("amount").alias("amount_type"))
 
 
@@ -171,7 +177,7 @@ def q_restore_array_struct(spark, sf_dir):
     back = ts.read_table(spark, _encoded_table(spark, sf_dir, "restore_array_struct", df))
     return back.select("l_orderkey", "l_linenumber", F.posexplode("items").alias("pos", "item")) \
         .select("l_orderkey", "l_linenumber", "pos", "item.kind",
-                _text("item.amount").alias("amount"), F.typeof("item.amount").alias("amount_type"))
+                _dec_text("item.amount").alias("amount"), F.typeof("item.amount").alias("amount_type"))
 
 
 def q_restore_map(spark, sf_dir):
@@ -179,25 +185,25 @@ def q_restore_map(spark, sf_dir):
     df = cu.select("c_custkey", F.create_map("c_mktsegment", _wide("c_acctbal")).alias("m"))
     back = ts.read_table(spark, _encoded_table(spark, sf_dir, "restore_map", df))
     return back.select("c_custkey", F.explode("m").alias("segment", "balance")) \
-        .select("c_custkey", "segment", _text("balance").alias("balance"),
+        .select("c_custkey", "segment", _dec_text("balance").alias("balance"),
                 F.typeof("balance").alias("balance_type"))
 
 
 def q_restore_selected(spark, sf_dir):
     name = _encoded_table(spark, sf_dir, "restore_selected", _lineitem_wide(spark, sf_dir))
     back = ts.read_table(spark, name, columns=["price"])
-    return back.select("l_orderkey", "l_linenumber", _text("price").alias("price"), "tax",
+    return back.select("l_orderkey", "l_linenumber", _dec_text("price").alias("price"), "tax",
                        F.typeof("price").alias("price_type"), F.typeof("tax").alias("tax_type"))
 
 
 def q_restore_lenient(spark, sf_dir):
     li = _lineitem_wide(spark, sf_dir)
-    text = (F.when(F.col("l_linenumber") == 2, F.concat(_text("price"), F.lit("x")))
+    text = (F.when(F.col("l_linenumber") == 2, F.concat(_dec_text("price"), F.lit("x")))
             .when(F.col("l_linenumber") == 4, F.lit(""))
-            .otherwise(_text("price")))
+            .otherwise(_dec_text("price")))
     df = li.select("l_orderkey", "l_linenumber", _tagged_text(text, "price"))
     back = ts.restore_decimals(df, lenient=True)
-    return back.select("l_orderkey", "l_linenumber", _text("price").alias("price"))
+    return back.select("l_orderkey", "l_linenumber", _dec_text("price").alias("price"))
 
 
 def q_conform_types(spark, sf_dir):
@@ -208,7 +214,7 @@ def q_conform_types(spark, sf_dir):
                   F.col("o_orderstatus").cast("varchar(1)").alias("status"),
                   F.col("o_orderdate"))
     c = ts.conform_types(df, unify=True)
-    return c.select("o_orderkey", "cust_int", _text("total_n").alias("total_n"), "total_w",
+    return c.select("o_orderkey", "cust_int", _dec_text("total_n", 9).alias("total_n"), "total_w",
                     "status", "o_orderdate",
                     F.typeof("cust_int").alias("cust_int_type"),
                     F.typeof("total_n").alias("total_n_type"),
@@ -227,8 +233,8 @@ def q_read_raw(spark, sf_dir):
 def q_read_restored(spark, sf_dir):
     name = _encoded_table(spark, sf_dir, "read_restored", _lineitem_wide(spark, sf_dir))
     back = ts.read_table(spark, name)
-    return back.groupBy("l_returnflag").agg(_text(F.sum("price")).alias("sum_price"),
-                                            _text(F.sum("tax")).alias("sum_tax"),
+    return back.groupBy("l_returnflag").agg(_dec_text(F.sum("price")).alias("sum_price"),
+                                            _dec_text(F.sum("tax")).alias("sum_tax"),
                                             F.count("*").alias("n_lines"))
 
 
@@ -237,7 +243,7 @@ def q_preview_rows(spark, sf_dir):
     # (l_orderkey, l_linenumber) repeats in this data: order by every output column
     p = ts.preview(ts.read_table(spark, name), 20,
                    order_by=["l_orderkey", "l_linenumber", "price"])
-    return p.select("l_orderkey", "l_linenumber", _text("price").alias("price"))
+    return p.select("l_orderkey", "l_linenumber", _dec_text("price").alias("price"))
 
 
 # -------------------------------------------------------------- W: sinks
@@ -389,7 +395,7 @@ def q_year_partition_counts(spark, sf_dir):
                     partitioning=spec, encode_decimals=True)
     back = ts.read_table(spark, name, keep_partition_column=True)
     return back.groupBy(F.col(spec.partition_column).alias("year")).agg(
-        F.count("*").alias("n_lines"), _text(F.sum("price")).alias("sum_price"))
+        F.count("*").alias("n_lines"), _dec_text(F.sum("price")).alias("sum_price"))
 
 
 REPLACED_BUCKET = 150
@@ -462,7 +468,7 @@ def q_column_override(spark, sf_dir):
         {"name": "o_totalprice", "precision": "20", "scale": "4", "description": "gross"}])
     ts.write_table(o, name, mode="append")
     back = spark.table(name)
-    return back.select("o_orderkey", _text("o_totalprice").alias("o_totalprice"),
+    return back.select("o_orderkey", _dec_text("o_totalprice", 4).alias("o_totalprice"),
                        F.typeof("o_totalprice").alias("price_type"))
 
 
@@ -602,7 +608,7 @@ def q_external_decimal_target(spark, sf_dir):
     ext = ts.ExternalData([path], "CSV", schema="o_orderkey bigint, o_totalprice decimal(38,18)",
                           decimal_target_types=["NUMERIC", "BIGNUMERIC", "STRING"])
     df = ts.read_external(spark, ext)
-    return df.select("o_orderkey", _text("o_totalprice").alias("o_totalprice"),
+    return df.select("o_orderkey", _dec_text("o_totalprice", 9).alias("o_totalprice"),
                      F.typeof("o_totalprice").alias("price_type"))
 
 

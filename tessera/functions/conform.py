@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .decimals import (UnsupportedTypeError, comment_of, is_wide_decimal, tag_comment,
-                       with_comment)
+from .decimals import (UnsupportedTypeError, ansi_enabled, comment_of, contains_wide_decimal,
+                       decimal_text, is_wide_decimal, tag_comment, with_comment)
 
 # Field names the warehouse gives the entries of a converted map (fixed values).
 MAP_KEY_FIELD = "Key"
@@ -57,7 +57,7 @@ def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: boo
         return c.cast("double"), T.DoubleType(), False
     if isinstance(dt, T.DecimalType):
         if is_wide_decimal(dt):
-            return c.cast("string"), T.StringType(), True
+            return decimal_text(c, dt.scale), T.StringType(), True
         if unify:
             return c.cast(T.DecimalType(38, 9)), T.DecimalType(38, 9), False
         return c, dt, False
@@ -86,7 +86,7 @@ def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: boo
             return ex
         ex = F.transform(c, fn)
         target = T.ArrayType(probe["t"], True)
-        if not _holds_byte(et):
+        if not _holds_byte(et) and (ansi_enabled() or not contains_wide_decimal(et)):
             # every element rule is a cast: one codegen'd cast, no lambda
             return c.cast(target), target, probe["wide"]
         return ex, target, probe["wide"]

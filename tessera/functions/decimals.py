@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,9 +163,33 @@ def _encoded_field(field: T.StructField) -> T.StructField:
 
 # ------------------------------------------------------- encode / restore
 
-def _encode_expr(c: Column, dt: T.DataType) -> Column:
-    if is_wide_decimal(dt):
+def ansi_enabled(spark: SparkSession | None = None) -> bool:
+    spark = spark or SparkSession.getActiveSession()
+    return spark is None or spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
+
+
+def decimal_text(c: Column, scale: int, ansi: bool | None = None) -> Column:
+    """Plain text of a decimal of ``scale``, the same whatever the ANSI setting.
+
+    Under ANSI mode a cast already prints plain digits. Without it Spark prints
+    small values in scientific form (``0E-18``), so values below one are built
+    from their fraction digits instead: still column expressions, no UDF.
+    """
+    if ansi is None:
+        ansi = ansi_enabled()
+    if ansi or not 0 < scale < MAX_PRECISION:
         return c.cast("string")
+    a = F.abs(c)
+    digits = (a * F.lit(10 ** scale).cast(T.DecimalType(scale + 1, 0))) \
+        .cast(T.DecimalType(MAX_PRECISION, 0)).cast("string")
+    small = F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), F.lit("0."),
+                     F.lpad(digits, scale, "0"))
+    return F.when(a < 1, small).otherwise(c.cast("string"))
+
+
+def _encode_expr(c: Column, dt: T.DataType, ansi: bool = True) -> Column:
+    if is_wide_decimal(dt):
+        return decimal_text(c, dt.scale, ansi)
     if isinstance(dt, T.StructType):
         # Rebuild the struct rather than cast it whole: a later projection of
         # one subfield then prunes the others at the scan.
@@ -173,11 +197,21 @@ def _encode_expr(c: Column, dt: T.DataType) -> Column:
         for f in dt.fields:
             inner = c.getField(f.name)
             if contains_wide_decimal(f.dataType):
-                inner = _encode_expr(inner, f.dataType)
+                inner = _encode_expr(inner, f.dataType, ansi)
             parts.append(inner.alias(f.name, metadata=with_comment(f, _encoded_comment(f))))
         return F.when(c.isNotNull(), F.struct(*parts))
-    # Arrays and maps: one cast to the target type (metadata included).
-    return c.cast(_encoded_type(dt))
+    if ansi:
+        # Arrays and maps: one cast to the target type (metadata included).
+        return c.cast(_encoded_type(dt))
+    # Without ANSI mode, element by element so every decimal prints plain.
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda e: _encode_expr(e, dt.elementType, ansi))
+    out = c
+    if contains_wide_decimal(dt.keyType):
+        out = F.transform_keys(out, lambda k, v: _encode_expr(k, dt.keyType, ansi))
+    if contains_wide_decimal(dt.valueType):
+        out = F.transform_values(out, lambda k, v: _encode_expr(v, dt.valueType, ansi))
+    return out
 
 
 def encode_wide_decimals(df: DataFrame, columns: Sequence[str | int] | None = None) -> DataFrame:
@@ -188,6 +222,7 @@ def encode_wide_decimals(df: DataFrame, columns: Sequence[str | int] | None = No
     columns pass untouched and the column order is kept.
     """
     schema = df.schema
+    ansi = ansi_enabled(df.sparkSession)
     chosen = _resolve(schema, columns)
     if chosen is None:
         chosen = wide_decimal_columns(schema)
@@ -198,15 +233,22 @@ def encode_wide_decimals(df: DataFrame, columns: Sequence[str | int] | None = No
         if f.name in chosen_set:
             _check_supported(f.dataType, f.name)
             if contains_wide_decimal(f.dataType):
-                exprs.append(_encode_expr(c, f.dataType).alias(
+                exprs.append(_encode_expr(c, f.dataType, ansi).alias(
                     f.name, metadata=with_comment(f, _encoded_comment(f))))
                 continue
         exprs.append(c)
     return df.select(*exprs)
 
 
-def _cast(c: Column, target: T.DataType, lenient: bool) -> Column:
-    return c.try_cast(target) if lenient else c.cast(target)
+def _cast(c: Column, target: T.DataType, lenient: bool, ansi: bool = True) -> Column:
+    if lenient:
+        return c.try_cast(target)
+    if ansi:
+        return c.cast(target)
+    # without ANSI mode a cast returns null for bad text: fail explicitly instead
+    t = c.try_cast(target)
+    return F.when(c.isNotNull() & t.isNull(),
+                  F.raise_error(F.concat(F.lit("not a decimal: "), c))).otherwise(t)
 
 
 def _restored_type(dt: T.DataType, comment: str, target: T.DataType) -> T.DataType:
@@ -225,17 +267,24 @@ def _restored_type(dt: T.DataType, comment: str, target: T.DataType) -> T.DataTy
 
 
 def _restore_expr(c: Column, dt: T.DataType, comment: str, target: T.DataType,
-                  lenient: bool) -> Column:
+                  lenient: bool, ansi: bool = True) -> Column:
     if isinstance(dt, T.StructType):
         # rebuilt field by field, as in encoding, so subfield pruning still applies
-        parts = [_restore_expr(c.getField(f.name), f.dataType, comment_of(f), target, lenient)
+        parts = [_restore_expr(c.getField(f.name), f.dataType, comment_of(f), target, lenient, ansi)
                  .alias(f.name, metadata=dict(f.metadata or {})) for f in dt.fields]
         return F.when(c.isNotNull(), F.struct(*parts))
     new = _restored_type(dt, comment, target)
     if new == dt:
         return c
-    # strings, arrays and maps: one (codegen'd) cast to the restored type
-    return _cast(c, new, lenient)
+    if lenient or ansi or isinstance(dt, T.StringType):
+        # strings, arrays and maps: one (codegen'd) cast to the restored type
+        return _cast(c, new, lenient, ansi)
+    # strict without ANSI mode: element by element, so bad text still fails
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda e: _restore_expr(e, dt.elementType, comment, target,
+                                                       lenient, ansi))
+    return F.transform_values(c, lambda k, v: _restore_expr(v, dt.valueType, comment, target,
+                                                            lenient, ansi))
 
 
 def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None, *,
@@ -250,6 +299,7 @@ def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None,
     for all columns or a mapping column → type.
     """
     schema = df.schema
+    ansi = ansi_enabled(df.sparkSession)
     chosen = _resolve(schema, columns)
     if chosen is None:
         chosen = tagged_columns(schema)
@@ -263,7 +313,7 @@ def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None,
             t = t or RESTORED_TYPE
             if isinstance(t, str):
                 t = T.DataType.fromDDL(t)
-            restored = _restore_expr(c, f.dataType, comment_of(f), t, lenient)
+            restored = _restore_expr(c, f.dataType, comment_of(f), t, lenient, ansi)
             exprs.append(restored.alias(f.name, metadata=dict(f.metadata or {})))
         else:
             exprs.append(c)

@@ -350,3 +350,41 @@ def test_path_read_restores_from_footer_schema(spark, scratch):
     back = read_table(spark, path=path)
     assert back.schema["p"].dataType == T.DecimalType(38, 18)
     assert back.first()["p"] == Decimal("7.125")
+
+
+@pytest.fixture()
+def ansi_off(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_text_form_does_not_depend_on_ansi(spark, ansi_off):
+    vals = [Decimal("0"), Decimal("1E-18"), Decimal("-0.5"), Decimal("-1E-7"),
+            Decimal("12345678901234567890.123456789012345678"), None]
+    df = spark.createDataFrame([(i, v, [v], {"k": v}, (v,)) for i, v in enumerate(vals)],
+                               "i int, d decimal(38,18), a array<decimal(38,18)>, "
+                               "m map<string, decimal(38,18)>, s struct<x: decimal(38,18)>")
+    enc = {r["i"]: r for r in encode_wide_decimals(df).collect()}
+    want = ["0.000000000000000000", "0.000000000000000001", "-0.500000000000000000",
+            "-0.000000100000000000", "12345678901234567890.123456789012345678", None]
+    assert [enc[i]["d"] for i in range(6)] == want
+    assert [enc[i]["a"][0] for i in range(6)] == want
+    assert [enc[i]["m"]["k"] for i in range(6)] == want
+    assert [enc[i]["s"]["x"] for i in range(6)] == want
+    assert conform_types(df.select("d", "a")).collect()[1]["a"] == ["0.000000000000000001"]
+    back = restore_decimals(encode_wide_decimals(df))
+    assert back.orderBy("i").collect() == df.orderBy("i").collect()
+
+
+def test_strict_restore_fails_without_ansi(spark, ansi_off):
+    tagged = {"comment": TAG}
+    df = spark.createDataFrame([("1.5", ["2.5"]), ("abc", ["x"])], "p string, a array<string>")
+    df = df.select(F.col("p").alias("p", metadata=tagged), F.col("a").alias("a", metadata=tagged))
+    with pytest.raises(PySparkException):
+        restore_decimals(df, columns=["p"]).collect()
+    with pytest.raises(PySparkException):
+        restore_decimals(df, columns=["a"]).collect()
+    lenient = restore_decimals(df, lenient=True).collect()
+    assert lenient[1]["p"] is None and lenient[1]["a"] == [None]
