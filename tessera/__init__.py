@@ -1,6 +1,7 @@
 """tessera: move DataFrames in and out of catalog tables without losing data or metadata."""
 
-from .functions import (TAG, conform_types, encode_wide_decimals, restore_decimals)
+from .functions import (TAG, conform_types, decimal_text, encode_wide_decimals,
+                        restore_decimals)
 from .operators import (PartitionSpec, RangePartitioning, TimePartitioning,
                         create_materialized_view, create_snapshot, create_table, create_view,
                         expire_partitions, expire_tables, refresh_materialized_view,
@@ -11,7 +12,7 @@ from .sources import (ExternalData, HivePartitioning, define_external_table, pre
 
 __all__ = [
     "TAG", "ExternalData", "HivePartitioning", "PartitionSpec", "RangePartitioning",
-    "TimePartitioning", "conform_types", "create_materialized_view", "create_snapshot",
+    "TimePartitioning", "conform_types", "decimal_text", "create_materialized_view", "create_snapshot",
     "create_table", "create_view", "define_external_table", "encode_wide_decimals",
     "expire_partitions", "expire_tables", "preview", "read_archive", "read_external",
     "read_raw", "read_table", "refresh_materialized_view", "replace_partition",
