@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from ..functions.conform import conform_types
 from ..functions.decimals import comment_of, encode_wide_decimals, has_tag, tag_comment
 from ..operators.partitioning import PartitionSpec
-from ..operators.tables import (PROP_CLUSTERING, create_table, is_external, partition_spec_of,
-                                table_exists, table_properties)
+from ..operators.tables import (PROP_CLUSTERING, PROP_EXTERNAL, create_table, table_exists,
+                                table_properties)
 from ..session import quote_ident, quote_table, shared_root, sql_string
 
 log = logging.getLogger(__name__)
@@ -185,7 +185,8 @@ def write_table(df: DataFrame, table: str, *,
     spark = df.sparkSession
     mode = _normalise_mode(mode)
     exists = table_exists(spark, table)
-    if exists and is_external(spark, table):
+    props = table_properties(spark, table) if exists else {}
+    if props.get(PROP_EXTERNAL) == "true":
         log.warning("%s is an external table; nothing written", table)
         return WriteResult("skipped_external", table)
     if exists and mode == "ignore":
@@ -200,7 +201,7 @@ def write_table(df: DataFrame, table: str, *,
     if conform:
         df = conform_types(df, widen_float=widen_float)
 
-    spec = partition_spec_of(spark, table) if exists else partitioning
+    spec = PartitionSpec.from_properties(props) if exists else partitioning
     if exists and partitioning is not None and partitioning != spec:
         raise ValueError(f"table {table} is partitioned as {spec}, not {partitioning}")
     value = None
@@ -233,7 +234,7 @@ def write_table(df: DataFrame, table: str, *,
                                options=options, **table_settings)
 
     table_schema = spark.table(table).schema
-    cluster_prop = table_properties(spark, table).get(PROP_CLUSTERING)
+    cluster_prop = props.get(PROP_CLUSTERING)
     cluster_cols = cluster_prop.split(",") if cluster_prop else list(clustering or ())
 
     if spec is not None and value is not None:
