@@ -521,7 +521,7 @@ def q_snapshot_frozen(spark, sf_dir):
 def q_table_expiry(spark, sf_dir):
     o = _orders_cols(spark, sf_dir)
     db = unique_name("expiry_db")
-    spark.sql(f"CREATE DATABASE {db}")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
     keep = _written(spark, sf_dir, f"{db}.keep", o.where(F.col("o_orderstatus") != "F"),
                     expiration_time=dt.datetime(2030, 1, 1))
     _written(spark, sf_dir, f"{db}.old", o.where(F.col("o_orderstatus") == "F"),

@@ -174,7 +174,7 @@ def test_require_partition_filter_and_expiry(spark, table_name, scratch):
 
 def test_expire_tables(spark, scratch):
     db = unique_name("db")
-    spark.sql(f"CREATE DATABASE {db}")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch('db')}'")
     df = small(spark)
     ts.write_table(df, f"{db}.old", expiration_time=dt.datetime(2020, 1, 1), path=scratch())
     ts.write_table(df, f"{db}.new", expiration_time=dt.datetime(2030, 1, 1), path=scratch())
