@@ -254,10 +254,12 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
     """Bring an existing table to ``schema`` and settings; warn if it is missing.
 
     New top-level columns are added, changed comments altered in place.
-    A type change, a dropped column or a nested change cannot be done in place
-    on a file-source table: the table is rewritten into a new one (one
-    distributed ``INSERT … SELECT`` with casts) and renamed, keeping
-    properties, partitioning and comments.
+    Spark refuses nested ALTERs on file-source tables: when only nested
+    comments change on an external table, its catalog entry is rebuilt over
+    the same files (no data touched). A type change, a dropped or reordered
+    column, or a nested change on a managed table rewrites the table into a
+    new one (one distributed ``INSERT … SELECT`` with casts) and renames it,
+    keeping properties, options, partitioning and comments.
     """
     if not table_exists(spark, name):
         log.warning("table %s does not exist; nothing updated", name)
@@ -266,12 +268,15 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
     target = apply_column_overrides(schema or current, column_overrides)
     cur_by = {f.name: f for f in current.fields}
     tgt_names = target.fieldNames()
-    in_place = (all(n in tgt_names for n in cur_by)
-                and tgt_names[:len(cur_by)] == list(cur_by)
-                and all(_strip(cur_by[n].dataType) == _strip(f.dataType)
-                        and _nested_comments(cur_by[n].dataType) == _nested_comments(f.dataType)
-                        for n, f in ((f.name, f) for f in target.fields) if n in cur_by))
-    if in_place:
+    keeps_columns = (all(n in tgt_names for n in cur_by)
+                     and tgt_names[:len(cur_by)] == list(cur_by))
+    same_types = keeps_columns and all(
+        _strip(cur_by[f.name].dataType) == _strip(f.dataType)
+        for f in target.fields if f.name in cur_by)
+    same_nested = same_types and all(
+        _nested_comments(cur_by[f.name].dataType) == _nested_comments(f.dataType)
+        for f in target.fields if f.name in cur_by)
+    if same_nested:
         added = [f for f in target.fields if f.name not in cur_by]
         if added:
             spark.sql(f"ALTER TABLE {quote_table(name)} ADD COLUMNS ({ddl_columns(T.StructType(added))})")
@@ -279,6 +284,10 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
             if f.name in cur_by and comment_of(f) != comment_of(cur_by[f.name]):
                 spark.sql(f"ALTER TABLE {quote_table(name)} ALTER COLUMN {quote_ident(f.name)} "
                           f"COMMENT {sql_string(comment_of(f))}")
+    elif same_types and _describe(spark, name)["external"]:
+        # only nested comments change: Spark refuses a nested ALTER, but the
+        # files need no change at all, so only the catalog entry is rebuilt
+        _recreate_entry(spark, name, target)
     else:
         _rewrite(spark, name, current, target)
     props = _table_props(partitioning=None, clustering=None, require_partition_filter=False,
@@ -307,27 +316,61 @@ def _nested_comments(dtp: T.DataType) -> list:
     return []
 
 
-def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.StructType) -> None:
-    """Copy into a new table with the target schema, then swap names."""
+def _describe(spark: SparkSession, name: str) -> dict:
+    """What re-creating ``name`` needs: format, location, options, properties."""
     props = {k: v for k, v in table_properties(spark, name).items()
              if not k.startswith(("spark.", "transient_", "option."))}
-    spec = PartitionSpec.from_properties(props)
-    desc_rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(name)}").collect()
-    info = {r["col_name"]: r["data_type"] for r in desc_rows}
-    fmt = info.get("Provider", "parquet")
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(name)}").collect()
+    info = {r["col_name"]: r["data_type"] for r in rows}
+    options = {}
+    storage = (info.get("Storage Properties") or "").strip("[]")
+    for part in filter(None, (p.strip() for p in storage.split(","))):
+        k, _, v = part.partition("=")
+        if k and k != "path":
+            options[k] = v
+    clustering = props.get(PROP_CLUSTERING)
+    return {
+        "format": info.get("Provider", "parquet"),
+        "external": info.get("Type") == "EXTERNAL",
+        "location": info.get("Location"),
+        "description": info.get("Comment") or None,
+        "options": options or None,
+        "spec": PartitionSpec.from_properties(props),
+        "clustering": clustering.split(",") if clustering else None,
+        "properties": {k: v for k, v in props.items()
+                       if not k.startswith("tessera.partition.") and k != PROP_CLUSTERING},
+    }
+
+
+def _recreate_entry(spark: SparkSession, name: str, target: T.StructType) -> None:
+    """Metadata-only schema change of an external table: same files, new entry.
+
+    The catalog entry is dropped (an external table's files stay) and created
+    again over the same folder with the new schema, properties and options;
+    partitions are found again from the folders. No data is read or written.
+    """
+    d = _describe(spark, name)
+    spark.sql(f"DROP TABLE {quote_table(name)}")
+    create_table(spark, name, target, partitioning=d["spec"], clustering=d["clustering"],
+                 description=d["description"], format=d["format"], path=d["location"],
+                 options=d["options"], properties=d["properties"])
+    if d["spec"] is not None:
+        spark.sql(f"ALTER TABLE {quote_table(name)} RECOVER PARTITIONS")
+
+
+def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.StructType) -> None:
+    """Copy into a new table with the target schema, then swap names."""
+    d = _describe(spark, name)
+    spec = d["spec"]
     db = name.rsplit(".", 1)[0] + "." if "." in name else ""
     tmp = db + unique_name(name.rsplit(".", 1)[-1] + "__rewrite")
-    clustering = props.get(PROP_CLUSTERING)
     # an external table keeps its data beside the old location
     path = None
-    if info.get("Type") == "EXTERNAL" and info.get("Location"):
-        path = f"{info['Location'].rstrip('/')}__{tmp.rsplit('.', 1)[-1]}"
-    create_table(spark, tmp, target, partitioning=spec,
-                 clustering=clustering.split(",") if clustering else None,
-                 description=info.get("Comment") or None, format=fmt, path=path,
-                 properties={k: v for k, v in props.items()
-                             if not k.startswith("tessera.partition.")
-                             and k != PROP_CLUSTERING})
+    if d["external"] and d["location"]:
+        path = f"{d['location'].rstrip('/')}__{tmp.rsplit('.', 1)[-1]}"
+    create_table(spark, tmp, target, partitioning=spec, clustering=d["clustering"],
+                 description=d["description"], format=d["format"], path=path,
+                 options=d["options"], properties=d["properties"])
     cur = set(current.fieldNames())
     src = spark.table(name)
     cols = [(src[quote_ident(f.name)].cast(f.dataType) if f.name in cur

@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 from ..functions.conform import conform_types
 from ..functions.decimals import comment_of, encode_wide_decimals, has_tag, tag_comment
 from ..operators.partitioning import PartitionSpec
-from ..operators.tables import (PROP_CLUSTERING, PROP_EXTERNAL, create_table, table_exists,
-                                table_properties)
+from ..operators.tables import (PROP_CLUSTERING, PROP_EXTERNAL, _describe, create_table,
+                                partition_spec_of, table_exists, table_properties,
+                                update_table_schema)
 from ..session import quote_ident, quote_table, shared_root, sql_string
 
 log = logging.getLogger(__name__)
@@ -297,13 +298,53 @@ def _reading_safe(write, df: DataFrame) -> None:
 
 
 def _retag(spark: SparkSession, table: str, written: T.StructType) -> None:
-    """Add the tag to top-level comments of an existing table that lack it."""
-    current = {f.name: f for f in spark.table(table).schema.fields}
-    for f in written.fields:
-        cur = current.get(f.name)
-        if cur is not None and has_tag(comment_of(f)) and not has_tag(comment_of(cur)):
+    """Give an existing table the tags of what was just written into it.
+
+    Top-level comments are altered in place. Nested tags need the schema
+    update of ``update_table_schema``: metadata-only for external tables; a
+    managed table would need a rewrite, so it is only reported.
+    """
+    spec = partition_spec_of(spark, table)
+    current = [f for f in spark.table(table).schema.fields
+               if spec is None or f.name != spec.partition_column]
+    by_name = {f.name: f for f in written.fields}
+    for f in current:
+        w = by_name.get(f.name)
+        if w is not None and has_tag(comment_of(w)) and not has_tag(comment_of(f)):
             spark.sql(f"ALTER TABLE {quote_table(table)} ALTER COLUMN {quote_ident(f.name)} "
-                      f"COMMENT {sql_string(tag_comment(comment_of(cur)))}")
+                      f"COMMENT {sql_string(tag_comment(comment_of(f)))}")
+    nested = [f for f in current if f.name in by_name
+              and f.dataType.simpleString() == by_name[f.name].dataType.simpleString()
+              and _nested_tags(by_name[f.name].dataType) - _nested_tags(f.dataType)]
+    if not nested:
+        return
+    if not _describe(spark, table)["external"]:
+        log.warning("%s: nested tags of %s not recorded (managed table would need a rewrite)",
+                    table, [f.name for f in nested])
+        return
+    names = {f.name for f in nested}
+    target = T.StructType([
+        T.StructField(f.name, by_name[f.name].dataType, f.nullable, f.metadata)
+        if f.name in names else f
+        for f in spark.table(table).schema.fields
+        if spec is None or f.name != spec.partition_column])
+    update_table_schema(spark, table, target)
+
+
+def _nested_tags(dtp: T.DataType, path: str = "") -> set[str]:
+    """Paths of tagged fields inside a struct, array or map."""
+    out: set[str] = set()
+    if isinstance(dtp, T.StructType):
+        for f in dtp.fields:
+            p = f"{path}.{f.name}"
+            if has_tag(comment_of(f)):
+                out.add(p)
+            out |= _nested_tags(f.dataType, p)
+    elif isinstance(dtp, T.ArrayType):
+        out |= _nested_tags(dtp.elementType, path + "[]")
+    elif isinstance(dtp, T.MapType):
+        out |= _nested_tags(dtp.valueType, path + "{}")
+    return out
 
 
 def replace_partition(df: DataFrame, table: str, partition_value, **kwargs) -> WriteResult:

@@ -283,3 +283,29 @@ def test_clustered_splits_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert parts >= 4
+
+
+def test_nested_comment_update_is_metadata_only(spark, table_name, scratch):
+    df = spark.createDataFrame([(dt.date(2024, 1, 5), (Decimal("1.5"), "a")),
+                                (dt.date(2024, 2, 5), (Decimal("2.5"), "b"))],
+                               "d date, s struct<x: decimal(38,18), y: string>")
+    spec = ts.PartitionSpec("d", "date", ts.TimePartitioning("MONTH"))
+    # a table first written without encoding: x is plain text, untagged
+    plain = df.select("d", F.struct(F.col("s.x").cast("string").alias("x"), "s.y").alias("s"))
+    ts.write_table(plain, table_name, partitioning=spec, path=scratch(),
+                   options={"compression": "gzip"}, labels={"k": "v"})
+    files_before = sorted(r[0] for r in spark.table(table_name)
+                          .select(F.input_file_name()).distinct().collect())
+    # appending encoded rows brings the nested tag; the entry is rebuilt, files stay
+    ts.write_table(df, table_name, mode="append", encode_decimals=True)
+    sch = spark.table(table_name).schema
+    assert sch["s"].dataType["x"].metadata.get("comment") == TAG
+    files_after = {r[0] for r in spark.table(table_name).select(F.input_file_name())
+                   .distinct().collect()}
+    assert set(files_before) <= files_after                # nothing rewritten
+    assert all(f.endswith(".gz.parquet") for f in files_after)
+    assert table_properties(spark, table_name)["label.k"] == "v"
+    back = ts.read_table(spark, table_name)
+    assert sorted(r["s"]["x"] for r in back.collect()) == [Decimal("1.5"), Decimal("1.5"),
+                                                         Decimal("2.5"), Decimal("2.5")]
+    assert ts.read_table(spark, table_name, partition_value=dt.date(2024, 1, 1)).count() == 2
