@@ -284,7 +284,7 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
             if f.name in cur_by and comment_of(f) != comment_of(cur_by[f.name]):
                 spark.sql(f"ALTER TABLE {quote_table(name)} ALTER COLUMN {quote_ident(f.name)} "
                           f"COMMENT {sql_string(comment_of(f))}")
-    elif same_types and _describe(spark, name)["external"]:
+    elif same_types and table_layout(spark, name)["external"]:
         # only nested comments change: Spark refuses a nested ALTER, but the
         # files need no change at all, so only the catalog entry is rebuilt
         _recreate_entry(spark, name, target)
@@ -316,7 +316,7 @@ def _nested_comments(dtp: T.DataType) -> list:
     return []
 
 
-def _describe(spark: SparkSession, name: str) -> dict:
+def table_layout(spark: SparkSession, name: str) -> dict:
     """What re-creating ``name`` needs: format, location, options, properties."""
     props = {k: v for k, v in table_properties(spark, name).items()
              if not k.startswith(("spark.", "transient_", "option."))}
@@ -349,7 +349,7 @@ def _recreate_entry(spark: SparkSession, name: str, target: T.StructType) -> Non
     again over the same folder with the new schema, properties and options;
     partitions are found again from the folders. No data is read or written.
     """
-    d = _describe(spark, name)
+    d = table_layout(spark, name)
     spark.sql(f"DROP TABLE {quote_table(name)}")
     create_table(spark, name, target, partitioning=d["spec"], clustering=d["clustering"],
                  description=d["description"], format=d["format"], path=d["location"],
@@ -360,7 +360,7 @@ def _recreate_entry(spark: SparkSession, name: str, target: T.StructType) -> Non
 
 def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.StructType) -> None:
     """Copy into a new table with the target schema, then swap names."""
-    d = _describe(spark, name)
+    d = table_layout(spark, name)
     spec = d["spec"]
     db = name.rsplit(".", 1)[0] + "." if "." in name else ""
     tmp = db + unique_name(name.rsplit(".", 1)[-1] + "__rewrite")

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions.conform import conform_types
 from ..functions.decimals import comment_of, encode_wide_decimals, has_tag, tag_comment
 from ..operators.partitioning import PartitionSpec
-from ..operators.tables import (PROP_CLUSTERING, PROP_EXTERNAL, _describe, create_table,
+from ..operators.tables import (PROP_CLUSTERING, PROP_EXTERNAL, table_layout, create_table,
                                 partition_spec_of, table_exists, table_properties,
                                 update_table_schema)
 from ..session import quote_ident, quote_table, shared_root, sql_string
@@ -318,7 +318,7 @@ def _retag(spark: SparkSession, table: str, written: T.StructType) -> None:
               and _nested_tags(by_name[f.name].dataType) - _nested_tags(f.dataType)]
     if not nested:
         return
-    if not _describe(spark, table)["external"]:
+    if not table_layout(spark, table)["external"]:
         log.warning("%s: nested tags of %s not recorded (managed table would need a rewrite)",
                     table, [f.name for f in nested])
         return
