@@ -1,9 +1,9 @@
 """Write DataFrames into catalog tables: save modes, one-partition replace,
 dated ORC archive copies, clustered layout.
 
-Every write is one Spark job under Spark's commit protocol (task retries and
-lost executors are handled by the protocol; nothing is staged on a
-machine-local disk). Only DDL and small results reach the driver.
+Every write goes through Spark's commit protocol (task retries and lost
+executors are handled by the protocol; nothing is staged on a machine-local
+disk). Only DDL and small results reach the driver.
 """
 
 from __future__ import annotations
