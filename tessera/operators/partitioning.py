@@ -21,11 +21,13 @@ def typed_literal(value, dtype: T.DataType) -> Column:
     """Literal of ``dtype`` built from text, so no time zone enters the value."""
     if value is None:
         return F.lit(None).cast(dtype)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)) and isinstance(value, (dt.date, str)):
-        text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
-        if isinstance(dtype, T.TimestampNTZType) and not isinstance(value, dt.datetime) \
-                and isinstance(value, dt.date):
-            text = f"{value.isoformat()} 00:00:00"
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        if isinstance(value, dt.datetime):
+            text = value.isoformat(sep=" ")
+        elif isinstance(value, dt.date):
+            text = value.isoformat() + (" 00:00:00" if isinstance(dtype, T.TimestampNTZType) else "")
+        else:
+            text = str(value)
         return F.lit(text).cast(dtype)
     return F.lit(value).cast(dtype)
 
