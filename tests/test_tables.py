@@ -309,3 +309,42 @@ def test_nested_comment_update_is_metadata_only(spark, table_name, scratch):
     assert sorted(r["s"]["x"] for r in back.collect()) == [Decimal("1.5"), Decimal("1.5"),
                                                          Decimal("2.5"), Decimal("2.5")]
     assert ts.read_table(spark, table_name, partition_value=dt.date(2024, 1, 1)).count() == 2
+
+
+def test_rebalanced_write_splits_a_hot_partition(spark, table_name, scratch):
+    """Rebalanced partitioned write: few files for cold months, the hot one split.
+
+    AQE splits a skewed reducer partition along map outputs, so the input has
+    several tasks here, as any large input does.
+    """
+    # 90% of the rows fall in one month
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 10 == 0,
+               F.make_date(F.lit(2024), (F.col("id") % 12 + 1).cast("int"), F.lit(1)))
+        .otherwise(F.lit(dt.date(2024, 5, 1))).alias("d"),
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad")).repartition(8)
+    spec = ts.PartitionSpec("d", "date", ts.TimePartitioning("MONTH"))
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "256k")
+    spark.conf.set(keys[1], "16k")
+    plain = unique_name("plain")
+    try:
+        ts.write_table(df, table_name, partitioning=spec, path=scratch())
+        ts.write_table(df, plain, partitioning=spec, path=scratch(), rebalance=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+    def files_per_month(name):
+        rows = (spark.table(name).select("d__month", F.input_file_name().alias("f"))
+                .distinct().groupBy("d__month").count().collect())
+        return {r["d__month"]: r["count"] for r in rows}
+    hot = dt.date(2024, 5, 1)
+    plain_files, balanced = files_per_month(plain), files_per_month(table_name)
+    assert all(n == 8 for n in plain_files.values())     # every task, every month
+    assert sum(balanced.values()) < sum(plain_files.values())
+    assert min(balanced.values()) == 1                     # cold months: one file
+    assert balanced[hot] > 1                               # the hot month is split
+    assert spark.table(table_name).count() == 40000
