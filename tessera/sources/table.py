@@ -33,7 +33,9 @@ def read_table(spark: SparkSession, table: str | None = None, *,
     ``between=(lo, hi)`` filters the partition source column and adds the
     matching predicate on the derived partition column, so only the folders
     in range are listed and read. ``partition_value`` reads one partition.
-    ``where`` is any further filter; Catalyst pushes it into the scan. A
+    ``where`` is any further filter, applied after restoring (a predicate on a
+    tagged column compares decimals); Catalyst still pushes predicates on the
+    other columns into the scan. A
     table flagged ``require_partition_filter`` refuses a read without
     ``between`` or ``partition_value``.
     """
@@ -65,6 +67,8 @@ def read_table(spark: SparkSession, table: str | None = None, *,
         if spec is None:
             raise ValueError("partition_value needs a partitioned table")
         value = spec.derive_python(partition_value)
+        if value is None:
+            raise ValueError(f"{partition_value!r} maps to no partition")
         df = df.where(F.col(quote_ident(spec.partition_column)) == spec.value_literal(value))
     if restore:
         df = restore_decimals(df, columns, lenient=lenient, target=target)
