@@ -147,7 +147,7 @@ def partition_spec_of(spark: SparkSession, name: str) -> PartitionSpec | None:
 
 # ------------------------------------------------------------------- create
 
-def _table_props(*, partitioning, clustering, require_partition_filter, friendly_name,
+def settings_properties(*, partitioning, clustering, require_partition_filter, friendly_name,
                  labels, location, expiration_time, extra) -> dict[str, str]:
     props: dict[str, str] = {}
     if partitioning is not None:
@@ -211,7 +211,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, *,
             raise KeyError(f"partition column {partitioning.column!r} is not in the schema")
         schema = T.StructType(schema.fields + [
             T.StructField(partitioning.partition_column, partitioning.partition_type, True)])
-    props = _table_props(partitioning=partitioning, clustering=clustering,
+    props = settings_properties(partitioning=partitioning, clustering=clustering,
                          require_partition_filter=require_partition_filter,
                          friendly_name=friendly_name, labels=labels, location=location,
                          expiration_time=expiration_time, extra=properties)
@@ -290,7 +290,7 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
         _recreate_entry(spark, name, target)
     else:
         _rewrite(spark, name, current, target)
-    props = _table_props(partitioning=None, clustering=None, require_partition_filter=False,
+    props = settings_properties(partitioning=None, clustering=None, require_partition_filter=False,
                          friendly_name=friendly_name, labels=labels, location=location,
                          expiration_time=expiration_time, extra=properties)
     if require_partition_filter is not None:

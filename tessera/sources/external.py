@@ -3,7 +3,8 @@
 CSV and newline-delimited JSON get the warehouse's load rules: a budget of
 bad records, optional tolerance of unknown values, compression by suffix,
 Hive-style partition folders, and a choice of decimal types. Each rule is a
-column expression over one scan; the budget is one aggregate job.
+column expression over the scan; the bad-record budget and the decimal-type
+choice each add one aggregate job that returns a single row.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.tables import (PROP_EXTERNAL, ddl_columns, ddl_properties, table_exists,
-                                _table_props)
+                                settings_properties)
 from ..session import quote_ident, quote_table, sql_string
 
 CORRUPT = "_corrupt_record"
@@ -45,6 +46,11 @@ class HivePartitioning:
 
 @dataclass
 class ExternalData:
+    """External files and their load rules (kept as JSON on a registered table).
+
+    ``max_bad_records=None`` skips the budget check (bad rows are still dropped).
+    """
+
     source_uris: list[str]
     format: str
     schema: str | None = None                 # DDL or JSON of a StructType
@@ -271,7 +277,7 @@ def define_external_table(spark: SparkSession, name: str, ext: ExternalData, *,
     location = (ext.hive_partitioning.source_uri_prefix if ext.hive_partitioning
                 else _common_folder(ext.source_uris))
     df = read_external(spark, ExternalData(**{**asdict(ext), "max_bad_records": None}))
-    props = _table_props(partitioning=None, clustering=None, require_partition_filter=False,
+    props = settings_properties(partitioning=None, clustering=None, require_partition_filter=False,
                          friendly_name=friendly_name, labels=labels, location=None,
                          expiration_time=None, extra={PROP_EXTERNAL: "true",
                                                       PROP_EXTERNAL_SPEC: ext.to_json()})
