@@ -114,3 +114,14 @@ def test_json_parse_options_apply(spark, scratch):
                           options={"timestampNTZFormat": "dd/MM/yyyy HH:mm"})
     import datetime as dt
     assert ts.read_external(spark, ext).first()["t"] == dt.datetime(2024, 1, 5, 10, 30)
+
+
+def test_several_source_uris(spark, scratch):
+    a = lines(spark, scratch("uri_a"), ["1,a", "2,b"])
+    b = lines(spark, scratch("uri_b"), ["3,c", "bad,row"])
+    ext = ts.ExternalData([a, b], "CSV", schema="k int, v string", max_bad_records=1)
+    assert sorted(tuple(r) for r in ts.read_external(spark, ext).collect()) == [
+        (1, "a"), (2, "b"), (3, "c")]
+    jext = ts.ExternalData([lines(spark, scratch("uj_a"), ['{"k": 1}']),
+                            lines(spark, scratch("uj_b"), ['{"k": 2}'])], "JSON", schema="k int")
+    assert sorted(r["k"] for r in ts.read_external(spark, jext).collect()) == [1, 2]
