@@ -191,14 +191,44 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, *,
                  format: str = "parquet",
                  path: str | None = None,
                  options: Mapping[str, str] | None = None,
-                 properties: Mapping[str, str] | None = None) -> bool:
+                 properties: Mapping[str, str] | None = None,
+                 materialized_view: tuple[str, str] | None = None,
+                 view: tuple[str, str] | None = None,
+                 snapshot: str | None = None) -> bool:
     """Create ``name`` unless it exists; returns True when created.
 
     ``schema`` is the data schema; a partitioned table gets the derived
     partition column appended. Clustering becomes ``CLUSTER BY`` on an
     unpartitioned table (Spark forbids it with ``PARTITIONED BY``) and is
     recorded as a property either way, for the writer's layout.
+
+    ``materialized_view=(name, query)``, ``view=(name, query)`` and
+    ``snapshot=name`` (a copy of this table) are created after the table, in
+    that order, each only if absent; a failure leaves what was created so far.
     """
+    created = _create_plain(spark, name, schema, partitioning=partitioning,
+                            clustering=clustering,
+                            require_partition_filter=require_partition_filter,
+                            description=description, friendly_name=friendly_name,
+                            labels=labels, location=location,
+                            column_overrides=column_overrides,
+                            expiration_time=expiration_time, format=format, path=path,
+                            options=options, properties=properties)
+    if materialized_view or view or snapshot:
+        from .views import create_materialized_view, create_snapshot, create_view
+        if materialized_view:
+            create_materialized_view(spark, *materialized_view, format=format)
+        if view:
+            create_view(spark, *view)
+        if snapshot:
+            create_snapshot(spark, name, snapshot, format=format)
+    return created
+
+
+def _create_plain(spark: SparkSession, name: str, schema: T.StructType, *, partitioning,
+                  clustering, require_partition_filter, description, friendly_name, labels,
+                  location, column_overrides, expiration_time, format, path, options,
+                  properties) -> bool:
     if table_exists(spark, name):
         log.warning("table %s already exists", name)
         return False

@@ -170,6 +170,7 @@ def write_table(df: DataFrame, table: str, *,
                 cluster_partitions: int | None = None,
                 conform: bool = False,
                 widen_float: bool = False,
+                external=None,
                 **table_settings) -> WriteResult:
     """Write ``df`` into catalog table ``table``.
 
@@ -182,10 +183,22 @@ def write_table(df: DataFrame, table: str, *,
     ``conform`` rewrites every column to a warehouse type first (V3).
     ``rebalance`` (default on for partitioned writes) adds AQE's REBALANCE on
     the partition column; pass False to write without a shuffle.
+    ``external`` (an ``ExternalData``) defines ``table`` over those files
+    instead (when creating is allowed) and loads nothing into it.
     """
     spark = df.sparkSession
     mode = _normalise_mode(mode)
     exists = table_exists(spark, table)
+    if external is not None:
+        from ..sources.external import define_external_table
+        created = False
+        if not exists and create_if_not_exists:
+            keep = ("description", "friendly_name", "labels")
+            created = define_external_table(spark, table, external,
+                                            **{k: v for k, v in table_settings.items()
+                                               if k in keep})
+        log.warning("%s is an external table; nothing written", table)
+        return WriteResult("skipped_external", table, created=created)
     props = table_properties(spark, table) if exists else {}
     if props.get(PROP_EXTERNAL) == "true":
         log.warning("%s is an external table; nothing written", table)

@@ -348,3 +348,29 @@ def test_rebalanced_write_splits_a_hot_partition(spark, table_name, scratch):
     assert min(balanced.values()) == 1                     # cold months: one file
     assert balanced[hot] > 1                               # the hot month is split
     assert spark.table(table_name).count() == 40000
+
+
+def test_create_table_with_views_and_snapshot(spark, table_name, scratch):
+    df = small(spark)
+    ts.write_table(df, table_name, path=scratch())
+    mv, v, snap = unique_name("mv"), unique_name("v"), unique_name("snap")
+    again = ts.create_table(spark, table_name, df.schema,
+                            materialized_view=(mv, f"SELECT count(*) AS n FROM {table_name}"),
+                            view=(v, f"SELECT k FROM {table_name}"), snapshot=snap)
+    assert again is False                   # the table existed; the rest was created
+    assert spark.table(mv).first()["n"] == 2
+    assert spark.table(v).count() == 2 and spark.table(snap).count() == 2
+    ts.create_table(spark, table_name, df.schema, view=(v, "SELECT 1 AS k"), snapshot=snap)
+    assert spark.table(v).count() == 2      # existing view left as it was
+
+
+def test_write_with_external_definition(spark, scratch):
+    from tessera.sources import ExternalData
+    path = scratch("ext_write")
+    spark.createDataFrame([(1, "a"), (2, "b")], "a int, b string").write.json(path)
+    name = unique_name("ext_w")
+    res = ts.write_table(spark.createDataFrame([(9, "z")], "a int, b string"), name,
+                         external=ExternalData([path], "JSON", schema="a int, b string"),
+                         description="files")
+    assert res.status == "skipped_external" and res.created
+    assert sorted(r["a"] for r in ts.read_table(spark, name).collect()) == [1, 2]
