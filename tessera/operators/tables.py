@@ -280,9 +280,13 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
                         column_overrides: Sequence[Mapping[str, str]] | None = None,
                         require_partition_filter: bool | None = None,
                         expiration_time=None,
-                        properties: Mapping[str, str] | None = None) -> bool:
+                        properties: Mapping[str, str] | None = None,
+                        view: tuple[str, str] | None = None) -> bool:
     """Bring an existing table to ``schema`` and settings; warn if it is missing.
 
+    ``view=(name, query)`` also replaces that view's query when the view
+    exists (warning otherwise), whether or not the table does.
+
     New top-level columns are added, changed comments altered in place.
     Spark refuses nested ALTERs on file-source tables: when only nested
     comments change on an external table, its catalog entry is rebuilt over
@@ -291,6 +295,20 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
     new one (one distributed ``INSERT … SELECT`` with casts) and renames it,
     keeping properties, options, partitioning and comments.
     """
+    updated = _update_plain(spark, name, schema, description=description,
+                            friendly_name=friendly_name, labels=labels, location=location,
+                            column_overrides=column_overrides,
+                            require_partition_filter=require_partition_filter,
+                            expiration_time=expiration_time, properties=properties)
+    if view is not None:
+        from .views import update_view
+        update_view(spark, *view)
+    return updated
+
+
+def _update_plain(spark: SparkSession, name: str, schema: T.StructType | None, *, description,
+                  friendly_name, labels, location, column_overrides, require_partition_filter,
+                  expiration_time, properties) -> bool:
     if not table_exists(spark, name):
         log.warning("table %s does not exist; nothing updated", name)
         return False

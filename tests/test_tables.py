@@ -374,3 +374,17 @@ def test_write_with_external_definition(spark, scratch):
                          description="files")
     assert res.status == "skipped_external" and res.created
     assert sorted(r["a"] for r in ts.read_table(spark, name).collect()) == [1, 2]
+
+
+def test_update_schema_also_updates_view(spark, table_name, scratch):
+    df = small(spark)
+    ts.write_table(df, table_name, path=scratch())
+    v = unique_name("v")
+    ts.create_view(spark, v, f"SELECT k FROM {table_name}")
+    ts.update_table_schema(spark, table_name, df.schema,
+                           view=(v, f"SELECT k, v FROM {table_name}"))
+    assert spark.table(v).columns == ["k", "v"]
+    # a missing table: nothing updated, the view still is
+    assert not ts.update_table_schema(spark, unique_name("gone"), df.schema,
+                                      view=(v, f"SELECT v FROM {table_name}"))
+    assert spark.table(v).columns == ["v"]
