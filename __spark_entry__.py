@@ -531,6 +531,25 @@ def q_table_expiry(spark, sf_dir):
     return spark.table(keep).withColumn("tables_left", F.lit(len(names)))
 
 
+def q_create_with_derived_objects(spark, sf_dir):
+    o = _orders_cols(spark, sf_dir)
+    name, path = _table(spark, "derived_base")
+    mv, v, snap = unique_name("derived_mv"), unique_name("derived_v"), unique_name("derived_snap")
+    ts.create_table(spark, name, o.schema, path=path,
+                    materialized_view=(mv, f"SELECT o_orderstatus, count(*) AS n_orders, "
+                                           f"{_SQL_MONEY} AS total FROM {name} "
+                                           "GROUP BY o_orderstatus"),
+                    view=(v, f"SELECT o_orderstatus, o_totalprice FROM {name}"),
+                    snapshot=snap)
+    # created empty, then loaded: the stored view is refreshed, the snapshot stays empty
+    ts.write_table(o, name, mode="append")
+    ts.refresh_materialized_view(spark, mv)
+    live = spark.table(v).groupBy("o_orderstatus").agg(F.count("*").alias("n_view"))
+    frozen = spark.table(snap).count()          # one-row count
+    return (spark.table(mv).join(live, "o_orderstatus")
+            .withColumn("n_snapshot", F.lit(frozen)))
+
+
 # --------------------------------------------------------- external files
 
 def _export(df: DataFrame, fmt: str, spark, **opts) -> str:
@@ -569,6 +588,15 @@ def _csv_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(",", *[_text(c) for c in df.columns]).alias("value"))
 
 
+def q_write_external_definition(spark, sf_dir):
+    o = _orders_export(spark, sf_dir)
+    path = _export(o, "json", spark)
+    name = unique_name("ext_def")
+    res = ts.write_table(o, name, external=ts.ExternalData([path], "NEWLINE_DELIMITED_JSON",
+                                                            schema=_ORDERS_DDL))
+    return ts.read_table(spark, name).withColumn("write_status", F.lit(res.status))
+
+
 def q_external_bad_records(spark, sf_dir):
     o = _orders_export(spark, sf_dir)
     good = _csv_lines(o)
@@ -660,6 +688,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "matview_refresh": q_matview_refresh,
     "snapshot_frozen": q_snapshot_frozen,
     "table_expiry": q_table_expiry,
+    "create_with_derived_objects": q_create_with_derived_objects,
+    "write_external_definition": q_write_external_definition,
     "external_csv": q_external_csv,
     "external_json": q_external_json,
     "external_bad_records": q_external_bad_records,
@@ -851,6 +881,12 @@ def oracle_sql() -> dict[str, str]:
             FROM orders GROUP BY o_orderstatus""",
         "snapshot_frozen": f"SELECT {_ORDERS} FROM orders",
         "table_expiry": f"SELECT {_ORDERS}, 1 AS tables_left FROM orders WHERE o_orderstatus <> 'F'",
+        "create_with_derived_objects": f"""
+            SELECT o_orderstatus, count(*) AS n_orders, {_DUCK_MONEY} AS total,
+                   count(*) AS n_view, 0 AS n_snapshot
+            FROM orders GROUP BY o_orderstatus""",
+        "write_external_definition": f"""
+            SELECT {_ORDERS}, 'skipped_external' AS write_status FROM orders""",
         "external_csv": f"SELECT {_ORDERS}, 'skipped_external' AS write_status FROM orders",
         "external_json": f"SELECT {_ORDERS}, 'skipped_external' AS write_status FROM orders",
         "external_bad_records": f"SELECT {_ORDERS} FROM orders",

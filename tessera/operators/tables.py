@@ -216,12 +216,19 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, *,
                             options=options, properties=properties)
     if materialized_view or view or snapshot:
         from .views import create_materialized_view, create_snapshot, create_view
+
+        def beside(obj: str) -> str | None:
+            # stored objects go next to the table's folder when it has one
+            if not path:
+                return None
+            return f"{path.rstrip('/').rsplit('/', 1)[0]}/{obj.replace('.', '_')}"
         if materialized_view:
-            create_materialized_view(spark, *materialized_view, format=format)
+            create_materialized_view(spark, *materialized_view, format=format,
+                                     path=beside(materialized_view[0]))
         if view:
             create_view(spark, *view)
         if snapshot:
-            create_snapshot(spark, name, snapshot, format=format)
+            create_snapshot(spark, name, snapshot, format=format, path=beside(snapshot))
     return created
 
 
