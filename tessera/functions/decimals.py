@@ -103,7 +103,8 @@ def _tagged(dt: T.DataType, comment: str) -> bool:
         # arrays of strings use the array's comment; structs their fields' own
         return _tagged(dt.elementType, comment)
     if isinstance(dt, T.MapType):
-        return isinstance(dt.valueType, T.StringType) and has_tag(comment)
+        # map values use the map's comment, as array elements use the array's
+        return _tagged(dt.valueType, comment)
     if isinstance(dt, T.StructType):
         return any(_tagged(f.dataType, comment_of(f)) for f in dt.fields)
     return False

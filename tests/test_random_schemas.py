@@ -46,7 +46,7 @@ def random_value(rng: random.Random, dt: T.DataType):
     return {f"k{i}": random_value(rng, dt.valueType) for i in range(rng.randint(0, 3))}
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(seed=st.integers(0, 10 ** 9))
 def test_round_trip_random_schema(spark, seed):
     rng = random.Random(seed)
