@@ -28,15 +28,16 @@ _PASS = (T.BooleanType, T.DoubleType, T.TimestampType, T.TimestampNTZType, T.Dat
          T.BinaryType)
 
 
-def _holds_byte(dt: T.DataType) -> bool:
-    if isinstance(dt, T.ByteType):
+def _holds(dt: T.DataType, kinds: tuple) -> bool:
+    """``dt`` is, or contains, a type of ``kinds`` (these need per-element rules)."""
+    if isinstance(dt, kinds):
         return True
     if isinstance(dt, T.StructType):
-        return any(_holds_byte(f.dataType) for f in dt.fields)
+        return any(_holds(f.dataType, kinds) for f in dt.fields)
     if isinstance(dt, T.ArrayType):
-        return _holds_byte(dt.elementType)
+        return _holds(dt.elementType, kinds)
     if isinstance(dt, T.MapType):
-        return _holds_byte(dt.keyType) or _holds_byte(dt.valueType)
+        return _holds(dt.keyType, kinds) or _holds(dt.valueType, kinds)
     return False
 
 
@@ -86,7 +87,8 @@ def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: boo
             return ex
         ex = F.transform(c, fn)
         target = T.ArrayType(probe["t"], True)
-        if not _holds_byte(et) and (ansi_enabled() or not contains_wide_decimal(et)):
+        if not _holds(et, (T.ByteType, T.MapType)) and (ansi_enabled()
+                                                          or not contains_wide_decimal(et)):
             # every element rule is a cast: one codegen'd cast, no lambda
             return c.cast(target), target, probe["wide"]
         return ex, target, probe["wide"]

@@ -81,3 +81,36 @@ def _same(a, b, dt) -> bool:
     if isinstance(dt, T.MapType):
         return a.keys() == b.keys() and all(_same(a[k], b[k], dt.valueType) for k in a)
     return a == b
+
+
+def _has_array_of_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.ArrayType):
+        return isinstance(dt.elementType, T.MapType) or _has_array_of_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_has_array_of_map(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.MapType):
+        return _has_array_of_map(dt.valueType)
+    return False
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10 ** 9))
+def test_conform_random_schema(spark, seed):
+    """Conforming either rejects an array of maps or keeps every row, all nullable."""
+    import pytest
+    from tessera.functions import UnsupportedTypeError, conform_types
+    rng = random.Random(seed)
+    schema = T.StructType([T.StructField("id", T.IntegerType())] +
+                          [T.StructField(f"c{i}", random_type(rng, 1))
+                           for i in range(rng.randint(1, 3))])
+    rows = [(i,) + tuple(random_value(rng, f.dataType) for f in schema.fields[1:])
+            for i in range(5)]
+    df = spark.createDataFrame(rows, schema)
+    if any(_has_array_of_map(f.dataType) for f in schema.fields):
+        with pytest.raises(UnsupportedTypeError):
+            conform_types(df)
+        return
+    out = conform_types(df)
+    text = out.schema.simpleString()
+    assert "map<" not in text and "decimal(38,18)" not in text and ":int" not in text
+    assert sorted(r["id"] for r in out.collect()) == list(range(5))
