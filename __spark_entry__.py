@@ -699,10 +699,27 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+try:  # the training-data operators are a separate subpackage; the rest works without it
+    from tessera.llm import entries as _llm
+except ImportError:
+    _llm = None
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    _pipeline = None
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    extra = _llm.queries() if _llm else {}
+    if _llm and _pipeline:
+        extra["pipeline"] = _pipeline.run
+    return table_queries() | extra
+
+
 # ---------------------------------------------------------------- oracles
 
 def _dec(x: str) -> str:
@@ -720,6 +737,13 @@ _DUCK_MONEY = "CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,2))) AS
 
 
 def oracle_sql() -> dict[str, str]:
+    extra = _llm.oracle_sql() if _llm else {}
+    if _llm and _pipeline and _pipeline.ORACLE_SQL:
+        extra["pipeline"] = _pipeline.ORACLE_SQL
+    return table_oracle_sql() | extra
+
+
+def table_oracle_sql() -> dict[str, str]:
     return {
         "encode_flat": f"""
             SELECT l_orderkey, l_linenumber, {_dtext('l_extendedprice')} AS price,

@@ -8,8 +8,8 @@ import __spark_entry__ as E
 from oracle import compare, duck
 
 SF = os.environ.get("TESSERA_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = E.table_queries()
+ORACLES = E.table_oracle_sql()
 
 
 @pytest.fixture(scope="module")
