@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, url_filter
+from tessera.session import scratch_path
+
+from . import decontaminate, language_id, mixing, token_counts, token_output, url_filter
 from .common import read, ship
 
 URL_RULES = [
@@ -36,6 +38,31 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text", held_out().alias("held_out")), model).drop("text")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the 32k piece vocabulary."""
+    vocabulary = token_counts.load_piece_model(tokenizer_file("piece_bpe_32k.model"))
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary)
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, bit-packed, written and read back."""
+    path = scratch_path(spark, "token-ids")
+    token_output.write_ids(read(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), end_id=2)
+    return token_output.read_documents(spark, path)
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's copies in a mix of the corpus's size, no source repeated more than twice."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mix = mixing.plan(docs, budget_ratio=1.0, max_repeats=2.0)
+    return (mixing.allot(docs, mix).withColumn("n_tokens", mixing.word_count(F.col("text"))).drop("text"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-word windows of the benchmark found in every document."""
     found = decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -45,7 +72,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_QUERIES = (op3_url_filter, op4_language_id, op9_decontaminate)
+_QUERIES = (op3_url_filter, op4_language_id, op5_token_counts, op7_token_output, op9_decontaminate, op10_mixing)
 
 
 def _shipped(query):
