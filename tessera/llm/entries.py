@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import decontaminate, language_id, mixing, token_counts, token_output, url_filter
+from . import decontaminate, language_id, mixing, ngram_join, token_counts, token_output, url_filter
 from .common import read, ship
 
 URL_RULES = [
@@ -56,6 +56,11 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(spark, path)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
+    return ngram_join.link_sets(read(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's copies in a mix of the corpus's size, no source repeated more than twice."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -72,7 +77,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_QUERIES = (op3_url_filter, op4_language_id, op5_token_counts, op7_token_output, op9_decontaminate, op10_mixing)
+_QUERIES = (op3_url_filter, op4_language_id, op5_token_counts, op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing)
 
 
 def _shipped(query):
