@@ -57,19 +57,17 @@ def fast_indices(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class IdFilter:
-    """Bloom filter of ids with a fixed size (2 MB), broadcast to the tasks.
+    """Bloom filter of ids with a fixed size (``2**bits`` bits, 2 MB by default), broadcast to the tasks.
 
     It only spares work: ids that pass by mistake are dropped by the exact
     join that follows each use. Its size does not depend on the data; with
     very many ids it merely spares less.
     """
 
-    BITS = 24
-
-    def __init__(self, ids: DataFrame):
+    def __init__(self, ids: DataFrame, bits: int = 24):
         """``ids``: one column of bigint; nulls are ignored."""
         column = ids.columns[0]
-        bits = self.BITS
+        self.bits = bits
 
         def words(batches):
             import pyarrow as pa
@@ -89,14 +87,11 @@ class IdFilter:
         self.shared = ids.sparkSession.sparkContext.broadcast(packed.view(np.uint8))
 
     def __getstate__(self):
-        return {"shared": self.shared}
-
-    def __contains__(self, key) -> bool:
-        return bool(self.may_contain(np.array([key], dtype=np.int64))[0])
+        return {"shared": self.shared, "bits": self.bits}
 
     def may_contain(self, keys: np.ndarray) -> np.ndarray:
         packed = self.shared.value
-        a, b = fast_indices(keys, self.BITS)
+        a, b = fast_indices(keys, self.bits)
         hit = lambda at: (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
         return (hit(a) & hit(b)).astype(bool)
 
