@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_counts, token_output, url_filter
+from . import (decontaminate, embedding_dedup, language_id, mixing, ngram_join, suffix_dedup, token_counts,
+               token_output, url_filter)
 from .common import read, ship
 
 URL_RULES = [
@@ -21,6 +22,11 @@ URL_RULES = [
 ]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every embedding with others of its label at cosine 0.93 or more."""
+    return embedding_dedup.link_vectors(read(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document covered by 200-byte strings that stand elsewhere too."""
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), 200)
@@ -82,7 +88,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_QUERIES = (op2_suffix_dedup, op3_url_filter, op4_language_id, op5_token_counts, op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing)
+_QUERIES = (op1_embedding_dedup, op2_suffix_dedup, op3_url_filter, op4_language_id, op5_token_counts, op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing)
 
 
 def _shipped(query):
