@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import (decontaminate, embedding_dedup, language_id, mixing, ngram_join, suffix_dedup, token_counts,
-               token_output, url_filter)
+from . import (decontaminate, embedding_dedup, language_id, line_dedup, mixing, ngram_join, suffix_dedup,
+               token_counts, token_output, url_filter)
 from .common import read, ship
 
 URL_RULES = [
@@ -60,6 +60,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document left when one line of each group of similar lines is kept."""
+    return line_dedup.drop_lines(read(spark, sf_dir, "documents"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, bit-packed, written and read back."""
     path = scratch_path(spark, "token-ids")
@@ -88,7 +93,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_QUERIES = (op1_embedding_dedup, op2_suffix_dedup, op3_url_filter, op4_language_id, op5_token_counts, op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing)
+_QUERIES = (op1_embedding_dedup, op2_suffix_dedup, op3_url_filter, op4_language_id, op5_token_counts, op6_line_dedup, op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing)
 
 
 def _shipped(query):

@@ -61,3 +61,36 @@ def repeats(docs, length=200):
         kept = bytes(b for b, g in zip(d, gone) if not g)
         out[i] = (len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def char_shingles(line, n=8):
+    return frozenset(line[i:i + n] for i in range(max(1, len(line) - n + 1)))
+
+
+def line_dedup(docs, percent=75):
+    """docs: (doc_id, text) with distinct ids -> {doc_id: (n_lines, n_dropped, kept_sha256)}"""
+    where = {}
+    for i, t in sorted(docs):
+        for n, x in enumerate((t or "").split("\n")):
+            if x and not x.isspace():
+                where.setdefault(x, []).append((i, n))
+    sets = {x: char_shingles(x) for x in where}
+    at = {}
+    for x, s in sets.items():
+        for c in s:
+            at.setdefault(c, []).append(x)
+    shared = Counter(p for xs in at.values() for p in itertools.combinations(sorted(xs), 2))
+    links = [(a, b) for (a, b), o in shared.items() if 100 * o >= percent * (len(sets[a]) + len(sets[b]) - o)]
+    label = components(list(where), links)
+    first = {}
+    for x, spots in where.items():
+        first[label[x]] = min(first.get(label[x], spots[0]), spots[0])
+    kept = set(first.values())
+    out = {}
+    for i, t in docs:
+        lines = list(enumerate((t or "").split("\n")))
+        seen = [n for n, x in lines if x and not x.isspace()]
+        gone = {n for n in seen if (i, n) not in kept}
+        text = "\n".join(x for n, x in lines if n not in gone)
+        out[i] = (len(seen), len(gone), hashlib.sha256(text.encode()).hexdigest())
+    return out
