@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -640,6 +640,155 @@ def q_external_decimal_target(spark, sf_dir):
                      F.typeof("o_totalprice").alias("price_type"))
 
 
+# --------------------------------------- rows that must not get lost or come back
+
+def q_timestamp_partition_read(spark, sf_dir):
+    """Zoned timestamps, hour partitions in UTC, read between two instants."""
+    ev = _read(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.expr("cast(concat(cast(ts as string), '+00:00') as timestamp)").alias("at"))
+    name = _written(spark, sf_dir, "utc_hours", ev,
+                    partitioning=ts.PartitionSpec("at", "timestamp", ts.TimePartitioning("HOUR")))
+    got = ts.read_table(spark, name, between=(dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 9, 18, 30)),
+                        keep_partition_column=True)
+    return got.select("event_id", "user_id", F.col("at__hour").alias("hour"))
+
+
+BIG = 2**53
+
+
+def q_big_range_read(spark, sf_dir):
+    """Integer ranges beyond the exact doubles."""
+    o = _orders_cols(spark, sf_dir).select((F.col("o_orderkey") + F.lit(BIG)).alias("k"), "o_custkey")
+    name = _written(spark, sf_dir, "big_range", o, partitioning=ts.PartitionSpec(
+        "k", "int64", ts.RangePartitioning(BIG, BIG + 10_000_000, 97)))
+    got = ts.read_table(spark, name, between=(BIG + 11, BIG + 4001), keep_partition_column=True)
+    return got.select("k", "o_custkey", F.col("k__range").alias("bucket"))
+
+
+def _by_day_or_null(spark, sf_dir):
+    return _orders_cols(spark, sf_dir).select(
+        "o_orderkey", "o_orderstatus",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date")).alias("d"))
+
+
+def q_null_partition_replaced(spark, sf_dir):
+    """The partition of rows without a date is replaced, all others stay."""
+    o = _by_day_or_null(spark, sf_dir)
+    name = _written(spark, sf_dir, "null_part", o,
+                    partitioning=ts.PartitionSpec("d", "date", ts.TimePartitioning("YEAR")))
+    ts.replace_partition(o.where("d is null").withColumn("o_orderkey", -F.col("o_orderkey")), name, None)
+    return ts.read_table(spark, name)
+
+
+def q_expiry_then_append(spark, sf_dir):
+    """After expiry an append to an expired month brings only its own rows."""
+    o = _orders_cols(spark, sf_dir).select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    name = _written(spark, sf_dir, "expire_append", o, partitioning=ts.PartitionSpec(
+        "d", "date", ts.TimePartitioning("MONTH", 24 * 3600 * 1000)))
+    ts.expire_partitions(spark, name, dt.datetime(1996, 1, 15))
+    ts.write_table(o.where("d < date'1992-03-01'").withColumn("o_orderkey", -F.col("o_orderkey")), name, mode="append")
+    return ts.read_table(spark, name)
+
+
+def q_external_csv_count(spark, sf_dir):
+    """Rows of an external CSV counted without a data column, by name and by rules."""
+    path = _export(_orders_export(spark, sf_dir), "csv", spark, header="true")
+    ext = ts.ExternalData([path], "CSV", schema=_ORDERS_DDL, options={"header": "true"})
+    name = unique_name("ext_count")
+    ts.define_external_table(spark, name, ext)
+    by_name = spark.table(name).agg(F.count("*").alias("n_by_name"))
+    return ts.read_table(spark, name).agg(F.count("*").alias("n")).join(by_name)
+
+
+def q_external_unknown_csv(spark, sf_dir):
+    """Extra tokens fall away, dates keep the reader's own format."""
+    o = _orders_export(spark, sf_dir).select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    path = scratch_path(spark, "unknown_csv")
+    o.select(F.concat_ws(",", _text("o_orderkey"), F.date_format("d", "dd/MM/yyyy"), F.lit("more")).alias("value")) \
+        .write.text(path)
+    return ts.read_external(spark, ts.ExternalData(
+        [path], "CSV", schema="o_orderkey bigint, d date", ignore_unknown_values=True,
+        options={"dateFormat": "dd/MM/yyyy"}))
+
+
+def q_external_hive_by_name(spark, sf_dir):
+    """A registered Hive layout read by its catalog name."""
+    o = _orders_export(spark, sf_dir).select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "hive_by_name")
+    o.write.partitionBy("o_orderstatus").csv(path)
+    name = unique_name("hive_named")
+    ts.define_external_table(spark, name, ts.ExternalData(
+        [path], "CSV", schema="o_orderkey bigint", hive_partitioning=ts.HivePartitioning(path, "STRINGS")))
+    return spark.table(name)
+
+
+def q_external_two_folders(spark, sf_dir):
+    """Files of two folders registered as one table."""
+    o = _orders_export(spark, sf_dir)
+    paths = [_export(o.where(f), "json", spark) for f in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'")]
+    name = unique_name("two_folders")
+    ts.define_external_table(spark, name, ts.ExternalData(paths, "NEWLINE_DELIMITED_JSON", schema=_ORDERS_DDL))
+    return spark.table(name)
+
+
+def q_rewrite_keeps_settings(spark, sf_dir):
+    """Settings given with a write into an existing table, beside its rows."""
+    o = _orders_cols(spark, sf_dir)
+    name, path = _table(spark, "resettled")
+    ts.write_table(o, name, path=path, description="first")
+    ts.write_table(o, name, description="second", labels={"team": "sales"}, clustering=["o_custkey"],
+                   column_overrides=[{"name": "o_custkey", "description": "buyer"}])
+    props = ts.operators.tables.table_properties(spark, name)
+    about = ts.operators.tables.table_layout(spark, name)["description"]
+    back = spark.table(name)
+    return back.select("o_orderkey", F.lit(about).alias("description"), F.lit(props["label.team"]).alias("team"),
+                       F.lit(",".join(ts.operators.tables.clustering_of(props))).alias("clustering"),
+                       F.lit(back.schema["o_custkey"].metadata.get("comment")).alias("buyer_comment"))
+
+
+def q_comments_after_write(spark, sf_dir):
+    """Tags and merged comments of a written and re-written table, beside its rows."""
+    li = _lineitem_wide(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", F.col("price").alias("price", metadata={"comment": "net"}), "tax")
+    name, path = _table(spark, "commented")
+    ts.write_table(li.withColumn("tax", _text("tax")), name, path=path, encode_decimals=True,
+                   column_overrides=[{"name": "l_orderkey", "description": "key"}])
+    ts.write_table(li, name, encode_decimals=True, column_overrides=[{"name": "l_orderkey", "description": "of order"}])
+    comment = lambda df, c: F.lit(df.schema[c].metadata.get("comment"))
+    raw, back = spark.table(name), ts.read_table(spark, name)
+    return back.select("l_orderkey", "l_linenumber", comment(raw, "price").alias("price_tag"),
+                       comment(raw, "tax").alias("tax_tag"), comment(raw, "l_orderkey").alias("merged"),
+                       comment(back, "price").alias("restored_comment"), F.typeof("price").alias("price_type"))
+
+
+def q_snapshot_partitioned(spark, sf_dir):
+    """A snapshot keeps the partitions of its table, so it prunes like it."""
+    o = _orders_cols(spark, sf_dir)
+    base = _written(spark, sf_dir, "snap_base", o,
+                    partitioning=ts.PartitionSpec("o_orderdate", "timestamp", ts.TimePartitioning("MONTH")))
+    name, path = _table(spark, "snap_parts")
+    ts.create_snapshot(spark, base, name, path=path)
+    return ts.read_table(spark, name, between=(dt.datetime(1995, 2, 1), dt.datetime(1995, 6, 30)))
+
+
+def q_overwrite_from_itself(spark, sf_dir):
+    """A table overwritten by a query over itself."""
+    name = _written(spark, sf_dir, "itself", _orders_cols(spark, sf_dir))
+    ts.write_table(spark.table(name).where("o_orderstatus = 'O'"), name)
+    return spark.table(name)
+
+
+def q_clustered_files(spark, sf_dir):
+    """Key ranges of a clustered table's files: no two overlap beyond a shared end."""
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "ranges", o, clustering=["o_custkey"], cluster_partitions=6)
+    f = (spark.table(name).groupBy(F.input_file_name().alias("file"))
+         .agg(F.min("o_custkey").alias("lo"), F.max("o_custkey").alias("hi"), F.count("*").alias("n")))
+    w = Window.orderBy("lo", "hi")  # one row a file
+    return (f.withColumn("before", F.lag("hi").over(w))
+            .agg(F.sum("n").alias("n_rows"), F.count_if(F.col("lo") < F.col("before")).alias("n_overlaps")))
+
+
 # ------------------------------------------------------------- registry
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -696,6 +845,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "external_unknown_values": q_external_unknown_values,
     "external_gzip_hive": q_external_gzip_hive,
     "external_decimal_target": q_external_decimal_target,
+    "timestamp_partition_read": q_timestamp_partition_read,
+    "big_range_read": q_big_range_read,
+    "null_partition_replaced": q_null_partition_replaced,
+    "expiry_then_append": q_expiry_then_append,
+    "external_csv_count": q_external_csv_count,
+    "external_unknown_csv": q_external_unknown_csv,
+    "external_hive_by_name": q_external_hive_by_name,
+    "external_two_folders": q_external_two_folders,
+    "rewrite_keeps_settings": q_rewrite_keeps_settings,
+    "comments_after_write": q_comments_after_write,
+    "snapshot_partitioned": q_snapshot_partitioned,
+    "overwrite_from_itself": q_overwrite_from_itself,
+    "clustered_files": q_clustered_files,
 }
 
 
@@ -921,4 +1083,35 @@ def table_oracle_sql() -> dict[str, str]:
                    CAST(CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(20,2))
                         AS DECIMAL(38,9)) AS VARCHAR) AS o_totalprice,
                    'decimal(38,9)' AS price_type FROM orders""",
+        "timestamp_partition_read": """
+            SELECT event_id, user_id, date_trunc('hour', ts) AS hour FROM events
+            WHERE ts BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-09 18:30:00'""",
+        "big_range_read": """
+            SELECT o_orderkey + 9007199254740992 AS k, o_custkey,
+                   9007199254740992 + (o_orderkey // 97) * 97 AS bucket
+            FROM orders WHERE o_orderkey BETWEEN 11 AND 4001""",
+        "null_partition_replaced": """
+            SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_orderstatus,
+                   CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS d FROM orders""",
+        "expiry_then_append": """
+            SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders
+            WHERE date_trunc('month', o_orderdate) + INTERVAL 1 DAY > TIMESTAMP '1996-01-15 00:00:00'
+            UNION ALL SELECT -o_orderkey, CAST(o_orderdate AS DATE) FROM orders
+            WHERE CAST(o_orderdate AS DATE) < DATE '1992-03-01'""",
+        "external_csv_count": "SELECT count(*) AS n, count(*) AS n_by_name FROM orders",
+        "external_unknown_csv": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders",
+        "external_hive_by_name": "SELECT o_orderkey, o_orderstatus FROM orders",
+        "external_two_folders": f"SELECT {_ORDERS} FROM orders",
+        "rewrite_keeps_settings": """
+            SELECT o_orderkey, 'second' AS description, 'sales' AS team, 'o_custkey' AS clustering,
+                   'buyer' AS buyer_comment FROM orders""",
+        "comments_after_write": """
+            SELECT l_orderkey, l_linenumber, 'BigDecimalType|net' AS price_tag, 'BigDecimalType' AS tax_tag,
+                   'key|of order' AS merged, 'BigDecimalType|net' AS restored_comment, 'decimal(38,18)' AS price_type
+            FROM lineitem""",
+        "snapshot_partitioned": f"""
+            SELECT {_ORDERS} FROM orders
+            WHERE o_orderdate BETWEEN TIMESTAMP '1995-02-01 00:00:00' AND TIMESTAMP '1995-06-30 00:00:00'""",
+        "overwrite_from_itself": f"SELECT {_ORDERS} FROM orders WHERE o_orderstatus = 'O'",
+        "clustered_files": "SELECT count(*) AS n_rows, 0 AS n_overlaps FROM orders",
     }

@@ -60,7 +60,13 @@ def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: boo
         if is_wide_decimal(dt):
             return decimal_text(c, dt.scale), T.StringType(), True
         if unify:
-            return c.cast(T.DecimalType(38, 9)), T.DecimalType(38, 9), False
+            to = T.DecimalType(38, 9)
+            if dt.precision - dt.scale <= 29:
+                return c.cast(to), to, False
+            # without ANSI mode a cast would turn a value that does not fit into null
+            fitted = c.try_cast(to)
+            lost = F.raise_error(F.lit(f"a value of {name} does not fit decimal(38,9)"))
+            return F.when(c.isNull() | fitted.isNotNull(), fitted).otherwise(lost), to, False
         return c, dt, False
     if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
         return c.cast("string"), T.StringType(), False
@@ -87,7 +93,7 @@ def _conform(c: Column, dt: T.DataType, name: str, widen_float: bool, unify: boo
             return ex
         ex = F.transform(c, fn)
         target = T.ArrayType(probe["t"], True)
-        if not _holds(et, (T.ByteType, T.MapType)) and (ansi_enabled()
+        if not _holds(et, (T.ByteType, T.MapType)) and not (unify and _holds(et, (T.DecimalType,))) and (ansi_enabled()
                                                           or not contains_wide_decimal(et)):
             # every element rule is a cast: one codegen'd cast, no lambda
             return c.cast(target), target, probe["wide"]

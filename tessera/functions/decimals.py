@@ -323,5 +323,5 @@ def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None,
 
 def encoded_schema(schema: T.StructType, columns: Sequence[str | int] | None = None) -> T.StructType:
     """Schema ``encode_wide_decimals`` produces, without touching data."""
-    chosen = set(_resolve(schema, columns) or wide_decimal_columns(schema))
+    chosen = set(wide_decimal_columns(schema) if columns is None else _resolve(schema, columns))
     return T.StructType([_encoded_field(f) if f.name in chosen else f for f in schema.fields])

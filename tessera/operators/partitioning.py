@@ -14,13 +14,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import quote_ident
+
 TIME_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
 
 
+class _Unset:
+    """Marks an argument that was not given, where ``None`` names the null partition."""
+
+    def __repr__(self):
+        return "UNSET"
+
+
+UNSET = _Unset()
+
+
+def utc_naive(value):
+    """A driver-side time as a naive UTC ``datetime`` (naive times are UTC already)."""
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    if not isinstance(value, dt.datetime):
+        return dt.datetime(value.year, value.month, value.day)
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return value
+
+
 def typed_literal(value, dtype: T.DataType) -> Column:
-    """Literal of ``dtype`` built from text, so no time zone enters the value."""
+    """Literal of ``dtype`` built from text, so no local time zone enters the value.
+
+    For ``timestamp``, naive values are UTC.
+    """
     if value is None:
         return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampType):
+        return F.lit(utc_naive(value).isoformat(sep=" ") + "+00:00").cast(dtype)
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         if isinstance(value, dt.datetime):
             text = value.isoformat(sep=" ")
@@ -98,13 +126,17 @@ class PartitionSpec:
         """Partition value of a source value, as a column expression.
 
         ``timestamp_ntz`` and ``date`` sources are truncated with date
-        arithmetic only, so the result does not depend on the session time
-        zone; ``timestamp`` sources are truncated in the session time zone.
+        arithmetic, ``timestamp`` sources by whole seconds since the epoch, in
+        UTC: the result never depends on a session's or machine's time zone.
+        Ranges use integer arithmetic only, exact for every bigint.
         """
         m = self.metadata
         if isinstance(m, RangePartitioning):
             x = c.cast("bigint")
-            bucket = F.lit(m.start) + F.floor((x - F.lit(m.start)) / F.lit(m.interval)) * F.lit(m.interval)
+            # a range wider than bigint is cut in decimals
+            wide = x.cast("decimal(38,0)") if m.end - m.start >= 2**63 else x
+            start = F.lit(m.start).cast("decimal(38,0)" if m.end - m.start >= 2**63 else "bigint")
+            bucket = wide - F.pmod(wide - start, F.lit(m.interval).cast("bigint"))
             return F.when((x >= m.start) & (x < m.end), bucket.cast("bigint"))
         if isinstance(source_type, (T.TimestampNTZType, T.DateType)):
             if m.unit == "HOUR":
@@ -112,13 +144,26 @@ class PartitionSpec:
                                             F.lit(0), F.lit(0))
             d = c.cast("date")
             return {"DAY": d, "MONTH": F.trunc(d, "MM"), "YEAR": F.trunc(d, "YEAR")}[m.unit]
+        seconds = F.unix_seconds(c.cast("timestamp"))
+        of_day = F.pmod(seconds, F.lit(86400))
+        day = F.date_from_unix_date(((seconds - of_day) / F.lit(86400)).cast("int"))
         if m.unit == "HOUR":
-            return F.date_trunc("HOUR", c).cast("timestamp_ntz")
-        return F.date_trunc(m.unit, c).cast("date")
+            hour = F.floor(of_day / F.lit(3600)).cast("int")
+            return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), hour, F.lit(0), F.lit(0))
+        return {"DAY": day, "MONTH": F.trunc(day, "MM"), "YEAR": F.trunc(day, "YEAR")}[m.unit]
 
     def with_partition_column(self, df: DataFrame) -> DataFrame:
         src = df.schema[self.column].dataType
-        return df.withColumn(self.partition_column, self.derive(df[f"`{self.column}`"], src))
+        return df.withColumn(self.partition_column, self.derive(df[quote_ident(self.column)], src))
+
+    def values(self, given) -> object:
+        """Partition value that holds the source value ``given``; None names the null partition."""
+        if given is None:
+            return None
+        value = self.derive_python(given)
+        if value is None:
+            raise ValueError(f"{given!r} maps to no partition")
+        return value
 
     def value_literal(self, value) -> Column:
         return typed_literal(value, self.partition_type)
@@ -132,10 +177,7 @@ class PartitionSpec:
             if not (m.start <= value < m.end):
                 return None
             return m.start + ((value - m.start) // m.interval) * m.interval
-        if isinstance(value, str):
-            value = dt.datetime.fromisoformat(value)
-        if not isinstance(value, dt.datetime):
-            value = dt.datetime(value.year, value.month, value.day)
+        value = utc_naive(value)
         if m.unit == "HOUR":
             return value.replace(minute=0, second=0, microsecond=0)
         if m.unit == "DAY":
@@ -150,7 +192,7 @@ class PartitionSpec:
         The bucket function is monotone, so the bucket of the bounds bounds
         the buckets; keys outside an integer range live in the null partition.
         """
-        p = F.col(self.partition_column)
+        p = F.col(quote_ident(self.partition_column))
         m = self.metadata
         plo, phi = self.derive_python(lo), self.derive_python(hi)
         if isinstance(m, RangePartitioning):

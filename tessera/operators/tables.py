@@ -8,6 +8,7 @@ are table properties, so any Spark reader sees them.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.decimals import comment_of, with_comment
-from ..session import quote_ident, quote_table, sql_string, unique_name
-from .partitioning import PartitionSpec
+from ..session import (delete_folder, folder_exists, move_folder, quote_ident, quote_table, sql_string,
+                       unique_name)
+from .partitioning import PartitionSpec, TimePartitioning
 
 log = logging.getLogger(__name__)
 
@@ -30,6 +32,10 @@ PROP_CLUSTERING = "tessera.clustering"
 PROP_REQUIRE_FILTER = "tessera.require_partition_filter"
 PROP_EXPIRES_AT = "tessera.expires_at_ms"
 PROP_EXTERNAL = "tessera.external"
+PROP_OPTIONS = "tessera.options"
+PROP_REQUIRED = "tessera.required_columns"
+# Field metadata under which Spark keeps a char or varchar type (fixed value).
+RAW_TYPE = "__CHAR_VARCHAR_TYPE_STRING"
 DROP_CHUNK = 500
 
 # Warehouse column type names accepted in column overrides, and their Spark types.
@@ -59,7 +65,7 @@ def ddl_type(dtp: T.DataType) -> str:
 
 def ddl_columns(schema: T.StructType) -> str:
     return ", ".join(
-        f"{quote_ident(f.name)} {ddl_type(f.dataType)}"
+        f"{quote_ident(f.name)} {(f.metadata or {}).get(RAW_TYPE) or ddl_type(f.dataType)}"
         + (f" COMMENT {sql_string(comment_of(f))}" if comment_of(f) else "")
         for f in schema.fields)
 
@@ -105,10 +111,14 @@ def apply_column_overrides(schema: T.StructType,
             if not isinstance(dtp, (T.StringType, T.VarcharType, T.CharType)):
                 raise TypeError(f"column {f.name!r}: max-length needs a string column")
             dtp = T.VarcharType(int(o["max-length"]))
-        if o.get("precision") or o.get("scale"):
+        given = {k: int(o[k]) for k in ("precision", "scale") if o.get(k) not in (None, "")}
+        if given:
             base = dtp if isinstance(dtp, T.DecimalType) else T.DecimalType(38, 9)
-            p = int(o.get("precision") or base.precision)
-            s = int(o.get("scale") or base.scale)
+            p = given.get("precision", base.precision)
+            # a precision alone keeps as much of the scale as fits
+            s = given.get("scale", min(base.scale, p))
+            if not 0 <= s <= p <= 38 or not p:
+                raise ValueError(f"column {f.name!r}: decimal({p},{s}) is not possible")
             dtp = T.DecimalType(p, s)
         mode = (o.get("mode") or "").strip().upper()
         if mode == "REQUIRED":
@@ -122,7 +132,10 @@ def apply_column_overrides(schema: T.StructType,
         comment = comment_of(f)
         if o.get("description"):
             comment = o["description"] if not comment else f"{comment}|{o['description']}"
-        fields.append(T.StructField(f.name, dtp, nullable, with_comment(f, comment)))
+        metadata = with_comment(f, comment)
+        if dtp != f.dataType:
+            metadata.pop(RAW_TYPE, None)
+        fields.append(T.StructField(f.name, dtp, nullable, metadata))
     return T.StructType(fields)
 
 
@@ -137,6 +150,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def clustering_of(props: Mapping[str, str]) -> list[str]:
+    """Cluster columns recorded on a table."""
+    text = props.get(PROP_CLUSTERING)
+    return json.loads(text) if text else []
+
+
+def required_columns(props: Mapping[str, str]) -> list[str]:
+    """Columns whose mode is REQUIRED: writers refuse nulls in them."""
+    text = props.get(PROP_REQUIRED)
+    return json.loads(text) if text else []
+
+
 def is_external(spark: SparkSession, name: str) -> bool:
     return table_properties(spark, name).get(PROP_EXTERNAL) == "true"
 
@@ -153,7 +178,7 @@ def settings_properties(*, partitioning, clustering, require_partition_filter, f
     if partitioning is not None:
         props.update(partitioning.to_properties())
     if clustering:
-        props[PROP_CLUSTERING] = ",".join(clustering)
+        props[PROP_CLUSTERING] = json.dumps(list(clustering))
     if require_partition_filter:
         if partitioning is None:
             raise ValueError("require_partition_filter needs a partitioned table")
@@ -252,6 +277,12 @@ def _create_plain(spark: SparkSession, name: str, schema: T.StructType, *, parti
                          require_partition_filter=require_partition_filter,
                          friendly_name=friendly_name, labels=labels, location=location,
                          expiration_time=expiration_time, extra=properties)
+    # kept beside Spark's own storage properties, whose text form cannot be parsed back
+    if options:
+        props[PROP_OPTIONS] = json.dumps({k: str(v) for k, v in options.items()})
+    needed = _required(column_overrides)
+    if needed:
+        props[PROP_REQUIRED] = json.dumps(needed)
     sql = [f"CREATE TABLE {quote_table(name)} ({ddl_columns(schema)}) USING {format}"]
     if options:
         sql.append(f"OPTIONS ({ddl_properties(options)})")
@@ -269,9 +300,13 @@ def _create_plain(spark: SparkSession, name: str, schema: T.StructType, *, parti
     return True
 
 
+def _required(overrides: Sequence[Mapping[str, str]] | None) -> list[str]:
+    return [o["name"] for o in overrides or () if (o.get("mode") or "").strip().upper() == "REQUIRED"]
+
+
 # ------------------------------------------------------------------- update
 
-def _data_schema(spark: SparkSession, name: str) -> T.StructType:
+def data_schema(spark: SparkSession, name: str) -> T.StructType:
     schema = spark.table(name).schema
     spec = partition_spec_of(spark, name)
     if spec is None:
@@ -287,10 +322,15 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
                         column_overrides: Sequence[Mapping[str, str]] | None = None,
                         require_partition_filter: bool | None = None,
                         expiration_time=None,
+                        clustering: Sequence[str] | None = None,
+                        partition_expiration_ms: int | None = None,
                         properties: Mapping[str, str] | None = None,
                         view: tuple[str, str] | None = None) -> bool:
     """Bring an existing table to ``schema`` and settings; warn if it is missing.
 
+    ``clustering`` (an empty list ends it) and ``partition_expiration_ms``
+    (0 ends it) take effect for later writes and expiry runs.
+
     ``view=(name, query)`` also replaces that view's query when the view
     exists (warning otherwise), whether or not the table does.
 
@@ -306,7 +346,8 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
                             friendly_name=friendly_name, labels=labels, location=location,
                             column_overrides=column_overrides,
                             require_partition_filter=require_partition_filter,
-                            expiration_time=expiration_time, properties=properties)
+                            expiration_time=expiration_time, clustering=clustering,
+                            partition_expiration_ms=partition_expiration_ms, properties=properties)
     if view is not None:
         from .views import update_view
         update_view(spark, *view)
@@ -315,11 +356,11 @@ def update_table_schema(spark: SparkSession, name: str, schema: T.StructType | N
 
 def _update_plain(spark: SparkSession, name: str, schema: T.StructType | None, *, description,
                   friendly_name, labels, location, column_overrides, require_partition_filter,
-                  expiration_time, properties) -> bool:
+                  expiration_time, clustering, partition_expiration_ms, properties) -> bool:
     if not table_exists(spark, name):
         log.warning("table %s does not exist; nothing updated", name)
         return False
-    current = _data_schema(spark, name)
+    current = data_schema(spark, name)
     target = apply_column_overrides(schema or current, column_overrides)
     cur_by = {f.name: f for f in current.fields}
     tgt_names = target.fieldNames()
@@ -350,6 +391,19 @@ def _update_plain(spark: SparkSession, name: str, schema: T.StructType | None, *
                          expiration_time=expiration_time, extra=properties)
     if require_partition_filter is not None:
         props[PROP_REQUIRE_FILTER] = "true" if require_partition_filter else "false"
+    if clustering is not None:
+        missing = set(clustering) - set(target.fieldNames())
+        if missing:
+            raise KeyError(f"clustering columns {sorted(missing)} are not in the schema")
+        props[PROP_CLUSTERING] = json.dumps(list(clustering))
+    if partition_expiration_ms is not None:
+        spec = partition_spec_of(spark, name)
+        if spec is None or not isinstance(spec.metadata, TimePartitioning):
+            raise ValueError(f"table {name} has no time partitions to expire")
+        props["tessera.partition.expiration_ms"] = str(partition_expiration_ms or "")
+    now_required = _required(column_overrides)
+    if now_required:
+        props[PROP_REQUIRED] = json.dumps(sorted({*required_columns(table_properties(spark, name)), *now_required}))
     if props:
         spark.sql(f"ALTER TABLE {quote_table(name)} SET TBLPROPERTIES ({ddl_properties(props)})")
     if description is not None:
@@ -377,13 +431,14 @@ def table_layout(spark: SparkSession, name: str) -> dict:
              if not k.startswith(("spark.", "transient_", "option."))}
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(name)}").collect()
     info = {r["col_name"]: r["data_type"] for r in rows}
-    options = {}
-    storage = (info.get("Storage Properties") or "").strip("[]")
-    for part in filter(None, (p.strip() for p in storage.split(","))):
-        k, _, v = part.partition("=")
-        if k and k != "path":
-            options[k] = v
-    clustering = props.get(PROP_CLUSTERING)
+    options = json.loads(props.pop(PROP_OPTIONS, "null"))
+    if options is None:  # a table that was not created here: Spark's text form, as far as it can be read
+        options = {}
+        storage = (info.get("Storage Properties") or "").strip("[]")
+        for part in filter(None, (p.strip() for p in storage.split(","))):
+            k, _, v = part.partition("=")
+            if k and k != "path":
+                options[k] = v
     return {
         "format": info.get("Provider", "parquet"),
         "external": info.get("Type") == "EXTERNAL",
@@ -391,7 +446,7 @@ def table_layout(spark: SparkSession, name: str) -> dict:
         "description": info.get("Comment") or None,
         "options": options or None,
         "spec": PartitionSpec.from_properties(props),
-        "clustering": clustering.split(",") if clustering else None,
+        "clustering": clustering_of(props) or None,
         "properties": {k: v for k, v in props.items()
                        if not k.startswith("tessera.partition.") and k != PROP_CLUSTERING},
     }
@@ -405,20 +460,36 @@ def _recreate_entry(spark: SparkSession, name: str, target: T.StructType) -> Non
     partitions are found again from the folders. No data is read or written.
     """
     d = table_layout(spark, name)
-    spark.sql(f"DROP TABLE {quote_table(name)}")
-    create_table(spark, name, target, partitioning=d["spec"], clustering=d["clustering"],
-                 description=d["description"], format=d["format"], path=d["location"],
-                 options=d["options"], properties=d["properties"])
-    if d["spec"] is not None:
-        spark.sql(f"ALTER TABLE {quote_table(name)} RECOVER PARTITIONS")
+    parts = partition_texts(spark, name) if d["spec"] is not None else []
+    old = unique_name(name.rsplit(".", 1)[-1] + "__old")
+    aside = f"{name.rsplit('.', 1)[0]}.{old}" if "." in name else old
+    spark.sql(f"ALTER TABLE {quote_table(name)} RENAME TO {quote_table(aside)}")
+    try:
+        create_table(spark, name, target, partitioning=d["spec"], clustering=d["clustering"],
+                     description=d["description"], format=d["format"], path=d["location"],
+                     options=d["options"], properties=d["properties"])
+        # the partitions that were listed, not all folders found: expired ones stay away
+        for i in range(0, len(parts), DROP_CHUNK):
+            specs = " ".join(f"PARTITION ({partition_clause(d['spec'], p)})" for p in parts[i:i + DROP_CHUNK])
+            spark.sql(f"ALTER TABLE {quote_table(name)} ADD IF NOT EXISTS {specs}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_table(name)}")
+        spark.sql(f"ALTER TABLE {quote_table(aside)} RENAME TO {quote_table(name)}")
+        raise
+    spark.sql(f"DROP TABLE {quote_table(aside)}")
+
+
+def _beside(name: str, what: str) -> str:
+    """A fresh table name in the database of ``name``."""
+    fresh = unique_name(f"{name.rsplit('.', 1)[-1]}__{what}")
+    return f"{name.rsplit('.', 1)[0]}.{fresh}" if "." in name else fresh
 
 
 def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.StructType) -> None:
-    """Copy into a new table with the target schema, then swap names."""
+    """Copy into a new table with the target schema, then swap names; the old one goes last."""
     d = table_layout(spark, name)
     spec = d["spec"]
-    db = name.rsplit(".", 1)[0] + "." if "." in name else ""
-    tmp = db + unique_name(name.rsplit(".", 1)[-1] + "__rewrite")
+    tmp, aside = _beside(name, "rewrite"), _beside(name, "old")
     # an external table keeps its data beside the old location
     path = None
     if d["external"] and d["location"]:
@@ -433,46 +504,178 @@ def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.St
              ).alias(f.name) for f in target.fields]
     if spec is not None:
         cols.append(src[quote_ident(spec.partition_column)])
-    src.select(*cols).write.insertInto(tmp, overwrite=True)
-    spark.sql(f"DROP TABLE {quote_table(name)}")
-    spark.sql(f"ALTER TABLE {quote_table(tmp)} RENAME TO {quote_table(name)}")
+    try:
+        src.select(*cols).write.insertInto(tmp, overwrite=True)
+        spark.sql(f"ALTER TABLE {quote_table(name)} RENAME TO {quote_table(aside)}")
+    except BaseException:
+        drop_table(spark, tmp, path)
+        raise
+    try:
+        spark.sql(f"ALTER TABLE {quote_table(tmp)} RENAME TO {quote_table(name)}")
+    except BaseException:
+        spark.sql(f"ALTER TABLE {quote_table(aside)} RENAME TO {quote_table(name)}")
+        drop_table(spark, tmp, path)
+        raise
+    drop_table(spark, aside, d["location"] if d["external"] else None)
+
+
+def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """Drop a table, and its files at ``path`` where Spark leaves them."""
+    spark.sql(f"DROP TABLE IF EXISTS {quote_table(name)}")
+    if path:
+        delete_folder(spark, path)
+
+
+def _swap(spark: SparkSession, home: str, staging: str | None) -> None:
+    """Put ``staging`` (None: nothing) in the place of ``home``; on failure ``home`` is back."""
+    old = f"{home}__{unique_name('old')}"
+    had = folder_exists(spark, home)
+    if had:
+        move_folder(spark, home, old)
+    try:
+        if staging is not None:
+            move_folder(spark, staging, home)
+    except BaseException:
+        if had:
+            move_folder(spark, old, home)
+        raise
+    delete_folder(spark, old)
+
+
+def _staged(spark: SparkSession, name: str, d: dict, write) -> tuple[str, list[str]]:
+    """Fill an empty table of the same definition; its folder, and the partitions it got."""
+    staging = f"{d['location'].rstrip('/')}__{unique_name('new')}"
+    tmp = _beside(name, "staging")
+    create_table(spark, tmp, data_schema(spark, name), partitioning=d["spec"], clustering=d["clustering"],
+                 format=d["format"], path=staging, options=d["options"])
+    try:
+        write(tmp)
+        parts = partition_texts(spark, tmp) if d["spec"] is not None else []
+    except BaseException:
+        drop_table(spark, tmp, staging)
+        raise
+    spark.sql(f"DROP TABLE {quote_table(tmp)}")
+    return staging, parts
+
+
+def overwrite_all(spark: SparkSession, name: str, write) -> None:
+    """Replace all rows of ``name`` once the new ones are written.
+
+    ``write(staging)`` fills a table in a folder beside the old one, so a
+    failed job leaves the old rows, the new rows may be computed from them,
+    and no setting of the session is touched. Then the folders are swapped.
+    """
+    d = table_layout(spark, name)
+    staging, _ = _staged(spark, name, d, write)
+    try:
+        _swap(spark, d["location"].rstrip("/"), staging)
+    finally:
+        delete_folder(spark, staging)
+    if d["spec"] is not None:
+        spark.sql(f"MSCK REPAIR TABLE {quote_table(name)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def overwrite_partition(spark: SparkSession, name: str, value, write) -> None:
+    """Replace one partition of ``name`` once its new rows are written; without any, it is emptied."""
+    d = table_layout(spark, name)
+    held = NULL_PARTITION if value is None else str(value)
+    staging, parts = _staged(spark, name, d, write)
+    try:
+        if not parts:
+            drop_partitions(spark, name, [f for f in partition_texts(spark, name)
+                                          if unquote(f.split("=", 1)[1]) == held])
+        for folder in parts:
+            home = f"{d['location'].rstrip('/')}/{folder}"
+            # beside the table's folder, where no reader takes it for a partition
+            aside = f"{d['location'].rstrip('/')}__{unique_name('old')}"
+            had = folder_exists(spark, home)
+            if had:
+                move_folder(spark, home, aside)
+            try:
+                move_folder(spark, f"{staging}/{folder}", home)
+            except BaseException:
+                if had:
+                    move_folder(spark, aside, home)
+                raise
+            delete_folder(spark, aside)
+            spark.sql(f"ALTER TABLE {quote_table(name)} ADD IF NOT EXISTS "
+                      f"PARTITION ({partition_clause(d['spec'], folder)})")
+    finally:
+        delete_folder(spark, staging)
+    spark.catalog.refreshTable(name)
 
 
 # --------------------------------------------------------------- lifetimes
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_texts(spark: SparkSession, name: str) -> list[str]:
+    """Folder names (``column=value``, escaped) of the partitions the catalog lists."""
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {quote_table(name)}").collect()]
+
+
+def partition_clause(spec: PartitionSpec, folder: str) -> str:
+    """``column = literal`` of a partition's folder name."""
+    value = unquote(folder.split("=", 1)[1])
+    if value == NULL_PARTITION:
+        text = "null"
+    elif isinstance(spec.partition_type, T.LongType):
+        text = value
+    else:
+        kind = "TIMESTAMP_NTZ" if isinstance(spec.partition_type, T.TimestampNTZType) else "DATE"
+        text = f"{kind} {sql_string(value)}"
+    return f"{quote_ident(spec.partition_column)} = {text}"
+
+
+def drop_partitions(spark: SparkSession, name: str, folders: Sequence[str]) -> None:
+    """Drop partitions by folder name, with their files.
+
+    Spark leaves the files of tables with a path of their own; a later append
+    or partition recovery would bring the old rows back.
+    """
+    d = table_layout(spark, name)
+    # many partition specs per statement: one catalog call per chunk, not per partition
+    for i in range(0, len(folders), DROP_CHUNK):
+        specs = ", ".join(f"PARTITION ({partition_clause(d['spec'], f)})" for f in folders[i:i + DROP_CHUNK])
+        spark.sql(f"ALTER TABLE {quote_table(name)} DROP IF EXISTS {specs}")
+    if d["external"]:
+        for f in folders:
+            delete_folder(spark, f"{d['location'].rstrip('/')}/{f}")
+    spark.catalog.refreshTable(name)
+
+
 def expire_partitions(spark: SparkSession, name: str, as_of: dt.datetime) -> list:
-    """Drop the partitions whose lifetime (from their start) ended by ``as_of``.
+    """Drop the partitions whose lifetime (from their start) ended by ``as_of``, files included.
 
     Works on the catalog's partition list only; returns the dropped values.
     """
     spec = partition_spec_of(spark, name)
     if spec is None:
         raise ValueError(f"table {name} is not partitioned")
-    pcol = spec.partition_column
-    dropped = []
-    kind = "TIMESTAMP_NTZ" if isinstance(spec.partition_type, T.TimestampNTZType) else "DATE"
-    for r in spark.sql(f"SHOW PARTITIONS {quote_table(name)}").collect():
-        text = unquote(r[0].split("=", 1)[1])   # folder names escape ':' and friends
-        if text != "__HIVE_DEFAULT_PARTITION__" and spec.expired(text, as_of):
-            dropped.append(text)
-    # many partition specs per statement: one catalog call per chunk, not per partition
-    for i in range(0, len(dropped), DROP_CHUNK):
-        specs = ", ".join(f"PARTITION ({quote_ident(pcol)} = {kind} {sql_string(v)})"
-                          for v in dropped[i:i + DROP_CHUNK])
-        spark.sql(f"ALTER TABLE {quote_table(name)} DROP IF EXISTS {specs}")
-    return dropped
+    value = lambda folder: unquote(folder.split("=", 1)[1])
+    gone = [f for f in partition_texts(spark, name)
+            if value(f) != NULL_PARTITION and spec.expired(value(f), as_of)]
+    if gone:
+        drop_partitions(spark, name, gone)
+    return [value(f) for f in gone]
 
 
 def expire_tables(spark: SparkSession, as_of, database: str | None = None) -> list[str]:
-    """Drop tables whose ``expires_at`` lies at or before ``as_of``."""
+    """Drop tables whose ``expires_at`` lies at or before ``as_of``, with the files they wrote."""
     limit = _epoch_ms(as_of)
     dropped = []
     for t in spark.catalog.listTables(database):
         if t.isTemporary or t.tableType == "VIEW":
             continue
         full = f"{t.database}.{t.name}" if t.database else t.name
-        exp = table_properties(spark, full).get(PROP_EXPIRES_AT)
+        props = table_properties(spark, full)
+        exp = props.get(PROP_EXPIRES_AT)
         if exp is not None and int(exp) <= limit:
-            spark.sql(f"DROP TABLE IF EXISTS {quote_table(full)}")
+            d = table_layout(spark, full)
+            # files registered as external data belong to their owner
+            own = d["external"] and props.get(PROP_EXTERNAL) != "true"
+            drop_table(spark, full, d["location"] if own else None)
             dropped.append(full)
     return dropped

@@ -6,9 +6,10 @@ import datetime as dt
 import logging
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from ..session import quote_table, sql_string
-from .tables import ddl_properties, table_exists, table_properties
+from ..session import quote_ident, quote_table, sql_string
+from .tables import create_table, data_schema, ddl_properties, overwrite_all, table_exists, table_layout, table_properties
 
 log = logging.getLogger(__name__)
 
@@ -48,23 +49,27 @@ def create_materialized_view(spark: SparkSession, name: str, query: str, *,
 
 
 def refresh_materialized_view(spark: SparkSession, name: str) -> None:
-    """Recompute the stored query into the table (one distributed overwrite)."""
+    """Recompute the stored query; the old rows stay until the new ones are written."""
     query = table_properties(spark, name).get(PROP_MATVIEW_QUERY)
     if query is None:
         raise ValueError(f"{name} is not a materialized view")
-    spark.sql(f"INSERT OVERWRITE TABLE {quote_table(name)} {query}")
+    overwrite_all(spark, name, lambda staging: spark.sql(query).write.insertInto(staging, overwrite=True))
 
 
 def create_snapshot(spark: SparkSession, base: str, name: str, *,
                     as_of: dt.datetime | None = None, format: str = "parquet",
                     path: str | None = None) -> bool:
-    """Freeze the current rows of ``base`` into table ``name`` (CTAS copy)."""
+    """Copy the current rows of ``base`` into table ``name``, partitioned and clustered like it."""
     if table_exists(spark, name):
         log.warning("snapshot %s already exists", name)
         return False
     when = (as_of or dt.datetime.now(dt.timezone.utc)).isoformat()
-    props = ddl_properties({PROP_SNAPSHOT_OF: base, PROP_SNAPSHOT_TIME: when})
-    loc = f" LOCATION {sql_string(path)}" if path else ""
-    spark.sql(f"CREATE TABLE {quote_table(name)} USING {format}{loc} TBLPROPERTIES ({props}) "
-              f"AS SELECT * FROM {quote_table(base)}")
+    d = table_layout(spark, base)
+    create_table(spark, name, data_schema(spark, base), partitioning=d["spec"], clustering=d["clustering"],
+                 description=d["description"], format=format, path=path,
+                 properties={PROP_SNAPSHOT_OF: base, PROP_SNAPSHOT_TIME: when})
+    rows = spark.table(base)
+    if d["spec"] is not None:
+        rows = rows.hint("rebalance", F.col(quote_ident(d["spec"].partition_column)))
+    rows.write.insertInto(name, overwrite=True)
     return True

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,8 +12,10 @@ from pyspark.sql import SparkSession
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset (local tests) is one created and
-    registered as the checkpoint folder.
+    Read from the session. Only a session whose executors run inside the
+    driver (``local[...]``, as in tests) may get a folder of its own where
+    none is set; on a cluster a machine-local folder would lose data, so that
+    is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -21,6 +24,8 @@ def shared_root(spark: SparkSession) -> str:
         if root:
             root = root.rsplit("/", 1)[0]
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -46,3 +51,45 @@ def quote_table(name: str) -> str:
 
 def sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# ------------------------------------------------------------- shared folders
+
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it; a missing one is fine."""
+    hadoop, fs = _filesystem(spark, path)
+    fs.delete(hadoop, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    hadoop, fs = _filesystem(spark, path)
+    return fs.exists(hadoop)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop, fs = _filesystem(spark, path)
+    return fs.exists(hadoop) and fs.getFileStatus(hadoop).isDirectory()
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within one store; raises when the store refuses."""
+    a, fs = _filesystem(spark, source)
+    b, _ = _filesystem(spark, target)
+    if not fs.rename(a, b):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small text file; an existing one is an error."""
+    hadoop, fs = _filesystem(spark, path)
+    out = fs.create(hadoop, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

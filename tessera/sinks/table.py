@@ -11,28 +11,37 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 from zoneinfo import ZoneInfo
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conform import conform_types
 from ..functions.decimals import comment_of, encode_wide_decimals, has_tag, tag_comment
-from ..operators.partitioning import PartitionSpec
-from ..operators.tables import (PROP_CLUSTERING, PROP_EXTERNAL, table_layout, create_table,
-                                partition_spec_of, table_exists, table_properties,
+from ..operators.partitioning import UNSET, PartitionSpec
+from ..operators.tables import (NULL_PARTITION, PROP_EXTERNAL, PROP_OPTIONS, clustering_of, create_table,
+                                data_schema, ddl_properties, overwrite_all, overwrite_partition,
+                                partition_spec_of, required_columns, table_exists, table_layout, table_properties,
                                 update_table_schema)
-from ..session import quote_ident, quote_table, shared_root, sql_string
+from ..session import quote_ident, quote_table, sql_string, write_text
 
 log = logging.getLogger(__name__)
 
 SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists")
 ARCHIVE_ROOT_CONF = "spark.tessera.archiveRoot"
 DEFAULT_ZONE = "Europe/Paris"
+#: Plan size estimate per range partition of a clustered write, where no count is given.
+CLUSTER_BYTES = 512 << 20
+#: Settings of ``create_table`` that a write into an existing table brings up to date.
+SETTINGS = ("description", "friendly_name", "labels", "location", "expiration_time", "require_partition_filter",
+            "column_overrides", "properties")
+#: Those that only make sense when the table is created.
+AT_CREATION = ("materialized_view", "view", "snapshot")
 SCHEMA_SUFFIX = "_schema"
 
 
@@ -47,12 +56,14 @@ class WriteResult:
 # ------------------------------------------------------------------ archive
 
 def archive_path(root: str, table: str, *, now: dt.datetime,
-                 partition_column: str | None = None, partition_value=None) -> str:
+                 partition_column: str | None = None, partition_value=UNSET) -> str:
     """``{root}/ar_{table}/{year}/[{col}={value}/]{yyyyMMdd_HHmmss}``."""
     stamp = now.strftime("%Y%m%d_%H%M%S")
     base = f"{root.rstrip('/')}/ar_{table}/{now.year}"
     if partition_column is not None:
-        return f"{base}/{partition_column}={partition_value}/{stamp}"
+        # escaped, since a store may refuse ':' and blanks in a name
+        value = NULL_PARTITION if partition_value is None else quote(str(partition_value), safe="")
+        return f"{base}/{quote(partition_column, safe='')}={value}/{stamp}"
     return f"{base}/{stamp}"
 
 
@@ -64,8 +75,7 @@ def write_archive(df: DataFrame, path: str) -> DataFrame:
     """
     spark = df.sparkSession
     df.write.mode("errorifexists").orc(path)
-    (spark.createDataFrame([(df.schema.json(),)], "schema string")
-     .coalesce(1).write.mode("errorifexists").text(path + SCHEMA_SUFFIX))
+    write_text(spark, path + SCHEMA_SUFFIX, df.schema.json() + "\n")
     return read_archive(spark, path)
 
 
@@ -77,23 +87,32 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------- layout
 
+def _hashable(dtp: T.DataType) -> bool:
+    """Spark can hash the type (it cannot where a map is inside)."""
+    if isinstance(dtp, T.StructType):
+        return all(_hashable(f.dataType) for f in dtp.fields)
+    if isinstance(dtp, T.ArrayType):
+        return _hashable(dtp.elementType)
+    return not isinstance(dtp, (T.MapType, T.VariantType))
+
+
 def clustered(df: DataFrame, columns: Sequence[str],
               num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by ``columns`` so files cover narrow key ranges.
 
-    A hash of the row breaks ties: a key that holds a third of the rows is
-    then spread over several range partitions instead of one task. AQE can
-    merge small range partitions but not split big ones, so at scale give
-    ``num_partitions`` (or a large ``spark.sql.shuffle.partitions``) such that
-    input size / partitions is a comfortable file size.
+    A hash of the row (of its columns without maps) breaks ties: a key that
+    holds a third of the rows is then spread over several range partitions
+    instead of one task. AQE can merge range partitions but not split them, so
+    without ``num_partitions`` there are as many as the plan's size estimate
+    has multiples of ``CLUSTER_BYTES``, and at least the session's default.
     """
     cols = [F.col(quote_ident(c)) for c in columns]
-    tiebreak = F.xxhash64(*[F.col(quote_ident(c)) for c in df.columns])
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *cols, tiebreak)
-    else:
-        ranged = df.repartitionByRange(*cols, tiebreak)
-    return ranged.sortWithinPartitions(*cols)
+    tiebreak = F.xxhash64(*[F.col(quote_ident(f.name)) for f in df.schema.fields if _hashable(f.dataType)])
+    if not num_partitions:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = max(default, min(1_000_000, math.ceil(size / CLUSTER_BYTES)))
+    return df.repartitionByRange(num_partitions, *cols, tiebreak).sortWithinPartitions(*cols)
 
 
 # -------------------------------------------------------------------- write
@@ -107,55 +126,51 @@ def _normalise_mode(mode: str) -> str:
     return m
 
 
-def _typed_literal(dtp: T.DataType, value) -> str:
-    if isinstance(dtp, T.LongType):
-        return str(int(value))
-    if isinstance(dtp, T.DateType):
-        return f"DATE {sql_string(str(value))}"
-    if isinstance(dtp, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ {sql_string(str(value))}"
-    return sql_string(str(value))
-
+def _aligned(df: DataFrame, table_schema: T.StructType) -> list[Column]:
+    """Table columns in table order, taken from ``df`` by name (missing → null).
 
-def _aligned(df: DataFrame, table_schema: T.StructType, skip: set[str]) -> list[Column]:
-    """Table columns in table order, taken from ``df`` by name (missing → null)."""
-    have = set(df.columns)
-    extra = have - set(table_schema.fieldNames())
+    Names are compared as the session does, without case unless it says so.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    key = (lambda n: n) if exact else str.lower
+    have = {key(c): c for c in df.columns}
+    extra = set(have) - {key(n) for n in table_schema.fieldNames()}
     if extra:
-        raise ValueError(f"columns {sorted(extra)} are not in the table; update its schema first")
-    out = []
-    for f in table_schema.fields:
-        if f.name in skip:
-            continue
-        c = df[quote_ident(f.name)] if f.name in have else F.lit(None).cast(f.dataType)
-        out.append(c.alias(f.name))
-    return out
-
-
-class _OverwriteMode:
-    """Pin ``partitionOverwriteMode`` for one write, then put it back."""
-
-    KEY = "spark.sql.sources.partitionOverwriteMode"
-
-    def __init__(self, spark: SparkSession, mode: str):
-        self.spark, self.mode = spark, mode
-
-    def __enter__(self):
-        self.old = self.spark.conf.get(self.KEY, None)
-        self.spark.conf.set(self.KEY, self.mode)
-
-    def __exit__(self, *exc):
-        if self.old is None:
-            self.spark.conf.unset(self.KEY)
-        else:
-            self.spark.conf.set(self.KEY, self.old)
+        raise ValueError(f"columns {sorted(have[k] for k in extra)} are not in the table; update its schema first")
+    return [(df[quote_ident(have[key(f.name)])] if key(f.name) in have else F.lit(None).cast(f.dataType))
+            .alias(f.name) for f in table_schema.fields]
+
+
+def _not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fail the job that meets a null in a REQUIRED column."""
+    for c in columns:
+        col = df[quote_ident(c)]
+        df = df.withColumn(c, F.when(col.isNull(), F.raise_error(F.lit(f"null in required column {c}"))).otherwise(col))
+    return df
+
+
+def _update_settings(spark: SparkSession, table: str, settings: Mapping, clustering, options, mode: str) -> None:
+    """Settings given with a write into an existing table."""
+    given = {k: v for k, v in settings.items() if v is not None and k in SETTINGS}
+    if given or clustering is not None:
+        update_table_schema(spark, table, clustering=clustering, **given)
+    if options:
+        layout = table_layout(spark, table)
+        old = layout["options"] or {}
+        new = {**old, **{k: str(v) for k, v in options.items()}}
+        if new == old:
+            return
+        if layout["format"].lower() not in ("parquet", "orc") and mode != "overwrite":
+            raise ValueError(f"options of a {layout['format']} table also read the files it has; overwrite it instead")
+        spark.sql(f"ALTER TABLE {quote_table(table)} SET SERDEPROPERTIES ({ddl_properties(new)})")
+        spark.sql(f"ALTER TABLE {quote_table(table)} SET TBLPROPERTIES ({ddl_properties({PROP_OPTIONS: json.dumps(new)})})")
 
 
 def write_table(df: DataFrame, table: str, *,
                 mode: str = "overwrite",
                 create_if_not_exists: bool = True,
                 partitioning: PartitionSpec | None = None,
-                partition_value=None,
+                partition_value=UNSET,
                 clustering: Sequence[str] | None = None,
                 encode_decimals: bool = False,
                 decimal_columns: Sequence[str | int] | None = None,
@@ -176,10 +191,12 @@ def write_table(df: DataFrame, table: str, *,
 
     Order: encode wide decimals → archive copy → create if absent → write →
     re-tag comments. ``partition_value`` turns the write into a replace
-    (``overwrite``) or append of exactly that partition; every row must
-    belong to it, checked inside the write job. ``options`` are format
-    options recorded on the table when it is created (e.g. compression).
-    ``table_settings`` go to ``create_table`` (description, labels, …).
+    (``overwrite``) or append of exactly that partition (None: the partition
+    of rows that have none); every row must belong to it, checked inside the
+    write job. ``options`` are format options recorded on the table (e.g.
+    compression). ``table_settings`` go to ``create_table`` (description,
+    labels, …); an existing table is brought up to date with them once the
+    rows are written. A full overwrite keeps the old rows until then.
     ``conform`` rewrites every column to a warehouse type first (V3).
     ``rebalance`` (default on for partitioned writes) adds AQE's REBALANCE on
     the partition column; pass False to write without a shuffle.
@@ -188,6 +205,9 @@ def write_table(df: DataFrame, table: str, *,
     """
     spark = df.sparkSession
     mode = _normalise_mode(mode)
+    unknown = set(table_settings) - {*SETTINGS, *AT_CREATION}
+    if unknown:
+        raise TypeError(f"unknown table settings {sorted(unknown)}")
     exists = table_exists(spark, table)
     if external is not None:
         from ..sources.external import define_external_table
@@ -218,20 +238,19 @@ def write_table(df: DataFrame, table: str, *,
     spec = PartitionSpec.from_properties(props) if exists else partitioning
     if exists and partitioning is not None and partitioning != spec:
         raise ValueError(f"table {table} is partitioned as {spec}, not {partitioning}")
+    one = partition_value is not UNSET
     value = None
-    if partition_value is not None:
+    if one:
         if spec is None:
             raise ValueError("partition_value given for an unpartitioned table")
-        value = spec.derive_python(partition_value)
-        if value is None:
-            raise ValueError(f"{partition_value!r} maps to no partition")
+        value = spec.values(partition_value)
 
     archived = None
     if archive:
         root = archive_root or spark.conf.get(ARCHIVE_ROOT_CONF, None)
         if not root:
             raise ValueError(f"archive needs archive_root or {ARCHIVE_ROOT_CONF}")
-        if spec is not None and value is None:
+        if spec is not None and not one:
             raise ValueError("archiving a partitioned table needs partition_value")
         clock = now or dt.datetime.now(ZoneInfo(zone))
         archived = archive_path(root, table.rsplit(".", 1)[-1], now=clock,
@@ -241,17 +260,22 @@ def write_table(df: DataFrame, table: str, *,
         # the plan below starts from files, not from the caller's lineage.
         df = write_archive(df, archived)
 
+    if exists and encode_decimals:
+        _check_nested_tags(spark, table, df.schema)
     created = False
     if not exists:
         created = create_table(spark, table, df.schema, partitioning=spec,
                                clustering=clustering, format=format, path=path,
                                options=options, **table_settings)
+        props = table_properties(spark, table)
+    elif options:
+        _update_settings(spark, table, {}, None, options, mode)
 
     table_schema = spark.table(table).schema
-    cluster_prop = props.get(PROP_CLUSTERING)
-    cluster_cols = cluster_prop.split(",") if cluster_prop else list(clustering or ())
+    cluster_cols = list(clustering) if clustering is not None else clustering_of(props)
+    df = _not_null(df, [c for c in required_columns(props) if c in df.columns])
 
-    if spec is not None and value is not None:
+    if one:
         # Every row must belong to the partition: checked inside the write job,
         # so a stray row fails the job before anything is committed.
         guard = spec.derive(df[quote_ident(spec.column)], df.schema[spec.column].dataType) \
@@ -264,58 +288,52 @@ def write_table(df: DataFrame, table: str, *,
                        spec.value_literal(value).alias(spec.partition_column))
     elif spec is not None:
         df = spec.with_partition_column(df)
-    if cluster_cols:
-        lead = [spec.partition_column] if spec is not None and value is None else []
-        df = clustered(df, lead + cluster_cols, cluster_partitions)
-    elif spec is not None and value is None and rebalance is not False:
+    by_partition = spec is not None and not one
+    if by_partition and rebalance is not False:
         # One shuffle on the partition column: AQE sizes the output files and
         # splits a hot partition over several tasks; without it every task
         # would write one small file per partition it happens to hold.
-        df = df.hint("rebalance", spec.partition_column)
-
-    out = df.select(*_aligned(df, table_schema, set()))
-    if spec is not None and value is not None and mode == "overwrite":
-        if out.isEmpty():
-            # Nothing to write: the static form empties exactly that partition.
-            _reading_safe(lambda src: spark.sql(
-                f"INSERT OVERWRITE TABLE {quote_table(table)} PARTITION "
-                f"({quote_ident(spec.partition_column)} = "
-                f"{_typed_literal(spec.partition_type, value)}) SELECT * FROM {{src}}",
-                src=src.drop(spec.partition_column)), out)
-        else:
-            # Dynamic overwrite stages the files and swaps the one partition at
-            # commit: a failed job leaves the old partition in place.
-            with _OverwriteMode(spark, "dynamic"):
-                out.write.insertInto(table, overwrite=True)
+        if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise RuntimeError("a partitioned write needs spark.sql.adaptive.enabled to split hot partitions; "
+                               "pass rebalance=False if the input is laid out by partition")
+        lead = F.col(quote_ident(spec.partition_column))
+        df = df.hint("rebalance", lead)
+        if cluster_cols:
+            df = df.sortWithinPartitions(lead, *[F.col(quote_ident(c)) for c in cluster_cols])
+    elif cluster_cols:
+        df = clustered(df, ([spec.partition_column] if by_partition else []) + cluster_cols, cluster_partitions)
+
+    out = df.select(*_aligned(df, table_schema))
+    if one and mode == "overwrite":
+        overwrite_partition(spark, table, value, lambda staging: out.write.insertInto(staging))
+    elif exists and mode == "overwrite":
+        overwrite_all(spark, table, lambda staging: out.write.insertInto(staging))
     else:
-        with _OverwriteMode(spark, "static"):
-            _reading_safe(lambda src: src.write.insertInto(
-                table, overwrite=(mode == "overwrite" and exists)), out)
+        out.write.insertInto(table)
 
-    if exists and encode_decimals:
-        _retag(spark, table, df.schema)
+    if exists:
+        _update_settings(spark, table, table_settings, clustering, None, mode)
+        if encode_decimals:
+            _retag(spark, table, df.schema)
     return WriteResult("written", table, archived, created)
 
 
-def _reading_safe(write, df: DataFrame) -> None:
-    """Run ``write(df)``; if Spark refuses to overwrite a table the plan reads,
-    cut the lineage with a reliable checkpoint in the shared checkpoint folder
-    (it survives lost executors) and write from that."""
-    try:
-        write(df)
-    except AnalysisException as e:
-        if "UNSUPPORTED_OVERWRITE" not in (e.getCondition() or ""):
-            raise
-        shared_root(df.sparkSession)
-        write(df.checkpoint(eager=True))
+def _check_nested_tags(spark: SparkSession, table: str, written: T.StructType) -> None:
+    """Refuse, before anything is written, tags that a managed table cannot take in place."""
+    have = {f.name: f for f in data_schema(spark, table).fields}
+    lost = [f.name for f in written.fields if f.name in have
+            and _nested_tags(f.dataType) - _nested_tags(have[f.name].dataType)]
+    if lost and not table_layout(spark, table)["external"]:
+        raise ValueError(f"columns {lost} bring nested decimal tags that {table} lacks; "
+                         "bring it up to date with update_table_schema first")
 
 
 def _retag(spark: SparkSession, table: str, written: T.StructType) -> None:
     """Give an existing table the tags of what was just written into it.
 
     Top-level comments are altered in place. Nested tags need the schema
-    update of ``update_table_schema``: metadata-only for external tables; a
-    managed table would need a rewrite, so it is only reported.
+    update of ``update_table_schema``, metadata-only for tables with a path
+    (for others the write was refused before it began).
     """
     spec = partition_spec_of(spark, table)
     current = [f for f in spark.table(table).schema.fields
@@ -331,10 +349,6 @@ def _retag(spark: SparkSession, table: str, written: T.StructType) -> None:
               and _nested_tags(by_name[f.name].dataType) - _nested_tags(f.dataType)]
     if not nested:
         return
-    if not table_layout(spark, table)["external"]:
-        log.warning("%s: nested tags of %s not recorded (managed table would need a rewrite)",
-                    table, [f.name for f in nested])
-        return
     names = {f.name for f in nested}
     target = T.StructType([
         T.StructField(f.name, by_name[f.name].dataType, f.nullable, f.metadata)
@@ -361,5 +375,9 @@ def _nested_tags(dtp: T.DataType, path: str = "") -> set[str]:
 
 
 def replace_partition(df: DataFrame, table: str, partition_value, **kwargs) -> WriteResult:
-    """Replace exactly one partition of ``table`` with ``df`` (others untouched)."""
+    """Replace exactly one partition of ``table`` with ``df`` (others untouched).
+
+    ``partition_value``: a source value; None names the partition of rows
+    that have none (null keys, keys outside an integer range).
+    """
     return write_table(df, table, mode="overwrite", partition_value=partition_value, **kwargs)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..operators.tables import (PROP_EXTERNAL, ddl_columns, ddl_properties, table_exists,
                                 settings_properties)
-from ..session import quote_ident, quote_table, sql_string
+from ..session import is_folder, quote_ident, quote_table, sql_string
 
 CORRUPT = "_corrupt_record"
 PROP_EXTERNAL_SPEC = "tessera.external.spec"
@@ -110,74 +111,110 @@ def _reader(spark: SparkSession, ext: ExternalData):
     return r
 
 
-class _PartitionTypes:
-    """Switch partition value type inference off while a STRINGS read resolves."""
-
-    KEY = "spark.sql.sources.partitionColumnTypeInference.enabled"
+def _text_keys(spark: SparkSession, ext: ExternalData) -> list[str]:
+    """Partition keys whose values stay text (``STRINGS`` layout), from a file's path."""
+    hive = ext.hive_partitioning
+    if hive is None or hive.mode.upper() != "STRINGS":
+        return []
+    files = spark.read.option("basePath", hive.source_uri_prefix).text(ext.source_uris).inputFiles()
+    tail = files[0].split(hive.source_uri_prefix.split("://")[-1].strip("/"), 1)[-1] if files else ""
+    return [unquote(p.split("=", 1)[0]) for p in tail.split("/")[:-1] if "=" in p]
 
-    def __init__(self, spark, infer: bool):
-        self.spark, self.infer = spark, infer
 
-    def __enter__(self):
-        self.old = self.spark.conf.get(self.KEY, None)
-        self.spark.conf.set(self.KEY, "true" if self.infer else "false")
-
-    def __exit__(self, *exc):
-        if self.old is None:
-            self.spark.conf.unset(self.KEY)
-        else:
-            self.spark.conf.set(self.KEY, self.old)
+def _with_keys(schema: T.StructType, keys: Sequence[str]) -> T.StructType:
+    """``schema`` with its partition keys as text: given a type, Spark infers none."""
+    return T.StructType([f for f in schema.fields if f.name not in keys]
+                        + [T.StructField(k, T.StringType(), True) for k in keys])
 
 
 def _load(spark: SparkSession, ext: ExternalData, schema: T.StructType | None) -> DataFrame:
     r = _reader(spark, ext)
-    if schema is not None:
-        r = r.schema(schema)
-    elif ext.spark_format == "csv":
+    keys = _text_keys(spark, ext)
+    if schema is None and ext.spark_format == "csv":
         if not ext.autodetect:
             raise ValueError("CSV external data needs a schema or autodetect=True")
         r = r.option("inferSchema", "true")
-    infer = ext.hive_partitioning is None or ext.hive_partitioning.mode.upper() != "STRINGS"
-    with _PartitionTypes(spark, infer):
-        df = r.load(ext.source_uris)
-        df.schema  # resolve while the setting holds
-    return df
+    if schema is None and keys:
+        schema = r.load(ext.source_uris).schema
+    if schema is not None:
+        r = r.schema(_with_keys(schema, keys))
+    return r.load(ext.source_uris)
 
 
 BAD = "__bad"
 
 
 def read_external(spark: SparkSession, ext: ExternalData) -> DataFrame:
-    """Read external files as a DataFrame under the load rules of ``ext``."""
+    """Read external files as a DataFrame under the load rules of ``ext``.
+
+    Without a budget of bad records the rule costs nothing before the first
+    action: the scan itself fails on one. A budget, and the choice of decimal
+    types, are answered by one aggregate together.
+    """
+    fmt = ext.spark_format
     schema = ext.struct_schema()
+    if schema is None and ext.autodetect and fmt in ("csv", "json"):
+        found = _load(spark, ext, None).schema
+        keys = _partition_keys(ext, found)
+        schema = T.StructType([f for f in found.fields if f.name not in (*keys, CORRUPT)])
     dec_cols = _decimal_fields(schema, ext)
     if dec_cols:  # read decimals as text; the type is chosen from the values below
         schema = T.StructType([T.StructField(f.name, T.StringType(), True, f.metadata)
                                if f.name in dec_cols else f for f in schema.fields])
-    fmt = ext.spark_format
     if schema is not None and fmt == "csv":
         df = _csv(spark, ext, schema)
     elif schema is not None and fmt == "json":
         df = _json(spark, ext, schema)
     else:
         df = _load(spark, ext, schema)
-    if BAD in df.columns:
-        if ext.max_bad_records is not None:
-            # one aggregate over the scan; partial counts are combined map-side
-            # Spark refuses a query that reads the corrupt-record column alone,
-            # so a data column rides along in the same aggregate.
-            other = next(c for c in df.columns if c != BAD)
-            n_bad = df.agg(F.count_if(F.col(BAD)).alias("n"),
-                           F.count(F.col(quote_ident(other))).alias("rows")).first()["n"]
-            if n_bad > ext.max_bad_records:
-                raise TooManyBadRecords(
-                    f"{n_bad} bad records, more than {ext.max_bad_records} allowed")
-        df = df.where(~F.col(BAD)).drop(BAD)
+    types = [T.DataType.fromDDL(DECIMAL_TARGETS.get(t.upper(), t)) for t in ext.decimal_target_types or ()]
+    rules = BAD in df.columns
+    budget = ext.max_bad_records if rules else None
+    asked = []
+    if budget:
+        asked.append(F.count_if(F.col(BAD)).alias("bad"))
+    if dec_cols:
+        good = ~F.col(BAD) if rules else F.lit(True)
+        asked += _decimal_checks(df, dec_cols, types, good)
+    found = df.agg(*asked).first() if asked else None
+    if budget and found["bad"] > budget:
+        raise TooManyBadRecords(f"{found['bad']} bad records, more than {budget} allowed")
+    if rules:
+        fail = F.raise_error(F.lit("a bad record, and none is allowed")).cast("boolean")
+        df = df.where(F.when(F.col(BAD), fail if budget == 0 else F.lit(False)).otherwise(True)).drop(BAD)
     if dec_cols:
-        df = choose_decimal_types(df, dec_cols, ext.decimal_target_types)
+        df = _with_decimal_types(df, dec_cols, types, found, ext.decimal_target_types)
     return df
 
 
+def _partition_keys(ext: ExternalData, schema: T.StructType) -> list[str]:
+    if ext.hive_partitioning is None:
+        return []
+    text = "/".join(ext.source_uris)
+    return [f.name for f in schema.fields if f"{f.name}=" in text] or _layout_keys(ext, schema)
+
+
+def _layout_keys(ext: ExternalData, schema: T.StructType) -> list[str]:
+    # Spark puts the partition columns last
+    spark = SparkSession.active()
+    files = spark.read.text(ext.source_uris).inputFiles()
+    keys = [unquote(p.split("=", 1)[0]) for p in (files[0].split("/")[:-1] if files else []) if "=" in p]
+    return [k for k in keys if k in schema.fieldNames()]
+
+
+def _typed(s: Column, dtype: T.DataType, options: Mapping[str, str]) -> Column:
+    """A text as ``dtype``, null if it does not fit; dates and times by the reader's own formats."""
+    if isinstance(dtype, T.StringType):
+        return s
+    one = T.StructType([T.StructField("v", dtype, True)])
+    known = {k: str(v) for k, v in options.items()
+             if k.lower() in ("dateformat", "timestampformat", "timestampntzformat", "locale", "timezone")}
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) and known:
+        return F.from_csv(F.concat(F.lit('"'), F.replace(s, F.lit('"'), F.lit("")), F.lit('"')), one.simpleString()[7:-1].replace(":", " "),
+                          {**known, "mode": "PERMISSIVE"}).getField("v")
+    return s.try_cast(dtype)
+
+
 def _csv(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataFrame:
     names = schema.fieldNames()
     if ext.ignore_unknown_values:
@@ -188,7 +225,7 @@ def _csv(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataFr
         cols, bad = [], F.lit(False)
         for f in schema.fields:
             s = raw[quote_ident(f.name)]
-            typed = s if isinstance(f.dataType, T.StringType) else s.try_cast(f.dataType)
+            typed = _typed(s, f.dataType, ext.options)
             cols.append(typed.alias(f.name, metadata=f.metadata))
             bad = bad | (s.isNotNull() & typed.isNull())
         extra = [raw[quote_ident(c)] for c in raw.columns if c not in names]
@@ -199,7 +236,10 @@ def _csv(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataFr
     opts = {**ext.options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
             "columnPruning": "false"}
     raw = _load(spark, ExternalData(**{**asdict(ext), "options": opts}), with_corrupt)
-    return raw.withColumn(BAD, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+    # Spark refuses a scan of the corrupt column alone (as count() would make
+    # it), so the verdict always touches a data column too
+    touched = F.hash(raw[quote_ident(names[0])]) >= F.lit(-(2**31)) if names else F.lit(True)
+    return raw.withColumn(BAD, F.col(CORRUPT).isNotNull() & touched).drop(CORRUPT)
 
 
 def _json(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataFrame:
@@ -207,10 +247,10 @@ def _json(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataF
     r = spark.read.options(**{k: str(v) for k, v in ext.options.items()})
     if ext.hive_partitioning is not None:
         r = r.option("basePath", ext.hive_partitioning.source_uri_prefix)
-    infer = ext.hive_partitioning is None or ext.hive_partitioning.mode.upper() != "STRINGS"
-    with _PartitionTypes(spark, infer):
-        text = r.text(ext.source_uris)
-        text.schema
+    keys = _text_keys(spark, ext)
+    if keys:
+        r = r.schema(_with_keys(T.StructType([T.StructField("value", T.StringType())]), keys))
+    text = r.text(ext.source_uris)
     text = text.where(F.trim("value") != "")
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     parse_opts = {**{k: str(v) for k, v in ext.options.items()},
@@ -218,15 +258,28 @@ def _json(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataF
     parsed = F.from_json("value", with_corrupt, parse_opts)
     bad = parsed.getField(CORRUPT).isNotNull()
     if not ext.ignore_unknown_values:
-        known = F.array(*[F.lit(n) for n in schema.fieldNames()])
-        bad = bad | F.coalesce(F.size(F.array_except(F.json_object_keys("value"), known)) > 0,
-                               F.lit(True))
+        bad = bad | _unknown_keys(F.col("value"), schema)
     parts = [c for c in text.columns if c != "value"]
     return text.select(*[parsed.getField(f.name).alias(f.name, metadata=f.metadata)
                          for f in schema.fields],
                        *[F.col(quote_ident(c)) for c in parts], bad.alias(BAD))
 
 
+def _unknown_keys(text: Column, schema: T.StructType) -> Column:
+    """A JSON object, or an object inside it, has a key that the schema lacks."""
+    known = F.array(*[F.lit(n) for n in schema.fieldNames()])
+    bad = F.coalesce(F.size(F.array_except(F.json_object_keys(text), known)) > 0, F.lit(True))
+    for f in schema.fields:
+        inner = F.get_json_object(text, "$['" + f.name + "']")
+        if isinstance(f.dataType, T.StructType):
+            bad = bad | (inner.isNotNull() & _unknown_keys(inner, f.dataType))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            element = f.dataType.elementType
+            items = F.from_json(inner, "array<string>")
+            bad = bad | F.coalesce(F.exists(items, lambda x: x.isNotNull() & _unknown_keys(x, element)), F.lit(False))
+    return bad
+
+
 # ------------------------------------------------------------ decimal targets
 
 def _fits(text: Column, dtp: T.DataType) -> Column:
@@ -239,16 +292,14 @@ def _fits(text: Column, dtp: T.DataType) -> Column:
     return text.isNull() | (plain & t.try_cast(dtp).isNotNull() & (frac <= dtp.scale))
 
 
-def choose_decimal_types(df: DataFrame, columns: Sequence[str],
-                         targets: Sequence[str]) -> DataFrame:
-    """Cast each text column to the first of ``targets`` that holds all its values.
+def _decimal_checks(df: DataFrame, columns: Sequence[str], types: Sequence[T.DataType], good: Column) -> list[Column]:
+    """Whether each (column, candidate type) holds all values of the good rows."""
+    return [F.bool_and(F.when(good, _fits(df[quote_ident(c)], t))).alias(f"{i}_{j}")
+            for i, c in enumerate(columns) for j, t in enumerate(types)]
 
-    One aggregate job answers every (column, candidate) pair at once.
-    """
-    types = [T.DataType.fromDDL(DECIMAL_TARGETS.get(t.upper(), t)) for t in targets]
-    checks = [F.bool_and(_fits(df[quote_ident(c)], t)).alias(f"{i}_{j}")
-              for i, c in enumerate(columns) for j, t in enumerate(types)]
-    verdict = df.agg(*checks).first()
+
+def _with_decimal_types(df: DataFrame, columns: Sequence[str], types: Sequence[T.DataType], verdict,
+                        targets: Sequence[str]) -> DataFrame:
     chosen = {}
     for i, c in enumerate(columns):
         for j, t in enumerate(types):
@@ -261,6 +312,17 @@ def choose_decimal_types(df: DataFrame, columns: Sequence[str],
                        else df[quote_ident(n)] for n in df.columns])
 
 
+def choose_decimal_types(df: DataFrame, columns: Sequence[str],
+                         targets: Sequence[str]) -> DataFrame:
+    """Cast each text column to the first of ``targets`` that holds all its values.
+
+    One aggregate job answers every (column, candidate) pair at once.
+    """
+    types = [T.DataType.fromDDL(DECIMAL_TARGETS.get(t.upper(), t)) for t in targets]
+    verdict = df.agg(*_decimal_checks(df, columns, types, F.lit(True))).first()
+    return _with_decimal_types(df, columns, types, verdict, targets)
+
+
 # ---------------------------------------------------------- catalog entries
 
 def define_external_table(spark: SparkSession, name: str, ext: ExternalData, *,
@@ -268,42 +330,67 @@ def define_external_table(spark: SparkSession, name: str, ext: ExternalData, *,
                           labels: Mapping[str, str] | None = None) -> bool:
     """Register ``ext`` in the catalog as an external table (files stay in place).
 
-    The table points at the common folder of the URIs (or the Hive prefix);
-    the full load rules are kept as a property, and ``read_table`` on the name
-    applies them. Writers refuse to load into it.
+    The table points at the folder of the URIs (or the Hive prefix, whose
+    partitions are found at once). Text formats, and URIs in several folders,
+    become a table a folder (``name__0``, ...) under a view that leaves
+    malformed rows out, so reading the name gives the rows ``read_table``
+    gives. (Unknown JSON keys are told apart only by ``read_table``.) The full
+    load rules are kept as a property. Writers refuse to load into it.
     """
     if table_exists(spark, name):
         return False
-    location = (ext.hive_partitioning.source_uri_prefix if ext.hive_partitioning
-                else _common_folder(ext.source_uris))
+    folders = ([ext.hive_partitioning.source_uri_prefix] if ext.hive_partitioning
+               else list(dict.fromkeys(_folder(spark, u) for u in ext.source_uris)))
     df = read_external(spark, ExternalData(**{**asdict(ext), "max_bad_records": None}))
+    kept = asdict(ext)
+    if ext.decimal_target_types and ext.struct_schema() is not None:
+        # the choice is made once: later reads use the registered types
+        given = ext.struct_schema().fieldNames()
+        kept |= {"schema": T.StructType([f for f in df.schema.fields if f.name in given]).json(),
+                 "decimal_target_types": None}
     props = settings_properties(partitioning=None, clustering=None, require_partition_filter=False,
                          friendly_name=friendly_name, labels=labels, location=None,
                          expiration_time=None, extra={PROP_EXTERNAL: "true",
-                                                      PROP_EXTERNAL_SPEC: ext.to_json()})
+                                                      PROP_EXTERNAL_SPEC: ExternalData(**kept).to_json()})
     opts = {k: str(v) for k, v in ext.options.items()}
-    sql = [f"CREATE TABLE {quote_table(name)} ({ddl_columns(df.schema)}) USING {ext.spark_format}"]
-    if opts:
-        sql.append(f"OPTIONS ({ddl_properties(opts)})")
+    text = ext.spark_format in ("csv", "json") and not (ext.spark_format == "csv" and ext.ignore_unknown_values)
+    stored = df.schema
+    if text:
+        opts |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+        stored = T.StructType([*stored.fields, T.StructField(CORRUPT, T.StringType(), True)])
     part_cols = [c for c in df.columns if ext.struct_schema() is not None
                  and c not in ext.struct_schema().fieldNames()]
-    if part_cols:
-        sql.append("PARTITIONED BY (" + ", ".join(quote_ident(c) for c in part_cols) + ")")
-    sql.append(f"LOCATION {sql_string(location)}")
-    if description:
-        sql.append(f"COMMENT {sql_string(description)}")
-    sql.append(f"TBLPROPERTIES ({ddl_properties(props)})")
-    spark.sql(" ".join(sql))
+    if ext.hive_partitioning is not None and not part_cols:
+        part_cols = _layout_keys(ext, df.schema)
+    comment = f" COMMENT {sql_string(description)}" if description else ""
+    names = [name] if len(folders) == 1 and not text else [f"{name}__{i}" for i in range(len(folders))]
+    for table, folder in zip(names, folders):
+        sql = [f"CREATE TABLE {quote_table(table)} ({ddl_columns(stored)}) USING {ext.spark_format}"]
+        if opts:
+            sql.append(f"OPTIONS ({ddl_properties(opts)})")
+        if part_cols:
+            sql.append("PARTITIONED BY (" + ", ".join(quote_ident(c) for c in part_cols) + ")")
+        sql.append(f"LOCATION {sql_string(folder)}{comment} TBLPROPERTIES ({ddl_properties(props)})")
+        spark.sql(" ".join(sql))
+        if part_cols:
+            spark.sql(f"ALTER TABLE {quote_table(table)} RECOVER PARTITIONS")
+    if names != [name]:
+        columns = ", ".join(quote_ident(c) for c in df.columns)
+        # the verdict on a row is Spark's only where every column is read
+        read = ", ".join(quote_ident(f.name) for f in df.schema.fields
+                         if not isinstance(f.dataType, T.MapType) and f.name not in part_cols)
+        good = f" WHERE {quote_ident(CORRUPT)} IS NULL AND hash({read}) >= {-2**31}" if text and read else ""
+        union = " UNION ALL ".join(f"SELECT {columns} FROM {quote_table(t)}{good}" for t in names)
+        spark.sql(f"CREATE VIEW {quote_table(name)}{comment} TBLPROPERTIES ({ddl_properties(props)}) AS {union}")
     return True
 
 
-def _common_folder(uris: Sequence[str]) -> str:
-    folders = [u.rsplit("/", 1)[0] if ("*" in u.rsplit("/", 1)[-1] or "." in u.rsplit("/", 1)[-1])
-               else u for u in uris]
-    first = folders[0].rstrip("/")
-    if any(f.rstrip("/") != first for f in folders):
-        raise ValueError("external table URIs must share one folder")
-    return first
+def _folder(spark: SparkSession, uri: str) -> str:
+    """The folder a URI names, or the one that holds its files."""
+    plain = uri.rstrip("/")
+    if not any(c in plain.rsplit("/", 1)[-1] for c in "*?[{") and is_folder(spark, plain):
+        return plain
+    return plain.rsplit("/", 1)[0]
 
 
 def read_external_table(spark: SparkSession, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.decimals import restore_decimals
 from ..operators.tables import PROP_EXTERNAL, PROP_REQUIRE_FILTER, table_properties
-from ..operators.partitioning import PartitionSpec
+from ..operators.partitioning import UNSET, PartitionSpec
 from ..session import quote_ident
 
 
@@ -26,13 +26,14 @@ def read_table(spark: SparkSession, table: str | None = None, *,
                target: T.DataType | str | Mapping[str, T.DataType | str] | None = None,
                where: str | Column | None = None,
                between: tuple | None = None,
-               partition_value=None,
+               partition_value=UNSET,
                keep_partition_column: bool = False) -> DataFrame:
     """Load a table lazily and restore its tagged decimals.
 
     ``between=(lo, hi)`` filters the partition source column and adds the
     matching predicate on the derived partition column, so only the folders
-    in range are listed and read. ``partition_value`` reads one partition.
+    in range are listed and read. ``partition_value`` reads one partition
+    (None: the partition of rows that have none).
     ``where`` is any further filter, applied after restoring (a predicate on a
     tagged column compares decimals); Catalyst still pushes predicates on the
     other columns into the scan. A
@@ -52,7 +53,7 @@ def read_table(spark: SparkSession, table: str | None = None, *,
         df = spark.read.format(format).load(path)
         props = {}
     spec = PartitionSpec.from_properties(props)
-    if props.get(PROP_REQUIRE_FILTER) == "true" and between is None and partition_value is None:
+    if props.get(PROP_REQUIRE_FILTER) == "true" and between is None and partition_value is UNSET:
         raise PartitionFilterRequired(
             f"table {table} requires a partition filter (between= or partition_value=)")
     if between is not None:
@@ -63,13 +64,12 @@ def read_table(spark: SparkSession, table: str | None = None, *,
         src_type = df.schema[spec.column].dataType
         df = df.where(spec.between_predicate(lo, hi)
                       & spec.source_between(src, src_type, lo, hi))
-    if partition_value is not None:
+    if partition_value is not UNSET:
         if spec is None:
             raise ValueError("partition_value needs a partitioned table")
-        value = spec.derive_python(partition_value)
-        if value is None:
-            raise ValueError(f"{partition_value!r} maps to no partition")
-        df = df.where(F.col(quote_ident(spec.partition_column)) == spec.value_literal(value))
+        value = spec.values(partition_value)
+        held = F.col(quote_ident(spec.partition_column))
+        df = df.where(held.isNull() if value is None else held == spec.value_literal(value))
     if restore:
         df = restore_decimals(df, columns, lenient=lenient, target=target)
     if where is not None:

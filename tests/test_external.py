@@ -51,8 +51,10 @@ def test_json_unknown_keys(spark, scratch):
                                max_bad_records=2, ignore_unknown_values=True)
     assert sorted(tuple(r) for r in ts.read_external(spark, tolerant).collect()) == \
         [(1, "x"), (2, "y")]
-    with pytest.raises(TooManyBadRecords):
-        ts.read_external(spark, ts.ExternalData([path], "JSON", schema="a int, b string"))
+    # no budget: nothing runs on reading, the first action meets the bad record
+    none_allowed = ts.read_external(spark, ts.ExternalData([path], "JSON", schema="a int, b string"))
+    with pytest.raises(Exception, match="bad record"):
+        none_allowed.collect()
 
 
 def test_autodetect_and_schema_required(spark, scratch):

@@ -29,7 +29,7 @@ def test_create_if_absent_and_properties(spark, table_name, scratch):
     assert not ts.create_table(spark, table_name, schema)
     props = table_properties(spark, table_name)
     assert props["friendly_name"] == "Nice" and props["label.team"] == "a"
-    assert props["region"] == "EU" and props["tessera.clustering"] == "k"
+    assert props["region"] == "EU" and props["tessera.clustering"] == '["k"]'
     assert int(props["tessera.expires_at_ms"]) == 1893456000000
     info = {r["col_name"]: r["data_type"] for r in
             spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}").collect()}
@@ -235,7 +235,7 @@ def test_clustered_layout(spark, table_name, scratch):
     assert "rangepartitioning(g" in plan.lower() and "Sort [g" in plan
     ts.write_table(df, table_name, clustering=["g"], path=scratch())
     assert spark.table(table_name).count() == 10000
-    assert table_properties(spark, table_name)["tessera.clustering"] == "g"
+    assert table_properties(spark, table_name)["tessera.clustering"] == '["g"]'
 
 
 def test_hour_partition_expiry_escaped_names(spark, table_name, scratch):
