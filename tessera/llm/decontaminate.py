@@ -126,8 +126,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
             & (F.length(own) == F.col("_chars")))
     if remove == "documents":
         return docs.join(found, same, "left_anti")
-    head = F.regexp_extract(text, f"(?s)^[{SEPARATORS}&&[^A-Z]]*", 0)
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"([^{SEPARATORS}]|[A-Z])+[{SEPARATORS}&&[^A-Z]]*"), F.lit(0))
+    # of the text as it stands, so capitals belong to words
+    letter, gap = r"[0-9A-Za-z\x{80}-\x{10FFFF}]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    head = F.regexp_extract(text, f"^{gap}*", 0)
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"{letter}+{gap}*"), F.lit(0))
     left = F.filter(pieces, lambda p, i: ~F.exists(
         "_spans", lambda s: (i + 1 >= s["start"]) & (i + 1 < s["stop"])))
     cleaned = F.concat(head, F.array_join(left, ""))

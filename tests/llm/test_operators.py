@@ -1,0 +1,344 @@
+"""Operators on the smallest driver tables with hard rows added, against brute force; and on empty tables."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+import corpus_pipeline
+from oracle import compare, duck
+from tessera.llm import (decontaminate, embedding_dedup, entries, language_id, line_dedup, mixing, ngram_join,
+                         suffix_dedup, token_counts, token_output, url_filter)
+from tessera.session import scratch_path
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_tokens string, component_id string, "
+          "kept string, id string, key string, spans string, block string, lang_pred string")
+LONG = ("alpha beta gamma delta epsilon " * 9000) + "\n" + "x" * 70_000
+
+
+def hard_rows():
+    """(doc_id, text, lang, source); the last has a null id."""
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    return [(9001, None, None, None), (9002, "", "en", None), (9003, " \t\n ", "en", "src1"), (9004, "A", None, "src1"),
+            (9005, LONG, "en", "src0"), (9006, words, "en", "src0"), (9006, words, "en", "src0"),  # a row twice
+            (9007, words.upper(), "en", "src2"), (9008, "12 34 !? 56", "de", "src2"), (-5, "aa " * 400, "fr", "src3"),
+            (None, "no id here but some words to look at", "es", "src4")]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return duckdb.sql(f"select doc_id, text, lang, source from '{SF}/documents.parquet'").fetchall() + hard_rows()
+
+
+@pytest.fixture(scope="module")
+def docs(llm, rows):
+    return llm.createDataFrame([(*r, *["clash"] * 8) for r in rows], SCHEMA).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def none(llm):
+    return llm.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def named(rows):
+    """Rows with an id, once each."""
+    return list({i: t for i, t, *_ in rows if i is not None}.items())
+
+
+@pytest.mark.parametrize("name", sorted(entries.oracle_sql()))
+def test_query_matches_sql(llm, name):
+    assert compare(entries.queries()[name](llm, SF), duck(SF), entries.oracle_sql()[name]) is None
+
+
+# ------------------------------------------------------------------ 1 embeddings
+
+def test_embedding_links(llm):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(30, 48))
+    rows = []
+    for k in range(360):
+        x = base[k % 30] + rng.normal(size=48) * [0.05, 0.25, 0.33][k % 3]
+        rows.append((k, [float(v) for v in x.astype(np.float32)], k % 2, "clash"))
+    rows += [(k + 500, rows[7][1], 1, "x") for k in range(40)]                   # a third of one label alike
+    rows += [(900, None, 0, "x"), (901, [0.0] * 48, 0, "x"), (902, [math.nan] + [1.0] * 47, 0, "x"), (903, [], 0, "x"),
+             (904, [None] + [1.0] * 47, 0, "x"), (905, rows[0][1], None, "x"), (906, rows[0][1][:40], 0, "x"),
+             (None, rows[0][1], 0, "x"), (907, [math.inf] * 48, 0, "x")]
+    df = llm.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int, component_id string").repartition(3)
+    got = embedding_dedup.link_vectors(df, 0.93, name="t1").collect()
+    good = [r for r in rows if r[0] is not None and r[0] < 900]
+    v = np.array([r[1] for r in good], dtype=np.float32).astype(float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    label = np.array([r[2] for r in good])
+    hit = (v @ v.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(hit, False)
+    links = [(good[i][0], good[j][0]) for i, j in np.argwhere(hit)]
+    least = brute.components([r[0] for r in good], links)
+    n = dict(zip((r[0] for r in good), hit.sum(1).tolist()))
+    found = {r["vec_id"]: r for r in got}
+    assert len(got) == len(rows)
+    assert sum(found[i]["n_links"] for i in n) >= 0.999 * sum(n.values())   # recall
+    assert all(found[i]["n_links"] <= n[i] for i in n)                      # none below the threshold
+    assert {i: found[i]["component_id"] for i in n} == least
+    assert all(found[i]["kept"] == (i == least[i]) for i in n)
+    for i in range(900, 908):
+        assert (found[i]["n_links"], found[i]["component_id"], found[i]["kept"]) == (0, i, True)
+    assert (found[None]["n_links"], found[None]["component_id"], found[None]["kept"]) == (0, None, False)
+
+
+def test_no_embeddings(llm):
+    assert embedding_dedup.link_vectors(
+        llm.createDataFrame([], "vec_id bigint, embedding array<float>, label int"), name="t1e").collect() == []
+
+
+# -------------------------------------------------------------- 2 repeated bytes
+
+@pytest.mark.parametrize("split", [suffix_dedup.SPLIT, 1])
+def test_repeated_bytes(docs, rows, monkeypatch, split):
+    monkeypatch.setattr(suffix_dedup, "SPLIT", split)
+    got = suffix_dedup.remove_repeats(docs, 200, label="t2", with_text=True).collect()
+    want = brute.repeats([(k, t) for k, (_, t, *_) in enumerate(rows)])
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == \
+        Counter((rows[k][0], *w) for k, w in want.items())
+    assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in got)
+
+
+def test_repeat_groups_have_all_occurrences(llm):
+    rnd = np.random.default_rng(8)
+    part = lambda n: bytes(rnd.integers(97, 123, n).astype(np.uint8)).decode()
+    core = part(260)
+    texts = [(k, part(50 + k) + core + part(60)) for k in range(5)]
+    _, _, _, spans = suffix_dedup.find_repeats(llm.createDataFrame(texts, "doc_id bigint, text string"), 200,
+                                               label="t2g", all_members=True)
+    covered = defaultdict(set)
+    for r in spans.collect():
+        covered[r["id"]] |= set(range(r["start"], r["stop"]))
+    assert {k: (min(v), max(v) + 1) for k, v in covered.items()} == {k: (50 + k, 310 + k) for k, _ in texts}
+    members = {r["g"]: r["n"] for r in spans.groupBy("g").agg(F.countDistinct("id").alias("n")).collect()}
+    assert set(members.values()) == {5}
+
+
+# ------------------------------------------------------------------------ 3 urls
+
+def test_urls(llm):
+    urls = [None, "", "no scheme", "http://", "HTTP://Example.NET/en/x?y", "https://sub.example.net/en", "http://a.net/?q",
+            "http://net/x", "http://a.net", "http://xnet/", "http://example.com/de/1", "http://u.example.com/de?x",
+            "http://a.org/fr/", "http://a.org/frr/", "http://a.net:80/", "x://é.net/" + "p" * 50_000, "a://b.net/c://d.org/fr/"] * 2
+    df = llm.createDataFrame([(k, u, "clash") for k, u in enumerate(urls)], "page_id bigint, url string, rule string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df, entries.URL_RULES, label="t3").collect()}
+    for k, u in enumerate(urls):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
+        host, path = (brute.ascii_lower(m[1]), m[2]) if m else ("", "")
+        fits = [r for r in entries.URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fits, key=lambda r: len(r.key), default=None)
+        assert (got[k]["host"], got[k]["path"], got[k]["rule"], got[k]["verdict"]) == \
+            (host, path, best and best.key.rstrip() , best.verdict if best else "allow")
+
+
+def test_no_urls(llm):
+    assert url_filter.judge_urls(llm.createDataFrame([], "page_id bigint, url string"), entries.URL_RULES, label="t3e").collect() == []
+
+
+# -------------------------------------------------------------------- 4 language
+
+def test_language(llm, docs, none):
+    got = entries.queries()["op4_language_id"](llm, SF).join(
+        llm.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    out = [r for r in got if r["held_out"]]
+    assert {r["doc_id"] for r in out} == {r["doc_id"] for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2}
+    judged = [r for r in out if r["lang_pred"] != "und"]
+    assert sum(r["lang_pred"] == r["lang"] for r in judged) >= 0.95 * len(judged)
+    model = language_id.fit(docs)
+    hard = {r["doc_id"]: r for r in language_id.predict(docs, model).collect()}
+    for i in (9001, 9002, 9003, 9008):
+        assert (hard[i]["lang_pred"], hard[i]["score"]) == ("und", 0.0)
+    assert all(0 <= r["score"] <= 1 for r in hard.values()) and hard[None]["lang_pred"] in model.languages
+    assert language_id.predict(none, model).collect() == []
+    empty = language_id.fit(none)
+    assert {r["lang_pred"] for r in language_id.predict(docs, empty).collect()} == {"und"}
+
+
+# ------------------------------------------------------------- 5 and 7 tokenizers
+
+def test_token_counts(docs, rows, none):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = entries.tokenizer_file("piece_bpe_32k.model")
+    vocabulary = token_counts.load_piece_model(path)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    want = Counter()
+    for i, t, *_ in rows:
+        n = len(library.encode(t or ""))
+        want[(i, len((t or "").encode()), n, n > 4096)] += 1
+    got = token_counts.count_tokens(docs, vocabulary).collect()
+    assert Counter(tuple(r) for r in got) == want
+    assert token_counts.count_tokens(none, vocabulary).collect() == []
+
+
+def test_token_files(llm, docs, rows, none):
+    tokenizers = pytest.importorskip("tokenizers")
+    path, file = entries.tokenizer_file("byte_bpe_50k.json"), scratch_path(llm, "t7")
+    token_output.write_ids(docs, file, path, end_id=2, block_ids=5000)
+    got = token_output.read_documents(llm, file, with_ids=True).collect()
+    library = tokenizers.Tokenizer.from_file(path)
+    want, stream = [], []
+    for i, t in sorted(((i, t or "") for i, t, *_ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, len(stream), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids))
+        stream += ids
+    assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == want
+    for start, n in ((0, 10), (4990, 30), (len(stream) - 5, 5), (12_345, 20_000)):
+        assert token_output.read_range(llm, file, start, n).tolist() == stream[start:start + n]
+    empty = scratch_path(llm, "t7e")
+    token_output.write_ids(none, empty, path, end_id=2)
+    assert token_output.read_documents(llm, empty).collect() == []
+
+
+# ---------------------------------------------------------------- 6 similar lines
+
+def test_similar_lines(docs, named, none):
+    got = {r["doc_id"]: r for r in line_dedup.drop_lines(docs, label="t6", with_text=True).collect()}
+    want = brute.line_dedup([(i, t) for i, t in named] + [(-2**63, hard_rows()[-1][1])])
+    assert {i: (got[i]["n_lines"], got[i]["n_dropped"], got[i]["kept_sha256"]) for i, _ in named} == {i: want[i] for i, _ in named}
+    assert all(hashlib.sha256(r["kept"].encode()).hexdigest() == r["kept_sha256"] for r in got.values())
+    assert got[None]["n_dropped"] == 0
+    assert line_dedup.drop_lines(none, label="t6e").collect() == []
+
+
+# ------------------------------------------------------------------ 8 n-gram join
+
+def edited(rnd, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rnd.integers(len(words))] = f"w{rnd.integers(10**6)}"
+    return " ".join(words)
+
+
+def test_ngram_join(llm, docs, named, none):
+    rnd = np.random.default_rng(6)
+    extra = []
+    for group in range(12):   # families at all similarities around the threshold
+        base = [f"b{rnd.integers(10**6)}" for _ in range(rnd.integers(8, 160))]
+        extra += [edited(rnd, base, rnd.integers(0, max(1, len(base) // 12) + 1)) for _ in range(15)]
+    rows = [(20_000 + k, t) for k, t in enumerate(extra)]
+    both = docs.select("doc_id", "text").union(llm.createDataFrame(rows, "doc_id bigint, text string"))
+    got = ngram_join.link_sets(both, label="t8").collect()
+    want = brute.ngram_join(named + rows)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got}
+    assert {i: found[i] for i in want} == want
+    assert found[None] == (5, None) and len(got) == both.count()
+    assert ngram_join.link_sets(none, label="t8e").collect() == []
+
+
+# -------------------------------------------------------------- 9 decontamination
+
+def test_decontamination(llm, docs, rows, none):
+    bench = llm.createDataFrame(
+        [(1, "one two three, FOUR five six seven eight nine ten"), (2, "delta epsilon"), (3, None), (4, "!!"), (None, "some words"),
+         (10, "nine ten eleven twelve"), (1, "delta epsilon")], "item_id bigint, text string")
+    items = [(str(r[0]) if r[0] is not None else None, re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.ascii_lower(r[1] or "")))
+             for r in bench.collect()]
+    windows = [(i, w[a:a + 10]) for i, w in items if w for a in range(max(1, len(w) - 9))]
+    want = Counter()
+    for i, t, *_ in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.ascii_lower(t or ""))
+        hit, found = set(), set()
+        at = defaultdict(list)
+        for p, x in enumerate(w):
+            at[x].append(p)
+        for item, win in windows:
+            for p in at[win[0]]:
+                if w[p:p + len(win)] == win:
+                    hit |= set(range(p, p + len(win)))
+                    found.add(item)
+        want[(i, len(w), len(hit), tuple(sorted(x for x in found if x is not None)))] += 1
+    for block in (decontaminate.BLOCK, 2):
+        got = decontaminate.report(docs, bench, block=block).collect()
+        assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in got) == want
+    clean = decontaminate.decontaminate(docs, bench)
+    assert clean.columns == docs.columns
+    assert Counter(r["doc_id"] for r in clean.collect()) == Counter(k[0] for k, n in want.items() if not k[2] for _ in range(n))
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, bench, "spans").collect()}
+    assert cut[9006] == "" and cut[9007] == "" and cut[None] == "no id here but to look at"
+    assert cut[9005].startswith("alpha beta gamma alpha") and cut[9001] is None
+    assert decontaminate.report(none, bench).collect() == []
+    assert decontaminate.report(docs, bench.limit(0)).where("n_hit > 0").collect() == []
+
+
+# -------------------------------------------------------------------- 10 mixture
+
+def test_mixture(docs, rows, none):
+    options = dict(budget_ratio=1.0, max_repeats=2.0, blocks=16, label="t10")
+    mix = mixing.plan(docs, **options)
+    tokens = defaultdict(int)
+    for _, t, _, s in rows:
+        tokens[s] += len(re.findall(r"[ \t\n\x0b\f\r]*[^ \t\n\x0b\f\r]+", t or ""))
+    total = sum(tokens.values())
+    share = {s: n / total for s, n in tokens.items() if n}
+    weigh = lambda a: {s: p**a / sum(q**a for q in share.values()) for s, p in share.items()}
+    repeats = lambda a: max(w / share[s] for s, w in weigh(a).items())
+    low, high = 0.0, 1.0
+    if repeats(0.0) <= 2:
+        high = 0.0
+    for _ in range(60 if high else 0):
+        middle = (low + high) / 2
+        low, high = (low, middle) if repeats(middle) <= 2 else (middle, high)
+    assert mix.exponent == pytest.approx(high, abs=1e-6)
+    got = mixing.allot(docs.withColumn("n", mixing.word_count(F.col("text"))), mix, blocks=16).collect()
+    assert len(got) == len(rows)
+    given = defaultdict(int)
+    for r in got:
+        given[r["source"]] += r["copies"] * r["n"]
+    longest = max(r["n"] for r in got)
+    for s, w in weigh(mix.exponent).items():
+        assert w * mix.budget - 2 * longest <= given[s] <= w * mix.budget + 1
+    for s in tokens:   # no document is given more than once more often than another of its source
+        copies = {r["copies"] for r in got if r["source"] == s}
+        assert max(copies) - min(copies) <= 1
+    assert mixing.mixed(none, **options).collect() == []
+
+
+def test_mixture_entropy(docs):
+    mix = mixing.plan(docs, max_repeats=None, target_entropy=3.5, blocks=16, label="t10h")
+    w = [r["weight"] for r in mix.sources.where("weight > 0").collect()]
+    assert -sum(x * math.log2(x) for x in w) == pytest.approx(3.5, abs=1e-3) and sum(w) == pytest.approx(1)
+
+
+# ----------------------------------------------------------------------- pipeline
+
+def test_pipeline_stages(llm):
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    extra = llm.createDataFrame([(7001, None, None, "src1", 0), (7002, "12 34", "en", "src1", 5)], docs.schema)
+    kept = {r["doc_id"]: r["text"] for r in docs.collect()}
+    stage = dict(corpus_pipeline.STAGES)
+    one = stage["language ID"](llm, docs.union(extra), SF)
+    assert one.columns == docs.columns and {r["doc_id"] for r in one.collect()} == set(kept)
+    two = stage["n-gram Jaccard join"](llm, docs, SF)
+    want = brute.ngram_join(list(kept.items()))
+    assert two.columns == docs.columns and {r["doc_id"] for r in two.collect()} == {i for i, (_, c) in want.items() if i == c}
+    three = stage["benchmark decontamination"](llm, docs, SF)
+    dirty = duckdb_dirty()
+    assert three.columns == docs.columns and {r["doc_id"] for r in three.collect()} == set(kept) - dirty
+    four = stage["mixing sources to target weights"](llm, docs, SF)
+    assert four.columns == docs.columns and {r["doc_id"] for r in four.collect()} <= set(kept)
+    five = stage["token-ID output"](llm, four, SF)
+    assert Counter(r["doc_id"] for r in five.collect()) == Counter(r["doc_id"] for r in four.collect())
+
+
+def duckdb_dirty():
+    con = duck(SF)
+    return {r[0] for r in con.execute(f"SELECT doc_id FROM ({entries.oracle_sql()['op9_decontaminate']}) WHERE contaminated").fetchall()}
+
+
+def test_pipeline_of_nothing(llm, none):
+    docs = none.select("doc_id", "text", "lang", "source")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(llm, docs, SF)
+        assert out.collect() == []
