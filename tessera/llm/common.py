@@ -56,6 +56,24 @@ def fast_indices(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (a >> s).astype(np.int64), (b >> s).astype(np.int64)
 
 
+def text_slices(batch, column: str = "text", most: int = 1 << 21):
+    """Parts of an Arrow batch whose texts have about ``most`` bytes (one long text is a part of its own).
+
+    Only a part at a time is turned into Python strings, so a task's memory
+    does not follow the size of its batches.
+    """
+    import pyarrow.compute as pc
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+    first, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > first and total + size > most:
+            yield batch.slice(first, i - first)
+            first, total = i, 0
+        total += size
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 class IdFilter:
     """Bloom filter of ids with a fixed size (``2**bits`` bits, 2 MB by default), broadcast to the tasks.
 
@@ -81,9 +99,9 @@ class IdFilter:
 
         found = (ids.where(F.col(column).isNotNull()).select(F.col(column).cast("bigint"))
                  .mapInArrow(words, "at bigint, word bigint")
-                 .groupBy("at").agg(F.bit_or("word").alias("word")).toPandas())
+                 .groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
         packed = np.zeros((1 << bits) // 64, dtype=np.int64)
-        packed[found["at"].to_numpy(dtype=np.int64)] = found["word"].to_numpy(dtype=np.int64)
+        packed[found.column("at").to_numpy()] = found.column("word").to_numpy()
         self.shared = ids.sparkSession.sparkContext.broadcast(packed.view(np.uint8))
 
     def __getstate__(self):

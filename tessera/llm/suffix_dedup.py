@@ -40,13 +40,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IdFilter, materialise
+from .common import IdFilter, materialise, text_slices
 from .shingles import _BASE, _mix, _powers
 
 _U = np.uint64
 PIECE = 1 << 20
 SPLIT = 2000
-FILTER_BITS = 26
+FILTER_BITS = 25
 _BYTES = _mix(np.arange(1, 257, dtype=_U) * _U(0x9FB21C651E98DF25))
 
 
@@ -162,7 +162,7 @@ def _scan(texts: DataFrame, length: int, fn, schema: str) -> DataFrame:
     """``fn(batch, number, offset, bytes, Cells)`` gives record batches; texts has d, id, text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             data = [t.encode() for t in batch.column("text").to_pylist()]
             for number, offset, part, stops in _pieces(data, length):
                 cells = Cells(part, stops, length)
@@ -330,7 +330,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
 
     def cut(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             out = []
             for d, i, t, starts, stops in zip(*(batch.column(c).to_pylist() for c in ("d", "id", "text", "starts", "stops"))):
                 data = t.encode()

@@ -20,12 +20,14 @@ not grow with the square of its length.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_slices
+
 BLANK = "▁"
 LONG = 400
 #: Pre-tokens whose counts a task remembers; the memory is emptied beyond that.
@@ -249,17 +251,6 @@ def load_piece_model(path: str) -> PieceVocabulary:
     return vocabulary
 
 
-def _slices(texts: list[str], most: int = 4_000_000) -> Iterable[tuple[int, int]]:
-    first, total = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and total + len(t) > most:
-            yield first, i
-            first, total = i, 0
-        total += len(t)
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def count_tokens(docs: DataFrame, vocabulary: PieceVocabulary, limit: int = 4096, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for each row."""
@@ -269,9 +260,9 @@ def count_tokens(docs: DataFrame, vocabulary: PieceVocabulary, limit: int = 4096
     def count(batches):
         import pyarrow as pa
         counter = TokenCounter(shared.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             texts = batch.column("text").to_pylist()
-            n = [x for a, b in _slices(texts) for x in counter.counts(texts[a:b])]
+            n = list(counter.counts(texts))
             size = [len(t.encode()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(n, pa.int64()),
