@@ -130,17 +130,16 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 60) ->
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         f"{label}-edges")
     for _ in range(max_rounds):
-        hooked = e.groupBy("u").agg(F.count("*").alias("n"))
-        chained = e.select(F.col("v").alias("u")).distinct().join(e.select("u").distinct(), "u")
-        if hooked.where("n > 1").isEmpty() and chained.isEmpty():
-            roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
         least = materialise(
-            e.select(F.col("u").alias("node"), F.col("v").alias("m"))
-            .union(e.select(F.col("v").alias("node"), F.col("v").alias("m")))
-            .groupBy("node").agg(F.min("m").alias("m")), f"{label}-least")
+            e.select(F.col("u").alias("node"), F.col("v").alias("m"), F.lit(True).alias("down"))
+            .union(e.select(F.col("v").alias("node"), F.col("u").alias("m"), F.lit(False).alias("down")))
+            .groupBy("node").agg(F.least("node", F.min("m")).alias("m"), F.count_if("down").alias("lower"),
+                                 F.bool_or(~F.col("down")).alias("higher")), f"{label}-least")
+        # stars everywhere: every node has one lower neighbour and no higher one, or only higher ones
+        if least.where("lower > 1 or (lower = 1 and higher)").isEmpty():
+            return least.select("node", F.col("m").alias("component"))
         large = materialise(
-            e.join(least, e.v == least.node).select("u", F.col("m").alias("v")).distinct(),
+            e.join(least.select("node", "m"), F.col("v") == F.col("node")).select("u", F.col("m").alias("v")).distinct(),
             f"{label}-large")
         hook = materialise(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-hook")
         e = materialise(

@@ -4,9 +4,12 @@ Two texts link when ``100 * |A & B| >= percent * |A | B|``. No link is lost:
 
 1. Equal sets are one class from the start.
 2. Highly similar sets are found first by a few minima of their hashes: each
-   class is compared with the least class of each of its keys' groups (a star,
-   never all pairs), exactly. A class that links with such a leader follows it;
-   its overlap ``o`` with the leader leaves it ``a = n - o`` shingles of its own.
+   class is compared with one leader of each of its keys' groups (a star, never
+   all pairs), exactly; the leader is the class that shares keys with most
+   others. A class that links with such a leader follows it; its overlap ``o``
+   with the leader leaves it ``a = n - o`` shingles of its own. Groups in which
+   links were found go on for a few rounds with new leaders among those that
+   neither lead nor follow yet.
 3. The rest is a prefix-filter join. Shingles are ordered by how often the
    corpus has them, then by hash; if two sets link they share a shingle among
    the first ``n - ceil(n * percent / 100) + 1`` of each. Index lists are keyed by
@@ -17,11 +20,12 @@ Two texts link when ``100 * |A & B| >= percent * |A | B|``. No link is lost:
    the answers of everything that follows them are derived from it: sets x and
    y that follow them share at most ``o + a_x + a_y`` shingles, which settles
    nearly all pairs without looking at them. Only a pair of sets for which that
-   bound reaches the threshold is compared.
+   bound reaches the threshold, and which no other link has connected yet, is
+   compared.
 
 How often the corpus has a shingle is counted over every text, in the tasks,
-by counts of blocks of a few million shingles; those above a share of 2**-20 of
-all shingles (so there are at most 2**20 of them, whatever the corpus) are
+by blocks of a few million shingles, from two occurrences in a block on. The
+``COMMON`` most frequent ones (so the size is bounded, whatever the corpus) are
 gathered and broadcast. They only set the order: any order gives the same
 links, this one keeps common passages out of the prefixes.
 
@@ -35,18 +39,21 @@ used, so extra columns cannot clash.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IdFilter, connected_components, materialise
+from .common import IdFilter, connected_components, materialise, text_slices
 from .shingles import overlap, shingle_sets
 
-KEYS = 4
+KEYS = 8
 CHUNK = 1 << 22
-COMMON_SHARE = 20  # at most 2**20 shingles are called common
+COMMON = 1 << 20
+MARKS = 23
+ROUNDS = 4
 _U = np.uint64
 
 
@@ -80,13 +87,13 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
 
         def counted():
             tok, cnt = np.unique(np.concatenate(held), return_counts=True)
-            often = cnt >= 3
+            often = cnt >= 2
             k = int(often.sum())
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(k, pa.int64())] * 3 + [pa.nulls(k, pa.list_(pa.int64())),
                  pa.array(tok[often].view(np.int64)), pa.array(cnt[often].astype(np.int64))], schema=schema)
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             n, c, keys = [], [], []
             for tokens in shingle_sets(_texts(batch), words):
                 n.append(len(tokens))
@@ -111,13 +118,23 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
 
 def _common(profile: DataFrame) -> dict[str, np.ndarray]:
     """Common shingles, sorted, with the size class of their counts."""
-    total = profile.agg(F.sum("n")).first()[0] or 0
-    least = max(8, total >> COMMON_SHARE)
-    found = (profile.where("tok is not null").groupBy("tok").agg(F.sum("cnt").alias("cnt"))
-             .where(F.col("cnt") >= least).toPandas())
-    tok = found["tok"].to_numpy(dtype=np.int64).view(_U)
+    counts = profile.where("tok is not null").groupBy("tok").agg(F.sum("cnt").alias("cnt"))
+    # the least count that at most COMMON shingles reach; counts of counts are few
+    sizes = sorted(counts.groupBy(F.least("cnt", F.lit(100_000)).alias("cnt")).count().collect(), reverse=True)
+    least, reached = 2, 0
+    for size, n in sizes:
+        reached += n
+        if reached > COMMON:
+            least = size + 1
+            break
+    found = counts.where(F.col("cnt") >= least).limit(COMMON).toArrow()  # the limit only meets ties above 100,000
+    tok = found.column("tok").to_numpy().astype(np.int64).view(_U)
     order = np.argsort(tok)
-    return {"tok": tok[order], "often": np.log2(found["cnt"].to_numpy(dtype=np.float64))[order].astype(np.int64)}
+    tok = tok[order]
+    marks = np.zeros(1 << MARKS, dtype=bool)  # by leading bits: most shingles need no search
+    marks[tok >> _U(64 - MARKS)] = True
+    return {"tok": tok, "marks": marks,
+            "often": np.log2(found.column("cnt").to_numpy().astype(np.float64))[order].astype(np.int64)}
 
 
 def prefix(tokens: np.ndarray, common: dict[str, np.ndarray], percent: int) -> np.ndarray:
@@ -125,38 +142,40 @@ def prefix(tokens: np.ndarray, common: dict[str, np.ndarray], percent: int) -> n
     n = len(tokens)
     k = n - -(-n * percent // 100) + 1
     tok = common["tok"]
-    if len(tok):
-        at = np.minimum(np.searchsorted(tok, tokens), len(tok) - 1)
-        often = np.where(tok[at] == tokens, common["often"][at], 0)
-        if often.any():
-            return tokens[np.lexsort((tokens, often))][:k]
-    return tokens[:k]
-
+    marked = np.flatnonzero(common["marks"][tokens >> _U(64 - MARKS)])
+    at = np.minimum(np.searchsorted(tok, tokens[marked]), len(tok) - 1) if len(tok) else marked
+    hit = tok[at] == tokens[marked] if len(tok) else np.zeros(0, dtype=bool)
+    if not hit.any():
+        return tokens[:k]
+    often = np.zeros(n, dtype=np.int64)
+    often[marked[hit]] = common["often"][at[hit]]
+    rare = tokens[often == 0]
+    return rare[:k] if len(rare) >= k else tokens[np.lexsort((tokens, often))][:k]
 
-def _compare(pairs: DataFrame, docs: DataFrame, words: int, label: str) -> DataFrame:
-    """``pairs`` (ca, ida, cb, idb) with ``o``, the exact overlap of their sets.
 
-    Texts are joined to the pairs; a filter of the ids asked for keeps the
-    other texts out of the shuffle.
-    """
-    pairs = materialise(pairs, f"{label}-pairs")
-    asked = IdFilter(pairs.select(F.col("ida").alias("id")).union(pairs.select("idb")).distinct())
+def _fetch(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """Texts of the documents asked for (and a few more: the joins that follow are exact), from one scan."""
+    asked = IdFilter(ids)
 
     @F.pandas_udf("boolean")
     def wanted(ids: pd.Series) -> pd.Series:
         return pd.Series(asked.may_contain(ids.to_numpy(dtype=np.int64)))
 
-    texts = docs.where("id is not null").where(wanted("id"))
+    return materialise(docs.where("id is not null").where(wanted("id")), f"{label}-texts")
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, words: int, percent: int, label: str) -> DataFrame:
+    """``pairs`` (ca, ida, cb, idb) with ``o``, the exact overlap of their sets, and whether they link."""
+    pairs = materialise(pairs, f"{label}-pairs")
 
     def overlaps(batches):
         import pyarrow as pa
         known: dict[bytes, np.ndarray] = {}
         held = 0
-        for batch in batches:
-            ca, cb = batch.column("ca").to_pylist(), batch.column("cb").to_pylist()
-            ta, tb = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
+        for batch in (part for whole in batches for part in text_slices(whole, "ta")):
+            ca, ida, cb, idb, ta, tb = (batch.column(k).to_pylist() for k in ("ca", "ida", "cb", "idb", "ta", "tb"))
             out = []
-            for a, b, x, y in zip(ca, cb, ta, tb):
+            for a, i, b, j, x, y in zip(ca, ida, cb, idb, ta, tb):
                 new = [t for t, k in ((x, a), (y, b)) if k not in known]
                 if held > CHUNK:
                     known, held, new = {}, 0, [x, y]
@@ -164,14 +183,17 @@ def _compare(pairs: DataFrame, docs: DataFrame, words: int, label: str) -> DataF
                     known[set_key(s)] = s
                     held += len(s)
                 if a in known and b in known:  # else a row that repeats an id with another text
-                    out.append((a, b, overlap(known[a], known[b])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["ca", "cb", "o"])
+                    o = overlap(known[a], known[b])
+                    out.append((a, i, b, j, o, (100 + percent) * o >= percent * (len(known[a]) + len(known[b]))))
+            kinds = (*[pa.int64()] * 5, pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)],
+                                             ["ca", "ida", "cb", "idb", "o", "linked"])
 
     both = (pairs.join(texts.select(F.col("id").alias("ida"), F.col("text").alias("ta")), "ida")
             .join(texts.select(F.col("id").alias("idb"), F.col("text").alias("tb")), "idb")
-            .select("ca", "cb", "ta", "tb"))
-    return materialise(both.mapInArrow(overlaps, "ca bigint, cb bigint, o bigint"), f"{label}-overlaps")
+            .select("ca", "ida", "cb", "idb", "ta", "tb"))
+    return materialise(both.mapInArrow(overlaps, "ca bigint, ida bigint, cb bigint, idb bigint, o bigint, linked boolean"),
+                       f"{label}-overlaps")
 
 
 def _blocks_that_meet(batches, percent: int):
@@ -238,29 +260,50 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str =
     named = classes.select("c", "rep", "n")
 
     # 2. leaders
-    keyed = classes.select("c", "rep", "n", F.explode("keys").alias("key"))
-    heads = materialise(keyed.groupBy("key").agg(F.min(F.struct("rep", "c", "n")).alias("head"), F.count("*").alias("size"))
-                        .where("size > 1").select("key", "head.*")
-                        .select("key", F.col("rep").alias("idb"), F.col("c").alias("cb"), F.col("n").alias("nb")), f"{label}-heads")
     sized = lambda a, b: (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
-    stars = (keyed.join(heads, "key").where(F.col("c") != F.col("cb")).where(sized("n", "nb"))
-             .select(F.col("c").alias("ca"), F.col("rep").alias("ida"), "cb", "idb").distinct())
-    found = _compare(stars, docs, words, f"{label}-stars")
-    links = lambda df: _linked(df, named, percent)
-    close = materialise(links(found), f"{label}-close")
-    hold = (close.join(close.select(F.col("ca").alias("cb")).distinct(), "cb", "left_anti")
-            .groupBy("ca").agg(F.max(F.struct("o", "cb")).alias("best")))
+    loose = classes.select("c", "rep", "n", F.explode("keys").alias("key"))
+    sizes = materialise(loose.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), f"{label}-sizes")
+    grouped = materialise(loose.join(sizes, "key"), f"{label}-grouped")
+    # the class that shares its keys with most others is the likeliest to be near them all
+    liked = materialise(grouped.groupBy("c").agg(F.sum("size").alias("liked")), f"{label}-liked")
+    loose = materialise(grouped.drop("size").join(liked, "c"), f"{label}-loose")
+    texts = _fetch(docs, loose.select("rep").distinct(), f"{label}-stars")
+    close_rounds, held_rounds = [], []
+    for k in range(ROUNDS):
+        at = f"{label}-{k}"
+        heads = materialise(
+            loose.groupBy("key").agg(F.max(F.struct("liked", F.xxhash64("c", F.lit(k)), "rep", "c", "n")).alias("head"),
+                                     F.count("*").alias("size")).where("size > 1")
+            .select("key", F.col("head.rep").alias("idb"), F.col("head.c").alias("cb"), F.col("head.n").alias("nb")), f"{at}-heads")
+        stars = materialise(
+            loose.join(heads, "key").where(F.col("c") != F.col("cb")).where(sized("n", "nb"))
+            .select("key", F.col("c").alias("ca"), F.col("rep").alias("ida"), "cb", "idb"), f"{at}-stars")
+        close = _compare(stars.drop("key").distinct(), texts, words, percent, at).where("linked").drop("linked")
+        # of its leaders that follow none themselves, a class follows the most similar one
+        held = materialise(
+            close.join(close.select(F.col("ca").alias("cb")).distinct(), "cb", "left_anti")
+            .groupBy("ca").agg(F.max(F.struct("o", "cb")).alias("best"))
+            .select(F.col("ca").alias("c"), F.col("best.cb").alias("lead"), F.col("best.o").alias("o")), f"{at}-held")
+        close_rounds.append(close)
+        held_rounds.append(held)
+        if k + 1 == ROUNDS or held.isEmpty():
+            break
+        settled = held.select("c").union(held.select("lead")).distinct()
+        live = stars.join(close.select("ca", "cb"), ["ca", "cb"], "left_semi").select("key").distinct()
+        loose = materialise(loose.join(materialise(live, f"{at}-live"), "key", "left_semi")
+                            .join(materialise(settled, f"{at}-settled"), "c", "left_anti"), f"{at}-loose")
+    close, held = reduce(DataFrame.union, close_rounds), reduce(DataFrame.union, held_rounds)
     follow = materialise(
-        named.join(hold.withColumnRenamed("ca", "c"), "c", "left")
-        .select("c", "rep", "n", F.coalesce("best.cb", "c").alias("lead"),
-                F.coalesce(F.col("n") - F.col("best.o"), F.lit(0)).alias("own"))
+        named.join(held, "c", "left")
+        .select("c", "rep", "n", F.coalesce("lead", "c").alias("lead"),
+                F.coalesce(F.col("n") - F.col("o"), F.lit(0)).alias("own"))
         # x and y can only link if (100 + percent) * o >= slack(x) + slack(y)
         .withColumn("slack", percent * F.col("n") - (100 + percent) * F.col("own")), f"{label}-follow")
 
     # 3. index lists
     def entries(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             cs, leads = batch.column("c").to_pylist(), batch.column("lead").to_pylist()
             toks, lead, n, pos = [], [], [], []
             for tokens, c, at in zip(shingle_sets(_texts(batch), words), cs, leads):
@@ -278,22 +321,30 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str =
 
     index = (docs.join(follow.select(F.col("rep").alias("id"), "c", "lead"), "id").select("c", "lead", "text")
              .mapInArrow(entries, "tok bigint, lead bigint, n int, pos int"))
-    meeting = (index.repartition("tok").mapInArrow(lambda b: _blocks_that_meet(b, percent), "la bigint, lb bigint")
-               .distinct())
+    meeting = materialise(index.repartition("tok").mapInArrow(
+        lambda b: _blocks_that_meet(b, percent), "la bigint, lb bigint").distinct(), f"{label}-meeting")
+    # their texts, and those of all that follow them
+    texts = _fetch(docs, follow.join(meeting.select(F.col("la").alias("lead")).union(meeting.select("lb")).distinct(),
+                                     "lead").select("rep"), f"{label}-meeting")
 
     # 4. leaders' answers, and from them those of their followers
     lead_of = follow.where("lead = c").select("c", "rep")
     pairs = (meeting.join(lead_of.select(F.col("c").alias("la"), F.col("rep").alias("ida")), "la")
              .join(lead_of.select(F.col("c").alias("lb"), F.col("rep").alias("idb")), "lb")
              .select(F.col("la").alias("ca"), "ida", F.col("lb").alias("cb"), "idb"))
-    between = _compare(pairs, docs, words, f"{label}-between")
-    joined = materialise(links(between), f"{label}-joined")
+    between = _compare(pairs, texts, words, percent, f"{label}-between")
+    joined = between.where("linked")
     least = materialise(follow.groupBy("lead").agg(F.min("slack").alias("slack"), F.count("*").alias("size")), f"{label}-least")
     weight = 100 + percent
-    open_pairs = (between.join(joined.select("ca", "cb"), ["ca", "cb"], "left_anti")
+    by_id = lambda df: df.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    known = materialise(connected_components(by_id(close).union(by_id(joined)), f"{label}-known"), f"{label}-together")
+    group = lambda s: known.select(F.col("node").alias(f"id{s}"), F.col("component").alias(f"in{s}"))
+    open_pairs = (between.where("not linked")
                   .join(least.select(F.col("lead").alias("ca"), F.col("slack").alias("sa"), F.col("size").alias("ka")), "ca")
                   .join(least.select(F.col("lead").alias("cb"), F.col("slack").alias("sb"), F.col("size").alias("kb")), "cb")
                   .where((F.col("ka") + F.col("kb") > 2) & (weight * F.col("o") >= F.col("sa") + F.col("sb")))
+                  .join(group("a"), "ida", "left").join(group("b"), "idb", "left")
+                  .where(F.coalesce("ina", "ida") != F.coalesce("inb", "idb"))
                   .select("ca", "cb", "o", "sb"))
     member = lambda s: follow.select(*[F.col(k).alias(f"{k}{s}") for k in ("c", "rep", "n", "lead", "slack")])
     derived = (open_pairs.withColumnsRenamed({"ca": "leadx", "cb": "leady"})
@@ -301,27 +352,18 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str =
                .join(member("y"), "leady").where(weight * F.col("o") >= F.col("slackx") + F.col("slacky"))
                .where(sized("nx", "ny"))
                .select(F.col("cx").alias("ca"), F.col("repx").alias("ida"), F.col("cy").alias("cb"), F.col("repy").alias("idb")).distinct())
-    rest = links(_compare(derived, docs, words, f"{label}-derived"))
-
-    edges = close.select("ca", "cb").union(joined.select("ca", "cb")).union(rest.select("ca", "cb"))
-    by_id = (edges.join(named.select(F.col("c").alias("ca"), F.col("rep").alias("a")), "ca")
-             .join(named.select(F.col("c").alias("cb"), F.col("rep").alias("b")), "cb").select("a", "b"))
+    rest = _compare(derived, texts, words, percent, f"{label}-derived").where("linked")
     # an id with rows of several texts stands for all of their classes
-    several = rows.where("n > 0 and id is not null").select("id", "c").distinct().groupBy("id").agg(
-        F.collect_set("c").alias("cs")).where("size(cs) > 1").select("id", F.explode("cs").alias("c"))
-    by_id = by_id.union(several.join(named, "c").select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    components = materialise(connected_components(by_id, label), f"{label}-components")
+    several = rows.where("n > 0 and id is not null").groupBy("id").agg(
+        F.min("c").alias("c"), F.max("c").alias("d")).where("c <> d").select("id")
+    several = (rows.where("n > 0").select("id", "c").join(several, "id").join(named.select("c", "rep"), "c")
+               .select(F.col("id").alias("a"), F.col("rep").alias("b")))
+    more = materialise(by_id(rest).union(several), f"{label}-more")
+    components = known if more.isEmpty() else materialise(connected_components(
+        more.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), label), f"{label}-components")
     placed = materialise(named.join(components, F.col("rep") == F.col("node"), "left")
                          .select("c", F.coalesce("component", "rep").alias("component_id")), f"{label}-placed")
     return (rows.join(placed, "c", "left")
             .select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("id"))
                     .otherwise(F.col("component_id")).alias("component_id")))
-
-
-def _linked(found: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose overlap meets the threshold."""
-    return (found.join(named.select(F.col("c").alias("ca"), F.col("n").alias("na")), "ca")
-            .join(named.select(F.col("c").alias("cb"), F.col("n").alias("nb")), "cb")
-            .where((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb")))
-            .select("ca", "cb", "o").distinct())
