@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
 
 import numpy as np
 from pyspark import TaskContext
@@ -34,10 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import text_slices
+
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 16
 #: Pre-tokens whose ids a worker remembers; the memory is emptied beyond that.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 NO_DOC = -(2**63)
 
 BLOCK_SCHEMA = ("shard int, block int, first bigint, n_docs int, n_ids bigint, width int, "
@@ -100,11 +102,16 @@ class Encoder:
             if self.cuts and not self.DOUBTFUL.search(t) and not any(a in t for a in self.added):
                 cut[i] = self.PIECES.findall(t)
         known = self.known
-        new = list({p for pieces in cut.values() for p in pieces if p not in known})
+        fresh: set[str] = set()
+        for pieces in cut.values():
+            fresh.update(pieces)
+        fresh.difference_update(known.keys())
+        new = list(fresh)
         for a in range(0, len(new), 50_000):
             part = new[a:a + 50_000]
-            known.update((p, np.array(e.ids, dtype="<u4").tobytes())
-                         for p, e in zip(part, self.library.encode_batch(part, add_special_tokens=False)))
+            # the fast form leaves out offsets, which are not wanted here
+            known.update((p, array("I", e.ids).tobytes())
+                         for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)))
         for i, pieces in cut.items():
             out[i] = np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
         whole = [i for i in range(len(texts)) if i not in cut]
@@ -125,17 +132,6 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    first, total = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and total + len(t) > most:
-            yield first, i
-            first, total = i, 0
-        total += len(t)
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id",
               text: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Encode every row and write its ids, ``end_id`` appended, to ``path``.
@@ -166,17 +162,15 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: s
                 "payload": pack(ids, width)}], schema)
 
         tail = np.array([end_id], dtype="<u4")
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             texts = batch.column("text").to_pylist()
-            keys = batch.column("doc_id").to_pylist()
-            for a, b in _slices(texts):
-                for key, ids in zip(keys[a:b], enc.encode(texts[a:b])):
-                    names.append(NO_DOC if key is None else key)
-                    parts.append(np.concatenate([ids, tail]))
-                    held += len(ids) + 1
-                    if held >= block_ids:
-                        yield closed()
-                        names, parts, block, first, held = [], [], block + 1, first + held, 0
+            for key, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(texts)):
+                names.append(NO_DOC if key is None else key)
+                parts.append(np.concatenate([ids, tail]))
+                held += len(ids) + 1
+                if held >= block_ids:
+                    yield closed()
+                    names, parts, block, first, held = [], [], block + 1, first + held, 0
         if names:
             yield closed()
 
