@@ -13,9 +13,20 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_path
 
 
+#: Rows of an Arrow batch. Rows hold whole texts, so Spark's default of 10,000
+#: would take a few hundred MB of buffers on both sides of each worker.
+BATCH_ROWS = 2000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this library, once a session."""
+    """Give the executors' Python workers this library, once a session.
+
+    Also keeps Arrow batches small, unless the session has its own setting.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     if getattr(sc, "_tessera_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
