@@ -8,7 +8,7 @@ Two texts link when ``100 * |A & B| >= percent * |A | B|``. No link is lost:
    all pairs), exactly; the leader is the class that shares keys with most
    others. A class that links with such a leader follows it; its overlap ``o``
    with the leader leaves it ``a = n - o`` shingles of its own. Groups in which
-   links were found go on for a few rounds with new leaders among those that
+   links were found have another round with new leaders among those that
    neither lead nor follow yet.
 3. The rest is a prefix-filter join. Shingles are ordered by how often the
    corpus has them, then by hash; if two sets link they share a shingle among
@@ -53,7 +53,7 @@ KEYS = 8
 CHUNK = 1 << 22
 COMMON = 1 << 20
 MARKS = 23
-ROUNDS = 4
+ROUNDS = 2
 _U = np.uint64
 
 
