@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching (PPM).
 
 For each language a byte context tree of orders 0 to 3 is counted on a bounded,
-documented sample of labelled text. The code length of a byte after a context
+documented sample of labelled text (slices of distinct texts, see ``sample``). The code length of a byte after a context
 of up to three bytes is found by PPM with escape method C: a byte seen after
 the context costs ``-log2(count / (total + kinds))``; another one costs the
 escape ``-log2(kinds / (total + kinds))`` and is coded in the next shorter
@@ -27,8 +27,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_slices
+
 ORDER = 3
 SLICE = 1 << 20
+PIECE = 4096
 
 
 @dataclass
@@ -81,11 +84,15 @@ class ContextTrees:
         return self.lengths[row, c]
 
 
-def _ngram_counts(texts: pd.Series) -> pd.DataFrame:
-    """Counts of each byte after each context of ``ORDER`` bytes; 256 marks the start of a text."""
+def _ngram_counts(texts: pd.Series, inner: pd.Series | None = None) -> pd.DataFrame:
+    """Counts of each byte after each context of ``ORDER`` bytes; 256 marks the start of a text.
+
+    ``inner`` texts are cut from longer ones; their first ``ORDER`` bytes are only context.
+    """
     codes = []
-    for text in texts:
-        b = np.concatenate([np.full(ORDER, 256), np.frombuffer(text.encode(), np.uint8)]).astype(np.int64)
+    for text, cut in zip(texts, [False] * len(texts) if inner is None else inner):
+        raw = np.frombuffer(text.encode() if isinstance(text, str) else text, np.uint8)
+        b = (raw if cut else np.concatenate([np.full(ORDER, 256), raw])).astype(np.int64)
         code = b[ORDER:]
         for k in range(1, ORDER + 1):
             code = code + (b[ORDER - k:len(b) - k] << (9 * k))
@@ -94,33 +101,94 @@ def _ngram_counts(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"code": code, "n": n})
 
 
+def _lowest(most: int):
+    """Keeps, of the pieces of all batches, each once, those of lowest hash that fit ``most`` bytes a language, or the first."""
+
+    def kept(held: pd.DataFrame) -> pd.DataFrame:
+        held = held.drop_duplicates(["lang", "h"]).sort_values(["lang", "h"])
+        total = held.groupby("lang")["size"].cumsum()
+        return held[(total <= most) | (total == held["size"])]
+
+    def prune(batches):
+        held, new = None, []
+        for pdf in batches:
+            new.append(pdf)
+            if sum(map(len, new)) > 50_000:
+                held, new = kept(pd.concat([*([] if held is None else [held]), *new])), []
+        if new:
+            held = kept(pd.concat([*([] if held is None else [held]), *new]))
+        if held is not None:
+            yield held
+
+    return prune
+
+
+def sample(labelled: DataFrame, text: str = "text", lang: str = "lang",
+           max_bytes_per_language: int = 1_000_000, seed: int = 7) -> DataFrame:
+    """``lang, inner, piece``: the text a model is learned from, at most ``max_bytes_per_language`` each.
+
+    Texts are cut into pieces of ``PIECE`` bytes, and copies of a text count
+    once. A language gets its pieces of lowest hash (of the text and the piece's
+    number) up to the bound, so every language with a text has at least one, all
+    of them where they fit, and neither long nor repeated texts fill or empty
+    it. Tasks keep what fits the bound, so only that is shuffled. ``inner``
+    pieces begin with ``ORDER`` more bytes, the context of their first.
+    """
+    size = min(PIECE, max(1, max_bytes_per_language))
+    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+            .where("text is not null and lang is not null and octet_length(text) > 0")
+            .select("lang", "text", F.xxhash64("text", F.lit(seed)).alias("t"), F.octet_length("text").alias("bytes")))
+    numbers = F.sequence(F.lit(0), F.floor((F.col("bytes") - 1) / size).cast("int"))
+    pieces = (rows.select("lang", "t", "bytes", F.explode(numbers).alias("k"))
+              .select("lang", F.xxhash64("t", "k", F.lit(seed)).alias("h"),
+                      F.least(F.lit(size), F.col("bytes") - F.col("k") * size).cast("bigint").alias("size")))
+    kind, prune = "lang string, h bigint, size bigint", _lowest(max_bytes_per_language)
+    for keys in (("lang", "h"), ("lang",)):
+        pieces = pieces.mapInPandas(prune, kind).repartition(*keys)
+    limits = pieces.mapInPandas(prune, kind).groupBy("lang").agg(F.max("h").alias("most")).collect()
+    limits = labelled.sparkSession.createDataFrame([tuple(r) for r in limits], "lang string, most bigint")
+
+    def cut(batches):
+        import pyarrow as pa
+        seen = set()
+        for batch in (part for whole in batches for part in text_slices(whole)):
+            out = []
+            for name, t, x, ks in zip(*(batch.column(c).to_pylist() for c in ("lang", "t", "text", "ks"))):
+                ks = [k for k in ks if (name, t, k) not in seen]
+                seen.update((name, t, k) for k in ks)
+                raw = x.encode() if ks else b""
+                out += [(name, t, k, raw[max(0, k * size - ORDER):(k + 1) * size]) for k in ks]
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)],
+                                             ["lang", "t", "k", "piece"])
+
+    return (rows.join(F.broadcast(limits), "lang")
+            .select("lang", "t", "text", F.filter(numbers, lambda k: F.xxhash64("t", k, F.lit(seed)) <= F.col("most")).alias("ks"))
+            .where(F.size("ks") > 0)
+            .mapInArrow(cut, "lang string, t bigint, k int, piece binary")
+            .groupBy("lang", "t", "k").agg(F.first("piece").alias("piece"))
+            .select("lang", (F.col("k") > 0).alias("inner"), "piece"))
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
         max_bytes_per_language: int = 1_000_000, seed: int = 7) -> ContextTrees:
-    """Learn from the rows of ``labelled`` with a text and a language.
+    """Learn from a bounded ``sample`` of the rows of ``labelled`` with a text and a language.
 
-    ``max_bytes_per_language`` bounds the sample: where a language has more,
-    each text is taken with the probability that makes the bound the expected
-    size, decided by a hash of the text. Counts are summed in the tasks, so
-    the driver gets the trees (at most one count a sampled byte) and no text.
+    Counts are summed in the tasks, so the driver gets the trees (at most one
+    count a sampled byte) and no text.
     """
-    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-            .where("text is not null and lang is not null and octet_length(text) > 0"))
-    share = [(r["lang"], min(1.0, max_bytes_per_language / r["size"]))
-             for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()]
-    languages = sorted(name for name, _ in share)
-    if not languages:
-        return ContextTrees([], np.zeros(256, np.int32), np.zeros(1, np.int32), np.zeros((1, 1, 0), np.float32))
-    keep = labelled.sparkSession.createDataFrame(share, "lang string, p double")
-    draw = (F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30))
 
     def count(batches):
         for pdf in batches:
             for name, part in pdf.groupby("lang"):
-                yield _ngram_counts(part["text"]).assign(lang=name)
+                yield _ngram_counts(part["piece"], part["inner"]).assign(lang=name)
 
-    counts = (rows.join(F.broadcast(keep), "lang").where(draw < F.col("p")).select("lang", "text")
+    counts = (sample(labelled, text, lang, max_bytes_per_language, seed)
               .mapInPandas(count, "code bigint, n bigint, lang string")
               .groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas())
+    languages = sorted(counts["lang"].unique())
+    if not languages:
+        return ContextTrees([], np.zeros(256, np.int32), np.zeros(1, np.int32), np.zeros((1, 1, 0), np.float32))
     return _trees(languages, counts)
 
 

@@ -201,6 +201,29 @@ def test_token_files(llm, docs, rows, none):
     assert token_output.read_documents(llm, empty).collect() == []
 
 
+def test_language_sample(llm):
+    rng = np.random.default_rng(3)
+    alphabet = {"copies": "abcdef ", "long": "fghijk ", "usual": "klmnop ", "one": "pqrstu "}
+    words = lambda name, n: "".join(rng.choice(list(alphabet[name]), n))
+    copied = words("copies", 2000)
+    train = ([("copies", copied)] * 200 + [("long", words("long", 100_000)) for _ in range(3)]
+             + [("usual", words("usual", 500)) for _ in range(300)] + [("one", "pqr stu")])
+    labelled = llm.createDataFrame(train, "lang string, text string").repartition(5)
+    parts = language_id.sample(labelled, max_bytes_per_language=20_000).collect()
+    size, inner = Counter(), Counter()
+    for r in parts:
+        size[r["lang"]] += len(r["piece"]) - language_id.ORDER * r["inner"]
+        inner[r["lang"]] += r["inner"]
+        assert any(bytes(r["piece"]).decode() in t for name, t in train if name == r["lang"])
+    assert size["copies"] == 2000 and size["one"] == 7 and inner["long"] > 0
+    assert all(20_000 - language_id.PIECE < size[name] <= 20_000 for name in ("long", "usual"))
+    model = language_id.fit(labelled, max_bytes_per_language=20_000)
+    assert model.languages == sorted(alphabet)
+    held = llm.createDataFrame([(name, words(name, 300)) for name in alphabet], "lang string, text string")
+    got = {r["lang"]: r["lang_pred"] for r in language_id.predict(held, model).collect()}
+    assert got == {name: name for name in alphabet}
+
+
 # ---------------------------------------------------------------- 6 similar lines
 
 def test_similar_lines(docs, named, none):
