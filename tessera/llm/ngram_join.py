@@ -247,7 +247,12 @@ def _blocks_that_meet(batches, percent: int):
 
 def link_sets(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text",
               label: str = "ngrams") -> DataFrame:
-    """One row a document: ``doc_id, n_shingles, component_id`` (least id reachable by links)."""
+    """One row a document: ``doc_id, n_shingles, component_id`` (least id reachable by links).
+
+    These are the classes that the links make, and not the links: pairs that
+    are in one component already are not compared, so neither the links nor
+    their number is known.
+    """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     spark = docs.sparkSession
     profile = materialise(_profile(docs, words), f"{label}-profile")
