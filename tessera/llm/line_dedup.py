@@ -3,12 +3,18 @@
 Lines are compared by the Jaccard similarity of their character shingles (the
 whole line if it is shorter). Signatures of ``BANDS`` times ``ROWS`` minima are
 banded; equal lines share everything and are one class. In each bucket every
-class is compared with one leader, which differs from band to band (so never
-all pairs), exactly, on the lines' texts. Links join classes by distributed
-union-find, and of each component's lines only the first is kept, by document
-id and line number.
-
-At a similarity of 0.75 a pair shares a bucket with probability 0.997.
+class is compared with one leader, which differs from band to band, exactly, on
+the lines' texts. Links join classes by distributed union-find. A bucket whose
+other members are then in one component is settled. In the rest every pair
+whose ends the leaders have not joined is compared exactly too: the bucket is
+dealt into blocks of bounded size, each pair of blocks is a task's work of its
+own, and overlaps are counted over the blocks' shingles, so pairs are no rows.
+Of each component's lines only the first is kept, by document id and line
+number.
+
+So every pair that shares a bucket is compared or connected by links. At a
+similarity of 0.75 a pair shares one with probability 0.997 (more above it);
+pairs that share none are found only through other lines.
 
 Defined results: a line without any visible character is structure: it is kept
 and not compared. Null texts have no lines; the empty text has one such line.
@@ -35,6 +41,8 @@ _U = np.uint64
 _FACTORS = (_mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0xC6BC279692B5C323)) >> _U(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (_mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0xE7037ED1A0B428DB)) >> _U(32)).astype(np.uint32)
 FILTER_BITS = 25
+BLOCK_LINES, BLOCK_CHARS = 1024, 1 << 20
+CELLS = 1 << 22
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +82,68 @@ def similar(a: str, b: str, percent: int) -> bool:
     return 100 * o >= percent * (len(x) + len(y) - o)
 
 
+def close_pairs(lines: list[str], group: np.ndarray, side: np.ndarray, component: np.ndarray,
+                percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the lines of each similar pair within a group that differ in component.
+
+    Lines come by group. Where a group has two sides, pairs are made across them.
+    Pairs within a group's largest component are not looked at.
+    """
+    m = len(lines)
+    _, known, size = np.unique(np.stack([group, component]), axis=1, return_inverse=True, return_counts=True)
+    known = known.ravel()
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    place = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [m]])))
+    order = np.lexsort((size[known], place))
+    large = known == known[order[np.concatenate([starts[1:], [m]]) - 1]][place]
+    crossed = (np.minimum.reduceat(side, starts) != np.maximum.reduceat(side, starts))[place]
+    kind = 2 * (side * crossed) + large  # order of a shingle's list: sides, and in each the largest component last
+
+    hashes, first = shingle_hashes(lines)
+    line = np.repeat(np.arange(m), np.diff(np.concatenate([first, [len(hashes)]])))
+    token = _mix(hashes + _mix(place[line].astype(_U) + _U(1)))  # groups share none
+    order = np.lexsort((line, kind[line], token))
+    token, line = token[order], line[order]
+    new = np.ones(len(token), dtype=bool)  # a shingle of a line once
+    new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
+    token, line = token[new], line[new]
+    n = np.bincount(line, minlength=m)
+    heads = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    at = np.repeat(np.arange(len(heads)), np.diff(np.concatenate([heads, [len(token)]])))
+    of = np.bincount(4 * at + kind[line], minlength=4 * len(heads)).reshape(-1, 4)
+    ends = (heads[:, None] + np.cumsum(of, axis=1))[at]  # of each kind in the shingle's list
+    k, two = kind[line], crossed[line]
+    left = np.where(two, ends[:, 1], np.arange(len(token)) + 1)
+    right = np.where(two & (k == 1), ends[:, 2], ends[:, 3])
+    right = np.where(np.where(two, k < 2, k == 0), right, left)
+    use = np.flatnonzero(right > left)
+    use = use[np.argsort(line[use], kind="stable")]
+    left, many, asks = left[use], (right - left)[use], line[use]
+
+    out_a, out_b = [], []
+    bounds = np.flatnonzero(np.concatenate([[True], asks[1:] != asks[:-1], [True]])) if len(asks) else np.zeros(1, np.int64)
+    total = np.concatenate([[0], np.cumsum(many)])
+    i = 0
+    while i + 1 < len(bounds):
+        j = i + 1  # a few asking lines at a time
+        while j + 1 < len(bounds) and (j + 1 - i) * m <= CELLS and total[bounds[j + 1]] - total[bounds[i]] <= CELLS:
+            j += 1
+        x, y = bounds[i], bounds[j]
+        width = many[x:y]
+        spots = np.arange(total[y] - total[x]) + np.repeat(left[x:y] - (total[x:y] - total[x]), width)
+        asking = asks[bounds[i:j]]
+        row = np.repeat(np.repeat(np.arange(j - i), np.diff(bounds[i:j + 1])), width)
+        o = np.bincount(row * m + line[spots], minlength=(j - i) * m)
+        cell = np.flatnonzero(o)
+        a, b, o = asking[cell // m], cell % m, o[cell]
+        hit = (100 * o >= percent * (n[a] + n[b] - o)) & (component[a] != component[b])
+        out_a.append(a[hit])
+        out_b.append(b[hit])
+        i = j
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(out_a or none), np.concatenate(out_b or none)
+
+
 def _lines(text: str) -> list[tuple[int, str]]:
     """Lines with a visible character, by number."""
     return [(i, x) for i, x in enumerate(text.split("\n")) if x and not x.isspace()]
@@ -132,9 +202,10 @@ def drop_lines(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text:
         hit = shared.may_contain(flat).reshape(len(bands), BANDS)
         return pd.Series([row[k] for row, k in zip(flat.reshape(len(bands), BANDS), hit)])
 
-    stars = materialise(
+    members = materialise(
         lines.where("bands is not null").select("key", F.explode(crowded("bands")).alias("bucket"))
-        .join(heads, "bucket").where("key <> lead").select("key", "lead").distinct(), f"{label}-stars")
+        .join(heads, "bucket").where("key <> lead").select("key", "bucket", "lead").distinct(), f"{label}-members")
+    stars = materialise(members.select("key", "lead").distinct(), f"{label}-stars")
     asked = IdFilter(stars.select("key").union(stars.select("lead")).distinct(), FILTER_BITS)
 
     def fetch(batches):
@@ -143,10 +214,11 @@ def drop_lines(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text:
             lines = list({x for t in batch.column("text").to_pylist() for _, x in _lines(t)})
             keys = line_keys(lines)
             hit = np.flatnonzero(asked.may_contain(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array([lines[i] for i in hit], pa.string())], ["key", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array([lines[i] for i in hit], pa.string()),
+                                              pa.array([len(lines[i]) for i in hit], pa.int64())], ["key", "line", "size"])
 
-    texts = materialise(own.select("text").mapInArrow(fetch, "key bigint, line string")
-                        .groupBy("key").agg(F.first("line").alias("line")), f"{label}-texts")
+    texts = materialise(own.select("text").mapInArrow(fetch, "key bigint, line string, size bigint")
+                        .groupBy("key").agg(F.first("line").alias("line"), F.first("size").alias("size")), f"{label}-texts")
 
     def verify(batches):
         import pyarrow as pa
@@ -157,7 +229,54 @@ def drop_lines(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text:
     edges = materialise(
         stars.join(texts, "key").join(texts.select(F.col("key").alias("lead"), F.col("line").alias("lead_line")), "lead")
         .select("key", "lead", "line", "lead_line").mapInArrow(verify, "a bigint, b bigint"), f"{label}-edges")
-    components = materialise(connected_components(edges, label), f"{label}-components")
+    led = materialise(connected_components(edges, f"{label}-led"), f"{label}-known")
+
+    # what the leaders leave open
+    inside = materialise(
+        members.select("key", "bucket").join(led, F.col("key") == F.col("node"), "left")
+        .join(texts.select("key", "size"), "key")
+        .select("key", "bucket", "size", F.coalesce("component", "key").alias("component")), f"{label}-inside")
+    unsettled = materialise(
+        inside.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size"),
+                                     F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most")
+        .select("bucket", F.ceil(F.greatest(F.col("n") / BLOCK_LINES, F.col("size") / BLOCK_CHARS)).cast("int").alias("blocks")),
+        f"{label}-unsettled")
+    block = F.pmod(F.xxhash64("key", "bucket"), "blocks").cast("int")
+    dealt = (inside.join(unsettled, "bucket").withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", "bucket", "component", "block", F.least("block", "other").alias("lo"),
+                     F.greatest("block", "other").alias("hi")))
+
+    def across(batches):
+        import pyarrow as pa
+
+        def compared(rows):
+            _, group = np.unique(np.array([r[:3] for r in rows], dtype=np.int64), axis=0, return_inverse=True)
+            group = group.ravel()
+            order = np.argsort(group, kind="stable")
+            rows, group = [rows[i] for i in order], group[order]
+            key = np.array([r[4] for r in rows], dtype=np.int64)
+            a, b = close_pairs([r[6] for r in rows], group, np.array([int(r[3] != r[1]) for r in rows]),
+                               np.array([r[5] for r in rows], dtype=np.int64), percent)
+            return pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(key[b])], ["a", "b"])
+
+        held, chars = [], 0  # whole groups, and one that may go on
+        for batch in (part for whole in batches for part in text_slices(whole, "line")):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "block", "key", "component", "line"))):
+                if held and held[-1][:3] != row[:3] and (len(held) >= BLOCK_LINES or chars >= BLOCK_CHARS):
+                    yield compared(held)
+                    held, chars = [], 0
+                held.append(row)
+                chars += len(row[6])
+        if held:
+            yield compared(held)
+
+    further = materialise(
+        dealt.join(texts.select("key", "line"), "key").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+        .mapInArrow(across, "a bigint, b bigint").distinct(), f"{label}-further")
+    components = led if further.isEmpty() else materialise(connected_components(
+        further.union(led.select(F.col("node").alias("a"), F.col("component").alias("b"))), label), f"{label}-components")
     placed = materialise(
         lines.join(components, F.col("key") == F.col("node"), "left")
         .select("d", "id", "line", F.coalesce("component", "key").alias("component")), f"{label}-placed")

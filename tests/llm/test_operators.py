@@ -334,6 +334,34 @@ def test_mixture_entropy(docs):
     assert -sum(x * math.log2(x) for x in w) == pytest.approx(3.5, abs=1e-3) and sum(w) == pytest.approx(1)
 
 
+def line_family(pairs, seed):
+    """Lines of one template, about 0.6 alike, and a partner of 0.75 to 0.85 for each."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    template = rng.choice(letters, 150)
+
+    def edited(line, n):
+        line = line.copy()
+        line[rng.choice(np.arange(8, 142), n, replace=False)] = rng.choice(np.array(list("0123456789")), n)
+        return line
+
+    out = []
+    for _ in range(pairs):
+        one = edited(template, 2)
+        out += ["".join(one), "".join(edited(one, 2))]
+    return out
+
+
+@pytest.mark.parametrize("block_lines", [line_dedup.BLOCK_LINES, 16])
+def test_lines_of_one_template(llm, monkeypatch, block_lines):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", block_lines)
+    lines = line_family(150, 5)
+    docs = [(i, "\n".join(lines[i::60])) for i in range(60)]
+    got = line_dedup.drop_lines(llm.createDataFrame(docs, "doc_id bigint, text string").repartition(3),
+                                label=f"t6f{block_lines}").collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in got} == brute.line_dedup(docs)
+
+
 # ----------------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(llm):

@@ -186,3 +186,25 @@ def test_code_lengths_by_hand():
     whole = trees.code_lengths([long])[0, 0]
     per = (trees.code_lengths([b"ab" * 40])[0, 0] - trees.code_lengths([b"ab" * 30])[0, 0]) / 10
     assert whole == pytest.approx(per * len(long) / 2, rel=1e-3)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_close_pairs(seed):
+    rng = np.random.default_rng(seed)
+    group, lines, component, side = [], [], [], []
+    for g, size in enumerate((1, 2, 9, 40)):
+        base = rng.choice(list("abcdef"), 60)
+        for k in range(size):
+            line = base.copy()
+            line[rng.integers(0, 60, 2)] = rng.choice(list("xyz"), 2)
+            lines.append("".join(line[:rng.integers(40, 61)]))
+            group.append(g)
+            component.append(int(rng.integers(0, 3)) if k % 2 else 100 + k)
+            side.append(int(rng.integers(0, 2)) if g % 2 else 0)
+    a, b = line_dedup.close_pairs(lines, np.array(group), np.array(side), np.array(component), 75)
+    got = [tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())]
+    two = {g: len({s for s, h in zip(side, group) if h == g}) == 2 for g in group}
+    want = {(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))
+            if group[i] == group[j] and component[i] != component[j] and not (two[group[i]] and side[i] == side[j])
+            and line_dedup.similar(lines[i], lines[j], 75)}
+    assert set(got) == want and len(got) == len(want) and want
