@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import (decontaminate, embedding_dedup, language_id, line_dedup, mixing, ngram_join, suffix_dedup,
-               token_counts, token_output, url_filter)
+from . import (decontaminate, embedding_dedup, importance, language_id, line_dedup, mixing, ngram_join, packing,
+               source_audit, suffix_dedup, token_counts, token_output, url_filter)
 from .common import read, ship
 
 URL_RULES = [
@@ -93,7 +93,26 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_QUERIES = (op1_embedding_dedup, op2_suffix_dedup, op3_url_filter, op4_language_id, op5_token_counts, op6_line_dedup, op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing)
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of at most 4096 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1, limit=4096)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the 5 % drawn by it."""
+    rows = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=3, buckets=10_000,
+                               percent=5, least_words=20, seed=42)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every language's sources from each other, and the terms that tell them apart."""
+    return source_audit.audit(read(spark, sf_dir, "documents"), least=3, top=200)
+
+
+_QUERIES = (op1_embedding_dedup, op2_suffix_dedup, op3_url_filter, op4_language_id, op5_token_counts, op6_line_dedup,
+            op7_token_output, op8_ngram_join, op9_decontaminate, op10_mixing, op11_packing, op12_importance,
+            op13_source_audit)
 
 
 def _shipped(query):
@@ -157,4 +176,86 @@ def oracle_sql() -> dict[str, str]:
             SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
             FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+        # bucket of a feature: the table-driven CRC-32 over its bytes
+        "op12_importance": r"""
+            WITH tab AS (
+                SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1
+                    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+                FROM (SELECT unnest(range(256)) AS b)),
+            d AS (
+                SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+            b AS (
+                SELECT list_filter(string_split_regex(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+            df AS (
+                SELECT rid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM d),
+            bf AS (
+                SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM b),
+            dn AS (SELECT f, count(*) AS n FROM df GROUP BY f),
+            bn AS (SELECT f, count(*) AS n FROM bf GROUP BY f),
+            names AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM dn UNION SELECT f FROM bn)),
+            coded AS (
+                SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(1, len(h), 2),
+                    lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])),
+                    4294967295) % 10000 AS bucket
+                FROM names, tab),
+            s AS (SELECT bucket, sum(n) AS n FROM dn JOIN coded USING (f) GROUP BY bucket),
+            t AS (SELECT bucket, sum(n) AS n FROM bn JOIN coded USING (f) GROUP BY bucket),
+            totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS all_s, (SELECT coalesce(sum(n), 0) FROM t) AS all_t),
+            gain AS (
+                SELECT k AS bucket, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * (all_s + 10000)) /
+                    (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * (all_t + 10000)))) AS BIGINT) AS gain
+                FROM (SELECT unnest(range(10000)) AS k), totals LEFT JOIN s ON s.bucket = k LEFT JOIN t ON t.bucket = k),
+            weights AS (
+                SELECT rid, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+                FROM df JOIN coded USING (f) JOIN gain USING (bucket) GROUP BY rid),
+            scored AS (
+                SELECT rid, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                       coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' ||
+                           coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296)))
+                           AS BIGINT) AS score
+                FROM d LEFT JOIN weights USING (rid)),
+            drawn AS (
+                SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank,
+                       5 * count(*) OVER () // 100 AS most
+                FROM scored WHERE n_words >= 20)
+            SELECT doc_id, n_features, weight, score, CASE WHEN rank <= most THEN rank END AS rank
+            FROM scored LEFT JOIN drawn USING (rid)""",
+        "op13_source_audit": r"""
+            WITH d AS (
+                SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                       list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+                FROM documents),
+            c AS (
+                SELECT lang, source, rid, term, count(*) AS n
+                FROM (SELECT lang, source, rid, unnest(w) AS term FROM d) GROUP BY ALL),
+            kept AS (SELECT lang, term, sum(n) AS lang_n FROM c GROUP BY ALL HAVING count(*) >= 3),
+            v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+            g AS (SELECT DISTINCT lang, source FROM d),
+            n AS (SELECT lang, source, term, sum(n) AS n FROM c GROUP BY ALL),
+            p AS (
+                SELECT lang, source, term, coalesce(n, 0) AS n,
+                       CAST(1 + (1000000000 * (coalesce(n, 0) + 1)) //
+                           (sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) + v) AS BIGINT) AS p,
+                       CAST(1 + (1000000000 * (lang_n + 1)) // (lang_total + v) AS BIGINT) AS q
+                FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term)),
+            pairs AS (
+                SELECT lang, a.source AS source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+                FROM p AS a JOIN p AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+            parts AS (
+                SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+                FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+                UNION ALL
+                SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+            ranked AS (
+                SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+                FROM parts)
+            SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
     }
