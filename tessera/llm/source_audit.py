@@ -66,7 +66,8 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",
+                size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """``(lang, source, term, n, df)``, and the occurring ``(lang, source)`` groups."""
     empty = F.lit("")
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), empty).alias("lang"),
@@ -77,16 +78,16 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     copies = materialise(keyed.groupBy("lang", "h", "source").agg(F.count("*").alias("n")), "copies")
     texts = keyed.groupBy("lang", "h").agg(F.first("text").alias("text"))
     groups = materialise(copies.select("lang", "source").distinct(), "groups")
-    # a text's sources are one list, or lists of about BLOCK where a language has more sources than that
+    # a text's sources are one list, or lists of about ``size`` where a language has more sources than that
     most = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
-    by_text = copies.groupBy("lang", "h", F.pmod(F.xxhash64("source"), F.lit(1 + most // BLOCK)).alias("part")).agg(
+    by_text = copies.groupBy("lang", "h", F.pmod(F.xxhash64("source"), F.lit(1 + most // size)).alias("part")).agg(
         F.collect_list(F.struct("source", "n")).alias("copies"))
     each = texts.join(by_text, ["lang", "h"]).select("lang", "copies", "text")
 
     def count(batches):
         import pyarrow as pa
         held: dict[tuple[str, str], dict] = defaultdict(dict)
-        size = 0
+        held_terms = 0
 
         def told():
             for (name, origin), terms in held.items():
@@ -100,15 +101,15 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
                 found = Counter(t.encode().translate(LETTERS).split())
                 for place in places:
                     into, times = held[name, place["source"]], place["n"]
-                    size -= len(into)
+                    held_terms -= len(into)
                     for term, k in found.items():
                         old = into.get(term)
                         into[term] = (k * times, times) if old is None else (old[0] + k * times, old[1] + times)
-                    size += len(into)
-                if size > HELD:
+                    held_terms += len(into)
+                if held_terms > HELD:
                     yield from told()
                     held.clear()
-                    size = 0
+                    held_terms = 0
         yield from told()
 
     counted = each.mapInArrow(count, "lang string, source string, term string, n bigint, df bigint")
@@ -117,38 +118,40 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     return summed, groups
 
 
-def _sums(matrices: dict):
-    """Rows of the block matrices that a task has summed."""
-    import pyarrow as pa
-    for (lang, a, b), m in matrices.items():
-        x, y = np.nonzero(m)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(x)), pa.array(a * BLOCK + x), pa.array(b * BLOCK + y), pa.array(m[x, y])],
-            ["lang", "a", "b", "value"])
-
-
 SUM_SCHEMA = "lang string, a bigint, b bigint, value bigint"
 
 
-def _shared_terms(batches):
-    """Last sum of the sparse form: one row holds a term's counts in two blocks of sources."""
-    matrices: dict = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            key = row["lang"], row["block_a"], row["block_b"]
-            if key not in matrices:
-                if len(matrices) >= 32:
-                    yield from _sums(matrices)
-                    matrices.clear()
-                matrices[key] = np.zeros((BLOCK, BLOCK), dtype=np.int64)
-            v = row["v"]
-            i, n, total = (np.array([x[k] for x in row["in_a"]], dtype=np.int64) for k in ("id", "n", "total"))
-            j, m, other = (np.array([x[k] for x in row["in_b"]], dtype=np.int64) for k in ("id", "n", "total"))
-            p, p0 = shares(n, total + v)[:, None], shares(n * 0, total + v)[:, None]
-            q, q0 = shares(m, other + v)[None, :], shares(m * 0, other + v)[None, :]
-            matrices[key][np.ix_(i % BLOCK, j % BLOCK)] += (
-                divergence(p, q) - divergence(p, q0) - divergence(p0, q) + divergence(p0, q0))
-    yield from _sums(matrices)
+def _shared_terms(size: int):
+    """Last sum of the sparse form: one row holds a term's counts in two blocks of ``size`` sources."""
+
+    def told(matrices):
+        import pyarrow as pa
+        for (lang, a, b), m in matrices.items():
+            x, y = np.nonzero(m)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(x)), pa.array(a * size + x), pa.array(b * size + y), pa.array(m[x, y])],
+                ["lang", "a", "b", "value"])
+
+    def add(batches):
+        matrices: dict = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = row["lang"], row["block_a"], row["block_b"]
+                if key not in matrices:
+                    if len(matrices) >= 32:
+                        yield from told(matrices)
+                        matrices.clear()
+                    matrices[key] = np.zeros((size, size), dtype=np.int64)
+                v = row["v"]
+                i, n, total = (np.array([x[k] for x in row["in_a"]], dtype=np.int64) for k in ("id", "n", "total"))
+                j, m, other = (np.array([x[k] for x in row["in_b"]], dtype=np.int64) for k in ("id", "n", "total"))
+                p, p0 = shares(n, total + v)[:, None], shares(n * 0, total + v)[:, None]
+                q, q0 = shares(m, other + v)[None, :], shares(m * 0, other + v)[None, :]
+                matrices[key][np.ix_(i % size, j % size)] += (
+                    divergence(p, q) - divergence(p, q0) - divergence(p0, q) + divergence(p0, q0))
+        yield from told(matrices)
+
+    return add
 
 
 def _single_terms(batches):
@@ -188,14 +191,15 @@ def _absent_terms(batches):
 
 
 def audit(docs: DataFrame, least: int = 3, top: int = 200, lang: str = "lang", source: str = "source",
-          text: str = "text") -> DataFrame:
+          text: str = "text", size: int = BLOCK) -> DataFrame:
     """``lang, source, part, item, value, rank`` for the parts ``pair`` and ``term``.
 
     ``pair``: the divergence of the source from each other source of its
     language. ``term``: the ``top`` terms by which the source exceeds its
     language. Ranks go from the greatest value down, ties by the item's bytes.
+    ``size``: sources in a block.
     """
-    counts, groups = term_counts(docs, lang, source, text)
+    counts, groups = term_counts(docs, lang, source, text, size)
     kept = materialise(counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("df").alias("df"))
                        .where(F.col("df") >= least).drop("df"), "kept")
     langs = materialise(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "langs")
@@ -208,13 +212,12 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200, lang: str = "lang", s
                 "lang_total", (F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1).cast("bigint").alias("id")),
         "sources")
 
-    block = (F.col("id") / BLOCK).cast("int")
+    block = F.floor(F.col("id") / size).cast("int")
     blocks = named.groupBy("lang", "v", block.alias("block")).agg(F.collect_list(F.struct("id", "total")).alias("others"))
-    # a source's terms by count, in rows of at most BLOCK different counts
+    # a source's terms by count; a source of N words has at most sqrt(2 N) different counts, here in 64 rows
     of_count = sparse.groupBy("lang", "source", "n").agg(F.count("*").alias("times")).join(
         named.select("lang", "source", "id", "total"), ["lang", "source"])
-    some = of_count.groupBy("lang", "id", "total", F.pmod(F.col("n"), F.lit(BLOCK)).alias("part"),
-                            F.floor(F.log2("n")).alias("level")).agg(
+    some = of_count.groupBy("lang", "id", "total", F.pmod(F.col("n"), F.lit(64)).alias("part")).agg(
         F.collect_list(F.struct("n", "times")).alias("counts"))
     single = some.join(blocks, "lang").select("lang", "v", "id", "total", "counts", "others").mapInArrow(_single_terms, SUM_SCHEMA)
 
@@ -225,7 +228,7 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200, lang: str = "lang", s
     shared = (lists.select("lang", "term", "v", F.col("block").alias("block_a"), F.col("places").alias("in_a"))
               .join(lists.select("lang", "term", F.col("block").alias("block_b"), F.col("places").alias("in_b")),
                     ["lang", "term"])
-              .select("lang", "v", "block_a", "block_b", "in_a", "in_b").mapInArrow(_shared_terms, SUM_SCHEMA))
+              .select("lang", "v", "block_a", "block_b", "in_a", "in_b").mapInArrow(_shared_terms(size), SUM_SCHEMA))
 
     absent = (blocks.select("lang", "v", F.col("others").alias("in_a"))
               .join(blocks.select("lang", F.col("others").alias("in_b")), "lang")
