@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 import tessera as ts
 from tessera.functions.decimals import TAG, decimal_text
-from tessera.session import scratch_path, unique_name
+from tessera.operators import versions
+from tessera.session import file_names, scratch_path, unique_name
 
 W = "decimal(38,18)"
 
@@ -281,6 +282,28 @@ def q_write_options(spark, sf_dir):
     return spark.table(name)
 
 
+def q_write_codec(spark, sf_dir):
+    """The codec a written table's files have, by their names."""
+    o = _orders_cols(spark, sf_dir)
+    out = []
+    for codec in ("gzip", "zstd"):
+        name = _written(spark, sf_dir, f"codec_{codec}", o, options={"compression": codec})
+        suffix = F.regexp_extract(F.input_file_name(), r"\.(\w+)\.parquet$", 1)
+        out.append(spark.table(name).groupBy(F.when(suffix == "gz", "gzip").otherwise(suffix).alias("codec"))
+                   .agg(F.count("*").alias("n_orders"), _money_sum("o_totalprice").alias("total")))
+    return out[0].union(out[1])
+
+
+def q_write_error_if_exists(spark, sf_dir):
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "error_mode", o, mode="errorifexists")
+    try:
+        said = ts.write_table(o, name, mode="errorifexists").status
+    except RuntimeError as e:
+        said = "refused" if "already exists" in str(e) else str(e)
+    return spark.table(name).withColumn("second_write", F.lit(said))
+
+
 def _month_spec(expiration_ms=None, require=False) -> ts.PartitionSpec:
     return ts.PartitionSpec("o_orderdate", "timestamp", ts.TimePartitioning("MONTH", expiration_ms))
 
@@ -472,6 +495,26 @@ def q_column_override(spark, sf_dir):
                        F.typeof("o_totalprice").alias("price_type"))
 
 
+def q_column_override_kinds(spark, sf_dir):
+    """Overrides of a column's type, mode and length, and the type each column then has in the catalog."""
+    o = _orders_cols(spark, sf_dir).select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"),
+                                           F.col("o_custkey").alias("customers"))
+    name, path = _table(spark, "override_kinds")
+    ts.create_table(spark, name, o.schema, path=path, column_overrides=[
+        {"name": "k", "c-type": "STRING", "mode": "REQUIRED"}, {"name": "status", "max-length": "3"},
+        {"name": "customers", "mode": "REPEATED"}])
+    rows = o.select(F.col("k").cast("string").alias("k"), "status", F.array("customers").alias("customers"))
+    ts.write_table(rows, name, mode="append")
+    try:
+        ts.write_table(rows.withColumn("k", F.lit(None).cast("string")), name, mode="append")
+        refused = False
+    except Exception as e:  # the write job fails on the null
+        refused = "required column k" in str(e)
+    types = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE {name}").collect()}
+    return spark.table(name).select("k", "status", "customers", *[F.lit(types[c]).alias(f"{c}_type") for c in rows.columns],
+                                    F.lit(refused).alias("null_refused"))
+
+
 _SQL_MONEY = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS STRING)"
 
 
@@ -789,6 +832,78 @@ def q_clustered_files(spark, sf_dir):
             .agg(F.sum("n").alias("n_rows"), F.count_if(F.col("lo") < F.col("before")).alias("n_overlaps")))
 
 
+# ------------------------------------------------ versions, stored aggregates
+
+def _monthly(spark, sf_dir, label, **kw) -> str:
+    return _written(spark, sf_dir, label, _orders_cols(spark, sf_dir), partitioning=_month_spec(**kw))
+
+
+def q_matview_incremental(spark, sf_dir):
+    """A stored aggregate after its table gained rows in one month and had another replaced: two months are read."""
+    o = _orders_cols(spark, sf_dir)
+    base = _monthly(spark, sf_dir, "inc_base")
+    view, path = _table(spark, "inc_view")
+    ts.create_incremental_view(
+        spark, view, base, path=path, keys={"o_orderstatus": "o_orderstatus", "yr": "year(o_orderdate)"},
+        measures={"n_orders": ts.Measure("count"), "total": ts.Measure("sum", "CAST(o_totalprice AS DECIMAL(18,2))"),
+                  "lowest": ts.Measure("min", "o_totalprice"), "highest": ts.Measure("max", "o_totalprice")})
+    month = F.date_trunc("month", "o_orderdate").cast("date")
+    ts.write_table(o.where(month == F.lit(dt.date(1995, 5, 1))), base, mode="append")
+    ts.replace_partition(o.where(month == F.lit(REPLACED_MONTH)).withColumn("o_totalprice", F.col("o_totalprice") * 2),
+                         base, REPLACED_MONTH)
+    done = ts.refresh_incremental_view(spark, view)
+    return spark.table(view).select("o_orderstatus", "yr", "n_orders", _text("total").alias("total"), "lowest", "highest",
+                                    F.lit(len(done.changed)).alias("n_read"), F.lit(done.unchanged).alias("n_left"))
+
+
+def q_snapshot_shared(spark, sf_dir):
+    """A snapshot reads its rows from the base's own files after those were expired, replaced and dropped."""
+    o = _orders_cols(spark, sf_dir)
+    db = unique_name("shared_db")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    base = _monthly(spark, sf_dir, f"{db}.base", expiration_ms=86_400_000)
+    snap, path = _table(spark, "shared_snap")
+    ts.create_snapshot(spark, base, snap, path=path)
+    home = spark.table(base).select(F.input_file_name().alias("f")).first()["f"].rsplit("/", 2)[0]
+    ts.write_table(o, base, mode="append")
+    ts.expire_partitions(spark, base, EXPIRY_AS_OF)
+    ts.write_table(o.withColumn("o_totalprice", F.lit(0.0)), base)
+    ts.update_table_schema(spark, base, expiration_time=dt.datetime(2020, 1, 1))
+    ts.expire_tables(spark, dt.datetime(2025, 1, 1), db)
+    return ts.read_table(spark, snap).withColumn("shared", F.startswith(F.input_file_name(), F.lit(home)))
+
+
+def q_two_writers(spark, sf_dir):
+    """Of two writers that start from one version the quicker one stays and the other fails as a whole."""
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "two_writers", o)
+    start = versions.begin(spark, name)
+    ts.write_table(o.where("o_orderstatus <> 'F'"), name)
+    late = start.fresh_folder()
+    o.where("o_orderstatus = 'F'").write.parquet(late)
+    try:
+        versions.commit(spark, start, "overwrite", location=late)
+        said = "written"
+    except ts.ConcurrentWrite:
+        said = "refused"
+    return spark.table(name).withColumn("late_writer", F.lit(said))
+
+
+def q_unfinished_overwrite(spark, sf_dir):
+    """A writer of whole months died after its commit and before the catalog knew: the next reader makes it good."""
+    name = _monthly(spark, sf_dir, "unfinished")
+    start = versions.begin(spark, name)
+    left = start.fresh_folder()
+    o = _orders_cols(spark, sf_dir)
+    month = _month_spec().derive(F.col("o_orderdate"), o.schema["o_orderdate"].dataType)
+    column = _month_spec().partition_column
+    o.where("o_orderstatus = 'O'").withColumn(column, month).write.partitionBy(column).parquet(left)
+    parts = [p for p in file_names(spark, left) if "=" in p]
+    versions.publish(spark, start, "overwrite", location=left, changes={p: f"{left}/{p}" for p in parts})
+    before = spark.table(name).count()
+    return ts.read_table(spark, name).withColumn("n_before", F.lit(before))
+
+
 # ------------------------------------------------------------- registry
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -858,6 +973,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_partitioned": q_snapshot_partitioned,
     "overwrite_from_itself": q_overwrite_from_itself,
     "clustered_files": q_clustered_files,
+    "matview_incremental": q_matview_incremental,
+    "snapshot_shared": q_snapshot_shared,
+    "two_writers": q_two_writers,
+    "unfinished_overwrite": q_unfinished_overwrite,
+    "write_codec": q_write_codec,
+    "column_override_kinds": q_column_override_kinds,
+    "write_error_if_exists": q_write_error_if_exists,
 }
 
 
@@ -1114,4 +1236,26 @@ def table_oracle_sql() -> dict[str, str]:
             WHERE o_orderdate BETWEEN TIMESTAMP '1995-02-01 00:00:00' AND TIMESTAMP '1995-06-30 00:00:00'""",
         "overwrite_from_itself": f"SELECT {_ORDERS} FROM orders WHERE o_orderstatus = 'O'",
         "clustered_files": "SELECT count(*) AS n_rows, 0 AS n_overlaps FROM orders",
+        "matview_incremental": f"""
+            WITH now AS (
+                SELECT o_orderstatus, o_orderdate, o_totalprice * CASE WHEN {_MONTH} = DATE '{REPLACED_MONTH}' THEN 2 ELSE 1 END AS price
+                FROM orders
+                UNION ALL SELECT o_orderstatus, o_orderdate, o_totalprice FROM orders WHERE {_MONTH} = DATE '1995-05-01')
+            SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS n_orders,
+                   CAST(sum(CAST(CAST(price AS VARCHAR) AS DECIMAL(18,2))) AS VARCHAR) AS total,
+                   min(price) AS lowest, max(price) AS highest, 2 AS n_read,
+                   (SELECT count(DISTINCT {_MONTH}) - 2 FROM orders) AS n_left
+            FROM now GROUP BY ALL""",
+        "snapshot_shared": f"SELECT {_ORDERS}, TRUE AS shared FROM orders",
+        "two_writers": f"SELECT {_ORDERS}, 'refused' AS late_writer FROM orders WHERE o_orderstatus <> 'F'",
+        "unfinished_overwrite": f"""
+            SELECT {_ORDERS}, (SELECT count(*) FROM orders) AS n_before FROM orders WHERE o_orderstatus = 'O'""",
+        "write_codec": f"""
+            SELECT codec, count(*) AS n_orders, {_DUCK_MONEY} AS total
+            FROM orders, (VALUES ('gzip'), ('zstd')) AS c(codec) GROUP BY codec""",
+        "column_override_kinds": """
+            SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS status, [o_custkey] AS customers,
+                   'string' AS k_type, 'varchar(3)' AS status_type, 'array<bigint>' AS customers_type, TRUE AS null_refused
+            FROM orders""",
+        "write_error_if_exists": f"SELECT {_ORDERS}, 'refused' AS second_write FROM orders",
     }

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.decimals import comment_of, with_comment
-from ..session import (delete_folder, folder_exists, move_folder, quote_ident, quote_table, sql_string,
-                       unique_name)
+from ..session import delete_folder, quote_ident, quote_table, sql_string, unique_name
+from . import versions
 from .partitioning import PartitionSpec, TimePartitioning
 
 log = logging.getLogger(__name__)
@@ -277,6 +277,7 @@ def _create_plain(spark: SparkSession, name: str, schema: T.StructType, *, parti
                          require_partition_filter=require_partition_filter,
                          friendly_name=friendly_name, labels=labels, location=location,
                          expiration_time=expiration_time, extra=properties)
+    props.setdefault(versions.PROP_ID, versions.new_id())
     # kept beside Spark's own storage properties, whose text form cannot be parsed back
     if options:
         props[PROP_OPTIONS] = json.dumps({k: str(v) for k, v in options.items()})
@@ -439,6 +440,7 @@ def table_layout(spark: SparkSession, name: str) -> dict:
             k, _, v = part.partition("=")
             if k and k != "path":
                 options[k] = v
+    own = {versions.PROP_HOME, versions.PROP_ID, versions.PROP_VERSION}
     return {
         "format": info.get("Provider", "parquet"),
         "external": info.get("Type") == "EXTERNAL",
@@ -448,7 +450,10 @@ def table_layout(spark: SparkSession, name: str) -> dict:
         "spec": PartitionSpec.from_properties(props),
         "clustering": clustering_of(props) or None,
         "properties": {k: v for k, v in props.items()
-                       if not k.startswith("tessera.partition.") and k != PROP_CLUSTERING},
+                       if not k.startswith("tessera.partition.") and k != PROP_CLUSTERING and k not in own},
+        "home": props.get(versions.PROP_HOME),
+        "id": props.get(versions.PROP_ID),
+        "version": int(props.get(versions.PROP_VERSION, 0)),
     }
 
 
@@ -459,18 +464,21 @@ def _recreate_entry(spark: SparkSession, name: str, target: T.StructType) -> Non
     again over the same folder with the new schema, properties and options;
     partitions are found again from the folders. No data is read or written.
     """
+    base = versions.begin(spark, name)
     d = table_layout(spark, name)
     parts = partition_texts(spark, name) if d["spec"] is not None else []
+    own = {versions.PROP_HOME: base.home, versions.PROP_ID: base.id, versions.PROP_VERSION: str(base.version)}
     old = unique_name(name.rsplit(".", 1)[-1] + "__old")
     aside = f"{name.rsplit('.', 1)[0]}.{old}" if "." in name else old
     spark.sql(f"ALTER TABLE {quote_table(name)} RENAME TO {quote_table(aside)}")
     try:
         create_table(spark, name, target, partitioning=d["spec"], clustering=d["clustering"],
                      description=d["description"], format=d["format"], path=d["location"],
-                     options=d["options"], properties=d["properties"])
+                     options=d["options"], properties=d["properties"] | own)
         # the partitions that were listed, not all folders found: expired ones stay away
         for i in range(0, len(parts), DROP_CHUNK):
-            specs = " ".join(f"PARTITION ({partition_clause(d['spec'], p)})" for p in parts[i:i + DROP_CHUNK])
+            specs = " ".join(f"PARTITION ({partition_clause(d['spec'], p)}) LOCATION {sql_string(base.folder_of(p))}"
+                             for p in parts[i:i + DROP_CHUNK])
             spark.sql(f"ALTER TABLE {quote_table(name)} ADD IF NOT EXISTS {specs}")
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {quote_table(name)}")
@@ -487,6 +495,7 @@ def _beside(name: str, what: str) -> str:
 
 def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.StructType) -> None:
     """Copy into a new table with the target schema, then swap names; the old one goes last."""
+    base = versions.begin(spark, name)
     d = table_layout(spark, name)
     spec = d["spec"]
     tmp, aside = _beside(name, "rewrite"), _beside(name, "old")
@@ -516,7 +525,9 @@ def _rewrite(spark: SparkSession, name: str, current: T.StructType, target: T.St
         spark.sql(f"ALTER TABLE {quote_table(aside)} RENAME TO {quote_table(name)}")
         drop_table(spark, tmp, path)
         raise
-    drop_table(spark, aside, d["location"] if d["external"] else None)
+    drop_table(spark, aside)
+    if d["external"]:
+        versions.remove_all(spark, base)
 
 
 def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
@@ -526,25 +537,10 @@ def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
         delete_folder(spark, path)
 
 
-def _swap(spark: SparkSession, home: str, staging: str | None) -> None:
-    """Put ``staging`` (None: nothing) in the place of ``home``; on failure ``home`` is back."""
-    old = f"{home}__{unique_name('old')}"
-    had = folder_exists(spark, home)
-    if had:
-        move_folder(spark, home, old)
-    try:
-        if staging is not None:
-            move_folder(spark, staging, home)
-    except BaseException:
-        if had:
-            move_folder(spark, old, home)
-        raise
-    delete_folder(spark, old)
-
-
-def _staged(spark: SparkSession, name: str, d: dict, write) -> tuple[str, list[str]]:
-    """Fill an empty table of the same definition; its folder, and the partitions it got."""
-    staging = f"{d['location'].rstrip('/')}__{unique_name('new')}"
+def _staged(spark: SparkSession, name: str, base: versions.Base, write) -> tuple[str, list[str]]:
+    """Fill an empty table of the same definition in a fresh folder; that folder, and the partitions it got."""
+    d = table_layout(spark, name)
+    staging = base.fresh_folder()
     tmp = _beside(name, "staging")
     create_table(spark, tmp, data_schema(spark, name), partitioning=d["spec"], clustering=d["clustering"],
                  format=d["format"], path=staging, options=d["options"])
@@ -561,49 +557,32 @@ def _staged(spark: SparkSession, name: str, d: dict, write) -> tuple[str, list[s
 def overwrite_all(spark: SparkSession, name: str, write) -> None:
     """Replace all rows of ``name`` once the new ones are written.
 
-    ``write(staging)`` fills a table in a folder beside the old one, so a
-    failed job leaves the old rows, the new rows may be computed from them,
-    and no setting of the session is touched. Then the folders are swapped.
+    ``write(staging)`` fills a table in a fresh folder, so a failed job leaves
+    the old rows, the new rows may be computed from them, and no setting of the
+    session is touched. Then the table is pointed at that folder (`versions`);
+    a second writer that began before that gets ``ConcurrentWrite``.
     """
-    d = table_layout(spark, name)
-    staging, _ = _staged(spark, name, d, write)
+    base = versions.begin(spark, name)
+    staging, parts = _staged(spark, name, base, write)
     try:
-        _swap(spark, d["location"].rstrip("/"), staging)
-    finally:
+        versions.commit(spark, base, "overwrite", location=staging, changes={p: f"{staging}/{p}" for p in parts})
+    except versions.ConcurrentWrite:
         delete_folder(spark, staging)
-    if d["spec"] is not None:
-        spark.sql(f"MSCK REPAIR TABLE {quote_table(name)} SYNC PARTITIONS")
-    spark.catalog.refreshTable(name)
+        raise
 
 
 def overwrite_partition(spark: SparkSession, name: str, value, write) -> None:
     """Replace one partition of ``name`` once its new rows are written; without any, it is emptied."""
-    d = table_layout(spark, name)
+    base = versions.begin(spark, name)
     held = NULL_PARTITION if value is None else str(value)
-    staging, parts = _staged(spark, name, d, write)
+    staging, parts = _staged(spark, name, base, write)
+    changes = {p: f"{staging}/{p}" for p in parts} or {
+        p: None for p in partition_texts(spark, name) if unquote(p.split("=", 1)[1]) == held}
     try:
-        if not parts:
-            drop_partitions(spark, name, [f for f in partition_texts(spark, name)
-                                          if unquote(f.split("=", 1)[1]) == held])
-        for folder in parts:
-            home = f"{d['location'].rstrip('/')}/{folder}"
-            # beside the table's folder, where no reader takes it for a partition
-            aside = f"{d['location'].rstrip('/')}__{unique_name('old')}"
-            had = folder_exists(spark, home)
-            if had:
-                move_folder(spark, home, aside)
-            try:
-                move_folder(spark, f"{staging}/{folder}", home)
-            except BaseException:
-                if had:
-                    move_folder(spark, aside, home)
-                raise
-            delete_folder(spark, aside)
-            spark.sql(f"ALTER TABLE {quote_table(name)} ADD IF NOT EXISTS "
-                      f"PARTITION ({partition_clause(d['spec'], folder)})")
-    finally:
+        versions.commit(spark, base, "partitions", changes=changes)
+    except versions.ConcurrentWrite:
         delete_folder(spark, staging)
-    spark.catalog.refreshTable(name)
+        raise
 
 
 # --------------------------------------------------------------- lifetimes
@@ -616,9 +595,11 @@ def partition_texts(spark: SparkSession, name: str) -> list[str]:
     return [r[0] for r in spark.sql(f"SHOW PARTITIONS {quote_table(name)}").collect()]
 
 
-def partition_clause(spec: PartitionSpec, folder: str) -> str:
-    """``column = literal`` of a partition's folder name."""
+def partition_clause(spec: PartitionSpec | None, folder: str) -> str:
+    """``column = literal`` of a partition's folder name (without a spec: of a text column)."""
     value = unquote(folder.split("=", 1)[1])
+    if spec is None:
+        return f"{quote_ident(unquote(folder.split('=', 1)[0]))} = {sql_string(value)}"
     if value == NULL_PARTITION:
         text = "null"
     elif isinstance(spec.partition_type, T.LongType):
@@ -633,17 +614,10 @@ def drop_partitions(spark: SparkSession, name: str, folders: Sequence[str]) -> N
     """Drop partitions by folder name, with their files.
 
     Spark leaves the files of tables with a path of their own; a later append
-    or partition recovery would bring the old rows back.
+    or partition recovery would bring the old rows back. Files that a snapshot
+    reads stay until it is dropped.
     """
-    d = table_layout(spark, name)
-    # many partition specs per statement: one catalog call per chunk, not per partition
-    for i in range(0, len(folders), DROP_CHUNK):
-        specs = ", ".join(f"PARTITION ({partition_clause(d['spec'], f)})" for f in folders[i:i + DROP_CHUNK])
-        spark.sql(f"ALTER TABLE {quote_table(name)} DROP IF EXISTS {specs}")
-    if d["external"]:
-        for f in folders:
-            delete_folder(spark, f"{d['location'].rstrip('/')}/{f}")
-    spark.catalog.refreshTable(name)
+    versions.commit(spark, versions.begin(spark, name), "drop", changes={f: None for f in folders})
 
 
 def expire_partitions(spark: SparkSession, name: str, as_of: dt.datetime) -> list:
@@ -673,9 +647,12 @@ def expire_tables(spark: SparkSession, as_of, database: str | None = None) -> li
         props = table_properties(spark, full)
         exp = props.get(PROP_EXPIRES_AT)
         if exp is not None and int(exp) <= limit:
-            d = table_layout(spark, full)
             # files registered as external data belong to their owner
-            own = d["external"] and props.get(PROP_EXTERNAL) != "true"
-            drop_table(spark, full, d["location"] if own else None)
+            own = props.get(PROP_EXTERNAL) != "true"
+            base = versions.begin(spark, full) if own else None
+            files = own and table_layout(spark, full)["external"]
+            drop_table(spark, full)
+            if files:
+                versions.remove_all(spark, base)
             dropped.append(full)
     return dropped

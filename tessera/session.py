@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -77,12 +78,58 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isDirectory()
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder within one store; raises when the store refuses."""
-    a, fs = _filesystem(spark, source)
-    b, _ = _filesystem(spark, target)
-    if not fs.rename(a, b):
-        raise OSError(f"cannot rename {source} to {target}")
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store, without a closing slash."""
+    hadoop, fs = _filesystem(spark, path)
+    return fs.makeQualified(hadoop).toString().rstrip("/")
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; a missing one has none."""
+    hadoop, fs = _filesystem(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    hadoop, fs = _filesystem(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a whole small text file in place unless the name is taken; says whether it did.
+
+    Atomic where the store's rename without overwrite is (HDFS, ABFS); a local
+    folder, whose rename overwrites, takes a hard link instead.
+    """
+    target, fs = _filesystem(spark, path)
+    fs.mkdirs(target.getParent())
+    draft = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.draft"
+    write_text(spark, draft, text)
+    jvm = spark.sparkContext._jvm
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = lambda p: jvm.org.apache.hadoop.fs.Path(p).toUri().getPath()
+            try:
+                os.link(local(draft), local(path))
+            except FileExistsError:
+                return False
+            return True
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(jvm.org.apache.hadoop.fs.Path(draft), target, none)
+        except Exception:
+            if fs.exists(target):
+                return False
+            raise
+        return True
+    finally:
+        delete_folder(spark, draft)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

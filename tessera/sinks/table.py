@@ -28,6 +28,7 @@ from ..operators.tables import (NULL_PARTITION, PROP_EXTERNAL, PROP_OPTIONS, clu
                                 data_schema, ddl_properties, overwrite_all, overwrite_partition,
                                 partition_spec_of, required_columns, table_exists, table_layout, table_properties,
                                 update_table_schema)
+from ..operators import versions
 from ..session import quote_ident, quote_table, sql_string, write_text
 
 log = logging.getLogger(__name__)
@@ -308,6 +309,10 @@ def write_table(df: DataFrame, table: str, *,
         overwrite_partition(spark, table, value, lambda staging: out.write.insertInto(staging))
     elif exists and mode == "overwrite":
         overwrite_all(spark, table, lambda staging: out.write.insertInto(staging))
+    elif exists:
+        base = versions.begin(spark, table)
+        out.write.insertInto(table)
+        versions.appended(spark, base)
     else:
         out.write.insertInto(table)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.decimals import restore_decimals
+from ..operators import versions
 from ..operators.tables import PROP_EXTERNAL, PROP_REQUIRE_FILTER, table_properties
 from ..operators.partitioning import UNSET, PartitionSpec
 from ..session import quote_ident
@@ -44,6 +45,8 @@ def read_table(spark: SparkSession, table: str | None = None, *,
         raise ValueError("give exactly one of table or path")
     if table is not None:
         props = table_properties(spark, table)
+        if versions.unfinished(spark, props):
+            versions.recover(spark, table)
         if props.get(PROP_EXTERNAL) == "true":
             from .external import read_external_table
             df = read_external_table(spark, table)
