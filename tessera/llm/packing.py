@@ -36,18 +36,38 @@ from pyspark.sql import functions as F
 
 from .common import materialise, text_slices
 
-#: Words whose ids a worker remembers; the memory is emptied beyond that.
-REMEMBERED = 800_000
+#: Texts in each half of what a worker remembers.
+REMEMBERED = 400_000
 #: Characters of a text that are cut into words at once.
 PART = 1 << 18
 
 
+class Remembered:
+    """Ids of texts seen lately, in two halves: when the newer one is full the older one is forgotten."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, texts: set[str]) -> list[str]:
+        """Those not remembered; all others are in ``new`` afterwards."""
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        left = texts.difference(self.new)
+        if self.old:
+            again = left.intersection(self.old)
+            self.new.update((t, self.old[t]) for t in again)
+            left -= again
+        return list(left)
+
+
 class WordEncoder:
     """Whole-text ids of a tokenizer that drops white space and encodes word by word.
 
     A word's ids do not depend on its neighbours, and its last id is one that
-    ends a word. So the library is given the words not seen before, joined by
-    blanks, and its ids are cut at those ends. Texts with characters whose class
+    ends a word. So what stands between white space is looked up, if it is not
+    known it is cut into words, and the library is given the words not seen
+    before, joined by blanks; its ids are cut at those ends. Texts with characters whose class
     is in doubt, or with the strings of added tokens, go to the library whole,
     as do all texts of another kind of tokenizer.
     """
@@ -59,7 +79,7 @@ class WordEncoder:
     BLANK = re.compile("[\t\n\r ]")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
@@ -80,21 +100,36 @@ class WordEncoder:
         if suffix:
             for token, i in vocabulary.items():
                 self.ends[i] = token.endswith(suffix)
-        self.known: dict[str, bytes] = {}
+        self.bare = None
+        if self.by_word:
+            # for words that are already cut and folded
+            self.bare = Tokenizer.from_file(path)
+            self.bare.normalizer = normalizers.Sequence([])
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.chunks, self.words = Remembered(), Remembered()
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def learn(self, words: list[str]) -> None:
+    def learn_words(self, words: list[str]) -> None:
         for a in range(0, len(words), 2000):
             part = words[a:a + 2000]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(cut) == len(part):
                 raw, ends = ids.tobytes(), cut.tolist()
-                self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+                self.words.new.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends))))
             else:  # a word that does not end in such an id
-                self.known.update((w, self.whole(w)) for w in part)
+                self.words.new.update((w, self.whole(w)) for w in part)
+
+    def learn(self, chunks: set[str]) -> None:
+        """Ids of everything between white space that is not remembered."""
+        fresh = self.chunks.missing(chunks)
+        cut = [self.WORDS.findall(c.lower()) for c in fresh]
+        self.learn_words(self.words.missing(set().union(*cut)))
+        ids = self.words.new
+        self.chunks.new.update(zip(fresh, [ids[w[0]] if len(w) == 1 else b"".join([ids[x] for x in w]) for w in cut]))
 
     def parts(self, text: str):
         """The text in parts, cut at white space."""
@@ -109,28 +144,27 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         out: list[list[bytes]] = [[] for _ in texts]
-        cut: list[tuple[int, list[str]]] = []
-        held = 0
+        held: list[tuple[int, list[str]]] = []
+        size = 0
 
         def join():
-            self.learn(list(set().union(*(words for _, words in cut)).difference(self.known)))
-            for i, words in cut:
-                out[i].append(b"".join(map(self.known.__getitem__, words)))
-            cut.clear()
+            self.learn(set().union(*(chunks for _, chunks in held)))
+            ids = self.chunks.new
+            for i, chunks in held:
+                out[i].append(b"".join(map(ids.__getitem__, chunks)))
+            held.clear()
 
         for i, text in enumerate(texts):
             if not self.by_word or self.DOUBTFUL.search(text) or any(a in text for a in self.added):
                 out[i].append(self.whole(text))
                 continue
             for part in self.parts(text):
-                cut.append((i, self.WORDS.findall(part.lower())))
-                held += len(part)
-                if held > 4 * PART:
+                held.append((i, part.split()))
+                size += len(part)
+                if size > 8 * PART:
                     join()
-                    held = 0
+                    size = 0
         join()
         return [b"".join(parts) for parts in out]
 

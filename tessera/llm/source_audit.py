@@ -29,8 +29,6 @@ extra columns cannot clash.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -41,8 +39,10 @@ from .common import materialise, text_slices
 SCALE = 1_000_000_000
 #: Sources compared with as many others at once, and histogram entries in a row.
 BLOCK = 512
-#: (lang, source, term) counts a task holds before it passes them on.
-HELD = 300_000
+#: Pairs of a term's sources that are evaluated at once.
+PAIRS = 1 << 20
+#: Bytes of text whose terms are counted at once.
+SLICE = 8 << 20
 
 
 def _letters() -> bytes:
@@ -66,6 +66,47 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
+def _codes(lang, source):
+    """A number for each distinct pair of two text columns, and the pairs' languages and sources."""
+    import pyarrow as pa
+    a, b = lang.dictionary_encode(), source.dictionary_encode()
+    both = np.asarray(a.indices).astype(np.int64) * max(1, len(b.dictionary)) + np.asarray(b.indices)
+    kinds, code = np.unique(both, return_inverse=True)
+    x, y = np.divmod(kinds, max(1, len(b.dictionary)))
+    return code, (a.dictionary.take(pa.array(x)), b.dictionary.take(pa.array(y)))
+
+
+def _terms(texts: list[str]):
+    """Term counts of texts, in groups of about ``SLICE`` bytes, without an object for each word.
+
+    Yields ``(first text, (term number, count) of each text's distinct terms, the
+    terms, (start, size) of each text's part of them)``.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    first, held, size = 0, [], 0
+    for i, t in enumerate(texts):
+        # one blank after each word, so that a word's end is the next one's start
+        held.append(b" ".join(t.encode().translate(LETTERS).split()) + b" ")
+        size += len(held[-1])
+        if size < SLICE and i + 1 < len(texts):
+            continue
+        data = b"".join(x if len(x) > 1 else b"" for x in held)
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 32).astype(np.int32) + 1
+        words = pa.Array.from_buffers(pa.binary(), len(ends), [
+            None, pa.py_buffer(np.concatenate([np.zeros(1, np.int32), ends]).tobytes()), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        n_words = np.array([x.count(b" ") if len(x) > 1 else 0 for x in held])
+        text = np.repeat(np.arange(len(held)), n_words)
+        key = text * max(1, len(coded.dictionary)) + np.asarray(coded.indices).astype(np.int64)
+        distinct, counts = np.unique(key, return_counts=True)
+        of, term = np.divmod(distinct, max(1, len(coded.dictionary)))
+        sizes = np.bincount(of, minlength=len(held))
+        terms = pc.utf8_rtrim(coded.dictionary.cast(pa.string()), " ")
+        yield first, (term, counts), terms, np.stack([np.cumsum(sizes) - sizes, sizes], axis=1)
+        first, held, size = i + 1, [], 0
+
+
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",
                 size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """``(lang, source, term, n, df)``, and the occurring ``(lang, source)`` groups."""
@@ -86,31 +127,33 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 
     def count(batches):
         import pyarrow as pa
-        held: dict[tuple[str, str], dict] = defaultdict(dict)
-        held_terms = 0
-
-        def told():
-            for (name, origin), terms in held.items():
-                n = np.array(list(terms.values()), dtype=np.int64).reshape(-1, 2)
+        for batch in (part for whole in batches for part in text_slices(whole, most=SLICE)):
+            place = batch.column("copies")
+            # one entry a text and source; a list may start anywhere in the values
+            text_of = np.repeat(np.arange(batch.num_rows), np.diff(place.offsets))
+            copies = place.flatten()
+            # texts of one language and source are one group of this slice
+            group, names = _codes(batch.column("lang").take(pa.array(text_of)), copies.field("source"))
+            times = np.asarray(copies.field("n"))
+            for first, term, terms, n in _terms(batch.column("text").to_pylist()):
+                # entries whose text is among these, repeated for its terms
+                low, high = np.searchsorted(text_of, [first, first + len(n)])
+                some = text_of[low:high] - first
+                starts, sizes = n[some, 0], n[some, 1]
+                at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+                entry = np.repeat(np.arange(low, high), sizes)
+                key = group[entry] * len(terms) + term[0][at]
+                order = np.argsort(key, kind="stable")
+                cuts = np.flatnonzero(np.diff(key[order], prepend=-1))
+                if not len(cuts):
+                    continue
+                weight = times[entry][order]
+                total = np.add.reduceat(term[1][at][order] * weight, cuts)
+                df = np.add.reduceat(weight, cuts)
+                g, t = np.divmod(key[order][cuts], len(terms))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(n)), pa.array([origin] * len(n)), pa.array([w.decode() for w in terms]),
-                     pa.array(n[:, 0]), pa.array(n[:, 1])], ["lang", "source", "term", "n", "df"])
-
-        for batch in (part for whole in batches for part in text_slices(whole)):
-            for name, places, t in zip(*(batch.column(c).to_pylist() for c in ("lang", "copies", "text"))):
-                found = Counter(t.encode().translate(LETTERS).split())
-                for place in places:
-                    into, times = held[name, place["source"]], place["n"]
-                    held_terms -= len(into)
-                    for term, k in found.items():
-                        old = into.get(term)
-                        into[term] = (k * times, times) if old is None else (old[0] + k * times, old[1] + times)
-                    held_terms += len(into)
-                if held_terms > HELD:
-                    yield from told()
-                    held.clear()
-                    held_terms = 0
-        yield from told()
+                    [names[0].take(pa.array(g)), names[1].take(pa.array(g)), terms.take(pa.array(t)), pa.array(total),
+                     pa.array(df)], ["lang", "source", "term", "n", "df"])
 
     counted = each.mapInArrow(count, "lang string, source string, term string, n bigint, df bigint")
     summed = materialise(counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")),
@@ -127,28 +170,46 @@ def _shared_terms(size: int):
     def told(matrices):
         import pyarrow as pa
         for (lang, a, b), m in matrices.items():
-            x, y = np.nonzero(m)
+            at = np.flatnonzero(m)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(x)), pa.array(a * size + x), pa.array(b * size + y), pa.array(m[x, y])],
-                ["lang", "a", "b", "value"])
+                [pa.array([lang] * len(at), pa.string()), pa.array(a * size + at // size), pa.array(b * size + at % size),
+                 pa.array(m[at])], ["lang", "a", "b", "value"])
 
     def add(batches):
         matrices: dict = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                key = row["lang"], row["block_a"], row["block_b"]
-                if key not in matrices:
+            langs = batch.column("lang").to_pylist()
+            v = np.asarray(batch.column("v"))
+            keys = list(zip(langs, batch.column("block_a").to_pylist(), batch.column("block_b").to_pylist()))
+            sides = []
+            for column in ("in_a", "in_b"):
+                places = batch.column(column)
+                sizes = np.diff(np.asarray(places.offsets)).astype(np.int64)
+                flat = places.flatten()
+                total = np.asarray(flat.field("total")) + np.repeat(v, sizes)
+                n = np.asarray(flat.field("n"))
+                sides.append((np.cumsum(sizes) - sizes, sizes, np.asarray(flat.field("id")) % size,
+                              shares(n, total), shares(n * 0, total)))
+            (at, da, i, p, p0), (bt, db, j, q, q0) = sides
+            number = {k: x for x, k in enumerate(dict.fromkeys(keys))}
+            kind = np.array([number[k] for k in keys])
+            for k, x in number.items():
+                if k not in matrices:
                     if len(matrices) >= 32:
                         yield from told(matrices)
                         matrices.clear()
-                    matrices[key] = np.zeros((size, size), dtype=np.int64)
-                v = row["v"]
-                i, n, total = (np.array([x[k] for x in row["in_a"]], dtype=np.int64) for k in ("id", "n", "total"))
-                j, m, other = (np.array([x[k] for x in row["in_b"]], dtype=np.int64) for k in ("id", "n", "total"))
-                p, p0 = shares(n, total + v)[:, None], shares(n * 0, total + v)[:, None]
-                q, q0 = shares(m, other + v)[None, :], shares(m * 0, other + v)[None, :]
-                matrices[key][np.ix_(i % size, j % size)] += (
-                    divergence(p, q) - divergence(p, q0) - divergence(p0, q) + divergence(p0, q0))
+                    matrices[k] = np.zeros(size * size, dtype=np.int64)
+                rows = np.flatnonzero(kind == x)
+                # so many rows at once that their pairs stay below a bound
+                upto = np.cumsum(da[rows] * db[rows])
+                for some in np.split(rows, np.searchsorted(upto, np.arange(PAIRS, upto[-1], PAIRS))):
+                    pairs = da[some] * db[some]
+                    row = np.repeat(some, pairs)
+                    nth = np.arange(len(row)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+                    a, b = at[row] + nth // db[row], bt[row] + nth % db[row]
+                    np.add.at(matrices[k], i[a] * size + j[b],
+                              divergence(p[a], q[b]) - divergence(p[a], q0[b]) - divergence(p0[a], q[b])
+                              + divergence(p0[a], q0[b]))
         yield from told(matrices)
 
     return add
@@ -221,10 +282,10 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200, lang: str = "lang", s
         F.collect_list(F.struct("n", "times")).alias("counts"))
     single = some.join(blocks, "lang").select("lang", "v", "id", "total", "counts", "others").mapInArrow(_single_terms, SUM_SCHEMA)
 
+    # dealt by term once, for the lists and for joining them
     lists = (sparse.join(named.select("lang", "source", "id", "total", "v"), ["lang", "source"])
-             .groupBy("lang", "term", "v", block.alias("block"))
-             .agg(F.collect_list(F.struct("id", "n", "total")).alias("places")))
-    lists = materialise(lists, "term-sources")
+             .select("lang", "term", "v", block.alias("block"), "id", "n", "total").repartition("lang", "term")
+             .groupBy("lang", "term", "v", "block").agg(F.collect_list(F.struct("id", "n", "total")).alias("places")))
     shared = (lists.select("lang", "term", "v", F.col("block").alias("block_a"), F.col("places").alias("in_a"))
               .join(lists.select("lang", "term", F.col("block").alias("block_b"), F.col("places").alias("in_b")),
                     ["lang", "term"])

@@ -1,5 +1,6 @@
 """Operators 11 to 13 against the library and brute force, on the smallest driver tables with hard rows added."""
 
+import functools
 import hashlib
 import itertools
 import math
@@ -43,9 +44,14 @@ def tokenizer():
     return entries.tokenizer_file("word_bpe_49k.json")
 
 
-def library_ids(tokenizer, text):
+@functools.cache
+def library(tokenizer):
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(tokenizer).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(tokenizer)
+
+
+def library_ids(tokenizer, text):
+    return library(tokenizer).encode(text or "", add_special_tokens=False).ids
 
 
 def test_words_are_encoded_like_texts(tokenizer, monkeypatch):
