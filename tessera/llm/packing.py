@@ -26,7 +26,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from array import array
 
 import numpy as np
 from pyspark import TaskContext
@@ -36,45 +35,44 @@ from pyspark.sql import functions as F
 
 from .common import materialise, text_slices
 
-#: Texts in each half of what a worker remembers.
-REMEMBERED = 400_000
-#: Characters of a text that are cut into words at once.
-PART = 1 << 18
+#: Words whose ids a worker remembers; it begins anew beyond that.
+REMEMBERED = 900_000
+#: Characters of one text, and of texts together, that are cut into words at once.
+PART = 1 << 20
+SLICE = 8 << 20
 
 
-class Remembered:
-    """Ids of texts seen lately, in two halves: when the newer one is full the older one is forgotten."""
+#: Classes of the bytes of a folded text: blank, letter, digit, other. ``C2`` begins the two marks of DOUBTFUL's class.
+BLANK, LETTER, DIGIT, OTHER = range(4)
 
-    def __init__(self):
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
 
-    def missing(self, texts: set[str]) -> list[str]:
-        """Those not remembered; all others are in ``new`` afterwards."""
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        left = texts.difference(self.new)
-        if self.old:
-            again = left.intersection(self.old)
-            self.new.update((t, self.old[t]) for t in again)
-            left -= again
-        return list(left)
+def _byte_classes() -> np.ndarray:
+    kind = np.full(256, OTHER, dtype=np.uint8)
+    kind[list(b"\t\n\r ")] = BLANK
+    kind[list(b"abcdefghijklmnopqrstuvwxyz")] = LETTER
+    kind[list(b"0123456789")] = DIGIT
+    kind[0x80:] = LETTER
+    kind[0xC2] = OTHER
+    return kind
+
+
+CLASSES = _byte_classes()
 
 
 class WordEncoder:
     """Whole-text ids of a tokenizer that drops white space and encodes word by word.
 
     A word's ids do not depend on its neighbours, and its last id is one that
-    ends a word. So what stands between white space is looked up, if it is not
-    known it is cut into words, and the library is given the words not seen
-    before, joined by blanks; its ids are cut at those ends. Texts with characters whose class
-    is in doubt, or with the strings of added tokens, go to the library whole,
-    as do all texts of another kind of tokenizer.
+    ends a word. So many texts are cut at once, by the classes of their bytes as
+    the tokenizer's own pattern does it; the library is given the words not seen
+    before, joined by blanks, and its ids are cut at the word ends; and the ids
+    of all words are gathered from there. Texts with characters whose class is
+    in doubt, or with the strings of added tokens, go to the library whole, as do
+    all texts of another kind of tokenizer.
     """
 
     #: The published pattern of the words, and the characters it is applied to here.
     TOLD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-    WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
     DOUBTFUL = re.compile("[^\t\n\r -~¡¿À-ÖØ-öø-įı-ɏ]")
     BLANK = re.compile("[\t\n\r ]")
 
@@ -100,36 +98,79 @@ class WordEncoder:
         if suffix:
             for token, i in vocabulary.items():
                 self.ends[i] = token.endswith(suffix)
-        self.bare = None
         if self.by_word:
             # for words that are already cut and folded
             self.bare = Tokenizer.from_file(path)
             self.bare.normalizer = normalizers.Sequence([])
             self.bare.pre_tokenizer = pre_tokenizers.Sequence([
                 pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.chunks, self.words = Remembered(), Remembered()
+        self.forget()
 
-    def whole(self, text: str) -> bytes:
-        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}                  # word to its number
+        self.sizes = np.zeros(0, dtype=np.int64)           # ids of each word
+        self.ids = np.zeros(0, dtype="<u4")                # all words' ids, one after another
 
-    def learn_words(self, words: list[str]) -> None:
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def learn(self, words: list[bytes]) -> None:
+        sizes, ids = [self.sizes], [self.ids]
         for a in range(0, len(words), 2000):
-            part = words[a:a + 2000]
-            ids = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cut) == len(part):
-                raw, ends = ids.tobytes(), cut.tolist()
-                self.words.new.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends))))
-            else:  # a word that does not end in such an id
-                self.words.new.update((w, self.whole(w)) for w in part)
-
-    def learn(self, chunks: set[str]) -> None:
-        """Ids of everything between white space that is not remembered."""
-        fresh = self.chunks.missing(chunks)
-        cut = [self.WORDS.findall(c.lower()) for c in fresh]
-        self.learn_words(self.words.missing(set().union(*cut)))
-        ids = self.words.new
-        self.chunks.new.update(zip(fresh, [ids[w[0]] if len(w) == 1 else b"".join([ids[x] for x in w]) for w in cut]))
+            part = [w.decode() for w in words[a:a + 2000]]
+            some = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            size = np.diff(np.flatnonzero(self.ends[some]) + 1, prepend=0)
+            if len(size) != len(part):  # a word that does not end in such an id
+                each = [self.whole(w) for w in part]
+                some, size = np.concatenate(each), np.array([len(x) for x in each])
+            ids.append(some)
+            sizes.append(size)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.sizes, self.ids = np.concatenate(sizes), np.concatenate(ids)
+
+    def words(self, data: bytes):
+        """The words of folded bytes, as an Arrow array, and where each begins. The bytes end with two blanks."""
+        import pyarrow as pa
+        buf = np.frombuffer(data, np.uint8)
+        kind = CLASSES[buf]
+        marks = np.flatnonzero(buf == 0xC2)
+        kind[marks + 1] = OTHER
+        begins = np.empty(len(buf), dtype=bool)
+        begins[0] = kind[0] != BLANK
+        begins[1:] = ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) & (kind[1:] != BLANK)
+        # an apostrophe alone before certain letters takes them along
+        at = np.flatnonzero((buf[:-1] == 39) & begins[:-1] & (kind[1:] == LETTER))
+        one, two = buf[at + 1], buf[at + 2]
+        taken = np.where(np.isin(one, list(b"stmd")), 1, 0)
+        taken[((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)] = 2
+        at, taken = at[taken > 0], taken[taken > 0]
+        begins[at + 1] = False
+        begins[at + 1 + taken] |= kind[at + 1 + taken] == LETTER
+        keep = kind != BLANK
+        start = np.flatnonzero(begins)
+        offsets = np.append(np.cumsum(keep, dtype=np.int64)[start] - 1, np.count_nonzero(keep)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(start), [
+            None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(buf[keep].tobytes())]), start
+
+    def cut(self, parts: list[str]) -> list[np.ndarray]:
+        """Ids of texts whose characters are all of a known class."""
+        folded = [p.lower().encode() for p in parts]
+        words, start = self.words(b" ".join(folded) + b"  ")
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) + len(distinct) > REMEMBERED:
+            self.forget()
+        self.learn([w for w in distinct if w not in self.known])
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        code = number[np.asarray(coded.indices)] if len(distinct) else np.zeros(0, np.int64)
+        first = np.cumsum(self.sizes) - self.sizes
+        size = self.sizes[code]
+        upto = np.cumsum(size)
+        total = int(upto[-1]) if len(upto) else 0
+        ids = self.ids[np.arange(total) + np.repeat(first[code] - (upto - size), size)]
+        ends = np.searchsorted(start, np.cumsum([len(f) + 1 for f in folded]))
+        bounds = np.concatenate([[0], upto])[ends]
+        return np.split(ids, bounds[:-1])
 
     def parts(self, text: str):
         """The text in parts, cut at white space."""
@@ -142,31 +183,33 @@ class WordEncoder:
             first = at.end()
         yield text[first:] if first else text
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        held: list[tuple[int, list[str]]] = []
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[str] = []
+        owner: list[int] = []
         size = 0
 
-        def join():
-            self.learn(set().union(*(chunks for _, chunks in held)))
-            ids = self.chunks.new
-            for i, chunks in held:
-                out[i].append(b"".join(map(ids.__getitem__, chunks)))
+        def take():
+            for i, ids in zip(owner, self.cut(held)):
+                out[i].append(ids)
             held.clear()
+            owner.clear()
 
         for i, text in enumerate(texts):
             if not self.by_word or self.DOUBTFUL.search(text) or any(a in text for a in self.added):
                 out[i].append(self.whole(text))
                 continue
             for part in self.parts(text):
-                held.append((i, part.split()))
+                held.append(part)
+                owner.append(i)
                 size += len(part)
-                if size > 8 * PART:
-                    join()
+                if size > SLICE:
+                    take()
                     size = 0
-        join()
-        return [b"".join(parts) for parts in out]
+        if held:
+            take()
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -186,14 +229,14 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, limit: int, doc_id:
     def cut(batches):
         import pyarrow as pa
         enc = encoder(tokenizer)
-        tail = array("I", [end_id]).tobytes()
+        tail = np.array([end_id], dtype="<u4").tobytes()
         shard = TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, dtype=np.int64)
-        for batch in (part for whole in batches for part in text_slices(whole)):
+        for batch in (part for whole in batches for part in text_slices(whole, most=SLICE)):
             names = batch.column("doc_id")
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, raw in enumerate(enc.encode(batch.column("text").to_pylist())):
-                raw += tail
+                raw = raw.tobytes() + tail
                 for k, a in enumerate(range(0, len(raw), 4 * limit)):
                     part = raw[a:a + 4 * limit]
                     rows.append(i)

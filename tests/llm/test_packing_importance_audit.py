@@ -60,9 +60,15 @@ def test_words_are_encoded_like_texts(tokenizer, monkeypatch):
     assert enc.by_word
     singles = [f"{chr(c)} a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in [*range(1, 0x250), 0x301, 0x3A3, 0x1E9E, 0x4E2D, 0x1F642]]
     texts = ODD + singles + [" ".join(singles[60:90]), "word " * 500]
-    want = [np.array(library_ids(tokenizer, t), dtype="<u4").tobytes() for t in texts]
-    assert enc.encode(texts) == want
-    assert enc.encode(texts[::-1]) == want[::-1]
+    rng = np.random.default_rng(7)
+    alphabet = list("abst 'rvelmd\n1.é¿¡-É") + ["'ll", "'re", " '", "''"]
+    texts += ["".join(rng.choice(alphabet, 60)) for _ in range(400)]
+    want = [library_ids(tokenizer, t) for t in texts]
+    assert [x.tolist() for x in enc.encode(texts)] == want
+    monkeypatch.setattr(packing, "SLICE", 300)
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    assert [x.tolist() for x in enc.encode(texts[::-1])] == want[::-1]
+    assert enc.encode([]) == [] and enc.encode(["", " "])[1].tolist() == []
 
 
 @pytest.mark.parametrize("limit", [4096, 64, 7])
