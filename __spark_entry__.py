@@ -832,6 +832,54 @@ def q_clustered_files(spark, sf_dir):
             .agg(F.sum("n").alias("n_rows"), F.count_if(F.col("lo") < F.col("before")).alias("n_overlaps")))
 
 
+def _without_suffix(spark, path: str) -> str:
+    """Take the ``.gz`` off the names of a folder's files."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in file_names(spark, path):
+        if name.endswith(".gz"):
+            fs.rename(hadoop(f"{path}/{name}"), hadoop(f"{path}/{name[:-3]}"))
+    return path
+
+
+def q_external_gzip_unnamed(spark, sf_dir):
+    """Gzip files that lack the suffix, beside some that have it."""
+    o = _orders_export(spark, sf_dir)
+    path = _without_suffix(spark, _export(o.where("o_orderstatus <> 'F'"), "csv", spark, compression="gzip"))
+    o.where("o_orderstatus = 'F'").write.mode("append").option("compression", "gzip").csv(path)
+    return ts.read_external(spark, ts.ExternalData([path], "CSV", schema=_ORDERS_DDL, compression="GZIP"))
+
+
+def q_external_autodetect(spark, sf_dir):
+    """Types found from every row: one key and one price in the last file are wider than all others."""
+    o = _orders_cols(spark, sf_dir)
+    cells = o.select(_text("o_orderkey").alias("k"), _dec_text(F.col("o_totalprice").cast("decimal(20,2)"), 2).alias("price"),
+                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    path = _export(cells, "csv", spark, header=True)
+    wide = o.agg(F.lit("9" * 20).alias("k"), F.lit("0." + "1" * 12).alias("price"), F.lit("2024-02-29").alias("day"))
+    wide.coalesce(1).write.mode("append").option("header", True).csv(path)
+    df = ts.read_external(spark, ts.ExternalData([path], "CSV", autodetect=True, options={"header": "true"}))
+    return df.select(_text("k").alias("k"), _dec_text("price", 12).alias("price"), "day",
+                     *[F.lit(t).alias(f"{c}_type") for c, t in df.dtypes])
+
+
+def q_external_autodetect_json(spark, sf_dir):
+    """Nested JSON: structs, arrays, exact decimals and dates found from every row."""
+    o = _orders_cols(spark, sf_dir)
+    docs = o.groupBy("o_custkey").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("k"),
+                                             F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+                                             F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")))).alias("orders"),
+        F.struct(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("latest")).alias("seen"))
+    path = _export(docs, "json", spark)
+    df = ts.read_external(spark, ts.ExternalData([path], "JSON", autodetect=True))
+    item = F.explode("orders").alias("o")
+    return df.select("o_custkey", F.col("seen.latest").alias("latest"), F.typeof("seen.latest").alias("latest_type"), item).select(
+        "o_custkey", "latest", "latest_type", F.col("o.k").alias("k"), F.col("o.price").cast("double").alias("price"),
+        F.col("o.day").alias("day"), F.typeof("o.day").alias("day_type"),
+        F.substring(F.typeof("o.price"), 1, 7).alias("price_kind"))
+
+
 # ------------------------------------------------ versions, stored aggregates
 
 def _monthly(spark, sf_dir, label, **kw) -> str:
@@ -980,6 +1028,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_codec": q_write_codec,
     "column_override_kinds": q_column_override_kinds,
     "write_error_if_exists": q_write_error_if_exists,
+    "external_gzip_unnamed": q_external_gzip_unnamed,
+    "external_autodetect": q_external_autodetect,
+    "external_autodetect_json": q_external_autodetect_json,
 }
 
 
@@ -1258,4 +1309,18 @@ def table_oracle_sql() -> dict[str, str]:
                    'string' AS k_type, 'varchar(3)' AS status_type, 'array<bigint>' AS customers_type, TRUE AS null_refused
             FROM orders""",
         "write_error_if_exists": f"SELECT {_ORDERS}, 'refused' AS second_write FROM orders",
+        "external_gzip_unnamed": f"SELECT {_ORDERS} FROM orders",
+        "external_autodetect": """
+            WITH cells AS (
+                SELECT CAST(o_orderkey AS VARCHAR) AS k, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,12)) AS price,
+                       CAST(o_orderdate AS DATE) AS day FROM orders
+                UNION ALL SELECT repeat('9', 20), CAST('0.' || repeat('1', 12) AS DECIMAL(38,12)), DATE '2024-02-29')
+            SELECT k, CAST(price AS VARCHAR) AS price, day, 'decimal(20,0)' AS k_type,
+                   'decimal(' || (SELECT max(length(CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR))) + 12 FROM orders)
+                       || ',12)' AS price_type, 'date' AS day_type
+            FROM cells""",
+        "external_autodetect_json": """
+            SELECT o_custkey, CAST(max(o_orderdate) OVER (PARTITION BY o_custkey) AS DATE) AS latest, 'date' AS latest_type,
+                   o_orderkey AS k, o_totalprice AS price, CAST(o_orderdate AS DATE) AS day, 'date' AS day_type,
+                   'decimal' AS price_kind FROM orders""",
     }

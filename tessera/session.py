@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +91,19 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
 
 
+def first_file(spark: SparkSession, uris: Sequence[str]) -> str | None:
+    """A data file under the URIs (which may hold wildcards); the listing ends at the first one."""
+    for uri in uris:
+        hadoop, fs = _filesystem(spark, uri)
+        for status in fs.globStatus(hadoop) or []:
+            found = fs.listFiles(status.getPath(), True)
+            while found.hasNext():
+                path = found.next().getPath()
+                if not path.getName().startswith(("_", ".")):
+                    return path.toString()
+    return None
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file."""
     hadoop, fs = _filesystem(spark, path)

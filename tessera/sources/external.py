@@ -1,8 +1,9 @@
 """Files that stay where they are, read as a table.
 
 CSV and newline-delimited JSON get the warehouse's load rules: a budget of
-bad records, optional tolerance of unknown values, compression by suffix,
-Hive-style partition folders, and a choice of decimal types. Each rule is a
+bad records, optional tolerance of unknown values, gzip files with and without
+their suffix, Hive-style partition folders, types found from all rows, and a
+choice of decimal types. Each rule is a
 column expression over the scan; the bad-record budget and the decimal-type
 choice each add one aggregate job that returns a single row.
 """
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 
 from ..operators.tables import (PROP_EXTERNAL, ddl_columns, ddl_properties, table_exists,
                                 settings_properties)
-from ..session import is_folder, quote_ident, quote_table, sql_string
+from ..session import first_file, is_folder, quote_ident, quote_table, sql_string
+from .detect import column_types, json_types
 
 CORRUPT = "_corrupt_record"
 PROP_EXTERNAL_SPEC = "tessera.external.spec"
@@ -101,11 +103,18 @@ def _decimal_fields(schema: T.StructType | None, ext: ExternalData) -> list[str]
     return [f.name for f in schema.fields if isinstance(f.dataType, T.DecimalType)]
 
 
-def _reader(spark: SparkSession, ext: ExternalData):
-    r = spark.read.format(ext.spark_format).options(**{k: str(v) for k, v in ext.options.items()})
+def _gzip(ext: ExternalData) -> bool:
+    """Whether every file is declared to be gzip, whatever its name says."""
     comp = (ext.compression or "NONE").upper()
     if comp not in ("NONE", "GZIP"):
         raise ValueError(f"compression {ext.compression!r} is not supported")
+    if comp == "GZIP" and ext.spark_format not in ("csv", "json"):
+        raise ValueError(f"{ext.spark_format} files are not compressed as a whole")
+    return comp == "GZIP"
+
+
+def _reader(spark: SparkSession, ext: ExternalData, format: str | None = None):
+    r = spark.read.format(format or ext.spark_format).options(**{k: str(v) for k, v in ext.options.items()})
     if ext.hive_partitioning is not None:
         r = r.option("basePath", ext.hive_partitioning.source_uri_prefix)
     return r
@@ -116,8 +125,8 @@ def _text_keys(spark: SparkSession, ext: ExternalData) -> list[str]:
     hive = ext.hive_partitioning
     if hive is None or hive.mode.upper() != "STRINGS":
         return []
-    files = spark.read.option("basePath", hive.source_uri_prefix).text(ext.source_uris).inputFiles()
-    tail = files[0].split(hive.source_uri_prefix.split("://")[-1].strip("/"), 1)[-1] if files else ""
+    file = first_file(spark, ext.source_uris) or ""
+    tail = file.split(hive.source_uri_prefix.split("://")[-1].strip("/"), 1)[-1]
     return [unquote(p.split("=", 1)[0]) for p in tail.split("/")[:-1] if "=" in p]
 
 
@@ -127,18 +136,127 @@ def _with_keys(schema: T.StructType, keys: Sequence[str]) -> T.StructType:
                         + [T.StructField(k, T.StringType(), True) for k in keys])
 
 
+def _named_gzip() -> Column:
+    # Spark applies it to the list of files, so the others are not opened
+    return F.col("_metadata.file_name").endswith(".gz")
+
+
+_BINARY = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                        T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
+
+def _unnamed_lines(spark: SparkSession, ext: ExternalData, header: bool = False) -> DataFrame:
+    """``value`` lines, and the partition columns, of gzip files without the suffix that tells Spark so.
+
+    A file is decompressed as it is read, in one task, as Spark does with gzip. A
+    file that is not gzip fails the job. ``header`` leaves out each first line.
+    """
+    r = spark.read.format("binaryFile").options(**{k: str(v) for k, v in ext.options.items() if k.lower() in (
+        "pathglobfilter", "recursivefilelookup", "modifiedbefore", "modifiedafter")})
+    if ext.hive_partitioning is not None:
+        r = r.option("basePath", ext.hive_partitioning.source_uri_prefix)
+    keys = _text_keys(spark, ext)
+    if keys:
+        r = r.schema(_with_keys(_BINARY, keys))
+    files = r.load(ext.source_uris).where(~_named_gzip()).drop("modificationTime", "length")
+    parts = [f for f in files.schema.fields if f.name not in ("path", "content")]
+    encoding = {k.lower(): v for k, v in ext.options.items()}.get("encoding", "utf-8")
+
+    def lines(batches):
+        import gzip
+        import io
+
+        import pyarrow as pa
+        names = [f.name for f in parts]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                of_file = [batch.column(n).slice(i, 1) for n in names]
+                raw = gzip.GzipFile(fileobj=io.BytesIO(batch.column("content")[i].as_py()))
+                held: list[str] = []
+
+                def told():
+                    at = pa.array([0] * len(held), pa.int32())
+                    return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), *(c.take(at) for c in of_file)],
+                                                      ["value", *names])
+                try:
+                    for n, line in enumerate(io.TextIOWrapper(raw, encoding=encoding, errors="replace")):
+                        if n or not header:
+                            held.append(line.rstrip("\n"))
+                        if len(held) == 20_000:
+                            yield told()
+                            held.clear()
+                except (gzip.BadGzipFile, EOFError) as e:
+                    raise ValueError(f"{batch.column('path')[i].as_py()} is declared GZIP but cannot be read so: {e}") from None
+                if held:
+                    yield told()
+
+    return files.mapInArrow(lines, T.StructType([T.StructField("value", T.StringType()), *parts]))
+
+
 def _load(spark: SparkSession, ext: ExternalData, schema: T.StructType | None) -> DataFrame:
     r = _reader(spark, ext)
     keys = _text_keys(spark, ext)
-    if schema is None and ext.spark_format == "csv":
-        if not ext.autodetect:
-            raise ValueError("CSV external data needs a schema or autodetect=True")
-        r = r.option("inferSchema", "true")
     if schema is None and keys:
         schema = r.load(ext.source_uris).schema
     if schema is not None:
         r = r.schema(_with_keys(schema, keys))
-    return r.load(ext.source_uris)
+    df = r.load(ext.source_uris)
+    if not _gzip(ext):
+        return df
+    options = {k.lower(): str(v) for k, v in ext.options.items()}
+    if options.get("multiline", "false").lower() == "true":
+        raise ValueError("gzip files are read line by line; multiLine needs the .gz suffix and no compression")
+    return df.where(_named_gzip()).unionByName(_parsed_lines(spark, ext, schema, options))
+
+
+def _parsed_lines(spark: SparkSession, ext: ExternalData, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
+    """CSV rows of gzip files without the suffix."""
+    lines = _unnamed_lines(spark, ext, options.get("header", "false").lower() == "true").where(F.trim("value") != "")
+    parts = [c for c in lines.columns if c != "value"]
+    own = [f for f in schema.fields if f.name not in parts]
+    ddl = ", ".join(f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in own)
+    known = {k: str(v) for k, v in ext.options.items() if k.lower() not in ("header", "columnpruning", "encoding")}
+    row = F.from_csv("value", ddl, known)
+    return lines.select(*[row.getField(f.name).alias(f.name, metadata=f.metadata) for f in own],
+                        *[F.col(quote_ident(c)) for c in parts])
+
+
+def _lines(spark: SparkSession, ext: ExternalData) -> DataFrame:
+    """``value`` lines of all files, and the partition columns."""
+    r = _reader(spark, ext, "text")
+    keys = _text_keys(spark, ext)
+    if keys:
+        r = r.schema(_with_keys(T.StructType([T.StructField("value", T.StringType())]), keys))
+    text = r.load(ext.source_uris)
+    if _gzip(ext):
+        text = text.where(_named_gzip()).unionByName(_unnamed_lines(spark, ext))
+    return text
+
+
+def detect_schema(spark: SparkSession, ext: ExternalData) -> T.StructType:
+    """The types of CSV or JSON files, from all their rows (without the partition columns)."""
+    if ext.spark_format == "json":
+        return json_types(_lines(spark, ext).where(F.trim("value") != ""), ext.options)
+    names = _csv_names(spark, ext)
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    rows = _load(spark, ExternalData(**{**asdict(ext), "options": {**ext.options, "mode": "PERMISSIVE"}}), text)
+    return column_types(rows.select(*[F.col(quote_ident(n)) for n in names]), ext.options)
+
+
+def _csv_names(spark: SparkSession, ext: ExternalData) -> list[str]:
+    """Column names from the header, or Spark's names for as many columns as the first line has."""
+    if not _gzip(ext):
+        found = _reader(spark, ext).load(ext.source_uris).schema
+        return [n for n in found.names if n not in _partition_keys(ext, found)]
+    import csv
+
+    options = {k.lower(): str(v) for k, v in ext.options.items()}
+    first = _lines(spark, ext).where(F.trim("value") != "").select("value").first()
+    if first is None:
+        return []
+    cells = next(csv.reader([first["value"]], delimiter=options.get("delimiter", options.get("sep", ",")),
+                            quotechar=options.get("quote", '"')))
+    return cells if options.get("header", "false").lower() == "true" else [f"_c{i}" for i in range(len(cells))]
 
 
 BAD = "__bad"
@@ -153,10 +271,12 @@ def read_external(spark: SparkSession, ext: ExternalData) -> DataFrame:
     """
     fmt = ext.spark_format
     schema = ext.struct_schema()
-    if schema is None and ext.autodetect and fmt in ("csv", "json"):
-        found = _load(spark, ext, None).schema
-        keys = _partition_keys(ext, found)
-        schema = T.StructType([f for f in found.fields if f.name not in (*keys, CORRUPT)])
+    _gzip(ext)
+    if schema is None and fmt in ("csv", "json"):
+        if fmt == "csv" and not ext.autodetect:
+            raise ValueError("CSV external data needs a schema or autodetect=True")
+        if ext.autodetect or _gzip(ext):
+            schema = detect_schema(spark, ext)
     dec_cols = _decimal_fields(schema, ext)
     if dec_cols:  # read decimals as text; the type is chosen from the values below
         schema = T.StructType([T.StructField(f.name, T.StringType(), True, f.metadata)
@@ -196,9 +316,8 @@ def _partition_keys(ext: ExternalData, schema: T.StructType) -> list[str]:
 
 def _layout_keys(ext: ExternalData, schema: T.StructType) -> list[str]:
     # Spark puts the partition columns last
-    spark = SparkSession.active()
-    files = spark.read.text(ext.source_uris).inputFiles()
-    keys = [unquote(p.split("=", 1)[0]) for p in (files[0].split("/")[:-1] if files else []) if "=" in p]
+    file = first_file(SparkSession.active(), ext.source_uris) or ""
+    keys = [unquote(p.split("=", 1)[0]) for p in file.split("/")[:-1] if "=" in p]
     return [k for k in keys if k in schema.fieldNames()]
 
 
@@ -244,13 +363,7 @@ def _csv(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataFr
 
 def _json(spark: SparkSession, ext: ExternalData, schema: T.StructType) -> DataFrame:
     # One text scan: parse with the schema, flag malformed rows and unknown keys.
-    r = spark.read.options(**{k: str(v) for k, v in ext.options.items()})
-    if ext.hive_partitioning is not None:
-        r = r.option("basePath", ext.hive_partitioning.source_uri_prefix)
-    keys = _text_keys(spark, ext)
-    if keys:
-        r = r.schema(_with_keys(T.StructType([T.StructField("value", T.StringType())]), keys))
-    text = r.text(ext.source_uris)
+    text = _lines(spark, ext)
     text = text.where(F.trim("value") != "")
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     parse_opts = {**{k: str(v) for k, v in ext.options.items()},
@@ -339,6 +452,11 @@ def define_external_table(spark: SparkSession, name: str, ext: ExternalData, *,
     """
     if table_exists(spark, name):
         return False
+    if _gzip(ext) and not spark.read.format("binaryFile").load(ext.source_uris).where(~_named_gzip()).select("path").isEmpty():
+        raise ValueError("a catalog entry cannot read gzip files without the .gz suffix; read_external can")
+    if ext.autodetect and ext.schema is None and ext.spark_format in ("csv", "json"):
+        # found once: later reads use the registered types
+        ext = ExternalData(**{**asdict(ext), "schema": detect_schema(spark, ext).json(), "autodetect": False})
     folders = ([ext.hive_partitioning.source_uri_prefix] if ext.hive_partitioning
                else list(dict.fromkeys(_folder(spark, u) for u in ext.source_uris)))
     df = read_external(spark, ExternalData(**{**asdict(ext), "max_bad_records": None}))

@@ -62,7 +62,7 @@ def test_autodetect_and_schema_required(spark, scratch):
     spark.createDataFrame([(1, 2.5)], "a int, b double").write.option("header", True).csv(path)
     df = ts.read_external(spark, ts.ExternalData([path], "CSV", autodetect=True,
                                                  options={"header": "true"}))
-    assert dict(df.dtypes) == {"a": "int", "b": "double"}
+    assert dict(df.dtypes) == {"a": "bigint", "b": "decimal(2,1)"}
     with pytest.raises(ValueError):
         ts.read_external(spark, ts.ExternalData([path], "CSV"))
 
