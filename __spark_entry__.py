@@ -309,6 +309,7 @@ def _month_spec(expiration_ms=None, require=False) -> ts.PartitionSpec:
 
 
 REPLACED_MONTH = dt.date(1995, 3, 1)
+CURVE_LO, CURVE_HI = dt.datetime(1996, 1, 1), dt.datetime(1996, 6, 30)
 
 
 def q_replace_partition(spark, sf_dir):
@@ -952,6 +953,56 @@ def q_unfinished_overwrite(spark, sf_dir):
     return ts.read_table(spark, name).withColumn("n_before", F.lit(before))
 
 
+# ------------------------------------------------------- reads that leave files out
+
+def q_pruned_join(spark, sf_dir):
+    """Orders of the dates of some customers' first orders: the months to read come from those keys at run time."""
+    base = _monthly(spark, sf_dir, "pruned")
+    firsts = (_read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"))
+              .where("o_custkey % 50 = 1").select("first").distinct())
+    df = ts.read_matching(spark, base, firsts, {"first": "o_orderdate"})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return df.withColumn("pruned", F.lit("dynamicpruning" in plan))
+
+
+def q_file_skipping(spark, sf_dir):
+    """Orders of one customer, and how many of the table's files their summaries leave to be read."""
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "skipping", o, clustering=["o_orderkey"], cluster_partitions=16, summaries=["o_custkey"])
+    custkey = o.agg(F.min("o_custkey")).first()[0]
+    read = ts.read_table(spark, name, points={"o_custkey": custkey})
+    listed = ts.operators.candidate_files(spark, name, {"o_custkey": custkey}).count()
+    holding = read.select("_metadata.file_name").distinct().count()
+    return read.withColumn("files_enough", F.lit(holding <= listed < 16))
+
+
+def q_curve_files(spark, sf_dir):
+    """A range of the second cluster column alone leaves under half of the files of a table laid out along a curve."""
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "curve", o, clustering=["o_custkey", "o_orderdate"], cluster_partitions=16,
+                    cluster_curve=True, summaries=["o_custkey", "o_orderdate"])
+    span = {"o_orderdate": (CURVE_LO, CURVE_HI)}
+    files = spark.table(name).select("_metadata.file_name").distinct().count()
+    listed = ts.operators.candidate_files(spark, name, ranges=span).count()
+    return ts.read_table(spark, name, ranges=span).withColumn("under_half", F.lit(2 * listed < files))
+
+
+def q_archive_as_of(spark, sf_dir):
+    """Two months archived at three times, as they were between the second and the third."""
+    o = _orders_cols(spark, sf_dir)
+    root = scratch_path(spark, "archives")
+    name, path = _table(spark, "as_of")
+    ts.create_table(spark, name, o.schema, partitioning=_month_spec(), path=path)
+    month = F.date_trunc("month", "o_orderdate").cast("date")
+    for k, (when, months) in enumerate([(dt.datetime(2024, 1, 31), (REPLACED_MONTH, dt.date(1995, 5, 1))),
+                                        (dt.datetime(2024, 2, 29), (REPLACED_MONTH,)),
+                                        (dt.datetime(2024, 3, 31), (REPLACED_MONTH, dt.date(1995, 5, 1)))], 1):
+        for m in months:
+            rows = o.where(month == F.lit(m)).withColumn("o_totalprice", F.col("o_totalprice") * k)
+            ts.replace_partition(rows, name, m, archive=True, archive_root=root, now=when)
+    return ts.read_archive_as_of(spark, root, name, dt.datetime(2024, 3, 15))
+
+
 # ------------------------------------------------------------- registry
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -1031,6 +1082,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "external_gzip_unnamed": q_external_gzip_unnamed,
     "external_autodetect": q_external_autodetect,
     "external_autodetect_json": q_external_autodetect_json,
+    "pruned_join": q_pruned_join,
+    "file_skipping": q_file_skipping,
+    "curve_files": q_curve_files,
+    "archive_as_of": q_archive_as_of,
 }
 
 
@@ -1319,6 +1374,18 @@ def table_oracle_sql() -> dict[str, str]:
                    'decimal(' || (SELECT max(length(CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR))) + 12 FROM orders)
                        || ',12)' AS price_type, 'date' AS day_type
             FROM cells""",
+        "pruned_join": f"""
+            SELECT {_ORDERS}, TRUE AS pruned FROM orders WHERE o_orderdate IN (
+                SELECT min(o_orderdate) FROM orders GROUP BY o_custkey HAVING o_custkey % 50 = 1)""",
+        "file_skipping": f"""
+            SELECT {_ORDERS}, TRUE AS files_enough FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders)""",
+        "curve_files": f"""
+            SELECT {_ORDERS}, TRUE AS under_half FROM orders
+            WHERE o_orderdate BETWEEN TIMESTAMP '{CURVE_LO}' AND TIMESTAMP '{CURVE_HI}'""",
+        "archive_as_of": f"""
+            SELECT o_orderkey, o_custkey, o_orderstatus,
+                   o_totalprice * CASE WHEN {_MONTH} = DATE '{REPLACED_MONTH}' THEN 2 ELSE 1 END AS o_totalprice, o_orderdate
+            FROM orders WHERE {_MONTH} IN (DATE '{REPLACED_MONTH}', DATE '1995-05-01')""",
         "external_autodetect_json": """
             SELECT o_custkey, CAST(max(o_orderdate) OVER (PARTITION BY o_custkey) AS DATE) AS latest, 'date' AS latest_type,
                    o_orderkey AS k, o_totalprice AS price, CAST(o_orderdate AS DATE) AS day, 'date' AS day_type,

@@ -2,6 +2,7 @@
 
 from .incremental import Measure, Refresh, create_incremental_view, refresh_incremental_view
 from .partitioning import PartitionSpec, RangePartitioning, TimePartitioning
+from .summaries import candidate_files, summarise
 from .tables import (apply_column_overrides, create_table, expire_partitions, expire_tables,
                      is_external, partition_spec_of, table_exists, table_properties,
                      update_table_schema)
@@ -11,9 +12,9 @@ from .views import (create_materialized_view, create_snapshot, create_view, drop
 
 __all__ = [
     "ConcurrentWrite", "Measure", "PartitionSpec", "RangePartitioning", "Refresh", "TimePartitioning",
-    "apply_column_overrides", "create_incremental_view",
+    "apply_column_overrides", "candidate_files", "create_incremental_view",
     "create_materialized_view", "create_snapshot", "create_table", "create_view", "drop_snapshot",
     "expire_partitions", "expire_tables", "is_external", "partition_spec_of", "recover", "references",
-    "refresh_incremental_view", "refresh_materialized_view", "table_exists", "table_properties", "update_table_schema",
+    "refresh_incremental_view", "refresh_materialized_view", "summarise", "table_exists", "table_properties", "update_table_schema",
     "update_view",
 ]

@@ -440,7 +440,7 @@ def table_layout(spark: SparkSession, name: str) -> dict:
             k, _, v = part.partition("=")
             if k and k != "path":
                 options[k] = v
-    own = {versions.PROP_HOME, versions.PROP_ID, versions.PROP_VERSION}
+    own = {versions.PROP_HOME, versions.PROP_ID, versions.PROP_VERSION, versions.PROP_SUMMARISED}
     return {
         "format": info.get("Provider", "parquet"),
         "external": info.get("Type") == "EXTERNAL",

@@ -1,7 +1,8 @@
 """Sinks: writes into catalog tables, partition replace, archive copies."""
 
-from .table import (WriteResult, archive_path, clustered, read_archive, replace_partition,
-                    write_archive, write_table)
+from .table import (WriteResult, archive_path, clustered, list_archives, read_archive, read_archive_as_of,
+                    replace_partition, write_archive, write_table)
 
-__all__ = ["WriteResult", "archive_path", "clustered", "read_archive", "replace_partition",
+__all__ = ["WriteResult", "archive_path", "clustered", "list_archives", "read_archive", "read_archive_as_of",
+           "replace_partition",
            "write_archive", "write_table"]

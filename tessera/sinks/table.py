@@ -29,7 +29,8 @@ from ..operators.tables import (NULL_PARTITION, PROP_EXTERNAL, PROP_OPTIONS, clu
                                 partition_spec_of, required_columns, table_exists, table_layout, table_properties,
                                 update_table_schema)
 from ..operators import versions
-from ..session import quote_ident, quote_table, sql_string, write_text
+from ..operators.summaries import PROP_SUMMARIES, summarise
+from ..session import first_file, quote_ident, quote_table, sql_string, write_text
 
 log = logging.getLogger(__name__)
 
@@ -86,6 +87,48 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType.fromJson(json.loads(text))).orc(path)
 
 
+def list_archives(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """``path, partition, stamp, stored_schema`` of every archive copy of a table.
+
+    ``partition`` is the folder name of the partition (escaped; empty for a table
+    without), ``stamp`` the time it was written, as it stands in the path. A
+    copy counts from the moment its schema stands beside it, which is last.
+    """
+    home = f"{root.rstrip('/')}/ar_{table.rsplit('.', 1)[-1]}"
+    levels = [f"{home}/*/*{SCHEMA_SUFFIX}", f"{home}/*/*=*/*{SCHEMA_SUFFIX}"]
+    there = [p for p in levels if first_file(spark, [p])]
+    if not there:
+        return spark.createDataFrame([], "path string, partition string, stamp timestamp_ntz, stored_schema string")
+    path = F.regexp_replace("path", f"{SCHEMA_SUFFIX}$", "")
+    return spark.read.format("binaryFile").load(there).select(
+        path.alias("path"), F.regexp_extract(path, "/([^/]+=[^/]*)/[^/]+$", 1).alias("partition"),
+        F.try_to_timestamp(F.regexp_extract(path, "([^/]+)$", 1), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz").alias("stamp"),
+        F.trim(F.decode("content", "UTF-8")).alias("stored_schema"))
+
+
+def read_archive_as_of(spark: SparkSession, root: str, table: str, as_of: dt.datetime) -> DataFrame:
+    """The rows of ``table`` as its archive copies hold them at ``as_of``.
+
+    Of each partition, the newest copy written by then; of a table without
+    partitions, the newest copy. ``as_of`` is in the zone the copies were stamped
+    in. Copies of one schema are one scan, however many partitions there are; a
+    column that an older copy lacks is null there.
+    """
+    by_then = list_archives(spark, root, table).where(F.col("stamp") <= F.lit(as_of).cast("timestamp_ntz"))
+    # one row a partition; the copies themselves are not looked into
+    newest = by_then.groupBy("partition").agg(F.max(F.struct("stamp", "path", "stored_schema")).alias("c")).select("c.*").collect()
+    if not newest:
+        raise ValueError(f"no archive copy of {table} at {root} from {as_of} or before")
+    scans: dict[str, list] = {}
+    for r in sorted(newest, key=lambda r: r["stamp"], reverse=True):
+        scans.setdefault(r["stored_schema"], []).append(r["path"])
+    out = None
+    for schema, paths in scans.items():
+        part = spark.read.schema(T.StructType.fromJson(json.loads(schema))).orc(paths)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 # ------------------------------------------------------------------- layout
 
 def _hashable(dtp: T.DataType) -> bool:
@@ -97,8 +140,52 @@ def _hashable(dtp: T.DataType) -> bool:
     return not isinstance(dtp, (T.MapType, T.VariantType))
 
 
+def _number(c: Column, dtp: T.DataType) -> Column:
+    """A double in the order of the values, for quantiles (of a text, its first six bytes)."""
+    if isinstance(dtp, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtp, T.TimestampNTZType):
+        return F.unix_micros(F.to_utc_timestamp(c, "UTC")).cast("double")
+    if isinstance(dtp, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtp, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(dtp, (T.NumericType, T.BooleanType)):
+        return c.cast("int").cast("double") if isinstance(dtp, T.BooleanType) else c.cast("double")
+    raise TypeError(f"{dtp.simpleString()} values cannot be interleaved")
+
+
+def _rank(x: Column, cuts: Sequence[float], low: int = 0) -> Column:
+    """How many of the ascending ``cuts`` are at or below ``x``: a balanced tree of comparisons."""
+    if not cuts:
+        return F.lit(low)
+    mid = len(cuts) // 2
+    return F.when(x >= F.lit(cuts[mid]), _rank(x, cuts[mid + 1:], low + mid + 1)).otherwise(_rank(x, cuts[:mid], low))
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """Place of a row on a space-filling curve over the columns.
+
+    Each column's value is replaced by its quantile (``2**bits`` of them, from
+    one aggregate over all rows), and the bits of the quantiles are interleaved, so
+    a file of neighbours on the curve covers a narrow range of every column.
+    """
+    numbers = [_number(df[quote_ident(c)], df.schema[c].dataType) for c in columns]
+    n = 1 << bits
+    steps = F.array(*[F.lit(i / n) for i in range(1, n)])
+    found = df.agg(*[F.percentile_approx(x, steps, 20 * n).alias(f"q{i}") for i, x in enumerate(numbers)]).first()
+    place = F.lit(0).cast("bigint")
+    for i, x in enumerate(numbers):
+        rank = F.coalesce(_rank(x, sorted(set(found[f"q{i}"] or []))), F.lit(0)).cast("bigint")
+        for b in range(bits):
+            bit = F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("bigint"))
+            place = place.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
+    return place
+
+
 def clustered(df: DataFrame, columns: Sequence[str],
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, curve: bool = False) -> DataFrame:
     """Range-partition and sort by ``columns`` so files cover narrow key ranges.
 
     A hash of the row (of its columns without maps) breaks ties: a key that
@@ -106,8 +193,10 @@ def clustered(df: DataFrame, columns: Sequence[str],
     instead of one task. AQE can merge range partitions but not split them, so
     without ``num_partitions`` there are as many as the plan's size estimate
     has multiples of ``CLUSTER_BYTES``, and at least the session's default.
+    ``curve`` orders by `interleaved` instead, so that files are narrow in every
+    one of the columns and not in the first alone.
     """
-    cols = [F.col(quote_ident(c)) for c in columns]
+    cols = [interleaved(df, columns)] if curve else [F.col(quote_ident(c)) for c in columns]
     tiebreak = F.xxhash64(*[F.col(quote_ident(f.name)) for f in df.schema.fields if _hashable(f.dataType)])
     if not num_partitions:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -184,6 +273,8 @@ def write_table(df: DataFrame, table: str, *,
                 path: str | None = None,
                 rebalance: bool | None = None,
                 cluster_partitions: int | None = None,
+                cluster_curve: bool = False,
+                summaries: Sequence[str] | None = None,
                 conform: bool = False,
                 widen_float: bool = False,
                 external=None,
@@ -201,6 +292,9 @@ def write_table(df: DataFrame, table: str, *,
     ``conform`` rewrites every column to a warehouse type first (V3).
     ``rebalance`` (default on for partitioned writes) adds AQE's REBALANCE on
     the partition column; pass False to write without a shuffle.
+    ``cluster_curve`` lays a table without partitions out along a space-filling
+    curve over all its cluster columns (see ``clustered``). ``summaries`` names
+    columns whose values are summarised by file from then on (``summarise``).
     ``external`` (an ``ExternalData``) defines ``table`` over those files
     instead (when creating is allowed) and loads nothing into it.
     """
@@ -302,7 +396,8 @@ def write_table(df: DataFrame, table: str, *,
         if cluster_cols:
             df = df.sortWithinPartitions(lead, *[F.col(quote_ident(c)) for c in cluster_cols])
     elif cluster_cols:
-        df = clustered(df, ([spec.partition_column] if by_partition else []) + cluster_cols, cluster_partitions)
+        lead = [spec.partition_column] if by_partition else []
+        df = clustered(df, lead + cluster_cols, cluster_partitions, cluster_curve and not by_partition)
 
     out = df.select(*_aligned(df, table_schema))
     if one and mode == "overwrite":
@@ -320,6 +415,8 @@ def write_table(df: DataFrame, table: str, *,
         _update_settings(spark, table, table_settings, clustering, None, mode)
         if encode_decimals:
             _retag(spark, table, df.schema)
+    if summaries is not None or PROP_SUMMARIES in props:
+        summarise(spark, table, summaries)
     return WriteResult("written", table, archived, created)
 
 
