@@ -38,8 +38,13 @@ from .common import text_slices
 
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 16
-#: Pre-tokens whose ids a worker remembers; the memory is emptied beyond that.
+#: Pre-tokens whose ids a worker remembers; it begins anew beyond that.
 REMEMBERED = 1_000_000
+#: Characters of one text, and of texts together, that are cut at once.
+PART = 1 << 20
+SLICE = 8 << 20
+#: Ids that are packed or unpacked at once.
+STEP = 1 << 16
 NO_DOC = -(2**63)
 
 BLOCK_SCHEMA = ("shard int, block int, first bigint, n_docs int, n_ids bigint, width int, "
@@ -49,8 +54,12 @@ BLOCK_SCHEMA = ("shard int, block int, first bigint, n_docs int, n_ids bigint, w
 def pack(ids: np.ndarray, width: int) -> bytes:
     if width in (8, 16, 32):
         return ids.astype(f"<u{width // 8}").tobytes()
-    bits = (ids.astype(np.uint32)[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    out = []
+    # STEP is a multiple of 8, so every step but the last ends with a whole byte
+    for a in range(0, len(ids), STEP):
+        bits = (ids[a:a + STEP].astype(np.uint32)[:, None] >> np.arange(width, dtype=np.uint32)) & 1
+        out.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes())
+    return b"".join(out)
 
 
 def unpack(payload: bytes, width: int, first: int, n: int) -> np.ndarray:
@@ -58,24 +67,48 @@ def unpack(payload: bytes, width: int, first: int, n: int) -> np.ndarray:
     if width in (8, 16, 32):
         size = width // 8
         return np.frombuffer(payload, f"<u{size}", n, first * size).astype(np.uint32)
-    begin, end = first * width, (first + n) * width
-    raw = np.frombuffer(payload, np.uint8)[begin // 8:-(-end // 8)]
-    bits = np.unpackbits(raw, bitorder="little")[begin % 8:begin % 8 + n * width].reshape(n, width)
-    return (bits.astype(np.uint32) << np.arange(width, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+    out = np.empty(n, dtype=np.uint32)
+    places = np.arange(width, dtype=np.uint32)
+    for a in range(0, n, STEP):
+        some = min(STEP, n - a)
+        begin, end = (first + a) * width, (first + a + some) * width
+        raw = np.frombuffer(payload, np.uint8, -(-end // 8) - begin // 8, begin // 8)
+        bits = np.unpackbits(raw, bitorder="little")[begin % 8:begin % 8 + some * width].reshape(some, width)
+        out[a:a + some] = (bits.astype(np.uint32) << places).sum(axis=1, dtype=np.uint32)
+    return out
+
+
+#: Classes of the bytes of a text: what stands between texts, letter, digit, other, white space.
+BETWEEN, LETTER, DIGIT, OTHER, SPACE = range(5)
+
+
+def _byte_classes() -> np.ndarray:
+    kind = np.full(256, OTHER, dtype=np.uint8)
+    kind[0] = BETWEEN
+    kind[list(b"\t\n\r ")] = SPACE
+    kind[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = LETTER
+    kind[list(b"0123456789")] = DIGIT
+    kind[0x80:] = LETTER
+    kind[0xC2] = OTHER  # begins the two marks of DOUBTFUL's class
+    return kind
+
+
+CLASSES = _byte_classes()
 
 
 class Encoder:
     """Whole-text ids of the tokenizers library, remembering pre-tokens.
 
-    A byte-level BPE encodes each pre-token on its own, so a text made only of
-    characters whose class is beyond doubt is cut here by the tokenizer's own
-    published pattern, and the library is asked once for each distinct piece.
-    Any other text, and any other kind of tokenizer, goes to the library whole.
+    A byte-level BPE encodes each pre-token on its own, so texts made only of
+    characters whose class is beyond doubt are cut here, many at once, as the
+    tokenizer's own published pattern cuts them; the library is asked once for
+    each distinct piece, and the ids of all pieces are gathered from there. Any
+    other text, and any other kind of tokenizer, goes to the library whole.
     """
 
-    #: The published byte-level pre-token pattern, and the characters it is applied to here.
-    PIECES = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
     DOUBTFUL = re.compile("[^\t\n\r -~¡¿À-ÖØ-öø-ɏ]")
+    #: A blank that begins a piece whatever stands before and after.
+    SEAM = re.compile(r"(?<=\S) (?=[^\W\d_])")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -88,38 +121,115 @@ class Encoder:
                      and not told["model"].get("dropout") and cut.get("type") == "ByteLevel"
                      and cut.get("use_regex", True) and not cut.get("add_prefix_space"))
         self.added = [t["content"] for t in told.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}                  # piece to its number
+        self.sizes = np.zeros(0, dtype=np.int64)           # ids of each piece
+        self.ids = np.zeros(0, dtype="<u4")                # all pieces' ids, one after another
 
     def width(self, *more: int) -> int:
         return max(1, max(self.library.get_vocab_size(with_added_tokens=True) - 1, *more).bit_length())
 
+    def learn(self, pieces: list[bytes]) -> None:
+        ids, sizes = [self.ids], [self.sizes]
+        for a in range(0, len(pieces), 50_000):
+            # the fast form leaves out offsets, which are not wanted here
+            some = [e.ids for e in self.library.encode_batch_fast([p.decode() for p in pieces[a:a + 50_000]],
+                                                                  add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in some], dtype=np.int64))
+            ids.append(np.fromiter((i for x in some for i in x), "<u4", int(sizes[-1].sum())))
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+
+    def pieces(self, data: bytes):
+        """Pre-tokens of texts that a zero byte ends, as an Arrow array, and where each begins."""
+        import pyarrow as pa
+        buf = np.frombuffer(data, np.uint8)
+        kind = CLASSES[buf]
+        kind[np.flatnonzero(buf == 0xC2) + 1] = OTHER
+        before = np.concatenate([[BETWEEN], kind[:-1]]).astype(np.uint8)
+        after = np.concatenate([kind[1:], [BETWEEN]]).astype(np.uint8)
+        blank = buf == 32
+        begins = (kind != before) & (kind != BETWEEN)
+        # the last of some white space goes to what follows if it is a blank, and else stands alone
+        last = (kind == SPACE) & (after != SPACE) & (after != BETWEEN)
+        begins |= last
+        begins[1:] &= ~(last & blank)[:-1]
+        # an apostrophe that begins a piece takes certain letters along
+        at = np.flatnonzero((buf[:-1] == 39) & begins[:-1] & (kind[1:] == LETTER))
+        one, two = buf[at + 1], buf[np.minimum(at + 2, len(buf) - 1)]
+        taken = np.where(np.isin(one, list(b"sdmt")), 1, 0)
+        taken[((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)] = 2
+        at, taken = at[taken > 0], taken[taken > 0]
+        begins[at + 1] = False
+        begins[at + 1 + taken] |= kind[at + 1 + taken] == LETTER
+        keep = kind != BETWEEN
+        start = np.flatnonzero(begins)
+        offsets = np.append(np.cumsum(keep, dtype=np.int64)[start] - 1, np.count_nonzero(keep)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(start), [
+            None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(buf[keep].tobytes())]), start
+
+    def cut(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts whose characters are all of a known class."""
+        raw = [t.encode() for t in texts]
+        pieces, start = self.pieces(b"\0".join(raw) + b"\0")
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) + len(distinct) > REMEMBERED:
+            self.forget()
+        self.learn([p for p in distinct if p not in self.known])
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        code = number[np.asarray(coded.indices)] if len(distinct) else np.zeros(0, np.int64)
+        first = np.cumsum(self.sizes) - self.sizes
+        size = self.sizes[code]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.arange(upto[-1]) + np.repeat(first[code] - upto[:-1], size)]
+        ends = np.searchsorted(start, np.cumsum([len(r) + 1 for r in raw]))
+        return np.split(ids, upto[ends][:-1])
+
+    def parts(self, text: str):
+        """The text in parts, cut where a piece begins."""
+        first = 0
+        while len(text) - first > PART:
+            at = self.SEAM.search(text, first + PART)
+            if at is None:
+                break
+            yield text[first:at.start()]
+            first = at.start()
+        yield text[first:] if first else text
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        out: list = [None] * len(texts)
-        cut = {}
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[str] = []
+        owner: list[int] = []
+        size = 0
+
+        def take():
+            for i, ids in zip(owner, self.cut(held)):
+                out[i].append(ids)
+            held.clear()
+            owner.clear()
+
+        whole = []
         for i, t in enumerate(texts):
-            if self.cuts and not self.DOUBTFUL.search(t) and not any(a in t for a in self.added):
-                cut[i] = self.PIECES.findall(t)
-        known = self.known
-        fresh: set[str] = set()
-        for pieces in cut.values():
-            fresh.update(pieces)
-        fresh.difference_update(known.keys())
-        new = list(fresh)
-        for a in range(0, len(new), 50_000):
-            part = new[a:a + 50_000]
-            # the fast form leaves out offsets, which are not wanted here
-            known.update((p, array("I", e.ids).tobytes())
-                         for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)))
-        for i, pieces in cut.items():
-            out[i] = np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
-        whole = [i for i in range(len(texts)) if i not in cut]
+            if not self.cuts or self.DOUBTFUL.search(t) or any(a in t for a in self.added):
+                whole.append(i)
+                continue
+            for part in self.parts(t):
+                held.append(part)
+                owner.append(i)
+                size += len(part)
+                if size > SLICE:
+                    take()
+                    size = 0
+        if held:
+            take()
         for a in range(0, len(whole), 256):
             part = whole[a:a + 256]
             for i, e in zip(part, self.library.encode_batch([texts[i] for i in part], add_special_tokens=False)):
-                out[i] = np.array(e.ids, dtype="<u4")
-        return out
+                out[i].append(np.array(e.ids, dtype="<u4"))
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -162,7 +272,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: s
                 "payload": pack(ids, width)}], schema)
 
         tail = np.array([end_id], dtype="<u4")
-        for batch in (part for whole in batches for part in text_slices(whole)):
+        for batch in (part for whole in batches for part in text_slices(whole, most=SLICE)):
             texts = batch.column("text").to_pylist()
             for key, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(texts)):
                 names.append(NO_DOC if key is None else key)
@@ -178,10 +288,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: s
 
 
 def _with_start(blocks: DataFrame) -> DataFrame:
-    """Blocks with ``start``, the ids of all shards and blocks before them; one row a shard is broadcast."""
+    """Blocks with ``start``, the ids of all shards and blocks before them.
+
+    The totals are one row a shard, that is a task of the write, so their
+    broadcast is bounded by the number of partitions; the payload is not shuffled.
+    """
     shards = (blocks.groupBy("shard").agg(F.max(F.col("first") + F.col("n_ids")).alias("n"))
               .select("shard", (F.sum("n").over(W.orderBy("shard")) - F.col("n")).alias("shard_start")))
-    return blocks.join(shards, "shard").withColumn("start", F.col("shard_start") + F.col("first"))
+    return blocks.join(F.broadcast(shards), "shard").withColumn("start", F.col("shard_start") + F.col("first"))
 
 
 def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:

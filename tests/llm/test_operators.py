@@ -388,6 +388,32 @@ def duckdb_dirty():
     return {r[0] for r in con.execute(f"SELECT doc_id FROM ({entries.oracle_sql()['op9_decontaminate']}) WHERE contaminated").fetchall()}
 
 
+def test_pipeline_without_labels(llm):
+    """Nothing can be learned, so nothing is rejected."""
+    docs = llm.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    assert dict(corpus_pipeline.STAGES)["language ID"](llm, docs, SF).count() == docs.count()
+
+
+def test_pipeline_keeps_columns_and_rows(llm):
+    """Columns with the operators' names, a map column, and one id with two texts."""
+    docs = (llm.read.parquet(f"{SF}/documents.parquet")
+            .withColumns({"score": F.lit(7.5), "lang_pred": F.lit("own"), "block": F.lit(3), "copies": F.lit(7), "cut": F.lit("c"),
+                          "m": F.create_map(F.lit("k"), F.col("source")), "a.b": F.lit(1)}))
+    one = docs.limit(1).collect()[0]
+    other = llm.createDataFrame([one, one], docs.schema)
+    other = other.union(other.limit(1).withColumn("text", F.lit("another text that has its own words and the same id")))
+    rows = docs.where(F.col("doc_id") != one["doc_id"]).union(other)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(llm, rows, SF)
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert found and all((r["score"], r["lang_pred"], r["block"], r["copies"], r["cut"], r["a.b"]) == (7.5, "own", 3, 7, "c", 1)
+                             and r["m"] == {"k": r["source"]} for r in found), name
+        if name == "n-gram Jaccard join":
+            same = {r["text"] for r in found if r["doc_id"] == one["doc_id"]}
+            assert len(same) == 2 and Counter(r["doc_id"] for r in found)[one["doc_id"]] == 2
+
+
 def test_pipeline_of_nothing(llm, none):
     docs = none.select("doc_id", "text", "lang", "source")
     for _, stage in corpus_pipeline.STAGES:

@@ -59,11 +59,39 @@ def test_long_and_short_paths_agree(pieces):
 
 def test_ids_equal_the_library():
     enc = token_output.Encoder(public.path("byte_bpe_50k.json"))
-    texts = noise(2, 2000)
+    rng = np.random.default_rng(7)
+    alphabet = list("abst 'rvelmd\n1.é¿¡-É_\t  ") + ["'ll", "'re", " '", "''", "  ", "\n\n", " \n"]
+    texts = noise(2, 2000) + ["".join(rng.choice(alphabet, 60)) for _ in range(2000)]
+    texts += ["", " ", "\n", "  a", "a  ", "a \n", "\n a", " \n a", "\x00a\x00", "x<|endoftext|>y"]
+    texts += [f"{chr(c)} a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in [*range(1, 0x250), 0x301, 0x4E2D, 0x1F642]]
     want = [e.ids for e in enc.library.encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in enc.encode(texts)] == want
 
 
+def test_ids_of_parts_and_of_a_worker_that_forgets(monkeypatch):
+    monkeypatch.setattr(token_output, "PART", 40)
+    monkeypatch.setattr(token_output, "SLICE", 500)
+    monkeypatch.setattr(token_output, "REMEMBERED", 60)
+    enc = token_output.Encoder(public.path("byte_bpe_50k.json"))
+    texts = [" ".join(noise(3, 30)), "word " * 500, "x" * 3000, " " * 500 + "end", "", "It's  a\n\ntest, isn't it? " * 40]
+    assert [x.tolist() for x in enc.encode(texts)] == [enc.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.encode([]) == []
+
+
+def test_a_text_of_20_mb():
+    enc = token_output.Encoder(public.path("byte_bpe_50k.json"))
+    part = "The quick brown fox isn't here; it's 12345 miles away.\n  Über élan\t" * 1000
+    text = part * (20_000_000 // len(part.encode()) + 1)
+    once = enc.library.encode(part, add_special_tokens=False).ids
+    got, = enc.encode([text])
+    assert len(text.encode()) >= 20_000_000
+    assert got[:len(once) - 2].tolist() == once[:-2] and len(got) >= (len(once) - 2) * len(text) // len(part)
+    packed = token_output.pack(got, enc.width(2))
+    assert (token_output.unpack(packed, enc.width(2), 0, len(got)) == got).all()
+    where = len(got) // 2 + 1
+    assert (token_output.unpack(packed, enc.width(2), where, 100_001) == got[where:where + 100_001]).all()
+
+
 @pytest.mark.parametrize("width", range(1, 33))
 def test_packing_round_trip(width):
     ids = np.random.default_rng(width).integers(0, 2**width, 1001).astype(np.uint32)
