@@ -953,6 +953,24 @@ def q_unfinished_overwrite(spark, sf_dir):
     return ts.read_table(spark, name).withColumn("n_before", F.lit(before))
 
 
+def q_recluster(spark, sf_dir):
+    """Three unordered appends to two months of a clustered table, put in order: the other months' files stay."""
+    o = _orders_cols(spark, sf_dir)
+    name = _written(spark, sf_dir, "recluster", o, partitioning=_month_spec(), clustering=["o_custkey"])
+    month = F.date_trunc("month", "o_orderdate").cast("date")
+    some = o.where(month.isin([REPLACED_MONTH, dt.date(1995, 5, 1)]))
+    for k in range(3):
+        ts.write_table(some.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == k), name, mode="append", clustering=[])
+    ts.update_table_schema(spark, name, clustering=["o_custkey"])
+    files = lambda: spark.table(name).select(month.alias("m"), F.col("_metadata.file_name").alias("file")).distinct()
+    before = {tuple(r) for r in files().collect()}
+    done = ts.recluster(spark, name)
+    kept = len({r[0] for r in before & {tuple(r) for r in files().collect()}})
+    deepest = ts.operators.cluster_depth(spark, name).agg(F.max("depth")).first()[0]
+    return spark.table(name).drop(_month_spec().partition_column).withColumns(
+        {"n_rewritten": F.lit(len(done.rewritten)), "n_kept": F.lit(kept), "depth": F.lit(deepest)})
+
+
 # ------------------------------------------------------- reads that leave files out
 
 def q_pruned_join(spark, sf_dir):
@@ -1082,6 +1100,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "external_gzip_unnamed": q_external_gzip_unnamed,
     "external_autodetect": q_external_autodetect,
     "external_autodetect_json": q_external_autodetect_json,
+    "recluster": q_recluster,
     "pruned_join": q_pruned_join,
     "file_skipping": q_file_skipping,
     "curve_files": q_curve_files,
@@ -1374,6 +1393,10 @@ def table_oracle_sql() -> dict[str, str]:
                    'decimal(' || (SELECT max(length(CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR))) + 12 FROM orders)
                        || ',12)' AS price_type, 'date' AS day_type
             FROM cells""",
+        "recluster": f"""
+            SELECT {_ORDERS}, 2 AS n_rewritten, (SELECT count(DISTINCT {_MONTH}) - 2 FROM orders) AS n_kept, 1 AS depth
+            FROM (SELECT * FROM orders
+                  UNION ALL SELECT * FROM orders WHERE {_MONTH} IN (DATE '{REPLACED_MONTH}', DATE '1995-05-01'))""",
         "pruned_join": f"""
             SELECT {_ORDERS}, TRUE AS pruned FROM orders WHERE o_orderdate IN (
                 SELECT min(o_orderdate) FROM orders GROUP BY o_custkey HAVING o_custkey % 50 = 1)""",
