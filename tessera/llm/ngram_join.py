@@ -54,6 +54,9 @@ CHUNK = 1 << 22
 COMMON = 1 << 20
 MARKS = 23
 ROUNDS = 2
+#: Shares that the pairs of two families are dealt into, and where the rounds that take them begin and end.
+DEALT = 32
+SHARES = (0, 1, 4, DEALT)
 _U = np.uint64
 
 
@@ -343,27 +346,46 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str =
     weight = 100 + percent
     by_id = lambda df: df.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     known = materialise(connected_components(by_id(close).union(by_id(joined)), f"{label}-known"), f"{label}-together")
-    group = lambda s: known.select(F.col("node").alias(f"id{s}"), F.col("component").alias(f"in{s}"))
-    open_pairs = (between.where("not linked")
-                  .join(least.select(F.col("lead").alias("ca"), F.col("slack").alias("sa"), F.col("size").alias("ka")), "ca")
-                  .join(least.select(F.col("lead").alias("cb"), F.col("slack").alias("sb"), F.col("size").alias("kb")), "cb")
-                  .where((F.col("ka") + F.col("kb") > 2) & (weight * F.col("o") >= F.col("sa") + F.col("sb")))
-                  .join(group("a"), "ida", "left").join(group("b"), "idb", "left")
-                  .where(F.coalesce("ina", "ida") != F.coalesce("inb", "idb"))
-                  .select("ca", "cb", "o", "sb"))
-    member = lambda s: follow.select(*[F.col(k).alias(f"{k}{s}") for k in ("c", "rep", "n", "lead", "slack")])
-    derived = (open_pairs.withColumnsRenamed({"ca": "leadx", "cb": "leady"})
-               .join(member("x"), "leadx").where(weight * F.col("o") >= F.col("slackx") + F.col("sb"))
-               .join(member("y"), "leady").where(weight * F.col("o") >= F.col("slackx") + F.col("slacky"))
-               .where(sized("nx", "ny"))
-               .select(F.col("cx").alias("ca"), F.col("repx").alias("ida"), F.col("cy").alias("cb"), F.col("repy").alias("idb")).distinct())
-    rest = _compare(derived, texts, words, percent, f"{label}-derived").where("linked")
+    open_pairs = materialise(
+        between.where("not linked")
+        .join(least.select(F.col("lead").alias("ca"), F.col("slack").alias("sa"), F.col("size").alias("ka")), "ca")
+        .join(least.select(F.col("lead").alias("cb"), F.col("slack").alias("sb"), F.col("size").alias("kb")), "cb")
+        .where((F.col("ka") + F.col("kb") > 2) & (weight * F.col("o") >= F.col("sa") + F.col("sb")))
+        .select("ca", "cb", "ida", "idb", "o", "sb"), f"{label}-open")
+    deal = lambda c: F.pmod(F.xxhash64(c, F.lit(ROUNDS)), F.lit(DEALT))
+    member = lambda s: follow.select(*[F.col(k).alias(f"{k}{s}") for k in ("c", "rep", "n", "lead", "slack")],
+                                     deal("c").alias(f"deal{s}"))
+    # A follower is linked with its leader, so one link between two families joins
+    # them whole. Their pairs are therefore taken in rounds, a share of them first,
+    # and families that a round has joined have none left to compare.
+    for k, (low, high) in enumerate(zip(SHARES, SHARES[1:])):
+        group = lambda s: known.select(F.col("node").alias(f"id{s}"), F.col("component").alias(f"in{s}"))  # noqa: B023, E731
+        apart = (open_pairs.join(group("a"), "ida", "left").join(group("b"), "idb", "left")
+                 .where(F.coalesce("ina", "ida") != F.coalesce("inb", "idb")).select("ca", "cb", "o", "sb"))
+        x = (apart.withColumnsRenamed({"ca": "leadx", "cb": "leady"})
+             .join(member("x"), "leadx").where(weight * F.col("o") >= F.col("slackx") + F.col("sb")))
+        enough = weight * F.col("o") >= F.col("slackx") + F.col("slacky")
+        turn = F.pmod(F.col("dealx") + F.col("dealy"), F.lit(DEALT))
+        y = member("y").withColumnRenamed("leady", "ofy")
+        if high == low + 1:  # a share of its own is a key, so that no other pair is made
+            met = x.withColumn("wanted", F.pmod(F.lit(low) - F.col("dealx"), F.lit(DEALT))).join(
+                y, (F.col("leady") == F.col("ofy")) & (F.col("wanted") == F.col("dealy")) & enough & sized("nx", "ny"))
+        else:
+            met = x.join(y, (F.col("leady") == F.col("ofy")) & (turn >= low) & (turn < high) & enough & sized("nx", "ny"))
+        derived = met.select(F.col("cx").alias("ca"), F.col("repx").alias("ida"), F.col("cy").alias("cb"),
+                             F.col("repy").alias("idb")).distinct()
+        rest = materialise(by_id(_compare(derived, texts, words, percent, f"{label}-derived-{k}").where("linked")),
+                           f"{label}-rest-{k}")
+        if not rest.isEmpty():
+            known = materialise(connected_components(
+                rest.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), f"{label}-known-{k}"),
+                f"{label}-together-{k}")
     # an id with rows of several texts stands for all of their classes
     several = rows.where("n > 0 and id is not null").groupBy("id").agg(
         F.min("c").alias("c"), F.max("c").alias("d")).where("c <> d").select("id")
     several = (rows.where("n > 0").select("id", "c").join(several, "id").join(named.select("c", "rep"), "c")
                .select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    more = materialise(by_id(rest).union(several), f"{label}-more")
+    more = materialise(several, f"{label}-more")
     components = known if more.isEmpty() else materialise(connected_components(
         more.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), label), f"{label}-components")
     placed = materialise(named.join(components, F.col("rep") == F.col("node"), "left")

@@ -260,6 +260,22 @@ def test_ngram_join(llm, docs, named, none):
     assert ngram_join.link_sets(none, label="t8e").collect() == []
 
 
+def test_family_around_the_threshold(llm):
+    """Near copies of one text, most pairs close to 0.75 on either side, beside a second such family that touches it."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(4000)]
+    base = [list(rng.choice(words, 120)) for _ in range(2)]
+    base[1][:90] = base[0][:90]
+    docs = []
+    for i in range(240):
+        text = list(base[i % 2])
+        for at in rng.choice(120, int(rng.integers(1, 5)), replace=False):
+            text[at] = str(rng.choice(words))
+        docs.append((i, " ".join(text)))
+    got = ngram_join.link_sets(llm.createDataFrame(docs, "doc_id bigint, text string").repartition(3), label="t8f").collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.ngram_join(docs)
+
+
 # -------------------------------------------------------------- 9 decontamination
 
 def test_decontamination(llm, docs, rows, none):
