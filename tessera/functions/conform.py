@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import quote_ident
 from .decimals import (UnsupportedTypeError, ansi_enabled, comment_of, contains_wide_decimal,
                        decimal_text, is_wide_decimal, tag_comment, with_comment)
 
@@ -113,7 +114,7 @@ def conform_types(df: DataFrame, *, widen_float: bool = False, unify: bool = Fal
     """Rewrite every column to a warehouse type; order and comments kept."""
     exprs = []
     for f in df.schema.fields:
-        e, _, wide = _conform(df[f"`{f.name}`"], f.dataType, f.name, widen_float, unify)
+        e, _, wide = _conform(df[quote_ident(f.name)], f.dataType, f.name, widen_float, unify)
         comment = tag_comment(comment_of(f)) if wide else comment_of(f)
         exprs.append(e.alias(f.name, metadata=with_comment(f, comment)))
     return df.select(*exprs)

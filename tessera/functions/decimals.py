@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import quote_ident
+
 # Fixed values shared with the warehouse convention: the comment tag, the
 # separator between the tag and the rest of a comment, the widest numeric the
 # warehouse holds (precision 38, scale 9) and the restored decimal type.
@@ -230,7 +232,7 @@ def encode_wide_decimals(df: DataFrame, columns: Sequence[str | int] | None = No
     chosen_set = set(chosen)
     exprs = []
     for f in schema.fields:
-        c = df[f"`{f.name}`"]
+        c = df[quote_ident(f.name)]
         if f.name in chosen_set:
             _check_supported(f.dataType, f.name)
             if contains_wide_decimal(f.dataType):
@@ -307,7 +309,7 @@ def restore_decimals(df: DataFrame, columns: Sequence[str | int] | None = None,
     chosen_set = set(chosen)
     exprs = []
     for f in schema.fields:
-        c = df[f"`{f.name}`"]
+        c = df[quote_ident(f.name)]
         if f.name in chosen_set and contains_tag(f):
             _check_supported(f.dataType, f.name)
             t = target.get(f.name) if isinstance(target, Mapping) else target

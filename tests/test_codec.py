@@ -388,3 +388,13 @@ def test_strict_restore_fails_without_ansi(spark, ansi_off):
         restore_decimals(df, columns=["a"]).collect()
     lenient = restore_decimals(df, lenient=True).collect()
     assert lenient[1]["p"] is None and lenient[1]["a"] == [None]
+
+
+def test_names_with_quotes(spark):
+    """A backtick or a dot in a name is part of the name."""
+    df = spark.sql("SELECT cast(1.5 as decimal(38,18)) AS `a``b`, cast(2 as decimal(38,18)) AS `c.d`")
+    enc = encode_wide_decimals(df)
+    assert enc.columns == ["a`b", "c.d"] and [f.dataType.simpleString() for f in enc.schema.fields] == ["string", "string"]
+    back = restore_decimals(enc)
+    assert back.collect() == df.collect() and back.schema["a`b"].dataType == T.DecimalType(38, 18)
+    assert conform_types(df).columns == ["a`b", "c.d"]
