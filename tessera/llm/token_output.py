@@ -39,10 +39,10 @@ from .common import text_slices
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 16
 #: Pre-tokens whose ids a worker remembers; it begins anew beyond that.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Characters of one text, and of texts together, that are cut at once.
 PART = 1 << 20
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: Ids that are packed or unpacked at once.
 STEP = 1 << 16
 NO_DOC = -(2**63)
