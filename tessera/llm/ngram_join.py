@@ -21,7 +21,8 @@ Two texts link when ``100 * |A & B| >= percent * |A | B|``. No link is lost:
    y that follow them share at most ``o + a_x + a_y`` shingles, which settles
    nearly all pairs without looking at them. Only a pair of sets for which that
    bound reaches the threshold, and which no other link has connected yet, is
-   compared.
+   compared: the larger family of two meets the members of all families it is
+   open with, block by block, so a text is sent once a block and not once a pair.
 
 How often the corpus has a shingle is counted over every text, in the tasks,
 by blocks of a few million shingles, from two occurrences in a block on. The
@@ -54,9 +55,11 @@ CHUNK = 1 << 22
 COMMON = 1 << 20
 MARKS = 23
 ROUNDS = 2
-#: Shares that the pairs of two families are dealt into, and where the rounds that take them begin and end.
+#: Shares that a family's members are dealt into, and where the rounds that take them begin and end.
 DEALT = 32
-SHARES = (0, 1, 4, DEALT)
+SHARES = (0, 4, DEALT)
+#: Members of a family, or of its partners, that one task's group holds (and no more than CHUNK shingles).
+BLOCK = 1024
 _U = np.uint64
 
 
@@ -199,6 +202,61 @@ def _compare(pairs: DataFrame, texts: DataFrame, words: int, percent: int, label
                        f"{label}-overlaps")
 
 
+def _meet(x: DataFrame, y: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between hubs' members and partners' members (hub, lead, o, c, rep, n, slack), one a family and group.
+
+    Both sides are dealt into blocks, and each pair of blocks is a group of its
+    own: a text goes along once for each block of the other side, so pairs are
+    no rows. Overlaps are exact, and taken only where ``o`` and the slacks allow
+    a link.
+    """
+    def blocks(df, name):
+        return df.groupBy("hub").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / CHUNK)).cast("int").alias(name))
+
+    sides = blocks(x, "nx").join(blocks(y, "ny"), "hub")
+    own = lambda n: F.pmod(F.xxhash64("c", "hub"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = ["hub", "bx", "by", "side", "lead", "slack", "o", "c", "rep", "n"]
+    both = (x.join(sides, "hub").withColumns({"bx": own("nx"), "side": F.lit(0)}).withColumn("by", each("ny")).select(rows)
+            .union(y.join(sides, "hub").withColumns({"by": own("ny"), "side": F.lit(1)}).withColumn("bx", each("nx")).select(rows)))
+
+    def links(batches):
+        import pyarrow as pa
+        at, near, packed, joined = None, [], None, set()
+        for batch in (part for whole in batches for part in text_slices(whole)):
+            out = []
+            for row, tokens in zip(zip(*(batch.column(k).to_pylist() for k in rows)), shingle_sets(_texts(batch), words)):
+                *key, side, lead, slack, o, c, rep, n = row
+                if set_key(tokens) != c:
+                    continue  # a row that repeats an id with another text
+                if key != at:
+                    at, near, packed, joined = key, [], None, set()
+                if side == 0:
+                    near.append((slack, n, rep, tokens))
+                    continue
+                if lead in joined or not near:
+                    continue
+                if packed is None:  # the hub's members come first, by slack
+                    size = np.array([r[1] for r in near], dtype=np.int64)
+                    packed = (np.array([r[0] for r in near], dtype=np.int64), size, np.concatenate([[0], np.cumsum(size)]),
+                              np.concatenate([r[3] for r in near]))
+                slacks, size, ends, theirs = packed
+                m = int(np.searchsorted(slacks, (100 + percent) * o - slack, side="right"))
+                if not m:
+                    continue
+                theirs = theirs[:ends[m]]
+                shared = np.add.reduceat(tokens[np.minimum(np.searchsorted(tokens, theirs), n - 1)] == theirs, ends[:m], dtype=np.int64)
+                hit = np.flatnonzero((100 + percent) * shared >= percent * (size[:m] + n))
+                if len(hit):
+                    joined.add(lead)
+                    out.append((rep, near[hit[0]][2]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return (both.join(texts.select(F.col("id").alias("rep"), "text"), "rep").select(*rows, "text")
+            .repartition("hub", "bx", "by").sortWithinPartitions("hub", "bx", "by", "side", "lead", "slack")
+            .mapInArrow(links, "a bigint, b bigint"))
+
+
 def _blocks_that_meet(batches, percent: int):
     """Pairs of leaders whose blocks pass the size and position filters, for lists of whole shingles."""
     import pyarrow as pa
@@ -346,36 +404,34 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 75, doc_id: str =
     weight = 100 + percent
     by_id = lambda df: df.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     known = materialise(connected_components(by_id(close).union(by_id(joined)), f"{label}-known"), f"{label}-together")
+    # the larger family of a pair is its hub, which meets the members of all its partners at once
+    hub = F.col("ka") >= F.col("kb")
+    other = lambda x, y: F.when(hub, F.col(x)).otherwise(F.col(y))
     open_pairs = materialise(
         between.where("not linked")
         .join(least.select(F.col("lead").alias("ca"), F.col("slack").alias("sa"), F.col("size").alias("ka")), "ca")
         .join(least.select(F.col("lead").alias("cb"), F.col("slack").alias("sb"), F.col("size").alias("kb")), "cb")
         .where((F.col("ka") + F.col("kb") > 2) & (weight * F.col("o") >= F.col("sa") + F.col("sb")))
-        .select("ca", "cb", "ida", "idb", "o", "sb"), f"{label}-open")
-    deal = lambda c: F.pmod(F.xxhash64(c, F.lit(ROUNDS)), F.lit(DEALT))
-    member = lambda s: follow.select(*[F.col(k).alias(f"{k}{s}") for k in ("c", "rep", "n", "lead", "slack")],
-                                     deal("c").alias(f"deal{s}"))
+        .select(other("ca", "cb").alias("hub"), other("ida", "idb").alias("ida"), other("sa", "sb").alias("sa"),
+                other("cb", "ca").alias("lead"), other("idb", "ida").alias("idb"), other("sb", "sa").alias("sb"), "o"),
+        f"{label}-open")
+    dealt = F.pmod(F.xxhash64("c", F.lit(ROUNDS)), F.lit(DEALT))
     # A follower is linked with its leader, so one link between two families joins
-    # them whole. Their pairs are therefore taken in rounds, a share of them first,
-    # and families that a round has joined have none left to compare.
+    # them whole. Hubs therefore meet their partners in rounds, a share of their
+    # members first, and families that a round has joined have none left to compare.
     for k, (low, high) in enumerate(zip(SHARES, SHARES[1:])):
         group = lambda s: known.select(F.col("node").alias(f"id{s}"), F.col("component").alias(f"in{s}"))  # noqa: B023, E731
-        apart = (open_pairs.join(group("a"), "ida", "left").join(group("b"), "idb", "left")
-                 .where(F.coalesce("ina", "ida") != F.coalesce("inb", "idb")).select("ca", "cb", "o", "sb"))
-        x = (apart.withColumnsRenamed({"ca": "leadx", "cb": "leady"})
-             .join(member("x"), "leadx").where(weight * F.col("o") >= F.col("slackx") + F.col("sb")))
-        enough = weight * F.col("o") >= F.col("slackx") + F.col("slacky")
-        turn = F.pmod(F.col("dealx") + F.col("dealy"), F.lit(DEALT))
-        y = member("y").withColumnRenamed("leady", "ofy")
-        if high == low + 1:  # a share of its own is a key, so that no other pair is made
-            met = x.withColumn("wanted", F.pmod(F.lit(low) - F.col("dealx"), F.lit(DEALT))).join(
-                y, (F.col("leady") == F.col("ofy")) & (F.col("wanted") == F.col("dealy")) & enough & sized("nx", "ny"))
-        else:
-            met = x.join(y, (F.col("leady") == F.col("ofy")) & (turn >= low) & (turn < high) & enough & sized("nx", "ny"))
-        derived = met.select(F.col("cx").alias("ca"), F.col("repx").alias("ida"), F.col("cy").alias("cb"),
-                             F.col("repy").alias("idb")).distinct()
-        rest = materialise(by_id(_compare(derived, texts, words, percent, f"{label}-derived-{k}").where("linked")),
-                           f"{label}-rest-{k}")
+        apart = materialise(
+            open_pairs.join(group("a"), "ida", "left").join(group("b"), "idb", "left")
+            .where(F.coalesce("ina", "ida") != F.coalesce("inb", "idb")).select("hub", "lead", "o", "sa", "sb"), f"{label}-apart-{k}")
+        x = (follow.withColumnRenamed("lead", "hub")
+             .join(apart.groupBy("hub").agg(F.max(weight * F.col("o") - F.col("sb")).alias("most")), "hub")
+             .where((F.col("slack") <= F.col("most")) & (dealt >= low) & (dealt < high))
+             .select("hub", F.col("hub").alias("lead"), F.lit(0).cast("bigint").alias("o"), "c", "rep", "n", "slack"))
+        y = (apart.join(follow, "lead").where(weight * F.col("o") >= F.col("slack") + F.col("sa"))
+             .select("hub", "lead", "o", "c", "rep", "n", "slack"))
+        rest = materialise(_meet(materialise(x, f"{label}-hubs-{k}"), materialise(y, f"{label}-partners-{k}"),
+                                 texts, words, percent), f"{label}-rest-{k}")
         if not rest.isEmpty():
             known = materialise(connected_components(
                 rest.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))), f"{label}-known-{k}"),

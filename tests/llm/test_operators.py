@@ -276,6 +276,25 @@ def test_family_around_the_threshold(llm):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.ngram_join(docs)
 
 
+def test_open_families_make_no_rows_of_pairs(llm, monkeypatch):
+    """Near copies of one text just below 0.75: what is written for them grows with the family, not with its square."""
+    rng = np.random.default_rng(12)
+    base = [f"b{i}" for i in range(120)]
+    docs = [(i, edited(rng, base, int(rng.integers(1, 6)))) for i in range(300)]
+    written, real = {}, ngram_join.materialise
+
+    def counted(df, label):
+        out = real(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", counted)
+    got = ngram_join.link_sets(llm.createDataFrame(docs, "doc_id bigint, text string").repartition(3), label="t8p").collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.ngram_join(docs)
+    after = list(written)[list(written).index("t8p-open") + 1:]
+    assert max(written[k] for k in after) <= 2 * max(len(docs), written["t8p-open"]), written
+
+
 # -------------------------------------------------------------- 9 decontamination
 
 def test_decontamination(llm, docs, rows, none):
