@@ -193,13 +193,16 @@ def _whole(docs: DataFrame, length: int, label: str):
 
 
 def find_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text",
-                 label: str = "repeats", all_members: bool = False):
+                 label: str = "repeats", all_members: bool = False, reach_only: bool = False):
     """``(facts, copied, spans)``.
 
     ``spans``: ``d, id`` (the text), ``g`` (repeat group), ``start``, ``stop`` in
     bytes; each text that stands more than once is scanned once. With
     ``all_members`` every group lists all its occurrences; otherwise cells that
     are repeated whole are left out of the groups they do not add bytes to.
+    With ``reach_only`` the repeats around an anchor are told as the one stretch
+    of bytes that they cover together, and ``g`` is null there: every repeat
+    holds its anchor, so they overlap or meet, and nested ones are no rows.
     """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own, facts, copied, texts = _whole(docs, length, label)
@@ -266,14 +269,22 @@ def find_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", tex
             while last < len(rows) and rows[last][0] == rows[first][0]:
                 last += 1
             group = rows[first:last]
+            reach: dict[int, tuple[int, int]] = {}
             if len(group) > 1:
                 lefts = [r[2][:r[4]][::-1] for r in group]
                 rights = [r[2][r[4]:] for r in group]
                 for left, right, members in maximal_repeats(lefts, rights, length):
+                    if reach_only:
+                        for m in members:
+                            if group[m][5] == 1:
+                                a, b = reach.get(m, (0, 0))
+                                reach[m] = (max(a, left), max(b, right))
+                        continue
                     i = members[0]
                     text = lefts[i][:left][::-1] + rights[i][:right]
                     g = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
                     out += [(group[m][0], group[m][1], g, -left, right) for m in members if all_members or group[m][5] == 1]
+            out += [(group[m][0], group[m][1], None, -a, b) for m, (a, b) in reach.items()]
             first = last
             if len(out) > 100_000 or first == len(rows):
                 yield pa.RecordBatch.from_arrays(
@@ -318,7 +329,7 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text",
                    label: str = "repeats", with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of each row, and ``kept`` (bytes) on request."""
-    own, facts, copied, spans = find_repeats(docs, length, doc_id, text, label)
+    own, facts, copied, spans = find_repeats(docs, length, doc_id, text, label, reach_only=True)
     by_text = materialise(spans.groupBy("d", "id").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans"))
         .select("d", "id", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")), f"{label}-spans")

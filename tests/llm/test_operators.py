@@ -126,6 +126,26 @@ def test_repeat_groups_have_all_occurrences(llm):
     assert set(members.values()) == {5}
 
 
+def test_nested_repeats_are_one_row_a_cell(llm, monkeypatch):
+    """Texts that share ever longer stretches around one passage: as many repeats as texts, one row each for the bytes."""
+    rng = np.random.default_rng(14)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    core = "".join(rng.choice(list(letters), 600))
+    texts = [(k, "".join(rng.choice(list(letters), 100)) + core[:230 + 9 * k] + "".join(rng.choice(list("0123456789"), 90)))
+             for k in range(40)]
+    written, real = {}, suffix_dedup.materialise
+
+    def counted(df, label):
+        out = real(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "materialise", counted)
+    got = suffix_dedup.remove_repeats(llm.createDataFrame(texts, "doc_id bigint, text string"), 200, label="t2n").collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute.repeats(texts)
+    assert written["t2n-parts"] <= written["t2n-variants"], written
+
+
 # ------------------------------------------------------------------------ 3 urls
 
 def test_urls(llm):
