@@ -76,10 +76,29 @@ def bands_of(lines: list[str]) -> np.ndarray:
     return out.view(np.int64)
 
 
+def line_sets(lines: list[str]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each of some non-empty lines."""
+    hashes, first = shingle_hashes(lines)
+    line = np.repeat(np.arange(len(lines)), np.diff(np.concatenate([first, [len(hashes)]])))
+    hashes = hashes[np.lexsort((hashes, line))]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
+    return np.split(hashes[new], np.cumsum(np.bincount(line[new], minlength=len(lines)))[:-1])
+
+
 def similar(a: str, b: str, percent: int) -> bool:
-    x, y = (np.unique(shingle_hashes([t])[0]) for t in (a, b))
-    o = overlap(x, y)
-    return 100 * o >= percent * (len(x) + len(y) - o)
+    return similar_lines([a], [b], percent)[0]
+
+
+def similar_lines(a: list[str], b: list[str], percent: int) -> list[bool]:
+    """Whether each line of ``a`` is similar to the one of ``b``; each distinct line's shingles are made once."""
+    lines = list(dict.fromkeys([*a, *b]))
+    sets = dict(zip(lines, line_sets(lines)))
+    out = []
+    for x, y in zip(map(sets.__getitem__, a), map(sets.__getitem__, b)):
+        o = overlap(x, y)
+        out.append(100 * o >= percent * (len(x) + len(y) - o))
+    return out
 
 
 def close_pairs(lines: list[str], group: np.ndarray, side: np.ndarray, component: np.ndarray,
@@ -189,11 +208,12 @@ def drop_lines(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text:
 
     lines = materialise(own.select("d", "id", "text").mapInArrow(
         split, "d bigint, id bigint, line bigint, key bigint, bands array<bigint>"), f"{label}-split")
-    banded = lines.where("bands is not null").select("key", F.posexplode("bands").alias("band", "bucket"))
+    banded = lines.where("bands is not null").select("key", F.explode("bands").alias("bucket"))
+    # keys are turned by the bucket, and turned back: two numbers a bucket go along
+    turned = lambda c: F.col(c).bitwiseXOR(F.xxhash64("bucket"))
     heads = materialise(
-        banded.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key", "band"), F.col("key").alias("lead"))).alias("head"),
-                                     F.min("key").alias("least"), F.max("key").alias("most"))
-        .where("least <> most").select("bucket", F.col("head.lead").alias("lead")), f"{label}-heads")
+        banded.groupBy("bucket").agg(F.min(turned("key")).alias("least"), F.max(turned("key")).alias("most"))
+        .where("least <> most").select("bucket", turned("least").alias("lead")), f"{label}-heads")
     shared = IdFilter(heads.select("bucket"), FILTER_BITS)
 
     @F.pandas_udf("array<bigint>")
@@ -222,8 +242,8 @@ def drop_lines(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text:
 
     def verify(batches):
         import pyarrow as pa
-        for batch in (part for whole in batches for part in text_slices(whole, "line")):
-            hit = [similar(a, b, percent) for a, b in zip(batch.column("line").to_pylist(), batch.column("lead_line").to_pylist())]
+        for batch in (part for whole in batches for part in text_slices(whole, "line", 1 << 18)):
+            hit = similar_lines(batch.column("line").to_pylist(), batch.column("lead_line").to_pylist(), percent)
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lead")], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
     edges = materialise(

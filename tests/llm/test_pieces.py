@@ -236,3 +236,16 @@ def test_close_pairs(seed):
             if group[i] == group[j] and component[i] != component[j] and not (two[group[i]] and side[i] == side[j])
             and line_dedup.similar(lines[i], lines[j], 75)}
     assert set(got) == want and len(got) == len(want) and want
+
+
+def test_lines_are_shingled_once_however_many_they_are_compared_with(monkeypatch):
+    rng = np.random.default_rng(21)
+    words = ["alpha", "beta", "gamma", "delta", "é", "x" * 9]
+    lines = ["a", "1234567", "12345678"] + [" ".join(rng.choice(words, 8)) for _ in range(40)]
+    a, b = [x for x in lines for _ in lines], lines * len(lines)
+    shingled, real = [], line_dedup.shingle_hashes
+    monkeypatch.setattr(line_dedup, "shingle_hashes", lambda some: (shingled.extend(some), real(some))[1])
+    got = line_dedup.similar_lines(a, b, 75)
+    assert sorted(shingled) == sorted(set(lines))
+    sets = [{x[i:i + 8] for i in range(max(1, len(x) - 7))} for x in lines]
+    assert list(map(bool, got)) == [100 * len(x & y) >= 75 * len(x | y) for x in sets for y in sets]
