@@ -249,3 +249,10 @@ def test_lines_are_shingled_once_however_many_they_are_compared_with(monkeypatch
     assert sorted(shingled) == sorted(set(lines))
     sets = [{x[i:i + 8] for i in range(max(1, len(x) - 7))} for x in lines]
     assert list(map(bool, got)) == [100 * len(x & y) >= 75 * len(x | y) for x in sets for y in sets]
+
+
+def test_plain_texts_are_not_searched():
+    enc = token_output.Encoder.__new__(token_output.Encoder)
+    for c in map(chr, range(0x300)):
+        for text in (c, f"a b{c}", f"{c}é"):
+            assert enc.doubtful(text) == bool(enc.DOUBTFUL.search(text))
