@@ -256,3 +256,33 @@ def test_plain_texts_are_not_searched():
     for c in map(chr, range(0x300)):
         for text in (c, f"a b{c}", f"{c}é"):
             assert enc.doubtful(text) == bool(enc.DOUBTFUL.search(text))
+
+
+def test_lines_that_meet_in_a_bucket_of_few_are_compared_without_a_leader():
+    rng = np.random.default_rng(5)
+    sizes = {10: 1, 11: 2, 12: 3, 13: line_dedup.FEW, 14: line_dedup.FEW + 1, -15: 40}
+    of = {b: rng.integers(-2**63, 2**63 - 1, n) for b, n in sizes.items()}
+    buckets = np.concatenate([np.full(2 * n, b) for b, n in sizes.items()])
+    keys = np.concatenate([np.tile(of[b], 2) for b in sizes])  # every entry twice
+    order = rng.permutation(len(keys))
+    a, b, led = line_dedup.meetings(buckets[order], keys[order])
+    few = [(x, y) for x, y, bucket in zip(a.tolist(), b.tolist(), led.tolist()) if not bucket]
+    want = [(x, y) for n in (10, 11, 12, 13) for i, x in enumerate(sorted(of[n].tolist())) for y in sorted(of[n].tolist())[i + 1:]]
+    assert sorted(few) == sorted(want)
+    for bucket in (14, -15):
+        assert sorted(a[led == bucket].tolist()) == sorted(of[bucket].tolist())
+        assert set(b[led == bucket].tolist()) <= set(of[bucket].tolist()) and len(set(b[led == bucket].tolist())) == 1
+    empty = np.zeros(0, np.int64)
+    assert [len(x) for x in line_dedup.meetings(empty, empty)] == [0, 0, 0]
+
+
+def test_shingles_do_not_depend_on_what_is_hashed_along(monkeypatch):
+    lines = ["a", "1234567", "12345678", "\0" * 3, "\0" * 9, "é" * 12, "中x" * 9, "😀 and more", "abcdefgh" * 30] * 2
+    hashes, first = line_dedup.shingle_hashes(lines)
+    alone = [line_dedup.shingle_hashes([x]) for x in lines]
+    assert hashes.tolist() == [h for x, _ in alone for h in x.tolist()]
+    assert first.tolist() == [0, *np.cumsum([len(x) for x, _ in alone])[:-1]]
+    assert len({h for x, _ in alone for h in x.tolist()}) == len({x[i:i + 8] for x in lines for i in range(max(1, len(x) - 7))})
+    whole = line_dedup.bands_of(lines)
+    monkeypatch.setattr(line_dedup, "CACHED", 10)
+    assert (line_dedup.bands_of(lines) == whole).all() and line_dedup.shingle_hashes(lines)[0].tolist() == hashes.tolist()
