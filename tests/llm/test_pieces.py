@@ -1,6 +1,7 @@
 """Parts of the operators that need no Spark."""
 
 import math
+import os
 import random
 
 import numpy as np
@@ -258,6 +259,36 @@ def test_plain_texts_are_not_searched():
             assert enc.doubtful(text) == bool(enc.DOUBTFUL.search(text))
 
 
+def test_pieces_are_looked_up_once_without_the_library_s_threads(monkeypatch):
+    asked = []
+
+    class Known(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+        def __contains__(self, key):
+            asked.append(key)
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    monkeypatch.setattr(token_output, "_ENCODERS", {})
+    enc = token_output.encoder(public.path("byte_bpe_50k.json"))
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM")
+    enc.known = Known()
+    texts = ["one two three", "two three four"]
+    for _ in range(2):
+        asked.clear()
+        got = [x.tolist() for x in enc.encode(texts)]
+        assert sorted(asked) == [b" four", b" three", b" two", b"one", b"two"]
+        assert got == [enc.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_lines_that_meet_in_a_bucket_of_few_are_compared_without_a_leader():
     rng = np.random.default_rng(5)
     sizes = {10: 1, 11: 2, 12: 3, 13: line_dedup.FEW, 14: line_dedup.FEW + 1, -15: 40}
